@@ -55,6 +55,11 @@ def r4(df: DataFrame, cols) -> DataFrame:
     return df.withColumns({c: F.round(C.q(c), 4) for c in cols})
 
 
+def _d(v) -> str:
+    """A float constant as a SQL double literal (parsed exactly like Python's)."""
+    return f"CAST({v!r} AS DOUBLE)"
+
+
 def _sql_case(col: str, mapping: dict, default: str) -> str:
     arms = " ".join(f"WHEN {col} = '{k}' THEN CAST({v!r} AS DOUBLE)" if not isinstance(v, str)
                     else f"WHEN {col} = '{k}' THEN '{v}'" for k, v in mapping.items())
@@ -137,12 +142,12 @@ p AS (
             CAST(CAST(ceil(u2 / {UNITS_PER_PALLET}) AS BIGINT) AS DOUBLE) AS p2,
             CAST(CAST(ceil(u3 / {UNITS_PER_PALLET}) AS BIGINT) AS DOUBLE) AS p3 FROM w),
 long AS (
-  SELECT *, 'POS1' AS POS, u1 AS QTY, p1 AS PALLETS, p1 * {CUFT_PER_PALLET} AS CUFT, p1 / 16 AS TEUS,
-         u1 * {LBS_PER_UNIT} AS WEIGHT_LBS FROM p
+  SELECT *, 'POS1' AS POS, u1 AS QTY, p1 AS PALLETS, p1 * {_d(CUFT_PER_PALLET)} AS CUFT, p1 / 16 AS TEUS,
+         u1 * {_d(LBS_PER_UNIT)} AS WEIGHT_LBS FROM p
   UNION ALL
-  SELECT *, 'POS2', u2, p2, p2 * {CUFT_PER_PALLET}, p2 / 16, u2 * {LBS_PER_UNIT} FROM p
+  SELECT *, 'POS2', u2, p2, p2 * {_d(CUFT_PER_PALLET)}, p2 / 16, u2 * {_d(LBS_PER_UNIT)} FROM p
   UNION ALL
-  SELECT *, 'POS3', u3, p3, p3 * {CUFT_PER_PALLET}, p3 / 16, u3 * {LBS_PER_UNIT} FROM p
+  SELECT *, 'POS3', u3, p3, p3 * {_d(CUFT_PER_PALLET)}, p3 / 16, u3 * {_d(LBS_PER_UNIT)} FROM p
   UNION ALL
   SELECT *, 'BEYOND', u4,
          CASE WHEN Ration_Type = 'MEALS_READY_TO_EAT_MRE' THEN u4 / 48
@@ -152,9 +157,8 @@ long AS (
 SELECT AssessmentNumber AS ASSESSMENTNUMBER, Class_of_Supply AS CLASS_OF_SUPPLY,
        Ration_Type AS COS_TYPE, Region AS REGION, Region_MEF_Lead AS REGION_MEF_LEAD,
        Location_ID AS LOCATION_ID, Location_Name AS LOCATION_NAME, UI, POS,
-       round(QTY, 4) AS QTY, round(PALLETS, 4) AS PALLETS, round(CUFT, 4) AS CUFT,
-       round(TEUS, 4) AS TEUS, round(WEIGHT_LBS, 4) AS WEIGHT_LBS,
-       round(QTY * {_sql_case('Ration_Type', X.FIXED['ration_cost'], 'CAST(0.0 AS DOUBLE)')}, 4) AS TOTAL_COST
+       QTY, PALLETS, CUFT, TEUS, WEIGHT_LBS,
+       QTY * {_sql_case('Ration_Type', X.FIXED['ration_cost'], 'CAST(0.0 AS DOUBLE)')} AS TOTAL_COST
 FROM long
 """
 
@@ -163,12 +167,12 @@ CLASS_I_MEASURES = ["QTY", "PALLETS", "CUFT", "TEUS", "WEIGHT_LBS", "TOTAL_COST"
 
 @register("class_i", RATION_SQL)
 def q_class_i(spark, sf_dir):
-    return r4(X.class_i(ration_requirements(spark, sf_dir)), CLASS_I_MEASURES)
+    return X.class_i(ration_requirements(spark, sf_dir))
 
 
 @register("class_i_pivot_plan", RATION_SQL)
 def q_class_i_pivot(spark, sf_dir):
-    return r4(X.class_i(ration_requirements(spark, sf_dir), plan="pivot"), CLASS_I_MEASURES)
+    return X.class_i(ration_requirements(spark, sf_dir), plan="pivot")
 
 
 # ---------------------------------------------------------------------------
@@ -354,7 +358,7 @@ def q_partition_totals(spark, sf_dir):
 @register("class_cost_lookup", f"""
 SELECT p_partkey, Ration_Type,
        {_sql_case('Ration_Type', X.FIXED['ration_cost'], 'CAST(0.0 AS DOUBLE)')} AS rate,
-       round(p_retailprice * {_sql_case('Ration_Type', X.FIXED['ration_cost'], 'CAST(0.0 AS DOUBLE)')}, 4) AS cost
+       p_retailprice * {_sql_case('Ration_Type', X.FIXED['ration_cost'], 'CAST(0.0 AS DOUBLE)')} AS cost
 FROM (SELECT p_partkey, p_retailprice, {_sql_case('p_type', TYPE_TO_RATION, 'p_type')} AS Ration_Type
       FROM part)
 """)
@@ -364,4 +368,552 @@ def q_cost_lookup(spark, sf_dir):
         F.coalesce(lookup("p_type", TYPE_TO_RATION, None), F.col("p_type")).alias("Ration_Type"))
     p = p.withColumn("rate", lookup("Ration_Type", X.FIXED["ration_cost"], 0.0))
     return p.select("p_partkey", "Ration_Type", "rate",
-                    F.round(F.col("p_retailprice") * F.col("rate"), 4).alias("cost"))
+                    (F.col("p_retailprice") * F.col("rate")).alias("cost"))
+
+
+# ---------------------------------------------------------------------------
+# Class jobs on frames derived from lineitem / part
+# ---------------------------------------------------------------------------
+_QTR_POS = ("CASE quarter(l_shipdate) WHEN 1 THEN 'POS1' WHEN 2 THEN 'POS2' WHEN 3 THEN 'POS3' "
+            "ELSE 'BEYOND' END")
+
+
+def _qtr_pos():
+    qtr = F.quarter("l_shipdate")
+    return (F.when(qtr == 1, "POS1").when(qtr == 2, "POS2").when(qtr == 3, "POS3")
+            .otherwise("BEYOND"))
+
+
+def water_requirements(spark, sf_dir):
+    """Water requirement rows (class I water input layout) from lineitem:
+    potable = quantity, non-potable = 2 x quantity, drinking = 3 x quantity
+    for returned lines only (NULL otherwise)."""
+    li = t(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_orderkey").alias("AssessmentNumber"), F.lit("I-W").alias("Class_of_Supply"),
+        F.col("l_returnflag").alias("Region"), F.col("l_linestatus").alias("Location_Name"),
+        F.col("l_suppkey").alias("Location_ID"),
+        F.concat("l_returnflag", "l_linestatus").alias("Region_MEF_Lead"),
+        F.col("l_linenumber").cast("string").alias("UIC"), _qtr_pos().alias("POS"),
+        F.col("l_quantity").alias("Potable_Rqmt"),
+        (F.col("l_quantity") * 2).alias("NonPotable_Rqmt"),
+        F.when(F.col("l_returnflag") == "R", F.col("l_quantity") * 3).alias("Drinking_Rqmt"))
+
+
+WATER_MEASURES = ["QTY", "PALLETS", "CUFT", "WEIGHT_LBS", "TEUS", "TOTAL_COST"]
+_WF = X.FIXED
+
+
+@register("pallet_calc", f"""
+WITH w AS (
+  SELECT l_orderkey AS AssessmentNumber, 'I-W' AS Class_of_Supply, l_returnflag AS Region,
+         l_linestatus AS Location_Name, l_suppkey AS Location_ID,
+         l_returnflag || l_linestatus AS Region_MEF_Lead, CAST(l_linenumber AS VARCHAR) AS UIC,
+         {_QTR_POS} AS POS, l_quantity AS Potable_Rqmt, l_quantity * 2 AS NonPotable_Rqmt,
+         CASE WHEN l_returnflag = 'R' THEN l_quantity * 3 END AS Drinking_Rqmt
+  FROM lineitem),
+m AS (SELECT * FROM w UNPIVOT INCLUDE NULLS (Units FOR COS_Type IN (Potable_Rqmt, NonPotable_Rqmt,
+                                                                      Drinking_Rqmt))),
+c AS (SELECT *, CASE WHEN COS_Type = 'Drinking_Rqmt'
+                     THEN Units / {_WF['water_units_per_pallet']} * {_d(_WF['water_pallet_factor'])} END AS P
+      FROM m),
+f AS (SELECT *, coalesce(P, 0) AS Pallets,
+             coalesce(CASE WHEN COS_Type = 'Drinking_Rqmt' THEN P * {_d(_WF['water_cuft_per_pallet'])} END, 0)
+               AS CUFT,
+             coalesce(CASE WHEN COS_Type = 'Drinking_Rqmt' THEN P * {_WF['water_lbs_per_pallet']} END, 0)
+               AS Weight_lbs,
+             coalesce(CASE WHEN COS_Type = 'Drinking_Rqmt'
+                           THEN (P / {_WF['water_pallets_per_teu']}) * {_d(_WF['water_teu_factor'])} END, 0)
+               AS TEUS,
+             coalesce(CASE WHEN COS_Type = 'Drinking_Rqmt' THEN Units * {_d(_WF['water_cost_per_unit'])} END, 0)
+               AS Total_Cost,
+             CASE WHEN COS_Type = 'Drinking_Rqmt' THEN 'Case' ELSE 'Gals' END AS UI
+      FROM c)
+SELECT AssessmentNumber AS ASSESSMENTNUMBER, Class_of_Supply AS CLASS_OF_SUPPLY,
+       COS_Type AS COS_TYPE, Region AS REGION, Region_MEF_Lead AS REGION_MEF_LEAD,
+       Location_Name AS LOCATION_NAME, Location_ID AS LOCATION_ID, UIC, UI, POS,
+       Units AS QTY, Pallets AS PALLETS, CUFT, Weight_lbs AS WEIGHT_LBS, TEUS,
+       Total_Cost AS TOTAL_COST
+FROM f WHERE Weight_lbs > 0
+""")
+def q_pallet_calc(spark, sf_dir):
+    return X.class_i_water(water_requirements(spark, sf_dir))
+
+
+def equipment_requirements(spark, sf_dir):
+    """Daily-equipment rows with unit dimensions (class II/VII input layout)
+    from lineitem x part: the part's size and price give unit measures."""
+    li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey",
+                                              "l_linenumber", "l_quantity", "l_returnflag",
+                                              "l_linestatus", "l_shipdate")
+    p = t(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", "p_retailprice")
+    j = li.join(p, F.col("l_partkey") == F.col("p_partkey"))
+    size = F.col("p_size").cast("double")
+    return j.select(
+        F.col("l_orderkey").alias("AssessmentNumber"), F.lit("II").alias("Class_of_Supply"),
+        F.concat(F.lit("LOC_"), F.col("l_suppkey").cast("string")).alias("Location_Name"),
+        F.col("l_returnflag").alias("Region"), F.col("l_linestatus").alias("Region_MEF_Lead"),
+        F.col("l_linenumber").cast("string").alias("UIC"), _qtr_pos().alias("POS"),
+        F.col("p_brand").alias("TAMCN"), (size / 10).alias("IND SQFT"),
+        (size * 1.5).alias("IND CUFT"), (F.col("p_retailprice") / 1000).alias("IND STON"),
+        (F.col("p_retailprice") / 1100).alias("IND MTON"), (size / 500).alias("TEU_Equivalents"),
+        F.col("l_quantity").alias("TE_Orig_Qty"),
+        F.col("p_retailprice").alias("STANDARD_UNIT_PRICE"),
+        size.alias("DIM HEIGHT INCHES"), (size * 2).alias("DIM LENGTH INCHES"),
+        (size * 3).alias("DIM WIDTH INCHES"))
+
+
+II_VII_MEASURES = ["UNIT_PRICE", "STON_", "SQFT_", "CUFT_", "TEU_", "QTY", "CUFT", "SQFT", "TEUS",
+                   "WEIGHT_LBS", "TOTAL_COST", "DIM HEIGHT INCHES", "DIM LENGTH INCHES",
+                   "DIM WIDTH INCHES"]
+
+
+@register("unit_extension", f"""
+WITH e AS (
+  SELECT l.l_orderkey AS AssessmentNumber, 'II' AS Class_of_Supply,
+         'LOC_' || CAST(l.l_suppkey AS VARCHAR) AS Location_Name, l.l_returnflag AS Region,
+         l.l_linestatus AS Region_MEF_Lead, CAST(l.l_linenumber AS VARCHAR) AS UIC, {_QTR_POS} AS POS,
+         p.p_brand || '_Class_II/VII' AS COS_Type, CAST(p.p_size AS DOUBLE) / 10 AS sqft_,
+         CAST(p.p_size AS DOUBLE) * CAST(1.5 AS DOUBLE) AS cuft_, p.p_retailprice / 1000 AS ston_,
+         CAST(p.p_size AS DOUBLE) / 500 AS teu_, l.l_quantity AS Qty, p.p_retailprice AS Unit_Price,
+         CAST(p.p_size AS DOUBLE) AS h, CAST(p.p_size AS DOUBLE) * 2 AS len,
+         CAST(p.p_size AS DOUBLE) * 3 AS wid
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)
+SELECT AssessmentNumber AS ASSESSMENTNUMBER, Class_of_Supply AS CLASS_OF_SUPPLY, COS_Type AS COS_TYPE,
+       Region AS REGION, Region_MEF_Lead AS REGION_MEF_LEAD, Location_Name AS LOCATION_NAME, UIC,
+       'NIIN' AS UI, Unit_Price AS UNIT_PRICE, h AS "DIM HEIGHT INCHES",
+       len AS "DIM LENGTH INCHES", wid AS "DIM WIDTH INCHES", ston_ AS STON_, sqft_ AS SQFT_,
+       cuft_ AS CUFT_, teu_ AS TEU_, POS, Qty AS QTY, Qty * cuft_ AS CUFT, Qty * sqft_ AS SQFT,
+       Qty * teu_ AS TEUS, (Qty * ston_) / 2000 AS WEIGHT_LBS, Unit_Price * Qty AS TOTAL_COST
+FROM e WHERE (Qty * ston_) / 2000 > 0
+""")
+def q_unit_extension(spark, sf_dir):
+    return X.class_ii_vii(equipment_requirements(spark, sf_dir))
+
+
+@register("dimension_cube", """
+WITH d AS (
+  SELECT p_partkey, CAST(p_size AS DOUBLE) AS L,
+         CAST(CASE WHEN p_size < 5 THEN 0 ELSE p_size - 4 END AS DOUBLE) AS W,
+         CAST(CASE WHEN p_size > 45 THEN 9999 ELSE p_size + 1 END AS DOUBLE) AS H,
+         CASE WHEN p_retailprice > 990 THEN NULL ELSE p_retailprice / 100 END AS cube
+  FROM part)
+SELECT p_partkey,
+       CASE WHEN L IN (0, 9999) OR W IN (0, 9999) OR H IN (0, 9999) THEN cube
+            WHEN cube IS NULL THEN NULL
+            ELSE greatest((L / 12) * (W / 12) * (H / 12), cube) END AS CUFT,
+       CASE WHEN L IN (0, 9999) OR W IN (0, 9999) THEN CAST(0.0 AS DOUBLE)
+            ELSE (L / 12) * (W / 12) END AS SQFT
+FROM d
+""")
+def q_dimension_cube(spark, sf_dir):
+    p = t(spark, sf_dir, "part")
+    L = F.col("p_size").cast("double")
+    W = F.when(F.col("p_size") < 5, 0).otherwise(F.col("p_size") - 4).cast("double")
+    H = F.when(F.col("p_size") > 45, 9999).otherwise(F.col("p_size") + 1).cast("double")
+    cube = F.when(F.col("p_retailprice") > 990, F.lit(None)).otherwise(F.col("p_retailprice") / 100)
+    return p.select("p_partkey", cube_feet(L, W, H, cube).alias("CUFT"),
+                    square_feet(L, W).alias("SQFT"))
+
+
+@register("flag_classification", """
+SELECT o_orderkey,
+       CASE WHEN upper(bat) = 'TRUE' THEN 'IX C (B)' WHEN upper(sec) = 'TRUE' THEN 'IX C (S)'
+            ELSE 'IX C' END AS Class_of_Supply
+FROM (SELECT o_orderkey,
+             CASE WHEN o_orderpriority = '1-URGENT' THEN 'TRUE' ELSE 'false' END AS bat,
+             CASE WHEN o_orderstatus = 'F' THEN 'True' ELSE 'FALSE' END AS sec FROM orders)
+""")
+def q_flag_classification(spark, sf_dir):
+    o = t(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderpriority") == "1-URGENT", "TRUE").otherwise("false").alias("Battery Flag"),
+        F.when(F.col("o_orderstatus") == "F", "True").otherwise("FALSE").alias("SECREP Flag"))
+    return X.class_ix_classify(o).select("o_orderkey", "Class_of_Supply")
+
+
+# ---------------------------------------------------------------------------
+# Joins
+# ---------------------------------------------------------------------------
+@register("join_suffix", """
+SELECT o_orderkey AS orderkey, o_custkey AS custkey, o_totalprice AS amount_left,
+       o_orderstatus AS status_left, c_acctbal AS amount_right, c_mktsegment AS status_right
+FROM orders JOIN customer ON o_custkey = c_custkey
+""")
+def q_join_suffix(spark, sf_dir):
+    o = t(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("orderkey"), F.col("o_custkey").alias("custkey"),
+        F.col("o_totalprice").alias("amount"), F.col("o_orderstatus").alias("status"))
+    c = t(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("custkey"), F.col("c_acctbal").alias("amount"),
+        F.col("c_mktsegment").alias("status"))
+    return R.join_suffix(o, c, "custkey")
+
+
+_K_SQL = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
+
+
+@register("null_safe_join", f"""
+WITH ev AS (SELECT event_id, CASE WHEN {_K_SQL} >= 10 THEN {_K_SQL} END AS k FROM events),
+b AS (SELECT k, count(*) AS k_events FROM ev GROUP BY k)
+SELECT ev.event_id, ev.k, b.k_events FROM ev LEFT JOIN b ON ev.k IS NOT DISTINCT FROM b.k
+""")
+def q_null_safe_join(spark, sf_dir):
+    ev = t(spark, sf_dir, "events").select(
+        "event_id", F.from_json("props", "k bigint").getField("k").alias("k_raw"))
+    ev = ev.select("event_id", F.when(F.col("k_raw") >= 10, F.col("k_raw")).alias("k"))
+    b = ev.groupBy("k").agg(F.count(F.lit(1)).alias("k_events"))
+    return R.join_on(ev, b, "k", how="left", match_nulls=True)
+
+
+@register("anti_missing", """
+SELECT c_custkey, c_name FROM customer c
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey
+                  AND o.o_orderpriority = '1-URGENT')
+""")
+def q_anti_missing(spark, sf_dir):
+    urgent = t(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    return R.anti(t(spark, sf_dir, "customer"), urgent, "c_custkey", "o_custkey") \
+        .select("c_custkey", "c_name")
+
+
+@register("semi_list", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
+""")
+def q_semi_list(spark, sf_dir):
+    seg = t(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    o = C.keep_in(t(spark, sf_dir, "orders"), "o_custkey", seg.select("c_custkey"))
+    return o.select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@register("missing_keys", """
+SELECT c_custkey FROM customer
+EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'
+""")
+def q_missing_keys(spark, sf_dir):
+    expected = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"))
+    avail = (t(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "P")
+             .select(F.col("o_custkey").alias("key")))
+    return R.missing_keys(expected, avail, "key").withColumnRenamed("key", "c_custkey")
+
+
+@register("contains_join", """
+SELECT doc_id, source, k AS key
+FROM documents, (VALUES ('src1'), ('src2'), ('src3')) AS keys(k)
+WHERE contains(source, k)
+""")
+def q_contains_join(spark, sf_dir):
+    d = t(spark, sf_dir, "documents").select("doc_id", "source")
+    return R.contains_join(d, "source", ["src1", "src2", "src3"], "key")
+
+
+@register("coalesce_chain", """
+WITH la AS (SELECT d.lang, avg(CAST(l.quality AS DOUBLE)) AS q
+            FROM labels l JOIN documents d ON l.doc_id = d.doc_id GROUP BY d.lang),
+j AS (SELECT d.doc_id, NULLIF(CAST(l.quality AS DOUBLE), 0) AS a, NULLIF(la.q, 0) AS b
+      FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id LEFT JOIN la ON d.lang = la.lang)
+SELECT doc_id, COALESCE(a, b, 0.5) AS quality,
+       CASE WHEN a IS NOT NULL THEN 'labels' WHEN b IS NOT NULL THEN 'lang_mean' ELSE 'default' END
+         AS origin
+FROM j
+""")
+def q_coalesce_chain(spark, sf_dir):
+    docs = t(spark, sf_dir, "documents").select("doc_id", "lang")
+    lab = t(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("quality"))
+    lang_mean = lab.join(docs, "doc_id").groupBy("lang").agg(F.avg("quality").alias("quality"))
+    out = R.coalesce_chain(docs, "doc_id", [(lab, {"quality": "quality"}),
+                                            (lang_mean, {"quality": "quality"}, "lang")],
+                           default={"quality": 0.5}, origin_col="origin",
+                           origin_names=["labels", "lang_mean"])
+    return out.select("doc_id", "quality", "origin")
+
+
+@register("conditional_patch", """
+WITH a AS (SELECT s_nationkey,
+                  CAST(sum(CASE WHEN s_acctbal > 0 THEN CAST(round(s_acctbal * 100) AS BIGINT) END)
+                       AS DOUBLE) / count(CASE WHEN s_acctbal > 0 THEN 1 END) / 100 AS w_fill
+           FROM supplier GROUP BY s_nationkey),
+lk AS (SELECT s_nationkey, w_fill, w_fill / 10 AS c_fill FROM a),
+p AS (SELECT s.s_suppkey, s.s_acctbal AS w0, s.s_acctbal / 10 AS c0, lk.w_fill, lk.c_fill
+      FROM supplier s LEFT JOIN lk ON s.s_nationkey = lk.s_nationkey),
+p1 AS (SELECT *, CASE WHEN w0 <= 0 THEN COALESCE(w_fill, w0) ELSE w0 END AS w FROM p)
+SELECT s_suppkey, w, CASE WHEN w <= 0 THEN COALESCE(c_fill, c0) ELSE c0 END AS c
+FROM p1
+""")
+def q_conditional_patch(spark, sf_dir):
+    s = t(spark, sf_dir, "supplier").select(
+        "s_suppkey", "s_nationkey", F.col("s_acctbal").alias("w"), (F.col("s_acctbal") / 10).alias("c"))
+    pos = F.col("w") > 0
+    lk = s.groupBy("s_nationkey").agg(
+        (F.sum(F.when(pos, cents("w"))).cast("double") / F.count(F.when(pos, 1)) / 100).alias("w"))
+    lk = lk.withColumn("c", F.col("w") / 10)
+    out = R.patch(s, lk, "s_nationkey", ["w", "c"], sequential=True)
+    return out.select("s_suppkey", "w", "c")
+
+
+@register("reconcile_sets", """
+WITH f AS (SELECT DISTINCT doc_id FROM labels),
+s AS (SELECT DISTINCT doc_id FROM documents WHERE n_chars > 1000)
+SELECT d.doc_id, f.doc_id IS NOT NULL AS has_file, s.doc_id IS NOT NULL AS has_state,
+       CASE WHEN f.doc_id IS NOT NULL AND s.doc_id IS NOT NULL THEN 'matched'
+            WHEN f.doc_id IS NULL AND s.doc_id IS NULL THEN 'synced' ELSE 'unmatched' END AS status
+FROM documents d LEFT JOIN f ON d.doc_id = f.doc_id LEFT JOIN s ON d.doc_id = s.doc_id
+""")
+def q_reconcile(spark, sf_dir):
+    docs = t(spark, sf_dir, "documents")
+    return R.reconcile(docs.select("doc_id"), t(spark, sf_dir, "labels"),
+                       docs.filter(F.col("n_chars") > 1000), "doc_id")
+
+
+# ---------------------------------------------------------------------------
+# Aggregates
+# ---------------------------------------------------------------------------
+@register("list_agg", """
+SELECT r_name, string_agg(n_name, ', ' ORDER BY n_name) AS nations
+FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name
+""")
+def q_list_agg(spark, sf_dir):
+    j = t(spark, sf_dir, "nation").join(t(spark, sf_dir, "region"),
+                                        F.col("n_regionkey") == F.col("r_regionkey"))
+    return R.list_agg(j, "r_name", ["n_name"]).withColumnRenamed("n_name", "nations")
+
+
+@register("list_agg_distinct", """
+SELECT user_id, string_agg(DISTINCT event_type, ', ' ORDER BY event_type) AS event_types
+FROM events GROUP BY user_id
+""")
+def q_list_agg_distinct(spark, sf_dir):
+    return R.list_agg(t(spark, sf_dir, "events"), "user_id", ["event_type"], distinct=True) \
+        .withColumnRenamed("event_type", "event_types")
+
+
+@register("first_per_key", """
+SELECT user_id, event_id, event_type, value FROM (
+  SELECT user_id, event_id, event_type, value,
+         row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events)
+WHERE rn = 1
+""")
+def q_first_per_key(spark, sf_dir):
+    ev = t(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    return R.first_per_key(ev, "user_id", "event_id")
+
+
+@register("latest_state", """
+SELECT user_id, epoch_us(ts) AS ts_us, event_id, event_type FROM (
+  SELECT user_id, ts, event_id, event_type,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1
+""")
+def q_latest_state(spark, sf_dir):
+    ev = t(spark, sf_dir, "events").withColumn("ts_us", F.unix_micros(F.col("ts").cast("timestamp")))
+    return R.latest(ev, "user_id", "ts_us", ["event_id", "event_type"])
+
+
+@register("completeness_gate", """
+SELECT user_id, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day,
+       count(DISTINCT event_type) AS n_types
+FROM events GROUP BY user_id, CAST(ts AS DATE)
+HAVING count(DISTINCT event_type) = (SELECT count(DISTINCT event_type) FROM events)
+""")
+def q_completeness(spark, sf_dir):
+    from quartermaster.streaming.lifecycle import completeness_batch
+    ev = t(spark, sf_dir, "events").select(
+        "user_id", F.date_format(F.to_date("ts"), "yyyy-MM-dd").alias("day"), "event_type")
+    expected = ev.select("event_type").distinct()
+    return completeness_batch(ev, ["user_id", "day"], "event_type", expected, "n_types")
+
+
+@register("union_conform", """
+SELECT 'customer' AS ENTITY, c_custkey AS KEY, c_nationkey AS NATIONKEY, c_name AS NAME,
+       c_acctbal AS BALANCE, c_mktsegment AS SEGMENT FROM customer
+UNION ALL
+SELECT 'supplier', s_suppkey, s_nationkey, s_name, s_acctbal, '0' FROM supplier
+""")
+def q_union_conform(spark, sf_dir):
+    c = t(spark, sf_dir, "customer").select(
+        F.lit("customer").alias("ENTITY"), F.col("c_custkey").alias("KEY"),
+        F.col("c_nationkey").alias("NATIONKEY"), F.col("c_name").alias("NAME"),
+        F.col("c_acctbal").alias("BALANCE"), F.col("c_mktsegment").alias("SEGMENT"))
+    s = t(spark, sf_dir, "supplier").select(
+        F.lit("supplier").alias("ENTITY"), F.col("s_suppkey").alias("KEY"),
+        F.col("s_nationkey").alias("NATIONKEY"), F.col("s_name").alias("NAME"),
+        F.col("s_acctbal").alias("BALANCE"))
+    return R.union_conform([c, s], ["ENTITY", "KEY", "NATIONKEY", "NAME", "BALANCE", "SEGMENT"])
+
+
+@register("rollup_measures", """
+SELECT r_name, n_name, l_returnflag, sum(l_quantity) AS sum_qty,
+       CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS sum_price,
+       count(*) AS n_lines,
+       CAST(GROUPING(r_name, n_name, l_returnflag) AS BIGINT) AS grouping_level
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+JOIN region ON n_regionkey = r_regionkey
+GROUP BY ROLLUP (r_name, n_name, l_returnflag)
+""")
+def q_rollup(spark, sf_dir):
+    geo = (t(spark, sf_dir, "nation").join(t(spark, sf_dir, "region"),
+                                           F.col("n_regionkey") == F.col("r_regionkey"))
+           .select("n_nationkey", "n_name", "r_name"))
+    sup = t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    li = t(spark, sf_dir, "lineitem").select("l_suppkey", "l_returnflag", "l_quantity",
+                                              cents("l_extendedprice").alias("c"))
+    j = (li.join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
+         .join(geo, F.col("s_nationkey") == F.col("n_nationkey")))
+    out = R.rollup_measures(j, ["r_name", "n_name", "l_returnflag"],
+                            {"sum_qty": F.sum("l_quantity"), "sum_c": F.sum("c"),
+                             "n_lines": F.count(F.lit(1))})
+    return out.withColumn("sum_price", from_cents("sum_c")).drop("sum_c")
+
+
+@register("positive_min_fill", """
+SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN c_acctbal
+                       ELSE (SELECT min(c_acctbal) FROM customer WHERE c_acctbal > 0) END AS c_acctbal
+FROM customer
+""")
+def q_positive_min_fill(spark, sf_dir):
+    c = t(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    return R.fill_zero_with_min_positive(c, "c_acctbal")
+
+
+@register("zscore_log1p", """
+SELECT p_partkey,
+       round((p_retailprice - (SELECT avg(p_retailprice) FROM part))
+             / (SELECT stddev_samp(p_retailprice) FROM part), 4) AS z_price,
+       round(ln(1 + p_retailprice), 4) AS log_price
+FROM part
+""")
+def q_zscore(spark, sf_dir):
+    p = t(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    z = R.zscore(p, "p_retailprice", "z")
+    return z.select("p_partkey", F.round("z", 4).alias("z_price"),
+                    F.round(F.log1p("p_retailprice"), 4).alias("log_price"))
+
+
+@register("regression_error", """
+WITH j AS (SELECT d.lang, CAST(l.quality AS DOUBLE) AS y FROM labels l
+           JOIN documents d ON l.doc_id = d.doc_id),
+m AS (SELECT avg(CAST(quality AS DOUBLE)) AS mu FROM labels)
+SELECT lang, count(*) AS n, round(sqrt(avg((y - mu) * (y - mu))), 4) AS rmse,
+       round(avg(abs(y - mu)), 4) AS mae
+FROM j, m GROUP BY lang
+""")
+def q_regression_error(spark, sf_dir):
+    lab = t(spark, sf_dir, "labels")
+    mu = lab.select(F.avg(F.col("quality").cast("double"))).scalar()
+    j = lab.join(t(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id").select(
+        "lang", F.col("quality").cast("double").alias("y"), mu.alias("yhat"))
+    e = R.regression_error(j, "y", "yhat", by=["lang"])
+    return e.select("lang", "n", F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"))
+
+
+@register("row_count_gate", """
+SELECT (SELECT count(*) FROM orders) AS source_rows,
+       (SELECT count(DISTINCT l_orderkey) FROM lineitem) AS target_rows,
+       (SELECT count(*) FROM orders) <> (SELECT count(DISTINCT l_orderkey) FROM lineitem) AS changed
+""")
+def q_row_count_gate(spark, sf_dir):
+    return R.same_row_count(t(spark, sf_dir, "orders"),
+                            t(spark, sf_dir, "lineitem").select("l_orderkey").distinct())
+
+
+# ---------------------------------------------------------------------------
+# Set operations and splits
+# ---------------------------------------------------------------------------
+@register("set_difference", "SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem")
+def q_set_difference(spark, sf_dir):
+    return R.set_difference(t(spark, sf_dir, "part").select("p_partkey"),
+                            t(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey")))
+
+
+@register("distinct_union", """
+SELECT s_nationkey AS nationkey FROM supplier UNION SELECT c_nationkey FROM customer
+""")
+def q_distinct_union(spark, sf_dir):
+    return R.union_distinct(
+        t(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nationkey")),
+        t(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nationkey")))
+
+
+@register("hash_split")
+def q_hash_split(spark, sf_dir):
+    return R.split_keys(t(spark, sf_dir, "part").select("p_partkey"), "p_partkey",
+                        {"train": 0.85, "test": 0.15})
+
+
+# ---------------------------------------------------------------------------
+# Scalar functions, contracts, paths
+# ---------------------------------------------------------------------------
+@register("json_extract", f"SELECT event_id, {_K_SQL} AS k FROM events")
+def q_json_extract(spark, sf_dir):
+    return t(spark, sf_dir, "events").select(
+        "event_id", F.from_json("props", "k bigint").getField("k").alias("k"))
+
+
+@register("numeric_hash", """
+SELECT doc_id, right(regexp_replace(sha256(CAST(doc_id AS VARCHAR)), '[^0-9]', '', 'g'), 12) AS hash_id
+FROM documents
+""")
+def q_numeric_hash(spark, sf_dir):
+    return t(spark, sf_dir, "documents").select("doc_id", numeric_hash("doc_id").alias("hash_id"))
+
+
+EVENTS_CONTRACT = {"name": "events_text",
+                   "columns": [{"name": "event_id", "type": "INTEGER"},
+                               {"name": "user_id", "type": "INTEGER"},
+                               {"name": "value", "type": "DECIMAL"},
+                               {"name": "event_type", "type": "STRING"}],
+                   "projection": ["event_id", "user_id", "value", "event_type"]}
+
+
+@register("cast_contract", """
+WITH r AS (SELECT CAST(event_id AS VARCHAR) AS e, CAST(user_id AS VARCHAR) AS u,
+                  CASE WHEN event_type = 'error' THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS v,
+                  event_type FROM events)
+SELECT TRY_CAST(TRY_CAST(trim(e) AS DOUBLE) AS BIGINT) AS event_id,
+       TRY_CAST(TRY_CAST(trim(u) AS DOUBLE) AS BIGINT) AS user_id,
+       TRY_CAST(trim(v) AS DOUBLE) AS value, event_type,
+       CAST((CASE WHEN trim(e) IS NOT NULL AND trim(e) <> ''
+                   AND TRY_CAST(TRY_CAST(trim(e) AS DOUBLE) AS BIGINT) IS NULL THEN 1 ELSE 0 END)
+          + (CASE WHEN trim(u) IS NOT NULL AND trim(u) <> ''
+                   AND TRY_CAST(TRY_CAST(trim(u) AS DOUBLE) AS BIGINT) IS NULL THEN 1 ELSE 0 END)
+          + (CASE WHEN trim(v) IS NOT NULL AND trim(v) <> '' AND TRY_CAST(trim(v) AS DOUBLE) IS NULL
+                  THEN 1 ELSE 0 END) AS INTEGER) AS _bad_cells
+FROM r
+""")
+def q_cast_contract(spark, sf_dir):
+    ev = t(spark, sf_dir, "events")
+    raw = ev.select(F.col("event_id").cast("string").alias("event_id"),
+                    F.col("user_id").cast("string").alias("user_id"),
+                    F.when(F.col("event_type") == "error", F.lit("n/a"))
+                    .otherwise(F.col("value").cast("string")).alias("value"), "event_type")
+    return K.cast_row(raw, EVENTS_CONTRACT)
+
+
+_URL = r"^https?://([^/]+)/([^/]+)/([0-9]+)"
+
+
+@register("run_path_parse", f"""
+SELECT page_id, NULLIF(regexp_extract(url, '{_URL}', 1), '') AS host,
+       NULLIF(regexp_extract(url, '{_URL}', 2), '') AS section,
+       TRY_CAST(NULLIF(regexp_extract(url, '{_URL}', 3), '') AS BIGINT) AS item_id
+FROM pages
+""")
+def q_run_path_parse(spark, sf_dir):
+    p = t(spark, sf_dir, "pages").select("page_id", "url")
+    return p.select("page_id", extract_or_null("url", _URL, 1).alias("host"),
+                    extract_or_null("url", _URL, 2).alias("section"),
+                    extract_or_null("url", _URL, 3).try_cast("bigint").alias("item_id"))
+
+
+@register("file_ids", """
+WITH n AS (SELECT page_id, string_split(url, '/')[-1] AS file_name FROM pages),
+s AS (SELECT *, regexp_replace(regexp_replace(file_name, '\\.[^.]*$', ''), '^manifest_', '') AS file_stem
+      FROM n)
+SELECT page_id, file_name, file_stem, replace(file_stem, '_', '-') AS file_id,
+       replace(file_stem, '_', '-') || '-dataset-' || CAST(page_id AS VARCHAR) AS dataset_id
+FROM s
+""")
+def q_file_ids(spark, sf_dir):
+    p = t(spark, sf_dir, "pages").select("page_id", F.col("url").alias("path"))
+    return IO.with_file_ids(p, "path", "page_id").drop("path")
