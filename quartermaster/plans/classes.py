@@ -478,6 +478,57 @@ def class_ix(req: DataFrame, dims: DataFrame, mode: str = "reference",
     return _upper_all(C.project(long, IX_COLUMNS))
 
 
+# ---------------------------------------------------------------------------
+# X23 class IX, notebook form (two-key left join, multi-measure unpivot)
+# ---------------------------------------------------------------------------
+IX_LONG_COLUMNS = ["Class_of_Supply", "Region", "Location_Name", "MEF", "UI", "Unit_Price",
+                   "TAMCN_of_End_Item", "Colloquial Name", "NIIN", "Nomenclature", "FIE_CUFT",
+                   "FIE_Weight_lbs", "POS", "POS_CUFT", "POS_SQFT", "POS_Weight_lbs"]
+
+
+def class_ix_long(req: DataFrame, dims: DataFrame, dims_row_id: str | None = None) -> DataFrame:
+    """Notebook variant of class IX: flags compared as exact text 'TRUE'
+    (-> 'IX B' / 'IX S' / 'IX C'), left join on (NIIN, Nomenclature) to a
+    dimension table deduplicated on that pair, then one row per period with
+    the three bases side by side (TAMCN_NIIN_QTY, Required, Value).
+
+    The notebook multiplies by names that the unpivot never creates
+    (``Required_POS``, ``cuft``, ``sqft``); here the period requirement is the
+    unpivoted ``Required`` column, volume is the catalog cube and floor area
+    comes from the part's length and width (0 for sentinel sides).
+    """
+    req = C.rename(req, {"COLLOQUIAL_NAME": "Colloquial Name", "Location Name": "Location_Name",
+                         "UNIT_OF_ISSUE": "UI", "STANDARD UNIT PRICE": "Unit_Price",
+                         "Nomenclature of Part Required": "Nomenclature",
+                         "NIIN of Part Required": "NIIN"})
+    if dims_row_id is None:
+        dims = dims.withColumn("__drow", F.monotonically_increasing_id())
+        dims_row_id = "__drow"
+    d = C.rename(dims, {"UNIT_PRICE": "Unit_Price", "NOMENCLATURE": "Nomenclature"})
+    d = R.first_per_key(d, ["NIIN", "Nomenclature"], dims_row_id).drop(dims_row_id)
+    d = d.select("NIIN", "Nomenclature", "DSS_WEIGHT", "DSS_CUBE")
+    j = req.join(d, ["NIIN", "Nomenclature"], "left")
+    cls = (F.when(q("Battery Flag") == "TRUE", F.lit("IX B"))
+           .when(q("SECREP Flag") == "TRUE", F.lit("IX S")).otherwise(F.lit("IX C")))
+    j = j.withColumn("Class_of_Supply", cls)
+    ids = [c for c in j.columns if not _ix_period_col(c)]
+    long = S.melt_multi(j, ids, r"(.*)_(POS[0-9]+|BEYOND)", period_col="POS",
+                        periods=PERIODS)
+    L, W = q("DIM LENGTH INCHES"), q("DIM WIDTH INCHES")
+    long = long.withColumns({
+        "FIE_Weight_lbs": q("DSS_WEIGHT") * q("Required_FIE"),
+        "FIE_CUFT": q("DSS_CUBE") * q("Required_FIE"),
+        "POS_Weight_lbs": q("DSS_WEIGHT") * q("Required"),
+        "POS_CUFT": q("DSS_CUBE") * q("Required"),
+        "POS_SQFT": square_feet(L, W, FIXED["sentinels"]) * q("Required")})
+    return C.project(long, IX_LONG_COLUMNS)
+
+
+def _ix_period_col(c: str) -> bool:
+    import re
+    return re.search(r"_(POS[0-9]+|BEYOND)$", c) is not None
+
+
 # ---------------------------------------------------------------------------
 # X18 / X19 / X25 union of class outputs, roll-up, run comparison
 # ---------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 import pytest
 
-from quartermaster.plans.table_queries import ORACLE_SQL, QUERIES
+from quartermaster.plans.registry import ORACLE_SQL, QUERIES
 from tests.oracle_compare import compare, duck
 
 
