@@ -149,12 +149,11 @@ def patch(df: DataFrame, lookup: DataFrame, key, cols: Sequence[str],
     keys = _keys(key)
     test = when_col or cols[0]
     lk = lookup.select(*[q(k) for k in keys], *[q(c).alias(f"__p_{c}") for c in cols])
-    out = df.join(lk, keys, "left")
-    orig_test = q(test)
+    out = df.join(lk, keys, "left").withColumn("__p_test", q(test))
     for c in cols:
-        t = q(test) if sequential else orig_test
+        t = q(test) if sequential else F.col("__p_test")
         out = out.withColumn(c, F.when(t <= 0, F.coalesce(F.col(f"__p_{c}"), q(c))).otherwise(q(c)))
-    return out.drop(*[f"__p_{c}" for c in cols])
+    return out.drop(*[f"__p_{c}" for c in cols], "__p_test")
 
 
 # J11
