@@ -1,15 +1,111 @@
-"""Dataset lifecycle: change events -> status state, completeness and refresh gates."""
+"""Dataset lifecycle: change events -> status state, completeness and refresh gates.
+
+Structured Streaming pieces (T2-T9) and the wiring of X24. State lives in
+tables under one base folder (on a cluster: under ``spark.checkpoint.dir``,
+a shared file system), so a lost executor or a restarted driver resumes
+from the streaming checkpoint and the written tables; replaying a batch
+does not change the state (status rows are de-duplicated on read, the
+completeness gate keeps an emitted flag per run).
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quartermaster.operators.columns import q
 
+SYNCED_SIGNAL = "DATASETS_SYNCED!"
+
+# Fixed values (must equal the source system's): file name -> job, checked
+# in this order; a name matching none of them falls through to the glob.
+ROUTES = [
+    ("RD_I_POS_Pallet_Requirement.csv", "class_i"),
+    ("RD_IW_PaxLocationAll_joined.csv", "class_i_water"),
+    ("RD_II_VII_DailyTE_WithDimensions.csv", "class_ii_vii"),
+    ("RD_IV_Daily_Requirements.csv", "class_iv"),
+    ("RD_VI_POS_Pallet_Requirement.csv", "class_vi"),
+    ("RD_IIIP_POL_Pkg_NSN_Requirements_PBI.csv", "class_iiip"),
+    ("RD_IX_Requirement.csv", "class_ix"),
+    ("AssessmentTable.csv", "period_table"),
+    ("POS.csv", "force_flow"),
+]
+GLOB_ROUTE = ("cos*.csv", "aggregated_embark")
+NO_ROUTE = "no_match"
+
+STATUSES = ["File_Received", "Datasource_Created", "Dataset_Created", "Embark_Agg_Processed",
+            "Embark_Agg_Ingested", "Datasets_Synced", "Ingest_Complete"]
+
+
+def state_base(spark: SparkSession, name: str) -> str:
+    """A fresh folder for one lifecycle run under the session's shared
+    checkpoint folder (set by the cluster; tests set a local one)."""
+    from quartermaster.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark)
+    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+# ---------------------------------------------------------------------------
+# T2 routing
+# ---------------------------------------------------------------------------
+def route(batch: DataFrame, name_col: str = "file_name", routes: Sequence[tuple[str, str]] = ROUTES,
+          glob: tuple[str, str] = GLOB_ROUTE) -> DataFrame:
+    """Job for each arriving file: exact name first, then the glob, else
+    'no_match' (kept as a row to quarantine, never dropped)."""
+    n = q(name_col)
+    e = None
+    for name, job in routes:
+        e = F.when(n == name, F.lit(job)) if e is None else e.when(n == name, F.lit(job))
+    pattern = "^" + glob[0].replace(".", r"\.").replace("*", ".*") + "$"
+    e = e.when(n.rlike(pattern), F.lit(glob[1])).otherwise(F.lit(NO_ROUTE))
+    return batch.withColumn("job", e)
+
+
+# ---------------------------------------------------------------------------
+# T4 lifecycle filter
+# ---------------------------------------------------------------------------
+def on_status(events: DataFrame, statuses: Sequence[str] | None = None,
+              kinds: Sequence[str] = ("INSERT", "MODIFY"), key_prefix: str | None = None) -> DataFrame:
+    """Events of the given kinds, optionally with one of ``statuses`` and a
+    dataset id starting with ``key_prefix`` (the stream trigger's filter)."""
+    cond = F.col("event_name").isin(list(kinds))
+    if statuses:
+        cond = cond & F.col("status").isin(list(statuses))
+    if key_prefix:
+        cond = cond & F.col("dataset_id").startswith(key_prefix)
+    return events.filter(cond)
+
+
+# ---------------------------------------------------------------------------
+# T3 / W5 status state
+# ---------------------------------------------------------------------------
+def append_status(batch: DataFrame, path: str) -> None:
+    """Append the batch's status changes to the status log (one row per
+    (run, dataset, status, time)); the state is derived on read."""
+    (batch.select("assessment_id", "dataset_id", "status", "status_timestamp", "sequence")
+     .write.mode("append").partitionBy("status").parquet(path))
 
+
+def status_table(log: DataFrame, statuses: Sequence[str] = STATUSES) -> DataFrame:
+    """Keyed state from the status log: per (run, dataset) the latest status
+    and its time (max over a struct: partial aggregation, ties broken by the
+    sequence number) and one timestamp column per status. Duplicates from a
+    replayed batch collapse."""
+    latest = F.max(F.struct("status_timestamp", "sequence", "status"))
+    per = [F.max(F.when(F.col("status") == s, F.col("status_timestamp"))).alias(s) for s in statuses]
+    g = log.groupBy("assessment_id", "dataset_id").agg(latest.alias("__l"), *per)
+    return g.select("assessment_id", "dataset_id", F.col("__l.status").alias("Status"),
+                    F.col("__l.status_timestamp").alias("Status_Timestamp"), *statuses)
+
+
+# ---------------------------------------------------------------------------
+# T5 completeness gate
+# ---------------------------------------------------------------------------
 def completeness_batch(df: DataFrame, keys: Sequence[str], item_col: str, expected: DataFrame,
                        out_col: str = "n_items") -> DataFrame:
     """Groups that hold every expected item (batch form of the sync gate).
@@ -23,3 +119,139 @@ def completeness_batch(df: DataFrame, keys: Sequence[str], item_col: str, expect
     kept = df.join(exp, item_col, "left_semi")
     g = kept.groupBy(*[q(k) for k in keys]).agg(F.count_distinct(q(item_col)).alias(out_col))
     return g.filter(F.col(out_col) == n_expected)
+
+
+def completeness_gate(events: DataFrame, expected: Sequence[str], key: str = "assessment_id",
+                      item: str = "item") -> DataFrame:
+    """Streaming gate: emit one row (run, 'DATASETS_SYNCED!', n) the first
+    time a run has seen every expected item; never again for that run.
+
+    State per run is the set of expected items seen so far plus the
+    emitted flag, so it is bounded by the expected list (not by the number
+    of events). Events outside the list are dropped before the state step.
+    """
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    want = list(dict.fromkeys(expected))
+    want_set = set(want)
+    out_schema = T.StructType([T.StructField(key, T.StringType()),
+                               T.StructField("signal", T.StringType()),
+                               T.StructField("n_items", T.IntegerType())])
+    state_schema = T.StructType([T.StructField("seen", T.ArrayType(T.StringType())),
+                                 T.StructField("emitted", T.BooleanType())])
+
+    def gate(k, pdfs, state):
+        import pandas as pd
+        if state.exists:
+            seen, emitted = set(state.get[0] or []), bool(state.get[1])
+        else:
+            seen, emitted = set(), False
+        for pdf in pdfs:
+            seen.update(v for v in pdf[item].tolist() if v in want_set)
+        if not emitted and want_set <= seen:
+            emitted = True
+            yield pd.DataFrame({key: [str(k[0])], "signal": [SYNCED_SIGNAL], "n_items": [len(seen)]})
+        state.update((sorted(seen), emitted))
+
+    src = events.filter(F.col(item).isin(want)).select(F.col(key).cast("string").alias(key), item)
+    return src.groupBy(key).applyInPandasWithState(gate, out_schema, state_schema, "append",
+                                                   GroupStateTimeout.NoTimeout)
+
+
+# ---------------------------------------------------------------------------
+# T6 / T8 refresh gate and audit
+# ---------------------------------------------------------------------------
+def refresh_if_changed(source: DataFrame, target_path: str, audit_path: str, refresh_id: str,
+                       fmt: str = "parquet") -> bool:
+    """Rewrite the target from the source only when their row counts differ,
+    and append an audit row (id, status, rows). Returns whether it refreshed.
+
+    The two counts are aggregates (a driver receives two numbers); the copy
+    itself is a distributed write to a new version folder, so readers never
+    see a half-written target.
+    """
+    spark = source.sparkSession
+    n_src = source.count()
+    n_dst = _count_or_none(spark, target_path, fmt)
+    changed = n_dst is None or n_src != n_dst
+    if changed:
+        source.write.mode("overwrite").format(fmt).save(target_path)
+    audit = spark.createDataFrame(
+        [(refresh_id, "REFRESHED" if changed else "UNCHANGED", n_src, n_dst)],
+        "refresh_id string, status string, source_rows long, target_rows long")
+    append_audit(audit, audit_path)
+    return changed
+
+
+def _count_or_none(spark, path, fmt):
+    from quartermaster.sources.io import path_exists
+    if not path_exists(spark, path):
+        return None
+    return spark.read.format(fmt).load(path).count()
+
+
+def append_audit(rows: DataFrame, path: str) -> None:
+    rows.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(path)
+
+
+# ---------------------------------------------------------------------------
+# T7 content de-duplication, T9 skip processed
+# ---------------------------------------------------------------------------
+def dedupe_content(events: DataFrame, content_cols: Sequence[str], time_col: str,
+                   delay: str = "10 minutes") -> DataFrame:
+    """Drop messages whose content was already seen (a content hash), with
+    state bounded by the watermark delay."""
+    h = F.sha2(F.to_json(F.struct(*[q(c) for c in content_cols])), 256)
+    return (events.withColumn("content_hash", h).withWatermark(time_col, delay)
+            .dropDuplicatesWithinWatermark(["content_hash"]))
+
+
+def skip_processed(events: DataFrame, state: DataFrame, keys: Sequence[str] = ("assessment_id", "dataset_id"),
+                   stamp: str = "Dataset_Created") -> DataFrame:
+    """Events whose (run, dataset) already carries a processed stamp are
+    skipped: a stream-static left anti join against the state table."""
+    done = state.filter(q(stamp).isNotNull()).select(*[q(k) for k in keys]).distinct()
+    return events.join(done, list(keys), "left_anti")
+
+
+# ---------------------------------------------------------------------------
+# X24 dataset lifecycle (streaming)
+# ---------------------------------------------------------------------------
+def run_lifecycle(spark: SparkSession, events_dir: str, base: str,
+                  expected: Sequence[str], item_expr=None,
+                  statuses: Sequence[str] = ("Dataset_Created",),
+                  max_files_per_trigger: int = 1, timeout_s: int = 600) -> Mapping[str, str]:
+    """Replay the change events in ``events_dir`` through the lifecycle:
+
+    1. events of kind INSERT / MODIFY (T4) are appended to the status log
+       (T3) by ``foreachBatch``;
+    2. events with one of ``statuses`` feed the completeness gate (T5),
+       whose signals are appended to the gate table.
+
+    Both queries use ``availableNow`` (process what is there, then stop)
+    and their own checkpoint under ``base``, so a rerun resumes instead of
+    double-counting. Returns the table paths.
+    """
+    from quartermaster.streaming.sources import read_events
+
+    paths = {"status_log": os.path.join(base, "status_log"), "gate": os.path.join(base, "gate"),
+             "chk_status": os.path.join(base, "_chk_status"), "chk_gate": os.path.join(base, "_chk_gate")}
+    ev = on_status(read_events(spark, events_dir, max_files_per_trigger))
+
+    def write_status(batch: DataFrame, batch_id: int) -> None:
+        append_status(batch, paths["status_log"])
+
+    q1 = (ev.writeStream.foreachBatch(write_status).option("checkpointLocation", paths["chk_status"])
+          .trigger(availableNow=True).start())
+    created = on_status(read_events(spark, events_dir, max_files_per_trigger), statuses=statuses)
+    item_expr = item_expr if item_expr is not None else F.regexp_extract("dataset_id", r"^(.*)-dataset-", 1)
+    gate = completeness_gate(created.withColumn("item", item_expr), expected)
+    q2 = (gate.writeStream.format("parquet").option("path", paths["gate"])
+          .option("checkpointLocation", paths["chk_gate"]).outputMode("append")
+          .trigger(availableNow=True).start())
+    for s in (q1, q2):
+        s.awaitTermination(timeout_s)
+        if s.exception() is not None:
+            raise RuntimeError(f"lifecycle stream failed: {s.exception()}")
+        s.stop()
+    return paths
