@@ -246,6 +246,83 @@ def _class_i_restack(df: DataFrame) -> DataFrame:
     return df.select(*[q(k) for k in CLASS_I_KEYS], F.inline(F.array(*structs)))
 
 
+# ---------------------------------------------------------------------------
+# X5b class I, notebook form (beyond-period volume/weight, TEU and short tons)
+# ---------------------------------------------------------------------------
+# Fixed values (must equal the source notebook's): beyond-period cubic feet
+# per pallet, pounds per pallet and packing factor per ration type.
+BEYOND_CUFT = {"MEALS_READY_TO_EAT_MRE": 56.10, "UGR": 47.80}
+BEYOND_WEIGHT = {"MEALS_READY_TO_EAT_MRE": (1098.00, 1.02), "UGR_H_S_BREAKFAST": (933.14, 1.13),
+                 "UGR_H_S_LUNCH_DINNER": (1060.43, 1.13), "UGR_M_BREAKFAST": (800.00, 1.13),
+                 "UGR_M_LUNCH_DINNER": (800.00, 1.13)}
+EXT_INDEX = ["Class_of_Supply", "Region", "Location_Name", "Region_MEF_Lead", "POS", "COS_Type", "Type"]
+EXT_METRICS = ["Qty", "Tot_CuFT", "Tot_TEUs", "Tot_Wt(lbs)", "Units"]
+# the notebook names the pivoted columns by position over the sorted metric
+# names, so each lands under the next metric's label (reference mode)
+EXT_NAMES_REFERENCE = {"Qty": "CUFT", "Tot_CuFT": "TEUS", "Tot_TEUs": "Pallets",
+                       "Tot_Wt(lbs)": "Weight_lbs", "Units": "Qty"}
+EXT_NAMES_CORRECTED = {"Qty": "Pallets", "Tot_CuFT": "CUFT", "Tot_TEUs": "TEUS",
+                       "Tot_Wt(lbs)": "Weight_lbs", "Units": "Qty"}
+EXT_COLUMNS = ["Class_of_Supply", "Region", "Location_Name", "Region_MEF_Lead", "COS_Type", "POS",
+               "UI", "Qty", "Pallets", "CUFT", "SQFT", "TEUS", "Weight_lbs", "STONS", "Cost"]
+
+
+def class_i_extended(df: DataFrame, row_id: str, mode: str = "reference") -> DataFrame:
+    """Notebook form of class I: beyond-period pallets, cubic feet, weight
+    and TEU per ration type; long by period; first non-null value per
+    (class, region, location, lead, period, ration type, pack type) in
+    ``row_id`` order; cost by ration type; TEU re-derived as weight / 1024
+    and short tons as weight / 2000 + TEU * 5000 / 2000; rows with short
+    tons > 0. The run id and location id are not part of the index, so
+    rows of several runs fold into one (first value wins), as in the source.
+    """
+    ren = {}
+    for c in df.columns:
+        n = c.replace("DOS", "POS").replace("Ration_Type", "COS_Type")
+        ren[c] = "BEYOND_Units" if n == "BEYOND" else n
+    df = df.select([q(c).alias(ren[c]) for c in df.columns])
+    df = C.drop_matching(C.drop_if_present(df, ["CAP_Name", "CAP_Names"]), "FEUs")
+    t = q("COS_Type")
+    ugr = t.isin(FIXED["ugr_types"])
+    mre = t == "MEALS_READY_TO_EAT_MRE"
+    pallets = (F.when(mre, q("BEYOND_Units") / FIXED["mre_units_per_pallet"])
+               .when(ugr, q("BEYOND_Units") / FIXED["ugr_units_per_pallet"]))
+    df = df.withColumns({"Type": F.when(mre, F.lit("Box")).otherwise(F.lit("Module")),
+                         "BEYOND_Units_Pallet_Qty": pallets})
+    p = q("BEYOND_Units_Pallet_Qty")
+    wt = None
+    for k, (lbs, factor) in BEYOND_WEIGHT.items():
+        e = p * lbs * factor
+        wt = F.when(t == k, e) if wt is None else wt.when(t == k, e)
+    df = df.withColumns({
+        "BEYOND_Units_Pallet_Tot_CuFT": F.when(mre, p * BEYOND_CUFT["MEALS_READY_TO_EAT_MRE"])
+        .when(ugr, p * BEYOND_CUFT["UGR"]),
+        "BEYOND_Units_Pallet_Tot_Wt(lbs)": wt,
+        "BEYOND_Units_Pallet_Tot_TEUs": F.when(mre | ugr, p / 16)})
+    values = [c for c in df.columns if _is_ext_value(c)]
+    long = S.melt(df.select(*[q(c) for c in EXT_INDEX if c != "POS"], q(row_id),
+                            *[q(c).cast("double").alias(c) for c in values]),
+                  [c for c in EXT_INDEX if c != "POS"] + [row_id], values, "Metric", "Value")
+    long = long.withColumns({
+        "POS": extract_or_null(q("Metric"), r"(POS\d|BEYOND)", 1),
+        "Metric_Type": F.regexp_replace(q("Metric"), r"^(POS\d_|BEYOND_)(Units_Pallet_|Units_|)", "")})
+    wide = S.pivot_first(long, EXT_INDEX, "Metric_Type", EXT_METRICS, "Value", row_id)
+    names = EXT_NAMES_REFERENCE if mode == "reference" else EXT_NAMES_CORRECTED
+    wide = wide.select(*[q(c).alias("UI" if c == "Type" else c) for c in EXT_INDEX],
+                       *[q(m).alias(names[m]) for m in EXT_METRICS])
+    wide = wide.withColumns({"Cost": q("Qty") * lookup("COS_Type", FIXED["ration_cost"], 0.0),
+                             "SQFT": F.lit(0.0)})
+    wide = C.fill_zero(wide)
+    wide = wide.withColumn("TEUS", q("Weight_lbs") / 1024)
+    wide = wide.withColumn("STONS", q("Weight_lbs") / 2000 + (q("TEUS") * 5000) / 2000)
+    return C.project(C.keep_positive(C.fill_zero(wide), "STONS"), EXT_COLUMNS)
+
+
+def _is_ext_value(c: str) -> bool:
+    import re
+    return re.match(r"^(POS[1-3]|BEYOND)_Units(_Pallet_(Qty|Tot_CuFT|Tot_Wt\(lbs\)|Tot_TEUs))?$", c) is not None
+
+
 # ---------------------------------------------------------------------------
 # X6 class I water
 # ---------------------------------------------------------------------------

@@ -578,3 +578,52 @@ def q_compare_runs(spark, sf_dir):
     w = X.compare_runs(c, "ASSESSMENTNUMBER", RUN_YEARS, RUN_YEARS[0], measure="tc")
     money = [str(y) for y in RUN_YEARS] + [f"diff_{y}" for y in RUN_YEARS[1:]]
     return w.withColumns({m: from_cents(m) for m in money})
+
+
+# ---------------------------------------------------------------------------
+# X5b class I, notebook form, over the ration table (first value by run year)
+# ---------------------------------------------------------------------------
+def _ext_sql() -> str:
+    from quartermaster.plans.table_queries import CUFT_PER_PALLET, LBS_PER_UNIT, UNITS_PER_PALLET, _sql_case
+    j_w = RATION_SQL.split("p AS (")[0].rstrip().rstrip(",")
+    ugr = ", ".join(f"'{u}'" for u in X.FIXED["ugr_types"])
+    mre = "'MEALS_READY_TO_EAT_MRE'"
+    wt4 = " ".join(f"WHEN COS_Type = '{k}' THEN p4 * {_d(lbs)} * {_d(f)}"
+                   for k, (lbs, f) in X.BEYOND_WEIGHT.items())
+    per = []
+    for k in (1, 2, 3):
+        per.append(f"SELECT *, 'POS{k}' AS POS, u{k} AS Units, p{k} AS m_qty, p{k} * {_d(CUFT_PER_PALLET)} AS m_cuft, "
+                   f"p{k} / 16 AS m_teus, u{k} * {_d(LBS_PER_UNIT)} AS m_wt FROM x")
+    per.append(f"SELECT *, 'BEYOND' AS POS, u4 AS Units, p4 AS m_qty, "
+               f"CASE WHEN COS_Type = {mre} THEN p4 * {_d(X.BEYOND_CUFT['MEALS_READY_TO_EAT_MRE'])} "
+               f"WHEN COS_Type IN ({ugr}) THEN p4 * {_d(X.BEYOND_CUFT['UGR'])} END AS m_cuft, "
+               f"CASE WHEN COS_Type = {mre} OR COS_Type IN ({ugr}) THEN p4 / 16 END AS m_teus, "
+               f"CASE {wt4} END AS m_wt FROM x")
+    idx = "Class_of_Supply, Region, Location_Name, Region_MEF_Lead, POS, COS_Type, Type"
+    firsts = ", ".join(f"arg_min({m}, AssessmentNumber) FILTER (WHERE {m} IS NOT NULL) AS f_{m}"
+                       for m in ["Units", "m_qty", "m_cuft", "m_teus", "m_wt"])
+    return j_w + f""",
+x AS (SELECT AssessmentNumber, Class_of_Supply, Ration_Type AS COS_Type, Region, Region_MEF_Lead, Location_Name,
+             CASE WHEN Ration_Type = {mre} THEN 'Box' ELSE 'Module' END AS Type, u1, u2, u3, u4,
+             CAST(CAST(ceil(u1 / {UNITS_PER_PALLET}) AS BIGINT) AS DOUBLE) AS p1,
+             CAST(CAST(ceil(u2 / {UNITS_PER_PALLET}) AS BIGINT) AS DOUBLE) AS p2,
+             CAST(CAST(ceil(u3 / {UNITS_PER_PALLET}) AS BIGINT) AS DOUBLE) AS p3,
+             CASE WHEN Ration_Type = {mre} THEN u4 / 48 WHEN Ration_Type IN ({ugr}) THEN u4 / 8 END AS p4
+      FROM w),
+l AS ({" UNION ALL ".join(per)}),
+pv AS (SELECT {idx}, {firsts} FROM l GROUP BY {idx}
+       HAVING count(Units) + count(m_qty) + count(m_cuft) + count(m_teus) + count(m_wt) > 0),
+f AS (SELECT Class_of_Supply, Region, Location_Name, Region_MEF_Lead, COS_Type, POS, Type AS UI,
+             coalesce(f_Units, 0) AS Qty, coalesce(f_m_teus, 0) AS Pallets, coalesce(f_m_qty, 0) AS CUFT,
+             CAST(0.0 AS DOUBLE) AS SQFT, coalesce(f_m_wt, 0) AS Weight_lbs,
+             coalesce(f_Units * {_sql_case('COS_Type', X.FIXED['ration_cost'], 'CAST(0.0 AS DOUBLE)')}, 0) AS Cost
+      FROM pv)
+SELECT Class_of_Supply, Region, Location_Name, Region_MEF_Lead, COS_Type, POS, UI, Qty, Pallets, CUFT, SQFT,
+       Weight_lbs / 1024 AS TEUS, Weight_lbs, Weight_lbs / 2000 + ((Weight_lbs / 1024) * 5000) / 2000 AS STONS, Cost
+FROM f WHERE Weight_lbs / 2000 + ((Weight_lbs / 1024) * 5000) / 2000 > 0
+"""
+
+
+@register("class_i_extended", _ext_sql())
+def q_class_i_extended(spark, sf_dir):
+    return X.class_i_extended(ration_requirements(spark, sf_dir), row_id="AssessmentNumber")
