@@ -48,7 +48,9 @@ def register(name: str, sql: str | None = None):
 
 
 def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A shared test table, spread over the cluster's cores when its file
+    layout would scan as a single task (see ``read_parquet_spread``)."""
+    return IO.read_parquet_spread(spark, f"{sf_dir}/{name}.parquet")
 
 
 def r4(df: DataFrame, cols) -> DataFrame:

@@ -46,6 +46,34 @@ def read_table(spark: SparkSession, path, schema: T.StructType | str | None = No
     return clean_nan(df)
 
 
+def read_parquet_spread(spark: SparkSession, path: str, min_bytes: int = 1 << 20) -> DataFrame:
+    """Parquet scan that never leaves the cluster idle.
+
+    A table stored as one file with one row group scans as a single task,
+    and every operator before the first shuffle (joins to broadcast
+    dimensions, unpivots that multiply rows) would run on one core. When the
+    scan has fewer partitions than the default parallelism and the table is
+    not tiny, it is round-robin repartitioned to that parallelism (filters
+    and column pruning still reach the scan). A large, many-file table
+    already scans as thousands of splits, so there this is a no-op and adds
+    no shuffle.
+    """
+    df = spark.read.parquet(path)
+    want = spark.sparkContext.defaultParallelism
+    if _path_bytes(spark, path) < min_bytes:
+        return df
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+def _path_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
 # S5
 def csv_to_parquet(spark: SparkSession, src, dst: str, schema: T.StructType | str,
                    null_value: str = ".", mode: str = "overwrite",
