@@ -160,7 +160,7 @@ def q_missing_dimensions(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# X15 imputation (gradient-boosted trees; no SQL form) and its mean baseline
+# X15 imputation (tree ensemble; no SQL form) and its mean baseline
 # ---------------------------------------------------------------------------
 def _imputation_sets(spark, sf_dir):
     parts, cat = line_parts(spark, sf_dir), part_catalog(spark, sf_dir)
@@ -174,7 +174,7 @@ def _imputation_sets(spark, sf_dir):
 @register("impute_measure")
 def q_impute_measure(spark, sf_dir):
     _, _, train, missing = _imputation_sets(spark, sf_dir)
-    out = D.impute_dimensions(train, missing, model="gbt", mode="corrected")
+    out = D.impute_dimensions(train, missing, model="forest", mode="corrected")
     return out.select("NIIN", "FSC", "Nomenclature", "dss_weight", "dss_cube", "Imputed")
 
 

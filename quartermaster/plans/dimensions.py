@@ -93,60 +93,84 @@ def missing_dimensions(parts: DataFrame, catalog: DataFrame, part_key: str = "NI
 # ---------------------------------------------------------------------------
 def impute_dimensions(train: DataFrame, missing: DataFrame, targets: Sequence[str] = ("dss_weight", "dss_cube"),
                       text_col: str = "Nomenclature", cat_cols: Sequence[str] = ("FSC", "UI"),
-                      num_col: str = "Unit_Price", group_col: str = "FSC", model: str = "gbt",
+                      num_col: str = "Unit_Price", group_col: str = "FSC", model: str = "forest",
                       mode: str = "reference", key: str = "NIIN", seed: int = 42,
                       max_iter: int = 20) -> DataFrame:
     """Predict weight and cube for parts without catalog dimensions.
 
-    Targets are learnt in log1p space. ``model='gbt'`` fits one
-    ``pyspark.ml`` pipeline per target (nomenclature tokens hashed, category
-    columns indexed and one-hot encoded, price standardised, gradient-boosted
-    trees); ``model='mean'`` predicts the per-``group_col`` mean (overall
+    Targets are learnt in log1p space. ``model='forest'`` (default) or
+    ``'gbt'`` fits one ``pyspark.ml`` feature pipeline (nomenclature tokens
+    hashed, category columns indexed and one-hot encoded, price
+    standardised) and one tree-ensemble regressor per target (random forest
+    or gradient-boosted trees); ``model='mean'`` predicts the per-``group_col`` mean (overall
     mean for unseen groups), a baseline with a plain-SQL form. Predictions
     of 0 are replaced by the smallest positive prediction. ``mode='reference'``
     stores the log1p-space value as the measure (the source notebook's
     slip); ``'corrected'`` maps it back with expm1. Rows get ``Imputed='Yes'``.
     """
-    out = missing
-    for tgt in targets:
-        lt = F.log1p(q(tgt))
-        if model == "mean":
+    if model == "mean":
+        out = missing
+        for tgt in targets:
+            lt = F.log1p(q(tgt))
             g = train.groupBy(q(group_col)).agg(F.avg(lt).alias("__p"))
             overall = train.select(F.avg(lt)).scalar()
             pred = out.join(g, group_col, "left").withColumn("__p", F.coalesce("__p", overall))
-        else:
-            pred = _gbt_predict(train.withColumn("__y", lt), out, text_col, cat_cols, num_col, seed,
-                                max_iter)
-        pos_min = pred.select(F.min(F.when(F.col("__p") > 0, F.col("__p")))).scalar()
-        p = F.when(F.col("__p") == 0, pos_min).otherwise(F.col("__p"))
-        out = pred.withColumn(tgt, p if mode == "reference" else F.expm1(p)).drop("__p")
-    return out.withColumn("Imputed", F.lit("Yes"))
-
-
-def _gbt_predict(train: DataFrame, score: DataFrame, text_col, cat_cols, num_col, seed, max_iter):
+            out = _store_prediction(pred, tgt, mode)
+        return out.withColumn("Imputed", F.lit("Yes"))
+    # Every estimator fit is a pass over its input. The inputs are
+    # checkpointed once (to the shared checkpoint folder) so those passes,
+    # and the tree passes below, read a materialised table instead of
+    # re-running the joins that produced it.
+    train, missing = train.checkpoint(), missing.checkpoint()
+    feats = _feature_pipeline(text_col, cat_cols, num_col).fit(train)
+    labels = [F.log1p(q(t)).alias(f"__y{i}") for i, t in enumerate(targets)]
+    train_x = feats.transform(train).select("__x", *labels).checkpoint()
+    out = feats.transform(missing)
+    for i, tgt in enumerate(targets):
+        fitted = _regressor(model, f"__y{i}", max_iter, seed).fit(train_x.filter(F.col(f"__y{i}").isNotNull()))
+        out = _store_prediction(fitted.transform(out), tgt, mode)
+    return out.select(*[c for c in missing.columns if c not in targets], *targets) \
+        .withColumn("Imputed", F.lit("Yes"))
+
+
+def _regressor(model: str, label: str, max_iter: int, seed: int):
+    """Tree ensemble on the assembled features. 'forest' grows all trees in
+    the same passes over the data (one distributed pass per depth level);
+    'gbt' boosts ``max_iter`` trees one after another."""
+    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+    if model == "gbt":
+        return GBTRegressor(featuresCol="__x", labelCol=label, predictionCol="__p", maxIter=max_iter,
+                            maxDepth=4, seed=seed)
+    if model == "forest":
+        return RandomForestRegressor(featuresCol="__x", labelCol=label, predictionCol="__p",
+                                     numTrees=max_iter, maxDepth=5, seed=seed)
+    raise ValueError(f"unknown model {model!r}")
+
+
+def _store_prediction(pred: DataFrame, tgt: str, mode: str) -> DataFrame:
+    """Zero predictions -> smallest positive prediction; reference mode keeps
+    the log1p-space value as the measure, corrected maps it back."""
+    pos_min = pred.select(F.min(F.when(F.col("__p") > 0, F.col("__p")))).scalar()
+    p = F.when(F.col("__p") == 0, pos_min).otherwise(F.col("__p"))
+    return pred.withColumn(tgt, p if mode == "reference" else F.expm1(p)).drop("__p")
+
+
+def _feature_pipeline(text_col, cat_cols, num_col, num_features: int = 1 << 8):
+    """Nomenclature tokens hashed, category columns indexed and one-hot
+    encoded, price standardised, all assembled into ``__x``."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import (
         HashingTF, OneHotEncoder, RegexTokenizer, StandardScaler, StringIndexer, VectorAssembler,
     )
-    from pyspark.ml.regression import GBTRegressor
-
     stages = [RegexTokenizer(inputCol=text_col, outputCol="__tok", pattern=r"[^A-Za-z0-9]+"),
-              HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=1 << 10)]
-    onehots = []
-    for c in cat_cols:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"__{c}_i", handleInvalid="keep"))
-        onehots.append(f"__{c}_i")
-    stages.append(OneHotEncoder(inputCols=onehots, outputCols=[o + "v" for o in onehots],
-                                handleInvalid="keep"))
-    stages += [VectorAssembler(inputCols=[num_col], outputCol="__num", handleInvalid="keep"),
+              HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=num_features)]
+    idx = [f"__{c}_i" for c in cat_cols]
+    stages += [StringIndexer(inputCol=c, outputCol=o, handleInvalid="keep") for c, o in zip(cat_cols, idx)]
+    stages += [OneHotEncoder(inputCols=idx, outputCols=[o + "v" for o in idx], handleInvalid="keep"),
+               VectorAssembler(inputCols=[num_col], outputCol="__num", handleInvalid="keep"),
                StandardScaler(inputCol="__num", outputCol="__nums", withMean=True, withStd=True),
-               VectorAssembler(inputCols=["__tf", "__nums"] + [o + "v" for o in onehots],
-                               outputCol="__x"),
-               GBTRegressor(featuresCol="__x", labelCol="__y", predictionCol="__p", maxIter=max_iter,
-                            maxDepth=4, seed=seed)]
-    fitted = Pipeline(stages=stages).fit(train.filter(F.col("__y").isNotNull()))
-    pred = fitted.transform(score)
-    return pred.select(*score.columns, "__p")
+               VectorAssembler(inputCols=["__tf", "__nums"] + [o + "v" for o in idx], outputCol="__x")]
+    return Pipeline(stages=stages)
 
 
 # ---------------------------------------------------------------------------

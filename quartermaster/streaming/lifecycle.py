@@ -220,7 +220,8 @@ def skip_processed(events: DataFrame, state: DataFrame, keys: Sequence[str] = ("
 def run_lifecycle(spark: SparkSession, events_dir: str, base: str,
                   expected: Sequence[str], item_expr=None,
                   statuses: Sequence[str] = ("Dataset_Created",),
-                  max_files_per_trigger: int = 1, timeout_s: int = 600) -> Mapping[str, str]:
+                  max_files_per_trigger: int = 1, timeout_s: int = 600,
+                  gate: bool = True) -> Mapping[str, str]:
     """Replay the change events in ``events_dir`` through the lifecycle:
 
     1. events of kind INSERT / MODIFY (T4) are appended to the status log
@@ -228,7 +229,7 @@ def run_lifecycle(spark: SparkSession, events_dir: str, base: str,
     2. events with one of ``statuses`` feed the completeness gate (T5),
        whose signals are appended to the gate table.
 
-    Both queries use ``availableNow`` (process what is there, then stop)
+    ``gate=False`` runs only the first. Both queries use ``availableNow`` (process what is there, then stop)
     and their own checkpoint under ``base``, so a rerun resumes instead of
     double-counting. Returns the table paths.
     """
@@ -243,13 +244,15 @@ def run_lifecycle(spark: SparkSession, events_dir: str, base: str,
 
     q1 = (ev.writeStream.foreachBatch(write_status).option("checkpointLocation", paths["chk_status"])
           .trigger(availableNow=True).start())
-    created = on_status(read_events(spark, events_dir, max_files_per_trigger), statuses=statuses)
-    item_expr = item_expr if item_expr is not None else F.regexp_extract("dataset_id", r"^(.*)-dataset-", 1)
-    gate = completeness_gate(created.withColumn("item", item_expr), expected)
-    q2 = (gate.writeStream.format("parquet").option("path", paths["gate"])
-          .option("checkpointLocation", paths["chk_gate"]).outputMode("append")
-          .trigger(availableNow=True).start())
-    for s in (q1, q2):
+    started = [q1]
+    if gate:
+        created = on_status(read_events(spark, events_dir, max_files_per_trigger), statuses=statuses)
+        item_expr = item_expr if item_expr is not None else F.regexp_extract("dataset_id", r"^(.*)-dataset-", 1)
+        signals = completeness_gate(created.withColumn("item", item_expr), expected)
+        started.append(signals.writeStream.format("parquet").option("path", paths["gate"])
+                       .option("checkpointLocation", paths["chk_gate"]).outputMode("append")
+                       .trigger(availableNow=True).start())
+    for s in started:
         s.awaitTermination(timeout_s)
         if s.exception() is not None:
             raise RuntimeError(f"lifecycle stream failed: {s.exception()}")

@@ -37,10 +37,10 @@ def write_change_events(spark, sf_dir, path: str, files: int = 4) -> str:
     return path
 
 
-def _replay(spark, sf_dir):
+def _replay(spark, sf_dir, gate: bool = True):
     base = L.state_base(spark, "qm-lifecycle")
     events_dir = write_change_events(spark, sf_dir, os.path.join(base, "events"))
-    return L.run_lifecycle(spark, events_dir, base, CREATED_TYPES)
+    return L.run_lifecycle(spark, events_dir, base, CREATED_TYPES, gate=gate)
 
 
 @register("stream_lifecycle", f"""
@@ -66,7 +66,7 @@ SELECT assessment_id, dataset_id, arg_max(status, (ts, event_id)) AS Status,
 FROM e GROUP BY assessment_id, dataset_id
 """)
 def q_stream_status_state(spark, sf_dir) -> DataFrame:
-    paths = _replay(spark, sf_dir)
+    paths = _replay(spark, sf_dir, gate=False)
     log = spark.read.parquet(paths["status_log"])
     st = L.status_table(log, ["File_Received", "Dataset_Created"])
     return st.select("assessment_id", "dataset_id", "Status",
