@@ -209,17 +209,35 @@ def group_sum(df: DataFrame, keys, measures: Sequence[str], drop_null_keys: bool
 
 # A2 / A3
 def list_agg(df: DataFrame, keys, cols: Sequence[str], sep: str = ", ",
-             distinct: bool = False, suffix: str = "") -> DataFrame:
-    """Joined text list per key, sorted so the result is deterministic.
-
-    The distinct form combines map-side (each task ships one set per key).
+             distinct=False, suffix: str = "") -> DataFrame:
+    """Joined text list per key and column, values sorted (deterministic);
+    NULL values are skipped and a key whose column holds only NULLs gets
+    NULL. ``distinct`` is a bool for all columns or the set of columns to
+    join without repeats.
+
+    Hot keys: rows are first reduced to (key, column, value, count) with a
+    map-side combined count, and only those pairs are gathered per (key,
+    column); repeats are expanded again inside the final text. A key that
+    holds a third of all rows therefore costs one task memory in proportion
+    to its distinct values, not its rows; only the output cell itself is
+    whole.
     """
     keys = _keys(keys)
-    agg = []
-    for c in cols:
-        coll = F.collect_set(q(c)) if distinct else F.collect_list(q(c))
-        agg.append(F.array_join(F.array_sort(coll), sep).alias(c + suffix))
-    return df.groupBy(*[q(k) for k in keys]).agg(*agg)
+    cols = list(cols)
+    dset = set(cols) if distinct is True else set(distinct or ())
+    kc = [q(k) for k in keys]
+    cells = F.array(*[F.struct(F.lit(c).alias("__c"), q(c).cast("string").alias("__v")) for c in cols])
+    long = df.select(*kc, F.inline(cells))
+    counted = long.groupBy(*kc, "__c", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    per = counted.groupBy(*kc, "__c").agg(F.array_sort(F.collect_list(F.struct("__v", "__n"))).alias("__vs"))
+    vals = F.filter("__vs", lambda s: s["__v"].isNotNull())
+    rep = F.flatten(F.transform(vals, lambda s: F.array_repeat(s["__v"], s["__n"].cast("int"))))
+    uniq = F.transform(vals, lambda s: s["__v"])
+    text = F.when(F.size(vals) > 0, F.array_join(F.when(F.col("__c").isin(list(dset) or [""]), uniq)
+                                                 .otherwise(rep), sep))
+    wide = (per.select(*kc, "__c", text.alias("__t"))
+            .groupBy(*kc).pivot("__c", cols).agg(F.first("__t")))
+    return wide.select(*kc, *[q(c).alias(c + suffix) for c in cols])
 
 
 # A10

@@ -62,12 +62,8 @@ def catalog_summary(catalog: DataFrame, niins, key: str = "niin",
     ``niins`` is a key DataFrame (left-semi join, sized by AQE) or a literal
     list (an InSet filter pushed into the scan)."""
     kept = C.keep_in(catalog, key, niins)
-    aggs = []
-    for c in list(distinct_cols) + list(list_cols):
-        v = q(c).cast("string")
-        coll = F.collect_set(v) if c in distinct_cols else F.collect_list(v)
-        aggs.append(F.array_join(F.array_sort(coll), sep).alias(c))
-    return kept.groupBy(q(key)).agg(*aggs)
+    return R.list_agg(kept, key, list(distinct_cols) + list(list_cols), sep,
+                      distinct=set(distinct_cols))
 
 
 # ---------------------------------------------------------------------------
