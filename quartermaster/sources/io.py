@@ -95,9 +95,11 @@ def register_table(df: DataFrame, name: str) -> DataFrame:
 # S7
 def read_many(spark: SparkSession, directory: str, glob: str, by_name: bool = True,
               schema=None) -> DataFrame:
-    """All files matching ``glob`` (e.g. ``cos*embark.csv``) in one scan per
-    distinct header; differing columns are unioned by name (missing -> NULL).
-    Each row carries ``source_file``."""
+    """All files matching ``glob`` (e.g. ``cos*embark.csv``), one scan per
+    file (each may have its own header), unioned by name (missing -> NULL).
+    Meant for a run's handful of per-class outputs; many files of one
+    layout belong in a single ``read_table`` call on the glob. Each row
+    carries ``source_file``."""
     listing = list_files(spark, directory, glob)
     paths = [r.path for r in listing.select("path").collect()]  # file names only
     if not paths:
@@ -226,37 +228,66 @@ def list_files(spark: SparkSession, directory: str, glob: str = "*",
 
 
 # S14
-def profile_headers(spark: SparkSession, path: str, header_bytes: int = 1 << 16) -> DataFrame:
+def profile_headers(spark: SparkSession, path: str) -> DataFrame:
     """One row per CSV file (or CSV member of a ZIP): path, archive, name and
-    the header's column list; failures are captured in ``error``."""
+    the header's column list; failures are captured in ``error``.
+
+    Plain CSVs are read as lines: the header is the first line of each
+    file's first split (``file_block_start == 0``), taken inside that split's
+    task, so no file is ever loaded whole. A ZIP has its member directory at
+    the end of the file, so each archive is opened inside one task.
+    """
     schema = ("path string, archive string, name string, columns array<string>, "
               "error string")
+    base = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+            .select("path"))
+    csv_paths = base.filter(~F.lower("path").endswith(".zip"))
 
-    def headers(batches):
+    def first_lines(batches):
         import csv
 
         import pandas as pd
+        seen = set()
         for b in batches:
             rows = []
-            for path, content in zip(b["path"], b["content"]):
+            for fp, line in zip(b["file_path"], b["value"]):
+                if fp in seen:
+                    continue
+                seen.add(fp)
+                try:
+                    rows.append((fp, None, fp.split("/")[-1], next(csv.reader([line])), None))
+                except Exception as e:  # reported, not hidden
+                    rows.append((fp, None, fp.split("/")[-1], None, repr(e)))
+            yield pd.DataFrame(rows, columns=["path", "archive", "name", "columns", "error"])
+
+    lines = (spark.read.option("recursiveFileLookup", "true").text(path)
+             .select("value", F.col("_metadata.file_path").alias("file_path"),
+                     F.col("_metadata.file_block_start").alias("start"))
+             .filter(F.col("start") == 0).drop("start")
+             .join(csv_paths.select(F.col("path").alias("file_path")), "file_path", "left_semi"))
+    plain = lines.mapInPandas(first_lines, schema)
+
+    def zip_headers(batches):
+        import csv
+
+        import pandas as pd
+        for b in batches:
+            rows = []
+            for zpath, content in zip(b["path"], b["content"]):
                 try:
-                    if path.lower().endswith(".zip"):
-                        with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                            for name in zf.namelist():
-                                if name.lower().endswith(".csv"):
-                                    first = zf.open(name).readline().decode("utf-8", "replace")
-                                    cols = next(csv.reader([first.strip("\r\n")]))
-                                    rows.append((name, path, name.split("/")[-1], cols, None))
-                    else:
-                        first = bytes(content[:header_bytes]).split(b"\n", 1)[0]
-                        cols = next(csv.reader([first.decode("utf-8", "replace").strip("\r")]))
-                        rows.append((path, None, path.split("/")[-1], cols, None))
+                    with zipfile.ZipFile(io.BytesIO(content)) as zf:
+                        for name in zf.namelist():
+                            if name.lower().endswith(".csv"):
+                                first = zf.open(name).readline().decode("utf-8", "replace")
+                                cols = next(csv.reader([first.strip("\r\n")]))
+                                rows.append((name, zpath, name.split("/")[-1], cols, None))
                 except Exception as e:  # reported, not hidden
-                    rows.append((path, None, path.split("/")[-1], None, repr(e)))
+                    rows.append((zpath, None, zpath.split("/")[-1], None, repr(e)))
             yield pd.DataFrame(rows, columns=["path", "archive", "name", "columns", "error"])
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInPandas(headers, schema)
+    zips = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.zip").load(path).select("path", "content"))
+    return plain.unionByName(zips.mapInPandas(zip_headers, schema))
 
 
 # S15
