@@ -59,11 +59,14 @@ def read_parquet_spread(spark: SparkSession, path: str, min_bytes: int = 1 << 20
     no shuffle.
     """
     df = spark.read.parquet(path)
-    want = spark.sparkContext.defaultParallelism
-    if _path_bytes(spark, path) < min_bytes:
-        return df
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = spark.sparkContext.defaultParallelism
+        if _path_bytes(spark, path) < min_bytes or df.rdd.getNumPartitions() >= want:
+            return df
+    except Exception:  # no driver-side context (e.g. a remote session): plain scan
         return df
+    # round robin (sorted locally first, so a retried task re-creates the
+    # same partitions after an executor loss)
     return df.repartition(want)
 
 
