@@ -117,6 +117,8 @@ def impute_dimensions(train: DataFrame, missing: DataFrame, targets: Sequence[st
     # checkpointed once (to the shared checkpoint folder) so those passes,
     # and the tree passes below, read a materialised table instead of
     # re-running the joins that produced it.
+    from quartermaster.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(train.sparkSession)
     train, missing = train.checkpoint(), missing.checkpoint()
     feats = _feature_pipeline(text_col, cat_cols, num_col).fit(train)
     labels = [F.log1p(q(t)).alias(f"__y{i}") for i, t in enumerate(targets)]
