@@ -4,6 +4,7 @@ metadata only; row work stays in one projection/filter stage)."""
 from __future__ import annotations
 
 import re
+import weakref
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -11,9 +12,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_COLS: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
+
+
 def q(name: str) -> Column:
-    """Column by exact name, safe for names with '.', '(' or spaces."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column by exact name, safe for names with '.', '(' or spaces.
+
+    An unresolved column reference is immutable and resolves against the
+    plan it is used in, so one object per name is reused (per live
+    SparkContext): building a wide job then costs far fewer JVM round trips.
+    """
+    from pyspark import SparkContext
+
+    sc = SparkContext._active_spark_context
+    if sc is None:
+        return F.col("`" + name.replace("`", "``") + "`")
+    cache = _COLS.setdefault(sc, {})
+    c = cache.get(name)
+    if c is None:
+        c = cache[name] = F.col("`" + name.replace("`", "``") + "`")
+    return c
 
 
 def _rename_all(df: DataFrame, new_names: list[str]) -> DataFrame:

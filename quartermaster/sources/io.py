@@ -52,16 +52,21 @@ def read_parquet_spread(spark: SparkSession, path: str, min_bytes: int = 1 << 20
     A table stored as one file with one row group scans as a single task,
     and every operator before the first shuffle (joins to broadcast
     dimensions, unpivots that multiply rows) would run on one core. When the
-    scan has fewer partitions than the default parallelism and the table is
-    not tiny, it is round-robin repartitioned to that parallelism (filters
-    and column pruning still reach the scan). A large, many-file table
-    already scans as thousands of splits, so there this is a no-op and adds
-    no shuffle.
+    table is not tiny but its files and bytes promise fewer splits than the
+    default parallelism, it is round-robin repartitioned to that parallelism
+    (filters and column pruning still reach the scan). A large, many-file
+    table already scans as thousands of splits, so there this is a no-op and
+    adds no shuffle. The estimate is one file-system metadata call (file
+    count and bytes), not a planning pass.
     """
+    import math
+
     df = spark.read.parquet(path)
     try:
         want = spark.sparkContext.defaultParallelism
-        if _path_bytes(spark, path) < min_bytes or df.rdd.getNumPartitions() >= want:
+        files, size = _path_summary(spark, path)
+        split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", str(128 << 20)).rstrip("b"))
+        if size < min_bytes or max(files, math.ceil(size / split)) >= want:
             return df
     except Exception:  # no driver-side context (e.g. a remote session): plain scan
         return df
@@ -70,11 +75,13 @@ def read_parquet_spread(spark: SparkSession, path: str, min_bytes: int = 1 << 20
     return df.repartition(want)
 
 
-def _path_bytes(spark: SparkSession, path: str) -> int:
+def _path_summary(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(file count, total bytes) under a path, from the file system's metadata."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hpath).getLength())
+    cs = fs.getContentSummary(hpath)
+    return int(cs.getFileCount()), int(cs.getLength())
 
 
 # S5
