@@ -71,9 +71,22 @@ DATASET_SHEETS = [
     ("cosix-embark", "CL IX RD Embark"),
 ]
 
+# Files that arrive but feed no report dataset (skipped by name
+# prefix; the last entry is spelled with hyphens, so it never matches the
+# underscore file names and that file is processed anyway).
+NOT_NEEDED_PREFIXES = ["RD_IIIP_POL_Pkg_NSN_Requirements_PBI", "RD_IV_Daily_Requirements",
+                       "RD_VI_POS_Pallet_Requirement", "RD-II-ICCE-DailyTE"]
+
 SYNCED_SIGNAL = "DATASETS_SYNCED!"
 
 
+def skip_not_needed(files: DataFrame, name_col: str = "file_name",
+                    prefixes: Sequence[str] = NOT_NEEDED_PREFIXES) -> DataFrame:
+    """Drop arriving files that feed no report dataset (F7 prefix exclusion)."""
+    from quartermaster.operators.columns import exclude_prefixes
+    return exclude_prefixes(files, name_col, prefixes)
+
+
 def dataset_id(stem, run) -> F.Column:
     """'<stem>-dataset-<run>' (the state table's dataset key)."""
     return F.concat(stem, F.lit("-dataset-"), run.cast("string"))
