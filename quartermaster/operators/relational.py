@@ -286,6 +286,27 @@ def rollup_measures(df: DataFrame, dims: Sequence[str], measures: Mapping[str, C
         F.grouping_id().cast("bigint").alias(level_col))
 
 
+def rollup_sums(df: DataFrame, dims: Sequence[str], sums: Mapping[str, str],
+                count_col: str | None = None, level_col: str = "grouping_level") -> DataFrame:
+    """Roll-up of sums (and a row count) aggregated at the finest grain first.
+
+    ``rollup`` replicates every input row once per grouping level before it
+    aggregates; sums and counts decompose, so the input is first reduced to
+    one row per full dimension tuple (partial aggregation map-side) and only
+    those rows are rolled up. Integer sums give exactly the single-pass
+    result.
+    """
+    dims = list(dims)
+    fine_aggs = [F.sum(q(src)).alias(out) for out, src in sums.items()]
+    if count_col:
+        fine_aggs.append(F.count(F.lit(1)).alias(count_col))
+    fine = df.groupBy(*[q(d) for d in dims]).agg(*fine_aggs)
+    coarse = {out: F.sum(q(out)) for out in sums}
+    if count_col:
+        coarse[count_col] = F.sum(q(count_col))
+    return rollup_measures(fine, dims, coarse, level_col)
+
+
 # A13
 def fill_zero_with_min_positive(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Values <= 0 (or NULL) replaced by the smallest positive value of the column.

@@ -656,7 +656,9 @@ def read_class_outputs(spark, paths: Sequence[str]) -> tuple[list[DataFrame], li
 
 def class_rollup(union: DataFrame, dims: Sequence[str] = ("REGION", "LOCATION_NAME", "POS"),
                  measures: Sequence[str] = UNION_MEASURES) -> DataFrame:
-    return R.rollup_measures(union, list(dims), {m: F.sum(q(m)) for m in measures})
+    """Region -> location -> period roll-up of the class union's measures
+    (summed at the finest grain first, then rolled up)."""
+    return R.rollup_sums(union, list(dims), {m: m for m in measures}, count_col="N_ROWS")
 
 
 def compare_runs(union: DataFrame, run_col: str, runs: Sequence, base,

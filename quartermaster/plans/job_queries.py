@@ -555,8 +555,7 @@ _ROLLUP_DIMS = ["REGION", "LOCATION_NAME", "POS"]
 def q_embark_rollup(spark, sf_dir):
     u = X.aggregated_classes(class_outputs(spark, sf_dir))
     u = u.withColumns({f"__c_{m}": cents(m) for m in X.UNION_MEASURES})
-    out = R.rollup_measures(u, _ROLLUP_DIMS, {**{m: F.sum(f"__c_{m}") for m in X.UNION_MEASURES},
-                                             "N_ROWS": F.count(F.lit(1))})
+    out = R.rollup_sums(u, _ROLLUP_DIMS, {m: f"__c_{m}" for m in X.UNION_MEASURES}, count_col="N_ROWS")
     return out.withColumns({m: from_cents(m) for m in X.UNION_MEASURES})
 
 

@@ -762,9 +762,8 @@ def q_rollup(spark, sf_dir):
                                               cents("l_extendedprice").alias("c"))
     j = (li.join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
          .join(geo, F.col("s_nationkey") == F.col("n_nationkey")))
-    out = R.rollup_measures(j, ["r_name", "n_name", "l_returnflag"],
-                            {"sum_qty": F.sum("l_quantity"), "sum_c": F.sum("c"),
-                             "n_lines": F.count(F.lit(1))})
+    out = R.rollup_sums(j, ["r_name", "n_name", "l_returnflag"],
+                        {"sum_qty": "l_quantity", "sum_c": "c"}, count_col="n_lines")
     return out.withColumn("sum_price", from_cents("sum_c")).drop("sum_c")
 
 
