@@ -15,12 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quartermaster.functions.scalar import cents, from_cents
-from quartermaster.operators import columns as C
 from quartermaster.operators import relational as R
 from quartermaster.plans import classes as X
 from quartermaster.plans.table_queries import (
-    ORACLE_SQL, PERIOD_SQL, QUERIES, RATION_SQL, _d, _qtr_pos, _QTR_POS, equipment_requirements,
-    ration_requirements, register, status_runs, t, water_requirements,
+    ORACLE_SQL, PERIOD_SQL, QUERIES, RATION_SQL, _d, _qtr_pos, _QTR_POS, ration_requirements, register,
+    status_runs, t,
 )
 
 __all__ = ["QUERIES", "ORACLE_SQL"]
