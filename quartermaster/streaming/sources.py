@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# One record of the state table's change stream: keys plus old and new
+# Fixed values (the change-stream record format, field names as delivered):
+# one record of the state table's change stream, keys plus old and new
 # images, each attribute a typed value ({"S": text} or {"N": number-text}).
 _VALUE = T.StructType([T.StructField("S", T.StringType()), T.StructField("N", T.StringType())])
 _IMAGE = T.MapType(T.StringType(), _VALUE)
