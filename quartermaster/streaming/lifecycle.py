@@ -221,7 +221,7 @@ def run_lifecycle(spark: SparkSession, events_dir: str, base: str,
                   expected: Sequence[str], item_expr=None,
                   statuses: Sequence[str] = ("Dataset_Created",),
                   max_files_per_trigger: int = 1, timeout_s: int = 600,
-                  gate: bool = True) -> Mapping[str, str]:
+                  gate: bool = True, state_partitions: int | None = None) -> Mapping[str, str]:
     """Replay the change events in ``events_dir`` through the lifecycle:
 
     1. events of kind INSERT / MODIFY (T4) are appended to the status log
@@ -229,7 +229,10 @@ def run_lifecycle(spark: SparkSession, events_dir: str, base: str,
     2. events with one of ``statuses`` feed the completeness gate (T5),
        whose signals are appended to the gate table.
 
-    ``gate=False`` runs only the first. Both queries use ``availableNow`` (process what is there, then stop)
+    ``gate=False`` runs only the first. ``state_partitions`` sets the
+    number of state-store partitions of the gate (a stateful query fixes it
+    at its first start; default: the session's shuffle partitions). Both
+    queries use ``availableNow`` (process what is there, then stop)
     and their own checkpoint under ``base``, so a rerun resumes instead of
     double-counting. Returns the table paths.
     """
@@ -249,9 +252,16 @@ def run_lifecycle(spark: SparkSession, events_dir: str, base: str,
         created = on_status(read_events(spark, events_dir, max_files_per_trigger), statuses=statuses)
         item_expr = item_expr if item_expr is not None else F.regexp_extract("dataset_id", r"^(.*)-dataset-", 1)
         signals = completeness_gate(created.withColumn("item", item_expr), expected)
-        started.append(signals.writeStream.format("parquet").option("path", paths["gate"])
-                       .option("checkpointLocation", paths["chk_gate"]).outputMode("append")
-                       .trigger(availableNow=True).start())
+        key = "spark.sql.shuffle.partitions"
+        before = spark.conf.get(key)
+        if state_partitions:
+            spark.conf.set(key, str(state_partitions))
+        try:
+            started.append(signals.writeStream.format("parquet").option("path", paths["gate"])
+                           .option("checkpointLocation", paths["chk_gate"]).outputMode("append")
+                           .trigger(availableNow=True).start())
+        finally:
+            spark.conf.set(key, before)
     for s in started:
         s.awaitTermination(timeout_s)
         if s.exception() is not None:

@@ -40,7 +40,8 @@ def write_change_events(spark, sf_dir, path: str, files: int = 4) -> str:
 def _replay(spark, sf_dir, gate: bool = True):
     base = L.state_base(spark, "qm-lifecycle")
     events_dir = write_change_events(spark, sf_dir, os.path.join(base, "events"))
-    return L.run_lifecycle(spark, events_dir, base, CREATED_TYPES, gate=gate)
+    return L.run_lifecycle(spark, events_dir, base, CREATED_TYPES, gate=gate,
+                           state_partitions=spark.sparkContext.defaultParallelism)
 
 
 @register("stream_lifecycle", f"""
