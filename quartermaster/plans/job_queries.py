@@ -625,3 +625,60 @@ FROM f WHERE Weight_lbs / 2000 + ((Weight_lbs / 1024) * 5000) / 2000 > 0
 @register("class_i_extended", _ext_sql())
 def q_class_i_extended(spark, sf_dir):
     return X.class_i_extended(ration_requirements(spark, sf_dir), row_id="AssessmentNumber")
+
+
+# ---------------------------------------------------------------------------
+# X4 ration tables joined to the period table (three inputs, one join each)
+# ---------------------------------------------------------------------------
+def ration_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    """Water ration costs (line items), class I pax locations and class I
+    ration costs (orders x customer), each keyed by run and DOS period."""
+    li = t(spark, sf_dir, "lineitem")
+    o = t(spark, sf_dir, "orders")
+    c = t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    oc = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    water = li.select(F.col("l_linestatus").alias("AssessmentNumber"),
+                      F.col("l_suppkey").alias("Location_ID"), F.lit("WATER").alias("Ration_Type"),
+                      F.col("l_quantity").alias("UI_Count"), _dos_period("l_shipdate").alias("DOS_Period"))
+    locations = oc.select(F.col("o_orderstatus").alias("AssessmentNumber"),
+                          F.col("c_nationkey").cast("bigint").alias("Location_ID"),
+                          F.floor(F.col("o_totalprice") / 1000).cast("double").alias("MEALS_READY_TO_EAT_MRE"),
+                          _dos_period("o_orderdate").alias("DOS_Period"))
+    costs = oc.select(F.col("o_orderstatus").alias("AssessmentNumber"),
+                      F.col("c_nationkey").cast("bigint").alias("Location_ID"),
+                      F.col("o_orderpriority").alias("Ration_Type"),
+                      (F.col("o_totalprice") / 100).alias("Total_UI_Cost"),
+                      _dos_period("o_orderdate").alias("DOS_Period"))
+    return {"RD_IW_Ration_Costs": water, "RD_I_POS_Location": locations, "RD_I_Ration_Costs": costs}
+
+
+_RJ_MEASURE = {"RD_IW_Ration_Costs": "UI_Count", "RD_I_POS_Location": "MEALS_READY_TO_EAT_MRE",
+               "RD_I_Ration_Costs": "Total_UI_Cost"}
+
+
+@register("ration_joins", PERIOD_SQL + f""",
+w AS (SELECT l_linestatus AS AssessmentNumber, l_suppkey AS Location_ID, l_quantity AS v,
+             {_dos_sql('l_shipdate')} AS DOS_Period FROM lineitem),
+oc AS (SELECT o.o_orderstatus AS AssessmentNumber, CAST(c.c_nationkey AS BIGINT) AS Location_ID,
+              o.o_totalprice, o.o_orderdate FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+loc AS (SELECT AssessmentNumber, Location_ID, CAST(floor(o_totalprice / 1000) AS DOUBLE) AS v,
+               {_dos_sql('o_orderdate')} AS DOS_Period FROM oc),
+cost AS (SELECT AssessmentNumber, Location_ID, o_totalprice / 100 AS v,
+                {_dos_sql('o_orderdate')} AS DOS_Period FROM oc),
+u AS (SELECT 'RD_IW_Ration_Costs' AS table_name, * FROM w
+      UNION ALL SELECT 'RD_I_POS_Location', * FROM loc
+      UNION ALL SELECT 'RD_I_Ration_Costs', * FROM cost)
+SELECT u.table_name, u.AssessmentNumber, u.Location_ID, u.DOS_Period, u.v AS measure,
+       p.POS, p.DOS, p.Period, p.Sort_Index
+FROM u LEFT JOIN p ON u.AssessmentNumber = p.AssessmentNumber AND u.DOS_Period = p.DOS
+""")
+def q_ration_joins(spark, sf_dir):
+    runs, params = status_runs(spark, sf_dir)
+    joined = X.ration_joins(ration_tables(spark, sf_dir), X.period_table(runs, params))
+    parts = [df.select(F.lit(name).alias("table_name"), "AssessmentNumber", "Location_ID", "DOS_Period",
+                       F.col(_RJ_MEASURE[name]).alias("measure"), "POS", "DOS", "Period", "Sort_Index")
+             for name, df in joined.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -188,3 +188,16 @@ def test_period_table_and_force_flow(spark):
     assert got == [(-1, 9, None, None, "POS1"), (1, 2, 7, 7, "POS1"), (1, 5, 7, 7, "POS1"),
                    (2, 4, 4, 11, "POS2")]
     assert len(ff[0].asDict()) == 27
+
+
+def test_x4_ration_joins_normalise_and_join_per_run(spark):
+    runs = spark.createDataFrame([(1, 115), (2, 50)], "AssessmentNumber long, OperationDuration long")
+    params = spark.createDataFrame([(1, 30, 60, 90), (2, 10, 20, 30)],
+                                   "AssessmentID long, DaysOfSupplyFirst long, DaysOfSupplySecond long, "
+                                   "DaysOfSupplyThird long")
+    costs = spark.createDataFrame([(1, "DOS2", "mre", 5.0), (2, "DOS2", "ugr", 6.0), (2, "DOS9", "x", 1.0)],
+                                  "AssessmentNumber long, DOS_Period string, ration_type string, ui_count double")
+    out = X.ration_joins({"costs": costs}, X.period_table(runs, params))["costs"]
+    assert "Ration_type" in out.columns and "Ui_count" in out.columns  # capitalised, not retained
+    got = sorted((r.AssessmentNumber, r.DOS_Period, r.POS, r.Period) for r in out.collect())
+    assert got == [(1, "DOS2", "POS2", 60), (2, "DOS2", "POS2", 20), (2, "DOS9", None, None)]
