@@ -124,13 +124,17 @@ def read_many(spark: SparkSession, directory: str, glob: str, by_name: bool = Tr
 
 # S8
 def read_zip_csv(spark: SparkSession, path: str, member_pattern: str = r".*\.csv$",
-                 columns: Sequence[str] | None = None) -> DataFrame:
+                 columns: Sequence[str] | None = None, max_archive_bytes: int = 1 << 30,
+                 chunk_rows: int = 100_000) -> DataFrame:
     """CSV members of ZIP archives as rows of text cells.
 
-    Archives are listed by ``binaryFile``; each archive is opened inside one
-    task (``mapInPandas``) and its members are emitted as (archive, member,
-    row_number, cells...). ``columns`` fixes the output header; members
-    missing a column yield NULL for it.
+    Archives are listed first (sizes only, no bytes read). An archive above
+    ``max_archive_bytes`` (the unit one task must hold: a ZIP's member
+    directory sits at its end) is not opened; it yields one row with
+    ``error`` set instead of failing the job. The others are opened one per
+    task (``mapInPandas``) and their members are streamed in chunks of
+    ``chunk_rows`` rows as (archive, member, row_number, cells..., error).
+    ``columns`` fixes the output header; members missing a column yield NULL.
     """
     import re as _re
 
@@ -139,7 +143,9 @@ def read_zip_csv(spark: SparkSession, path: str, member_pattern: str = r".*\.csv
     schema = T.StructType([T.StructField("archive", T.StringType()),
                            T.StructField("member", T.StringType()),
                            T.StructField("row_number", T.LongType())]
-                          + [T.StructField(c, T.StringType()) for c in cols])
+                          + [T.StructField(c, T.StringType()) for c in cols]
+                          + [T.StructField("error", T.StringType())])
+    out_cols = ["archive", "member", "row_number"] + cols + ["error"]
 
     def explode_members(batches):
         import pandas as pd
@@ -149,16 +155,27 @@ def read_zip_csv(spark: SparkSession, path: str, member_pattern: str = r".*\.csv
                     for name in zf.namelist():
                         if not rx.search(name):
                             continue
-                        pdf = pd.read_csv(zf.open(name), dtype=str, keep_default_na=False,
-                                          na_values=[""])
-                        out = pd.DataFrame({"archive": path, "member": name,
-                                            "row_number": range(len(pdf))})
-                        for c in cols:
-                            out[c] = pdf[c] if c in pdf.columns else None
-                        yield out.astype({"row_number": "int64"})
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(explode_members, schema)
+                        start = 0
+                        for pdf in pd.read_csv(zf.open(name), dtype=str, keep_default_na=False,
+                                               na_values=[""], chunksize=chunk_rows):
+                            out = pd.DataFrame({"archive": path, "member": name,
+                                                "row_number": range(start, start + len(pdf))})
+                            start += len(pdf)
+                            for c in cols:
+                                out[c] = pdf[c].values if c in pdf.columns else None
+                            out["error"] = None
+                            yield out[out_cols].astype({"row_number": "int64"})
+
+    listing = (spark.read.format("binaryFile").load(path).select("path", "length"))
+    big = listing.filter(F.col("length") > max_archive_bytes).select(
+        F.col("path").alias("archive"), F.lit(None).cast("string").alias("member"),
+        F.lit(None).cast("long").alias("row_number"),
+        *[F.lit(None).cast("string").alias(c) for c in cols],
+        F.concat(F.lit("archive larger than "), F.lit(str(max_archive_bytes)),
+                 F.lit(" bytes; not opened")).alias("error"))
+    small = (spark.read.format("binaryFile").load(path)
+             .filter(F.col("length") <= max_archive_bytes).select("path", "content"))
+    return small.mapInPandas(explode_members, schema).unionByName(big)
 
 
 # S9

@@ -76,9 +76,13 @@ def test_zip_members_and_header_profile(spark, tmp_path):
     (tmp_path / "z").mkdir()
     (tmp_path / "z" / "run.zip").write_bytes(buf.getvalue())
     (tmp_path / "z" / "plain.csv").write_text("A,B\n1,2\n")
-    rows = IO.read_zip_csv(spark, str(tmp_path / "z" / "*.zip"), columns=["NIIN", "Qty", "Missing"]).collect()
-    assert [(r.member, r.NIIN, r.Qty, r.Missing) for r in rows] == [
-        ("a/RD_I.csv", "013689154", "3", None), ("a/RD_I.csv", "000000001", None, None)]
+    rows = IO.read_zip_csv(spark, str(tmp_path / "z" / "*.zip"), columns=["NIIN", "Qty", "Missing"],
+                           chunk_rows=1).collect()
+    assert [(r.member, r.row_number, r.NIIN, r.Qty, r.Missing, r.error) for r in rows] == [
+        ("a/RD_I.csv", 0, "013689154", "3", None, None), ("a/RD_I.csv", 1, "000000001", None, None, None)]
+    capped = IO.read_zip_csv(spark, str(tmp_path / "z" / "*.zip"), columns=["NIIN"],
+                             max_archive_bytes=10).collect()
+    assert len(capped) == 1 and capped[0].member is None and "not opened" in capped[0].error
     prof = {r.name: r.columns for r in IO.profile_headers(spark, str(tmp_path / "z")).collect()}
     assert prof == {"RD_I.csv": ["NIIN", "Qty"], "plain.csv": ["A", "B"]}
 
