@@ -91,11 +91,25 @@ def append_status(batch: DataFrame, path: str) -> None:
      .write.mode("append").partitionBy("status").parquet(path))
 
 
-def status_table(log: DataFrame, statuses: Sequence[str] = STATUSES) -> DataFrame:
+def status_table(log: DataFrame, statuses: Sequence[str] = STATUSES,
+                 previous: DataFrame | None = None) -> DataFrame:
     """Keyed state from the status log: per (run, dataset) the latest status
     and its time (max over a struct: partial aggregation, ties broken by the
     sequence number) and one timestamp column per status. Duplicates from a
-    replayed batch collapse."""
+    replayed batch collapse.
+
+    ``previous`` is an earlier compacted state (this function's output);
+    with it only the log written since then needs reading, because the
+    latest status and the per-status maxima combine associatively."""
+    if previous is not None:
+        seq_type = dict(log.dtypes).get("sequence", "decimal(38,0)")
+        back = [previous.select("assessment_id", "dataset_id", F.lit(st).alias("status"),
+                                F.col(st).alias("status_timestamp"),
+                                F.lit(None).cast(seq_type).alias("sequence"))
+                .filter(F.col("status_timestamp").isNotNull()) for st in statuses]
+        for b in back:
+            log = log.select("assessment_id", "dataset_id", "status", "status_timestamp",
+                             "sequence").unionByName(b)
     latest = F.max(F.struct("status_timestamp", "sequence", "status"))
     per = [F.max(F.when(F.col("status") == s, F.col("status_timestamp"))).alias(s) for s in statuses]
     g = log.groupBy("assessment_id", "dataset_id").agg(latest.alias("__l"), *per)
@@ -103,6 +117,16 @@ def status_table(log: DataFrame, statuses: Sequence[str] = STATUSES) -> DataFram
                     F.col("__l.status_timestamp").alias("Status_Timestamp"), *statuses)
 
 
+def compact_status(log: DataFrame, target: str, statuses: Sequence[str] = STATUSES,
+                   previous: DataFrame | None = None) -> DataFrame:
+    """Write the current state (from ``previous`` plus the log since) as a
+    table under ``target`` (in the shared checkpoint folder on a cluster) and
+    return it read back, so later reads start from it instead of the whole
+    log."""
+    status_table(log, statuses, previous).write.mode("errorifexists").parquet(target)
+    return log.sparkSession.read.parquet(target)
+
+
 # ---------------------------------------------------------------------------
 # T5 completeness gate
 # ---------------------------------------------------------------------------

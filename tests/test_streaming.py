@@ -98,3 +98,16 @@ def test_refresh_only_when_counts_differ(spark, tmp_path):
     got = sorted((r.refresh_id, r.status) for r in spark.read.parquet(audit).collect())
     assert got == [("r1", "REFRESHED"), ("r2", "UNCHANGED"), ("r3", "REFRESHED")]
     assert os.path.isdir(target)
+
+
+def test_status_compaction_equals_full_log(spark, tmp_path):
+    rows = [("1", "a-dataset-1", "File_Received", _t(1), 1), ("1", "a-dataset-1", "Dataset_Created", _t(2), 2),
+            ("1", "b-dataset-1", "File_Received", _t(3), 3), ("2", "a-dataset-2", "Dataset_Created", _t(4), 4),
+            ("1", "b-dataset-1", "Dataset_Created", _t(5), 5), ("1", "a-dataset-1", "File_Received", _t(6), 6)]
+    schema = "assessment_id string, dataset_id string, status string, status_timestamp timestamp, sequence long"
+    full = spark.createDataFrame(rows, schema)
+    old, new = spark.createDataFrame(rows[:3], schema), spark.createDataFrame(rows[3:], schema)
+    snap = L.compact_status(old, str(tmp_path / "state_v1"), ["File_Received", "Dataset_Created"])
+    inc = L.status_table(new, ["File_Received", "Dataset_Created"], previous=snap)
+    ref = L.status_table(full, ["File_Received", "Dataset_Created"])
+    assert sorted(tuple(r) for r in inc.collect()) == sorted(tuple(r) for r in ref.collect())
