@@ -3,8 +3,8 @@
 A run is a customer. Which expected datasets exist as files, as state rows
 or as created datasets is read from the customer's orders and line items
 (day of month of a date = position in the fixed dataset list), so the work
-grows with the tables. Report definitions are built per customer from its
-orders (visuals) and their line items (fields).
+grows with the tables. Report definitions are built one per line item
+(row-local, so none grows with a hot key) from the line and its order.
 """
 
 from __future__ import annotations
@@ -79,55 +79,60 @@ def q_publishable_sheets(spark, sf_dir):
     return P.publishable_sheets(available, P.sheet_mapping(spark))
 
 
-def customer_definitions(spark, sf_dir) -> DataFrame:
-    """One report definition (JSON text) per customer: a sheet per order
-    status, a visual per order, one measure field per line item and one
-    group-by field per order. Every nesting level is bounded by the data's
-    own fan-out (lines per order, orders per customer)."""
-    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+def line_definitions(spark, sf_dir) -> DataFrame:
+    """One report definition (JSON text) per line item, built row by row (no
+    grouping, so no document can grow with a hot key): a sheet for the
+    order's status holding one visual for the order, whose field wells carry
+    the line's two measures and the order's priority dimension."""
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
-    field = F.create_map(F.lit("NumericalMeasureField"), F.struct(
-        F.concat(F.lit("F"), F.col("l_orderkey").cast("string"), F.lit("_"),
-                 F.col("l_linenumber").cast("string")).alias("FieldId"),
-        F.struct(F.concat(F.lit("ds_"), F.col("l_returnflag")).alias("DataSetIdentifier"),
-                 F.lit("l_quantity").alias("ColumnName")).alias("Column")))
-    lines = li.groupBy("l_orderkey").agg(F.collect_list(field).alias("vals"))
-    ov = o.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    group_field = F.create_map(F.lit("CategoricalDimensionField"), F.struct(
-        F.concat(F.lit("G"), F.col("o_orderkey").cast("string")).alias("FieldId"),
-        F.struct(F.concat(F.lit("orders_"), F.col("o_orderpriority")).alias("DataSetIdentifier"),
-                 F.lit("o_orderpriority").alias("ColumnName")).alias("Column")))
-    roles = F.create_map(F.lit("Values"), F.coalesce(F.col("vals"), F.array().cast("array<map<string,struct<FieldId:string,Column:struct<DataSetIdentifier:string,ColumnName:string>>>>")),
-                         F.lit("GroupBy"), F.array(group_field))
+    j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    line_id = F.concat(F.col("l_orderkey").cast("string"), F.lit("_"), F.col("l_linenumber").cast("string"))
+
+    def field(kind, fid, ds, col):
+        return F.create_map(F.lit(kind), F.struct(fid.alias("FieldId"), F.struct(
+            ds.alias("DataSetIdentifier"), F.lit(col).alias("ColumnName")).alias("Column")))
+
+    ds = F.concat(F.lit("ds_"), F.col("l_returnflag"))
+    values = F.array(field("NumericalMeasureField", F.concat(F.lit("Q"), line_id), ds, "l_quantity"),
+                     field("NumericalMeasureField", F.concat(F.lit("P"), line_id), ds, "l_extendedprice"))
+    group = F.array(field("CategoricalDimensionField", F.concat(F.lit("G"), F.col("o_orderkey").cast("string")),
+                          F.concat(F.lit("orders_"), F.col("o_orderpriority")), "o_orderpriority"))
     vtype = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("BarChartVisual")) \
         .otherwise(F.lit("TableVisual"))
     visual = F.create_map(vtype, F.struct(
         F.concat(F.lit("V"), F.col("o_orderkey").cast("string")).alias("VisualId"),
-        F.struct(F.create_map(F.lit("AggregatedFieldWells"), roles).alias("FieldWells"))
-        .alias("ChartConfiguration")))
-    sheets = ov.groupBy("o_custkey", "o_orderstatus").agg(F.collect_list(visual).alias("Visuals"))
-    sheet = F.struct(F.concat(F.lit("S_"), F.col("o_orderstatus")).alias("SheetId"), "Visuals")
-    docs = sheets.groupBy("o_custkey").agg(F.collect_list(sheet).alias("Sheets"))
-    return docs.select(F.col("o_custkey").cast("string").alias("document"),
-                       F.to_json(F.struct("Sheets")).alias("definition"))
+        F.struct(F.create_map(F.lit("AggregatedFieldWells"),
+                              F.create_map(F.lit("Values"), values, F.lit("GroupBy"), group))
+                 .alias("FieldWells")).alias("ChartConfiguration")))
+    sheet = F.struct(F.concat(F.lit("S_"), F.col("o_orderstatus")).alias("SheetId"),
+                     F.array(visual).alias("Visuals"))
+    return j.select(F.concat(F.lit("L"), line_id).alias("document"),
+                    F.to_json(F.struct(F.array(sheet).alias("Sheets"))).alias("definition"))
 
 
 _VT = ("CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'BarChartVisual' "
        "ELSE 'TableVisual' END")
 
 
-@register("field_usage", f"""
-SELECT CAST(o.o_custkey AS VARCHAR) AS document, 'S_' || o.o_orderstatus AS sheet_id,
+_LINE = "CAST(l.l_orderkey AS VARCHAR) || '_' || CAST(l.l_linenumber AS VARCHAR)"
+_FU_COMMON = f"""'L' || {_LINE} AS document, 'S_' || o.o_orderstatus AS sheet_id,
        'V' || CAST(o.o_orderkey AS VARCHAR) AS visual_id, {_VT} AS visual_type,
-       'AggregatedFieldWells' AS well, 'Values' AS role, 'NumericalMeasureField' AS field_kind,
-       'F' || CAST(l.l_orderkey AS VARCHAR) || '_' || CAST(l.l_linenumber AS VARCHAR) AS field_id,
+       'AggregatedFieldWells' AS well"""
+
+
+@register("field_usage", f"""
+SELECT {_FU_COMMON}, 'Values' AS role, 'NumericalMeasureField' AS field_kind, 'Q' || {_LINE} AS field_id,
        'ds_' || l.l_returnflag AS dataset_identifier, 'l_quantity' AS column_name
 FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
 UNION ALL
-SELECT CAST(o.o_custkey AS VARCHAR), 'S_' || o.o_orderstatus, 'V' || CAST(o.o_orderkey AS VARCHAR), {_VT},
-       'AggregatedFieldWells', 'GroupBy', 'CategoricalDimensionField', 'G' || CAST(o.o_orderkey AS VARCHAR),
+SELECT {_FU_COMMON}, 'Values', 'NumericalMeasureField', 'P' || {_LINE}, 'ds_' || l.l_returnflag,
+       'l_extendedprice'
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+UNION ALL
+SELECT {_FU_COMMON}, 'GroupBy', 'CategoricalDimensionField', 'G' || CAST(o.o_orderkey AS VARCHAR),
        'orders_' || o.o_orderpriority, 'o_orderpriority'
-FROM orders o
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
 """)
 def q_field_usage(spark, sf_dir):
-    return P.field_usage(customer_definitions(spark, sf_dir))
+    return P.field_usage(line_definitions(spark, sf_dir))

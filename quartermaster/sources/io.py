@@ -337,11 +337,11 @@ def latest_run(files: DataFrame, required: Sequence[str], months: int = 3,
         F.element_at(F.split("path", "/"), -1).alias("name"),
         F.col("modificationTime"))
     runs = parts.filter(F.col("run_id").isNotNull())
-    req = F.array(*[F.lit(r) for r in required])
+    want = sorted(set(required))
     complete = (runs.filter(F.col("modificationTime") >= F.add_months(now, -months))
-                .filter(F.col("name").isin(list(required)))
-                .groupBy("run_id").agg(F.collect_set("name").alias("names"))
-                .filter(F.size(F.array_except(req, F.col("names"))) == 0))
+                .filter(F.col("name").isin(want))
+                .groupBy("run_id").agg(F.count_distinct("name").alias("n_required"))
+                .filter(F.col("n_required") == len(want)))
     latest = complete.agg(F.max("run_id").alias("latest_complete_run"))
     nxt = runs.select((F.max("run_id") + 1).alias("next_run_id")).scalar()
     return latest.withColumn("next_run_id", nxt)
