@@ -68,8 +68,10 @@ def join_on(left: DataFrame, right: DataFrame, lkey, rkey=None, how: str = "inne
 # J3
 def join_period(df: DataFrame, periods: DataFrame, left_key: str = "DOS_Period",
                 right_key: str = "DOS") -> DataFrame:
-    """Left join of detail rows to the period dimension (4 rows per run)."""
-    return join_on(df, periods, left_key, right_key, "left", small_rows=4 * 1024)
+    """Left join of detail rows to the period dimension (4 rows per run, so
+    it grows with the number of runs: no hint, AQE broadcasts it from its
+    measured size)."""
+    return join_on(df, periods, left_key, right_key, "left")
 
 
 # J5
@@ -389,7 +391,8 @@ def add_columns(df: DataFrame, out: str, cols: Sequence[str]) -> DataFrame:
 
 # O1
 def order_by_index(df: DataFrame, dim: DataFrame, key: str, index: str) -> DataFrame:
-    return join_on(df, dim.select(key, index), key, how="left", small_rows=1024).orderBy(index)
+    """Order rows by the dimension's index column instead of the label."""
+    return join_on(df, dim.select(key, index), key, how="left").orderBy(index)
 
 
 # O2
