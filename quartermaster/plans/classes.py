@@ -453,6 +453,9 @@ def class_vi(df: DataFrame, row_id: str | None = None, mode: str = "reference")
     labels of the period table); ``mode='corrected'`` maps them to ``POSn``.
     The first non-null value per cell is taken in source row order
     (``row_id``, else the scan order).
+    Without a row id the order is ``monotonically_increasing_id`` taken on
+    the input, which stays the same when a lost task is recomputed only if
+    the input is a direct file scan; pass a key column otherwise.
     """
     if row_id is None:
         df = df.withColumn("__row", F.monotonically_increasing_id())
@@ -520,6 +523,10 @@ def class_ix(req: DataFrame, dims: DataFrame, mode: str = "reference",
     reference: inner join (parts without dimensions disappear) and every
     base is unpivoted, so ``Feature`` tells quantities from money.
     corrected: left join.
+    ``dims_row_id`` decides which duplicate dimension row is kept.
+    Without a row id the order is ``monotonically_increasing_id`` taken on
+    the input, which stays the same when a lost task is recomputed only if
+    the input is a direct file scan; pass a key column otherwise.
     """
     req = class_ix_classify(C.rename(req, IX_RENAME))
     if dims_row_id is None:
@@ -573,6 +580,8 @@ def class_ix_long(req: DataFrame, dims: DataFrame, dims_row_id: str | None = Non
     (``Required_POS``, ``cuft``, ``sqft``); here the period requirement is the
     unpivoted ``Required`` column, volume is the catalog cube and floor area
     comes from the part's length and width (0 for sentinel sides).
+    Pass ``dims_row_id`` to fix which duplicate dimension row is kept (see
+    ``class_ix``).
     """
     req = C.rename(req, {"COLLOQUIAL_NAME": "Colloquial Name", "Location Name": "Location_Name",
                          "UNIT_OF_ISSUE": "UI", "STANDARD UNIT PRICE": "Unit_Price",
