@@ -1,6 +1,6 @@
 """Spark result vs. SQL oracle (DuckDB over the same parquet files).
 
-Compares column names, row count and the multiset of rows. Floats are
+Compares column names and types, row count and the multiset of rows. Floats are
 compared after rounding to 6 decimals; dates/timestamps as text.
 """
 
@@ -13,6 +13,10 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "boolean": "BOOLEAN"}
+
+
 def duck(sf_dir: str):
     import duckdb
     con = duckdb.connect()
@@ -58,6 +62,10 @@ def compare(spark, query_fn, sql: str, sf_dir: str, con=None):
     d_rows = res.fetchall()
     if sorted(s_names) != sorted(d_names):
         return False, f"columns differ: spark={sorted(s_names)} oracle={sorted(d_names)}"
+    d_types = {d[0]: str(d[1]) for d in res.description}
+    bad_types = [(c, t, d_types.get(c)) for c, t in sdf.dtypes if SPARK_TO_DUCK.get(t) != d_types.get(c)]
+    if bad_types:
+        return False, f"column types differ (name, spark, oracle): {bad_types}"
     if len(s_rows) != len(d_rows):
         return False, f"row count spark={len(s_rows)} oracle={len(d_rows)}"
     a, b = rows_of(s_names, s_rows), rows_of(d_names, d_rows)
