@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartermaster.llm.common import read, text_key
+from quartermaster.llm.decontamination import find_contamination
 from quartermaster.llm.near_dedup import near_duplicates
 from quartermaster.llm.packing import pack_documents
 from quartermaster.llm.quality import quality_verdicts
 from quartermaster.llm.queries import tokenizer_path
+from quartermaster.llm.secret_scan import redact, scan_secrets
 from quartermaster.session import ensure_checkpoint_dir
 
 
@@ -34,7 +36,27 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
-STAGES = [("quality rules", quality), ("near-duplicates", near_dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any benchmark window."""
+    hit = find_contamination(docs, read(spark, sf_dir, "benchmark")).filter("n_hit > 0").select(
+        F.col("doc_id").alias("id"), "row_key").distinct()
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["id"]) & (text_key("text") == hit["row_key"]), "left_anti")
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Live-looking secrets replaced by a mark; every document stays."""
+    clean = redact(docs, scan_secrets(docs))
+    return clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their place in sequences of 2048 tokens."""
+    return pack_documents(docs, tokenizer_path(), capacity=2048, end_id=0)
+
+
+STAGES = [("quality rules", quality), ("MinHash near-dedup", near_dedup), ("benchmark decontamination", decontamination),
+          ("secret scans", secrets), ("best-fit packing", packing)]
+#: No SQL form: the near-duplicate groups and the packing; tests compare each stage with a brute-force version.
 ORACLE_SQL = None
 
 

@@ -3,13 +3,20 @@ production parameters to its whole table and derives the digest columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quartermaster.llm.chat import format_conversations, read_back
 from quartermaster.llm.common import read
+from quartermaster.llm.decontamination import find_contamination
+from quartermaster.llm.html_extraction import extract_pages
 from quartermaster.llm.near_dedup import near_duplicates
 from quartermaster.llm.packing import pack_documents
+from quartermaster.llm.pii import BASE as PRIVATE_KINDS
+from quartermaster.llm.pii import find_personal_data
 from quartermaster.llm.quality import quality_verdicts
+from quartermaster.llm.secret_scan import KINDS as SECRET_KINDS
+from quartermaster.llm.secret_scan import joined, scan_secrets
 from quartermaster.llm.substring_dedup import remove_repeated_words
 from quartermaster.llm.suffix_dedup import remove_repeated_bytes
 
@@ -19,6 +26,36 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def of_kind(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+
+#: Conversation -1, whose texts are control strings.
+CONTROL_TURNS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return read_back(format_conversations(turns.union(spark.createDataFrame(CONTROL_TURNS, turns.schema))))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10)
+    return r.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                    F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(read(spark, sf_dir, "pages"))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = find_personal_data(read(spark, sf_dir, "documents"))
+    spans = F.array_join(F.filter(F.array(joined(F.col("base")), joined(F.col("added"))), lambda x: x != ""), ",")
+    return r.select("doc_id", *[of_kind("base", k[0]) for k in PRIVATE_KINDS],
+                    F.sha2(joined(F.col("base")), 256).alias("base_sha256"), spans.alias("spans"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = remove_repeated_bytes(read(spark, sf_dir, "documents"), length=400)
     return r.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"),
@@ -29,6 +66,13 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048, end_id=0)
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = scan_secrets(read(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["rank"] < len(SECRET_KINDS))
+    return r.select("doc_id", *[of_kind("spans", k[0]) for k in SECRET_KINDS], F.sha2(joined(base), 256).alias("base_sha256"),
+                    joined(F.col("spans")).alias("spans"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), words=2, threshold=0.8)
 
@@ -44,5 +88,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op5_suffix_dedup, op6_packing, op8_minhash_near_dedup, op9_substring_dedup, op10_quality_rules)}
+    op1_chat_formatting, op2_decontamination, op3_html_extraction, op4_pii, op5_suffix_dedup, op6_packing, op7_secret_scan, op8_minhash_near_dedup,
+    op9_substring_dedup, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
