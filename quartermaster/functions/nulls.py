@@ -59,8 +59,11 @@ def to_double(c) -> Column:
 
 
 def to_bigint(c) -> Column:
-    """Text -> bigint; accepts '12', ' 12 ' and '12.0' like a float parse would."""
-    return to_double(c).try_cast("bigint")
+    """Text -> bigint, exactly: '12', ' 12 ', '12.0' and '9007199254740993'
+    parse; fractional or other text becomes NULL."""
+    text = F.trim(_c(c).cast("string"))
+    whole = F.when(text.rlike(r"^[+-]?[0-9]+(\.0*)?$"), F.regexp_replace(text, r"\.0*$", ""))
+    return whole.try_cast("bigint")
 
 
 def null_safe_eq(left: Column, right: Column, match_nulls: bool) -> Column:

@@ -1,9 +1,8 @@
 """Joins, aggregates, windows, ordering and set operators.
 
 Scale rules followed here:
-* no broadcast hint unless the side has a size bound by construction
-  (``small_rows`` argument or a literal table); otherwise AQE picks broadcast
-  from the measured runtime size and falls back to a shuffled join;
+* no broadcast hints: AQE picks broadcast from the measured runtime size and
+  falls back to a shuffled join;
 * per-key "first/latest" uses ``min``/``max`` over a struct (partial
   aggregation map-side), never a window that sorts a whole hot key in one task;
 * per-row group totals are aggregate-then-join (the aggregate is small and
@@ -25,21 +24,15 @@ def _keys(k) -> list[str]:
     return [k] if isinstance(k, str) else list(k)
 
 
-def _maybe_broadcast(df: DataFrame, small_rows: int | None) -> DataFrame:
-    """Broadcast hint only for a side whose row count is bounded by construction."""
-    return F.broadcast(df) if small_rows is not None and small_rows <= 100_000 else df
-
-
 # J1 / J2 / J3 / J6
 def join_on(left: DataFrame, right: DataFrame, lkey, rkey=None, how: str = "inner",
-            match_nulls: bool = False, small_rows: int | None = None) -> DataFrame:
+            match_nulls: bool = False) -> DataFrame:
     """Equi-join; same-named keys are merged, different names are both kept.
 
     ``match_nulls`` reproduces pandas merging NaN with NaN (``<=>``, still a
     hash/sort-merge join key for Spark).
     """
     lk, rk = _keys(lkey), _keys(rkey if rkey is not None else lkey)
-    right = _maybe_broadcast(right, small_rows)
     if lk == rk and not match_nulls:
         return left.join(right, lk, how)
     lr = left.alias("__l")
@@ -65,15 +58,6 @@ def join_on(left: DataFrame, right: DataFrame, lkey, rkey=None, how: str = "inne
     return out
 
 
-# J3
-def join_period(df: DataFrame, periods: DataFrame, left_key: str = "DOS_Period",
-                right_key: str = "DOS") -> DataFrame:
-    """Left join of detail rows to the period dimension (4 rows per run, so
-    it grows with the number of runs: no hint, AQE broadcasts it from its
-    measured size)."""
-    return join_on(df, periods, left_key, right_key, "left")
-
-
 # J5
 def join_suffix(left: DataFrame, right: DataFrame, on, how: str = "inner",
                 suffixes=("_left", "_right")) -> DataFrame:
@@ -183,19 +167,12 @@ def reconcile(expected: DataFrame, files: DataFrame, state: DataFrame, key) -> D
 def contains_join(df: DataFrame, col: str, keys: Sequence[str], key_col: str = "key") -> DataFrame:
     """Pair each row with every literal key contained in ``col``.
 
-    The key list is a literal (bounded by the caller), so this is a Generate
-    + Filter on the big side: no join, no shuffle, no pair explosion beyond
-    the matches themselves.
+    The key list is a literal (bounded by the caller); it is filtered inside
+    the row before the Generate, so only matches become rows: no join, no
+    shuffle.
     """
-    out = df.withColumn(key_col, F.explode(F.array(*[F.lit(k) for k in keys])))
-    return out.filter(F.instr(q(col), F.col(key_col)) > 0)
-
-
-# J15
-def map_to_sheets(datasets: DataFrame, mapping: DataFrame, key: str = "dataset_id",
-                  order_col: str = "sort_key") -> DataFrame:
-    """Datasets -> distinct mapped rows (one dataset may map to many sheets)."""
-    return datasets.join(mapping, key, "inner").dropDuplicates()
+    found = F.filter(F.array(*[F.lit(k) for k in keys]), lambda k: F.contains(q(col), k))
+    return df.withColumn(key_col, F.explode(found))
 
 
 # A1
@@ -410,12 +387,13 @@ def head(df: DataFrame, n: int, order=None) -> DataFrame:
 # O4
 def split_keys(df: DataFrame, key: str, weights: Mapping[str, float], out: str = "split",
                seed: int = 42) -> DataFrame:
-    """Deterministic split by a hash of the key: no sort, no driver list.
+    """Deterministic split by a digest of the key: no sort, no driver list.
 
     ``weights`` maps split name -> share (shares are normalised).
     """
     total = float(sum(weights.values()))
-    bucket = F.pmod(F.xxhash64(q(key), F.lit(seed)), F.lit(10_000)).cast("double") / 10_000.0
+    text = F.concat(F.coalesce(q(key).cast("string"), F.lit("")), F.lit(f":{seed}"))
+    bucket = (F.conv(F.substring(F.sha2(text, 256), 1, 7), 16, 10).cast("bigint") % 10_000).cast("double") / 10_000.0
     e = None
     acc = 0.0
     items = list(weights.items())

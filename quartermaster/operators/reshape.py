@@ -103,19 +103,20 @@ def pivot_strict(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Seq
 
     NULL index keys are kept. ``on_duplicate='error'`` fails the job when a
     (keys, pivot value) cell holds two rows; the check rides along in the same
-    aggregation (``raise_error`` inside the aggregate expression), so it costs
-    no extra pass.
+    aggregation as a filter, which no pruning of output columns removes.
     """
-    agg = []
+    agg, most = [], []
     for v in values:
         cell = F.col(pivot_col) == F.lit(v)
         first = F.first(F.when(cell, q(value_col)), ignorenulls=True)
-        if on_duplicate == "error":
-            n = F.count(F.when(cell, F.lit(1)))
-            first = F.when(n > 1, F.raise_error(
-                F.lit(f"pivot: duplicate entries for {pivot_col}={v}"))).otherwise(first)
         agg.append(first.alias(v))
-    return df.groupBy(*_pivot_check_cols(keys)).agg(*agg)
+        most.append(F.count(F.when(cell, F.lit(1))))
+    out = df.groupBy(*_pivot_check_cols(keys))
+    if on_duplicate != "error" or not most:
+        return out.agg(*agg)
+    out = out.agg(*agg, F.greatest(*most, F.lit(0)).alias("__rows"))
+    return out.filter(F.when(F.col("__rows") > 1, F.raise_error(F.lit(f"pivot: duplicate entries for {pivot_col}")))
+                      .otherwise(True)).drop("__rows")
 
 
 # A5

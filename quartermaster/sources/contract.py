@@ -22,7 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quartermaster.functions.nulls import to_bigint
 from quartermaster.operators.columns import q
+from quartermaster.sources.io import read_text_columns
 
 SPARK_TYPE = {"STRING": "string", "INTEGER": "bigint", "DECIMAL": "double"}
 CONTRACT_TYPE = {"string": "STRING", "bigint": "INTEGER", "int": "INTEGER",
@@ -44,7 +46,7 @@ def _cast(c: Column, ctype: str, decimal_as: str) -> Column:
         return c.cast("string")
     text = F.trim(c.cast("string"))
     if ctype == "INTEGER":
-        return text.try_cast("double").try_cast("bigint")
+        return to_bigint(c)
     if ctype == "DECIMAL":
         return text.try_cast("decimal(38,4)" if decimal_as == "decimal" else "double")
     raise ValueError(f"unknown contract type {ctype}")
@@ -81,22 +83,23 @@ def tag(df: DataFrame, col: str, role: str) -> DataFrame:
 
 # P12
 def apply_projection(df: DataFrame, contract) -> DataFrame:
+    """The contract's columns in its order; an absent one is an error."""
     c = load_contract(contract)
-    proj = c.get("projection") or [col["name"] for col in c["columns"]]
-    keep = [p for p in proj if p in df.columns]
+    keep = c.get("projection") or [col["name"] for col in c["columns"]]
+    absent = [p for p in keep if p not in df.columns]
+    if absent:
+        raise ValueError(f"projected columns are absent: {absent}")
     extra = ["_bad_cells"] if "_bad_cells" in df.columns else []
     return df.select([q(p) for p in keep + extra])
 
 
 # S3
 def read_contract(spark: SparkSession, path, contract, decimal_as: str = "double") -> DataFrame:
-    """All-string physical read (no inference pass), then logical casts,
-    tags and projection."""
+    """All cells as text, the contract's columns taken by header name (a
+    missing one is an error, others are not read), then logical casts, tags
+    and projection."""
     c = load_contract(contract)
-    names = [col["name"] for col in c["columns"]]
-    physical = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = (spark.read.options(header="true", quote='"', escape='"')
-          .schema(physical).csv(path))
+    df = read_text_columns(spark, path, [col["name"] for col in c["columns"]])
     df = apply_casts(df, c, decimal_as)
     for col in c["columns"]:
         if col.get("tag"):
@@ -109,15 +112,19 @@ def cast_row(df: DataFrame, contract, decimal_as: str = "double") -> DataFrame:
     return apply_projection(apply_casts(df, contract, decimal_as), contract)
 
 
+def contract_type(kind: T.DataType) -> str:
+    """The contract type of a Spark type."""
+    t = kind.simpleString()
+    return CONTRACT_TYPE.get(t, "DECIMAL" if t.startswith("decimal") else "STRING")
+
+
 # S4
 def infer_contract(df: DataFrame, name: str, tags: Mapping[str, str] | None = None) -> dict:
     """Contract from a schema: integral -> INTEGER, fractional -> DECIMAL,
     everything else (text, boolean, dates) -> STRING."""
     cols = []
     for f in df.schema.fields:
-        t = f.dataType.simpleString()
-        ctype = CONTRACT_TYPE.get(t, "DECIMAL" if t.startswith("decimal") else "STRING")
-        entry = {"name": f.name, "type": ctype}
+        entry = {"name": f.name, "type": contract_type(f.dataType)}
         if tags and f.name in tags:
             entry["tag"] = tags[f.name]
         cols.append(entry)
@@ -135,7 +142,7 @@ def contract_diff(df: DataFrame, contract) -> DataFrame:
     """Missing / extra / type-mismatched columns of ``df`` against a contract."""
     spark = df.sparkSession
     want = contract_frame(spark, contract)
-    have_rows = [(f.name, CONTRACT_TYPE.get(f.dataType.simpleString(), "STRING"))
+    have_rows = [(f.name, contract_type(f.dataType))
                  for f in df.schema.fields if f.name != "_bad_cells"]
     have = spark.createDataFrame(have_rows, "name string, actual_type string")
     j = want.join(have, "name", "full")

@@ -10,80 +10,70 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quartermaster.functions.nulls import clean_nan, extract_or_null
+from quartermaster.functions.nulls import clean_nan, extract_or_null, to_bigint
 from quartermaster.operators.columns import q
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false"}
 
 
+def read_text_columns(spark: SparkSession, path, names: Sequence[str] | None = None,
+                      null_value: str | None = None) -> DataFrame:
+    """CSV cells as text, by the header's names. Files whose header differs
+    from the first one's fail (``enforceSchema=false``); a wanted name that
+    the header lacks is an error. Only the chosen columns are parsed."""
+    r = spark.read.options(**CSV_OPTIONS).option("enforceSchema", "false")
+    if null_value is not None:
+        r = r.option("nullValue", null_value)
+    df = r.csv([path] if isinstance(path, str) else list(path))
+    if names is None:
+        return df
+    missing = [n for n in names if n not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing from the header {df.columns}: {missing}")
+    return df.select([q(n) for n in names])
+
+
+def _typed(name: str, kind: T.DataType):
+    if isinstance(kind, T.StringType):
+        return q(name)
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return to_bigint(q(name)).try_cast(kind).alias(name)
+    return F.trim(q(name)).try_cast(kind).alias(name)
+
+
 # S1 / S2
 def read_table(spark: SparkSession, path, schema: T.StructType | str | None = None,
                columns: Sequence[str] | None = None, null_value: str | None = None,
                infer: bool = True) -> DataFrame:
-    """CSV with header. With ``schema`` no inference pass runs; ``columns``
-    prunes (the CSV parser then only materialises those fields). A Parquet
+    """CSV with header. ``schema`` names and types the wanted columns: they
+    are taken by header name (whatever the file's column order, further
+    columns ignored, a missing one an error) and cells that don't parse are
+    NULL. ``columns`` prunes. Without a schema types are inferred. A Parquet
     path is read as Parquet. NaN doubles become NULL (pandas reads NaN)."""
     paths = [path] if isinstance(path, str) else list(path)
     if all(p.endswith(".parquet") for p in paths):
         df = spark.read.parquet(*paths)
+    elif schema is not None:
+        fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        wanted = [f for f in fields if columns is None or f.name in columns]
+        df = read_text_columns(spark, paths, [f.name for f in wanted], null_value)
+        df = df.select([_typed(f.name, f.dataType) for f in wanted])
     else:
         r = spark.read.options(**CSV_OPTIONS)
         if null_value is not None:
             r = r.option("nullValue", null_value)
-        if schema is not None:
-            r = r.schema(schema)
-        elif infer:
-            r = r.option("inferSchema", "true")
-        df = r.csv(paths)
+        df = (r.option("inferSchema", "true") if infer else r).option("enforceSchema", "false").csv(paths)
     if columns is not None:
         df = df.select([q(c) for c in columns])
     return clean_nan(df)
 
 
-def read_parquet_spread(spark: SparkSession, path: str, min_bytes: int = 1 << 20) -> DataFrame:
-    """Parquet scan that never leaves the cluster idle.
-
-    A table stored as one file with one row group scans as a single task,
-    and every operator before the first shuffle (joins to broadcast
-    dimensions, unpivots that multiply rows) would run on one core. When the
-    table is not tiny but its files and bytes promise fewer splits than the
-    default parallelism, it is round-robin repartitioned to that parallelism
-    (filters and column pruning still reach the scan). A large, many-file
-    table already scans as thousands of splits, so there this is a no-op and
-    adds no shuffle. The estimate is one file-system metadata call (file
-    count and bytes), not a planning pass.
-    """
-    import math
-
-    df = spark.read.parquet(path)
-    try:
-        want = spark.sparkContext.defaultParallelism
-        files, size = _path_summary(spark, path)
-        split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", str(128 << 20)).rstrip("b"))
-        if size < min_bytes or max(files, math.ceil(size / split)) >= want:
-            return df
-    except Exception:  # no driver-side context (e.g. a remote session): plain scan
-        return df
-    # round robin (sorted locally first, so a retried task re-creates the
-    # same partitions after an executor loss)
-    return df.repartition(want)
-
-
-def _path_summary(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(file count, total bytes) under a path, from the file system's metadata."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    cs = fs.getContentSummary(hpath)
-    return int(cs.getFileCount()), int(cs.getLength())
-
-
 # S5
 def csv_to_parquet(spark: SparkSession, src, dst: str, schema: T.StructType | str,
                    null_value: str = ".", mode: str = "overwrite",
@@ -124,58 +114,66 @@ def read_many(spark: SparkSession, directory: str, glob: str, by_name: bool = Tr
 
 # S8
 def read_zip_csv(spark: SparkSession, path: str, member_pattern: str = r".*\.csv$",
-                 columns: Sequence[str] | None = None, max_archive_bytes: int = 1 << 30,
-                 chunk_rows: int = 100_000) -> DataFrame:
+                 columns: Sequence[str] | None = None, chunk_rows: int = 100_000) -> DataFrame:
     """CSV members of ZIP archives as rows of text cells.
 
-    Archives are listed first (sizes only, no bytes read). An archive above
-    ``max_archive_bytes`` (the unit one task must hold: a ZIP's member
-    directory sits at its end) is not opened; it yields one row with
-    ``error`` set instead of failing the job. The others are opened one per
-    task (``mapInPandas``) and their members are streamed in chunks of
-    ``chunk_rows`` rows as (archive, member, row_number, cells..., error).
-    ``columns`` fixes the output header; members missing a column yield NULL.
+    One archive is one unit of work (its member directory sits at its end);
+    members are streamed in chunks of ``chunk_rows`` rows as (archive,
+    member, row_number, cells, error). With ``columns`` the cells are these
+    columns (a member without one: NULL), else one map of name to text. An
+    archive or member that can't be read gives a row with ``error`` set and
+    doesn't stop the others; an archive beyond what Spark's binary source can
+    hold (2 GB) fails the job instead of being left out.
     """
     import re as _re
 
     rx = _re.compile(member_pattern)
-    cols = list(columns or [])
-    schema = T.StructType([T.StructField("archive", T.StringType()),
-                           T.StructField("member", T.StringType()),
-                           T.StructField("row_number", T.LongType())]
-                          + [T.StructField(c, T.StringType()) for c in cols]
-                          + [T.StructField("error", T.StringType())])
-    out_cols = ["archive", "member", "row_number"] + cols + ["error"]
+    cols = list(columns) if columns is not None else None
+    cells = ([T.StructField(c, T.StringType()) for c in cols] if cols is not None
+             else [T.StructField("cells", T.MapType(T.StringType(), T.StringType()))])
+    schema = T.StructType([T.StructField("archive", T.StringType()), T.StructField("member", T.StringType()),
+                           T.StructField("row_number", T.LongType()), *cells,
+                           T.StructField("error", T.StringType())])
+    names = schema.fieldNames()
+
+    def chunk(pdf, archive, member, start):
+        import pandas as pd
+        out = pd.DataFrame({"archive": archive, "member": member, "row_number": range(start, start + len(pdf))})
+        if cols is None:
+            pdf = pdf.astype(object).where(pdf.notna(), None)
+            out["cells"] = pdf.to_dict("records")
+        else:
+            for c in cols:
+                out[c] = pdf[c].values if c in pdf.columns else None
+        out["error"] = None
+        return out[names].astype({"row_number": "int64"})
+
+    def failed(archive, member, e):
+        import pandas as pd
+        row = dict.fromkeys(names) | {"archive": archive, "member": member, "error": repr(e)}
+        return pd.DataFrame([row])[names].astype({"row_number": "Int64"})
 
     def explode_members(batches):
         import pandas as pd
         for b in batches:
-            for path, content in zip(b["path"], b["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    for name in zf.namelist():
-                        if not rx.search(name):
-                            continue
-                        start = 0
-                        for pdf in pd.read_csv(zf.open(name), dtype=str, keep_default_na=False,
+            for archive, content in zip(b["path"], b["content"]):
+                try:
+                    zf = zipfile.ZipFile(io.BytesIO(content))
+                except Exception as e:  # reported, not hidden
+                    yield failed(archive, None, e)
+                    continue
+                for member in filter(rx.search, zf.namelist()):
+                    start = 0
+                    try:
+                        for pdf in pd.read_csv(zf.open(member), dtype=str, keep_default_na=False,
                                                na_values=[""], chunksize=chunk_rows):
-                            out = pd.DataFrame({"archive": path, "member": name,
-                                                "row_number": range(start, start + len(pdf))})
+                            yield chunk(pdf, archive, member, start)
                             start += len(pdf)
-                            for c in cols:
-                                out[c] = pdf[c].values if c in pdf.columns else None
-                            out["error"] = None
-                            yield out[out_cols].astype({"row_number": "int64"})
-
-    listing = (spark.read.format("binaryFile").load(path).select("path", "length"))
-    big = listing.filter(F.col("length") > max_archive_bytes).select(
-        F.col("path").alias("archive"), F.lit(None).cast("string").alias("member"),
-        F.lit(None).cast("long").alias("row_number"),
-        *[F.lit(None).cast("string").alias(c) for c in cols],
-        F.concat(F.lit("archive larger than "), F.lit(str(max_archive_bytes)),
-                 F.lit(" bytes; not opened")).alias("error"))
-    small = (spark.read.format("binaryFile").load(path)
-             .filter(F.col("length") <= max_archive_bytes).select("path", "content"))
-    return small.mapInPandas(explode_members, schema).unionByName(big)
+                    except Exception as e:  # the rows read so far stay, the error is a row
+                        yield failed(archive, member, e)
+
+    return (spark.read.format("binaryFile").load(path).select("path", "content")
+            .mapInPandas(explode_members, schema))
 
 
 # S9
@@ -200,11 +198,10 @@ def read_from_manifest(spark: SparkSession, manifest: DataFrame, schema=None) ->
 
 
 # S10
-def broadcast_dimension(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast a dimension only after checking its size; beyond ``max_rows``
-    it is returned unhinted and AQE chooses the join from runtime sizes."""
-    n = df.limit(max_rows + 1).count()  # bounded probe, stops after max_rows + 1
-    return F.broadcast(df) if n <= max_rows else df
+def bundled_dimension(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """A small table that comes with the jobs. No broadcast hint: AQE decides
+    from the measured size."""
+    return read_table(spark, path, schema=schema)
 
 
 # S11
@@ -220,15 +217,31 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
 
 
 # S12
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds a finished write (its ``_SUCCESS`` marker) or a plain file stands there."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return False
+    return bool(fs.getFileStatus(hpath).isFile() or path_exists(spark, f"{path}/_SUCCESS"))
+
+
 def materialize_if_absent(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
-    """Write only when the output does not exist yet; True when written."""
-    spark = df.sparkSession
-    if path_exists(spark, path):
+    """Write unless the finished output exists; what a failed write has left
+    is overwritten. True when written."""
+    if is_complete(df.sparkSession, path):
         return False
-    write_table(df, path, fmt=fmt, mode="errorifexists")
+    write_table(df, path, fmt=fmt, mode="overwrite")
     return True
 
 
+def materialize_missing(outputs: Mapping[str, DataFrame], fmt: str = "parquet") -> list[str]:
+    """The job form with several outputs (path -> table): nothing runs if all
+    are finished, else the unfinished ones are written. Returns their paths."""
+    return [path for path, df in outputs.items() if materialize_if_absent(df, path, fmt)]
+
+
 # S13
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -259,40 +272,33 @@ def profile_headers(spark: SparkSession, path: str) -> DataFrame:
     """One row per CSV file (or CSV member of a ZIP): path, archive, name and
     the header's column list; failures are captured in ``error``.
 
-    Plain CSVs are read as lines: the header is the first line of each
-    file's first split (``file_block_start == 0``), taken inside that split's
-    task, so no file is ever loaded whole. A ZIP has its member directory at
-    the end of the file, so each archive is opened inside one task.
+    Plain CSVs are read as lines and each file's first line is kept: the line
+    of the least running number in the file's first split, which lies in one
+    task (``min_by`` combines there). A ZIP has its member directory at the
+    end of the file, so each archive is opened inside one task.
     """
     schema = ("path string, archive string, name string, columns array<string>, "
               "error string")
-    base = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-            .select("path"))
-    csv_paths = base.filter(~F.lower("path").endswith(".zip"))
 
-    def first_lines(batches):
+    def split_headers(batches):
         import csv
 
         import pandas as pd
-        seen = set()
         for b in batches:
             rows = []
-            for fp, line in zip(b["file_path"], b["value"]):
-                if fp in seen:
-                    continue
-                seen.add(fp)
+            for fp, line in zip(b["file_path"], b["line"]):
                 try:
                     rows.append((fp, None, fp.split("/")[-1], next(csv.reader([line])), None))
                 except Exception as e:  # reported, not hidden
                     rows.append((fp, None, fp.split("/")[-1], None, repr(e)))
             yield pd.DataFrame(rows, columns=["path", "archive", "name", "columns", "error"])
 
-    lines = (spark.read.option("recursiveFileLookup", "true").text(path)
+    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(path)
              .select("value", F.col("_metadata.file_path").alias("file_path"),
                      F.col("_metadata.file_block_start").alias("start"))
-             .filter(F.col("start") == 0).drop("start")
-             .join(csv_paths.select(F.col("path").alias("file_path")), "file_path", "left_semi"))
-    plain = lines.mapInPandas(first_lines, schema)
+             .filter(F.col("start") == 0).withColumn("place", F.monotonically_increasing_id()))
+    first = lines.groupBy("file_path").agg(F.min_by("value", "place").alias("line"))
+    plain = first.mapInPandas(split_headers, schema)
 
     def zip_headers(batches):
         import csv

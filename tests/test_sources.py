@@ -41,11 +41,13 @@ def test_contract_read_tag_project_and_diff(spark, csv_dir):
     c = {"name": "POS", "columns": [{"name": "POS", "type": "STRING"}, {"name": "DOS", "type": "STRING"},
                                     {"name": "Period", "type": "INTEGER"},
                                     {"name": "Region", "type": "STRING", "tag": "STATE"}],
-         "projection": ["POS", "Period", "Region", "X"]}
+         "projection": ["POS", "Period", "Region"]}
     df = K.read_contract(spark, str(csv_dir / "run/10908/POS.csv"), c)
     assert df.columns == ["POS", "Period", "Region", "_bad_cells"]
     assert df.schema["Region"].metadata == {"tag": "STATE"}
     assert [(r.POS, r.Period) for r in df.collect()] == [("POS1", 30), ("BEYOND", 115)]
+    with pytest.raises(ValueError, match="absent"):
+        K.apply_projection(df, {"columns": [], "projection": ["POS", "X"]})
     inferred = K.infer_contract(df.drop("_bad_cells"), "POS")
     assert [x["type"] for x in inferred["columns"]] == ["STRING", "INTEGER", "STRING"]
     want = {"columns": [{"name": "POS", "type": "STRING"}, {"name": "Period", "type": "DECIMAL"},
@@ -80,9 +82,12 @@ def test_zip_members_and_header_profile(spark, tmp_path):
                            chunk_rows=1).collect()
     assert [(r.member, r.row_number, r.NIIN, r.Qty, r.Missing, r.error) for r in rows] == [
         ("a/RD_I.csv", 0, "013689154", "3", None, None), ("a/RD_I.csv", 1, "000000001", None, None, None)]
-    capped = IO.read_zip_csv(spark, str(tmp_path / "z" / "*.zip"), columns=["NIIN"],
-                             max_archive_bytes=10).collect()
-    assert len(capped) == 1 and capped[0].member is None and "not opened" in capped[0].error
+    (tmp_path / "z" / "bad.zip").write_bytes(b"not a zip")
+    whole = IO.read_zip_csv(spark, str(tmp_path / "z" / "*.zip")).collect()
+    assert sorted((r.row_number, sorted(r.cells.items())) for r in whole if r.error is None) == [
+        (0, [("NIIN", "013689154"), ("Qty", "3")]), (1, [("NIIN", "000000001"), ("Qty", None)])]
+    assert [r.archive.rsplit("/", 1)[1] for r in whole if r.error] == ["bad.zip"]
+    (tmp_path / "z" / "bad.zip").unlink()
     prof = {r.name: r.columns for r in IO.profile_headers(spark, str(tmp_path / "z")).collect()}
     assert prof == {"RD_I.csv": ["NIIN", "Qty"], "plain.csv": ["A", "B"]}
 
@@ -119,12 +124,33 @@ def test_listing_latest_run_and_ids(spark, csv_dir):
     assert parsed == [("bucket", "10908", "cosi_embark.csv", False), (None, None, None, True)]
 
 
-def test_broadcast_dimension_checks_size(spark):
-    small = spark.range(10)
-    big = spark.range(50)
-    assert "broadcast" in small.transform(lambda d: IO.broadcast_dimension(d, 20))._jdf.queryExecution() \
-        .logical().toString().lower()
-    assert "broadcast" not in IO.broadcast_dimension(big, 20)._jdf.queryExecution().logical().toString().lower()
+def test_columns_are_bound_by_header_name(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("b,extra,a\nBBB,EEE,AAA\n")
+    assert [tuple(r) for r in IO.read_table(spark, str(tmp_path / "f.csv"), schema="a string, b string").collect()] == [("AAA", "BBB")]
+    contract = {"columns": [{"name": "a", "type": "STRING"}, {"name": "b", "type": "INTEGER"}]}
+    assert [tuple(r) for r in K.read_contract(spark, str(tmp_path / "f.csv"), contract).collect()] == [("AAA", None, 1)]
+    with pytest.raises(ValueError, match="missing"):
+        IO.read_table(spark, str(tmp_path / "f.csv"), schema="a string, c string")
+    (tmp_path / "g.csv").write_text("a,extra,b\n1,2,3\n")
+    with pytest.raises(Exception):  # two files with different headers
+        IO.read_table(spark, [str(tmp_path / "f.csv"), str(tmp_path / "g.csv")], schema="a string, b string").collect()
+
+
+def test_integers_are_exact(spark):
+    df = spark.createDataFrame([("9007199254740993",), ("12.0",), ("12.7",), (" 5 ",), ("",), (None,), ("x",)], "n string")
+    c = {"columns": [{"name": "n", "type": "INTEGER"}]}
+    assert [tuple(r) for r in K.cast_row(df, c).collect()] == [
+        (9007199254740993, 0), (12, 0), (None, 1), (5, 0), (None, 0), (None, 0), (None, 1)]
+    typed = K.cast_row(df.select(F.col("n").alias("d")), {"columns": [{"name": "d", "type": "DECIMAL"}]}, decimal_as="decimal")
+    assert K.contract_diff(typed, {"columns": [{"name": "d", "type": "DECIMAL"}]}).count() == 0
+
+
+def test_unfinished_output_is_written_again(spark, tmp_path):
+    (tmp_path / "out" / "_temporary").mkdir(parents=True)
+    df = spark.range(3)
+    assert IO.materialize_missing({str(tmp_path / "out"): df, str(tmp_path / "two"): df}) == [str(tmp_path / "out"), str(tmp_path / "two")]
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+    assert IO.materialize_missing({str(tmp_path / "out"): df, str(tmp_path / "two"): df}) == []
 
 
 def test_write_table_csv_roundtrip(spark, tmp_path):
