@@ -54,7 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        # Only reached when the session names no shared folder (local runs, tests).
+        # Only reached when the session names no shared folder: local runs and tests.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="qm-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

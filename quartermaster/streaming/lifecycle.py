@@ -103,13 +103,10 @@ def status_table(log: DataFrame, statuses: Sequence[str] = STATUSES,
     latest status and the per-status maxima combine associatively."""
     if previous is not None:
         seq_type = dict(log.dtypes).get("sequence", "decimal(38,0)")
-        back = [previous.select("assessment_id", "dataset_id", F.lit(st).alias("status"),
-                                F.col(st).alias("status_timestamp"),
-                                F.lit(None).cast(seq_type).alias("sequence"))
-                .filter(F.col("status_timestamp").isNotNull()) for st in statuses]
-        for b in back:
-            log = log.select("assessment_id", "dataset_id", "status", "status_timestamp",
-                             "sequence").unionByName(b)
+        stamps = F.array(*[F.struct(F.lit(s).alias("status"), F.col(s).alias("status_timestamp")) for s in statuses])
+        back = previous.select("assessment_id", "dataset_id", F.inline(stamps)).filter(
+            F.col("status_timestamp").isNotNull()).withColumn("sequence", F.lit(None).cast(seq_type))
+        log = log.select("assessment_id", "dataset_id", "status", "status_timestamp", "sequence").unionByName(back)
     latest = F.max(F.struct("status_timestamp", "sequence", "status"))
     per = [F.max(F.when(F.col("status") == s, F.col("status_timestamp"))).alias(s) for s in statuses]
     g = log.groupBy("assessment_id", "dataset_id").agg(latest.alias("__l"), *per)
@@ -150,9 +147,10 @@ def completeness_gate(events: DataFrame, expected: Sequence[str], key: str = "as
     """Streaming gate: emit one row (run, 'DATASETS_SYNCED!', n) the first
     time a run has seen every expected item; never again for that run.
 
-    State per run is the set of expected items seen so far plus the
-    emitted flag, so it is bounded by the expected list (not by the number
-    of events). Events outside the list are dropped before the state step.
+    Events outside the list are dropped and repeated (run, item) pairs removed
+    before the state step, so at most the expected items of a run reach it.
+    State per run is the set of items seen so far, and only the emitted flag
+    once the signal is out.
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -175,9 +173,10 @@ def completeness_gate(events: DataFrame, expected: Sequence[str], key: str = "as
         if not emitted and want_set <= seen:
             emitted = True
             yield pd.DataFrame({key: [str(k[0])], "signal": [SYNCED_SIGNAL], "n_items": [len(seen)]})
-        state.update((sorted(seen), emitted))
+        state.update(([] if emitted else sorted(seen), emitted))
 
     src = events.filter(F.col(item).isin(want)).select(F.col(key).cast("string").alias(key), item)
+    src = src.dropDuplicates([key, item])
     return src.groupBy(key).applyInPandasWithState(gate, out_schema, state_schema, "append",
                                                    GroupStateTimeout.NoTimeout)
 
@@ -191,15 +190,18 @@ def refresh_if_changed(source: DataFrame, target_path: str, audit_path: str, ref
     and append an audit row (id, status, rows). Returns whether it refreshed.
 
     The two counts are aggregates (a driver receives two numbers); the copy
-    itself is a distributed write to a new version folder, so readers never
+    is a distributed write to the next version folder under ``target_path``.
+    Readers take ``current_version``, the newest finished one, so they never
     see a half-written target.
     """
     spark = source.sparkSession
     n_src = source.count()
-    n_dst = _count_or_none(spark, target_path, fmt)
+    now = current_version(spark, target_path)
+    n_dst = None if now is None else spark.read.format(fmt).load(now).count()
     changed = n_dst is None or n_src != n_dst
     if changed:
-        source.write.mode("overwrite").format(fmt).save(target_path)
+        number = 1 if now is None else int(now.rsplit("-", 1)[1]) + 1
+        source.write.mode("overwrite").format(fmt).save(f"{target_path}/version-{number:09d}")
     audit = spark.createDataFrame(
         [(refresh_id, "REFRESHED" if changed else "UNCHANGED", n_src, n_dst)],
         "refresh_id string, status string, source_rows long, target_rows long")
@@ -207,11 +209,18 @@ def refresh_if_changed(source: DataFrame, target_path: str, audit_path: str, ref
     return changed
 
 
-def _count_or_none(spark, path, fmt):
+def current_version(spark, target_path: str) -> str | None:
+    """Path of the newest finished version under ``target_path``, if any."""
     from quartermaster.sources.io import path_exists
-    if not path_exists(spark, path):
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(target_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
         return None
-    return spark.read.format(fmt).load(path).count()
+    paths = sorted(f"{target_path}/{s.getPath().getName()}" for s in fs.listStatus(root)
+                   if s.getPath().getName().startswith("version-"))
+    done = [p for p in paths if path_exists(spark, f"{p}/_SUCCESS")]
+    return done[-1] if done else None
 
 
 def append_audit(rows: DataFrame, path: str) -> None:
@@ -244,8 +253,7 @@ def skip_processed(events: DataFrame, state: DataFrame, keys: Sequence[str] = ("
 def run_lifecycle(spark: SparkSession, events_dir: str, base: str,
                   expected: Sequence[str], item_expr=None,
                   statuses: Sequence[str] = ("Dataset_Created",),
-                  max_files_per_trigger: int = 1, timeout_s: int = 600,
-                  gate: bool = True, state_partitions: int | None = None) -> Mapping[str, str]:
+                  max_files_per_trigger: int = 1, gate: bool = True, state_partitions: int | None = None) -> Mapping[str, str]:
     """Replay the change events in ``events_dir`` through the lifecycle:
 
     1. events of kind INSERT / MODIFY (T4) are appended to the status log
@@ -286,9 +294,19 @@ def run_lifecycle(spark: SparkSession, events_dir: str, base: str,
                            .trigger(availableNow=True).start())
         finally:
             spark.conf.set(key, before)
-    for s in started:
-        s.awaitTermination(timeout_s)
-        if s.exception() is not None:
-            raise RuntimeError(f"lifecycle stream failed: {s.exception()}")
-        s.stop()
+    wait_until_done(started)
     return paths
+
+
+def wait_until_done(started) -> None:
+    """Wait until every query has processed all there is. A query that fails
+    or was stopped before is an error, and the others are stopped with it."""
+    try:
+        for s in started:
+            s.awaitTermination()  # raises the query's own error
+            if s.isActive or s.exception() is not None:
+                raise RuntimeError(f"stream {s.name or s.id} did not finish: {s.exception()}")
+    finally:
+        for s in started:
+            if s.isActive:
+                s.stop()

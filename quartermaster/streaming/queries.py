@@ -4,8 +4,9 @@ events derived from the ``events`` table.
 A user is a run, an event type a dataset ('error' events only mark the file
 as received, the others create the dataset), small values are REMOVE events
 that the lifecycle ignores. The derived events are written as JSON lines
-(four time-ordered files) under the session's checkpoint folder and replayed
-one file per micro-batch with ``availableNow``.
+(time-ordered files, as many as the shuffle makes) under the session's
+checkpoint folder and replayed with ``availableNow``, some files per
+micro-batch.
 """
 
 from __future__ import annotations
@@ -25,14 +26,14 @@ CREATED_TYPES = ["click", "purchase", "signup", "view"]
 GATE_SCHEMA = "assessment_id string, signal string, n_items int"
 
 
-def write_change_events(spark, sf_dir, path: str, files: int = 4) -> str:
+def write_change_events(spark, sf_dir, path: str) -> str:
     ev = t(spark, sf_dir, "events")
     status = F.when(F.col("event_type") == "error", F.lit("File_Received")).otherwise(F.lit("Dataset_Created"))
     kind = (F.when(F.col("value") < 5, F.lit("REMOVE")).when(F.col("value") > 50, F.lit("MODIFY"))
             .otherwise(F.lit("INSERT")))
     rec = change_event(F.col("user_id"), F.concat_ws("-dataset-", "event_type", F.col("user_id").cast("string")),
                        status, F.col("ts"), kind, F.col("event_id"), F.col("event_id"))
-    (ev.select("ts", F.to_json(rec).alias("value")).repartitionByRange(files, "ts")
+    (ev.select("ts", F.to_json(rec).alias("value")).repartitionByRange("ts")
      .select("value").write.mode("errorifexists").text(path))
     return path
 
@@ -40,7 +41,7 @@ def write_change_events(spark, sf_dir, path: str, files: int = 4) -> str:
 def _replay(spark, sf_dir, gate: bool = True):
     base = L.state_base(spark, "qm-lifecycle")
     events_dir = write_change_events(spark, sf_dir, os.path.join(base, "events"))
-    return L.run_lifecycle(spark, events_dir, base, CREATED_TYPES, gate=gate,
+    return L.run_lifecycle(spark, events_dir, base, CREATED_TYPES, gate=gate, max_files_per_trigger=32,
                            state_partitions=spark.sparkContext.defaultParallelism)
 
 

@@ -4,6 +4,8 @@ files; replaying the same files must not change the state."""
 import datetime as dt
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from quartermaster.streaming import lifecycle as L
@@ -97,7 +99,27 @@ def test_refresh_only_when_counts_differ(spark, tmp_path):
     assert L.refresh_if_changed(spark.range(4), target, audit, "r3") is True
     got = sorted((r.refresh_id, r.status) for r in spark.read.parquet(audit).collect())
     assert got == [("r1", "REFRESHED"), ("r2", "UNCHANGED"), ("r3", "REFRESHED")]
-    assert os.path.isdir(target)
+    assert L.current_version(spark, target).endswith("version-000000002")
+    os.makedirs(os.path.join(target, "version-000000003", "_temporary"))  # a failed write is not the current version
+    assert spark.read.parquet(L.current_version(spark, target)).count() == 4
+
+
+def test_stopped_stream_is_an_error(spark, tmp_path):
+    class Stopped:
+        isActive, name, id = True, "s", 1
+
+        def awaitTermination(self):
+            return None
+
+        def exception(self):
+            return None
+
+        def stop(self):
+            self.isActive = False
+    s = Stopped()
+    with pytest.raises(RuntimeError, match="did not finish"):
+        L.wait_until_done([s])
+    assert not s.isActive
 
 
 def test_status_compaction_equals_full_log(spark, tmp_path):
