@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quartermaster.functions.nulls import extract_or_null
-from quartermaster.functions.scalar import cube_feet, lookup, square_feet, text_bool
+from quartermaster.functions.scalar import cents, cube_feet, from_cents, lookup, square_feet, text_bool
 from quartermaster.operators import columns as C
 from quartermaster.operators import relational as R
 from quartermaster.operators import reshape as S
@@ -111,7 +111,8 @@ FORCE_FLOW_COLUMNS = [
 
 
 def _period_join(df: DataFrame, periods: DataFrame) -> DataFrame:
-    """Left join on the period label; per run when both sides carry the run id."""
+    """Left join on the period label; per run when both sides carry the run
+    id. Detail without the run id must not meet the periods of several runs."""
     # No hint: the period table is tiny in practice but not bounded by
     # construction; AQE broadcasts it from its measured size.
     if "AssessmentNumber" in periods.columns and "AssessmentNumber" in df.columns:
@@ -119,6 +120,8 @@ def _period_join(df: DataFrame, periods: DataFrame) -> DataFrame:
         j = df.join(p, (df["AssessmentNumber"] == p["__run"])
                     & (df["DOS_Period"] == p["DOS"]), "left")
         return j.drop("__run")
+    if "AssessmentNumber" in periods.columns:
+        periods = _keys_once(periods, ["DOS"])
     return R.join_on(df, periods, "DOS_Period", "DOS", "left")
 
 
@@ -196,12 +199,15 @@ def class_i(df: DataFrame, plan: str = "restack", on_duplicate: str = "error") -
     """Wide pallet requirement -> one row per (location, ration type, period).
 
     ``plan='restack'`` turns each wide row into its 4 period rows with one
-    ``inline`` (no shuffle; valid because the source is one row per key).
+    ``inline``; a repeated key is an error found by one aggregate of the keys
+    alone (``on_duplicate='keep'`` leaves it out).
     ``plan='pivot'`` is the literal melt -> parse -> strict pivot, which
     shuffles once on the keys and fails on a duplicate key like the source.
     """
     df = class_i_prepare(df)
     if plan == "restack":
+        if on_duplicate == "error":
+            df = _keys_once(df, CLASS_I_KEYS)
         long = _class_i_restack(df)
     else:
         value_cols = [c for c in df.columns if _match_period_metric(c)]
@@ -224,6 +230,14 @@ def _match_period_metric(c: str):
     return (m.group(1), m.group(2)) if m else None
 
 
+def _keys_once(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows, failing if a key occurs twice (a scalar subquery in a filter,
+    so that no pruning removes the check)."""
+    again = df.groupBy(*[q(k) for k in keys]).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeated = again.agg(F.count(F.lit(1))).scalar()
+    return df.filter(F.when(repeated > 0, F.raise_error(F.lit(f"repeated keys {', '.join(keys)}"))).otherwise(True))
+
+
 def _class_i_restack(df: DataFrame) -> DataFrame:
     cells = {}
     for c in df.columns:
@@ -637,7 +651,7 @@ def aggregated_classes(outputs: Sequence[DataFrame], keep: Sequence[str] = (),
         d = C.upper_columns(d, strip=True)
         d = C.conform(d, cols, fill=0)
         d = d.select([q(c).cast("double").alias(c) if c in UNION_MEASURES
-                      else q(c).cast("string").alias(c) if c in UNION_COLUMNS else q(c)
+                      else q(c).cast("string").alias(c) if c in UNION_COLUMNS or c == "REGION_MEF_LEAD" else q(c)
                       for c in cols])
         if class_labels is not None:
             d = d.withColumn("CLASS_OF_SUPPLY", F.lit(class_labels[i]))
@@ -648,9 +662,10 @@ def aggregated_classes(outputs: Sequence[DataFrame], keep: Sequence[str] = (),
     return C.fill_zero(out)
 
 
-def read_class_outputs(spark, paths: Sequence[str]) -> tuple[list[DataFrame], list[tuple[str, str]]]:
-    """Open each class output; a failing file is reported and skipped (the
-    union still runs), mirroring the source job."""
+def read_class_outputs(spark, paths: Sequence[str], mode: str = "corrected") -> tuple[list[DataFrame], list[tuple[str, str]]]:
+    """Open each class output. A file that can't be read is an error; in
+    ``mode='reference'`` it is reported and skipped (the union still runs),
+    like the source job."""
     from quartermaster.sources.io import read_table
     ok, failed = [], []
     for p in paths:
@@ -658,27 +673,36 @@ def read_class_outputs(spark, paths: Sequence[str]) -> tuple[list[DataFrame], li
             df = read_table(spark, p)
             df.schema  # noqa: B018 - forces analysis so a bad file fails here
             ok.append(df)
-        except Exception as e:  # reported to the caller, never hidden
+        except Exception as e:
+            if mode != "reference":
+                raise
             failed.append((p, repr(e)))
     return ok, failed
 
 
-def class_rollup(union: DataFrame, dims: Sequence[str] = ("REGION", "LOCATION_NAME", "POS"),
+def class_rollup(union: DataFrame, dims: Sequence[str] = ("REGION", "LOCATION_NAME", "REGION_MEF_LEAD", "POS"),
                  measures: Sequence[str] = UNION_MEASURES) -> DataFrame:
-    """Region -> location -> period roll-up of the class union's measures
-    (summed at the finest grain first, then rolled up)."""
-    return R.rollup_sums(union, list(dims), {m: m for m in measures}, count_col="N_ROWS")
+    """Region -> location -> lead -> period roll-up of the class union's
+    measures (summed in whole cents at the finest grain first, then rolled
+    up). The union has to carry the lead (``keep=['REGION_MEF_LEAD']``)."""
+    u = union.withColumns({f"__c_{m}": cents(m) for m in measures})
+    out = R.rollup_sums(u, list(dims), {m: f"__c_{m}" for m in measures}, count_col="N_ROWS")
+    return out.withColumns({m: from_cents(m) for m in measures})
 
 
-def compare_runs(union: DataFrame, run_col: str, runs: Sequence, base,
-                 keys: Sequence[str] = ("CLASS_OF_SUPPLY", "REGION", "POS"),
+def compare_runs(union: DataFrame, run_col: str, base, keys: Sequence[str] = ("CLASS_OF_SUPPLY", "REGION", "POS"),
                  measure: str = "TOTAL_COST") -> DataFrame:
-    """One row per (class, region, period): the measure of each run side by
-    side and its difference to the ``base`` run."""
-    runs = list(runs)
-    wide = union.groupBy(*[q(k) for k in keys]).pivot(run_col, runs).agg(F.sum(q(measure)))
-    for r in runs:
-        if r != base:
-            wide = wide.withColumn(f"diff_{r}", F.coalesce(q(str(r)), F.lit(0.0))
-                                   - F.coalesce(q(str(base)), F.lit(0.0)))
-    return wide
+    """One row per (class, region, period, run) of any run in the union: the
+    run's sum of the measure, the ``base`` run's, and the difference (a
+    missing sum counts as 0)."""
+    ks = list(keys)
+    sums = union.groupBy(*[q(k) for k in [*ks, run_col]]).agg(F.sum(q(measure)).alias(measure))
+    of_base = sums.filter(q(run_col) == F.lit(base)).select(
+        *[q(k).alias(f"__{k}") for k in ks], q(measure).alias(f"base_{measure}"))
+    same = None
+    for k in ks:
+        e = q(k).eqNullSafe(q(f"__{k}"))
+        same = e if same is None else same & e
+    out = sums.join(of_base, same, "left").drop(*[f"__{k}" for k in ks])
+    zero = F.lit(0)
+    return out.withColumn(f"diff_{measure}", F.coalesce(q(measure), zero) - F.coalesce(q(f"base_{measure}"), zero))

@@ -515,11 +515,11 @@ def class_outputs(spark, sf_dir) -> list[DataFrame]:
     return [QUERIES[n](spark, sf_dir) for n in UNION_PARTS]
 
 
-def _union_sql() -> str:
+def _union_sql(lead: bool = False) -> str:
     parts = []
     for n in UNION_PARTS:
         sql = ORACLE_SQL[n]
-        sel = []
+        sel = [f"coalesce(CAST({'REGION_MEF_LEAD' if n not in _NO_LEAD else 'NULL'} AS VARCHAR), '0') AS REGION_MEF_LEAD"] if lead else []
         for c in X.UNION_COLUMNS:
             has = _has_output(n, c)
             if c in X.UNION_MEASURES:
@@ -530,6 +530,8 @@ def _union_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+# class outputs without a lead
+_NO_LEAD = {"class_ix"}
 # measures each class output does not produce (they become 0 in the union)
 _ABSENT = {"class_i": {"SQFT"}, "pallet_calc": {"SQFT"}, "class_iv": {"SQFT"}, "class_vi": {"SQFT"},
            "class_ix": {"TEUS"}}
@@ -544,38 +546,29 @@ def q_aggregated_embark(spark, sf_dir):
     return X.aggregated_classes(class_outputs(spark, sf_dir))
 
 
-_ROLLUP_DIMS = ["REGION", "LOCATION_NAME", "POS"]
+_ROLLUP_DIMS = ["REGION", "LOCATION_NAME", "REGION_MEF_LEAD", "POS"]
 
 
-@register("embark_rollup", "WITH u AS (" + _union_sql() + ")\nSELECT REGION, LOCATION_NAME, POS, " + ", ".join(
+@register("embark_rollup", "WITH u AS (" + _union_sql(lead=True) + ")\nSELECT " + ", ".join(_ROLLUP_DIMS) + ", " + ", ".join(
     f"CAST(sum(CAST(round({m} * 100) AS BIGINT)) AS DOUBLE) / 100 AS {m}" for m in X.UNION_MEASURES)
-    + ", CAST(count(*) AS BIGINT) AS N_ROWS, CAST(GROUPING(REGION, LOCATION_NAME, POS) AS BIGINT) AS grouping_level"
-    + "\nFROM u GROUP BY ROLLUP (REGION, LOCATION_NAME, POS)")
+    + f", CAST(count(*) AS BIGINT) AS N_ROWS, CAST(GROUPING({', '.join(_ROLLUP_DIMS)}) AS BIGINT) AS grouping_level"
+    + f"\nFROM u GROUP BY ROLLUP ({', '.join(_ROLLUP_DIMS)})")
 def q_embark_rollup(spark, sf_dir):
-    u = X.aggregated_classes(class_outputs(spark, sf_dir))
-    u = u.withColumns({f"__c_{m}": cents(m) for m in X.UNION_MEASURES})
-    out = R.rollup_sums(u, _ROLLUP_DIMS, {m: f"__c_{m}" for m in X.UNION_MEASURES}, count_col="N_ROWS")
-    return out.withColumns({m: from_cents(m) for m in X.UNION_MEASURES})
+    return X.class_rollup(X.aggregated_classes(class_outputs(spark, sf_dir), keep=["REGION_MEF_LEAD"]), _ROLLUP_DIMS)
 
 
-RUN_YEARS = list(range(1995, 2002))
+BASE_RUN = 1995
 
 
-_SUM_Y = "sum(tc) FILTER (WHERE ASSESSMENTNUMBER = {y})"
-
-
-@register("compare_runs", "WITH c AS (" + RATION_SQL + "),\nk AS (SELECT CLASS_OF_SUPPLY, REGION, POS, "
-          "ASSESSMENTNUMBER, CAST(round(TOTAL_COST * 100) AS BIGINT) AS tc FROM c)\n"
-          "SELECT CLASS_OF_SUPPLY, REGION, POS, " + ", ".join(
-              f"CAST({_SUM_Y.format(y=y)} AS DOUBLE) / 100 AS \"{y}\"" for y in RUN_YEARS) + ", " + ", ".join(
-              f"CAST(coalesce({_SUM_Y.format(y=y)}, 0) - coalesce({_SUM_Y.format(y=RUN_YEARS[0])}, 0) AS DOUBLE)"
-              f" / 100 AS diff_{y}" for y in RUN_YEARS[1:])
-          + "\nFROM k GROUP BY CLASS_OF_SUPPLY, REGION, POS")
+@register("compare_runs", "WITH c AS (" + RATION_SQL + "),\ns AS (SELECT CLASS_OF_SUPPLY, REGION, POS, ASSESSMENTNUMBER, "
+          "CAST(sum(CAST(round(TOTAL_COST * 100) AS BIGINT)) AS BIGINT) AS tc FROM c GROUP BY ALL)\n"
+          f"""SELECT s.CLASS_OF_SUPPLY, s.REGION, s.POS, s.ASSESSMENTNUMBER, s.tc, b.tc AS base_tc,
+       coalesce(s.tc, 0) - coalesce(b.tc, 0) AS diff_tc
+FROM s LEFT JOIN s b ON b.ASSESSMENTNUMBER = {BASE_RUN} AND s.CLASS_OF_SUPPLY IS NOT DISTINCT FROM b.CLASS_OF_SUPPLY
+     AND s.REGION IS NOT DISTINCT FROM b.REGION AND s.POS IS NOT DISTINCT FROM b.POS""")
 def q_compare_runs(spark, sf_dir):
     c = X.class_i(ration_requirements(spark, sf_dir)).withColumn("tc", cents("TOTAL_COST"))
-    w = X.compare_runs(c, "ASSESSMENTNUMBER", RUN_YEARS, RUN_YEARS[0], measure="tc")
-    money = [str(y) for y in RUN_YEARS] + [f"diff_{y}" for y in RUN_YEARS[1:]]
-    return w.withColumns({m: from_cents(m) for m in money})
+    return X.compare_runs(c, "ASSESSMENTNUMBER", BASE_RUN, measure="tc")
 
 
 # ---------------------------------------------------------------------------

@@ -142,9 +142,7 @@ def publishable_sheets(available: DataFrame, mapping: DataFrame,
     mapping (one dataset may feed several sheets), distinct per run, with
     the sheet's position in the report order. ``available`` holds (run,
     stem) for datasets whose state row has a creation stamp."""
-    from quartermaster.sources.io import broadcast_dimension
-    m = broadcast_dimension(mapping, max_rows=10_000)  # hinted only after a bounded size check
-    j = available.select(q(run_col), "stem").join(m, "stem")
+    j = available.select(q(run_col), "stem").join(mapping, "stem")
     return j.select(q(run_col), "sheet_order", "sheet_name").distinct()
 
 

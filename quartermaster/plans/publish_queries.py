@@ -2,7 +2,8 @@
 
 A run is a customer. Which expected datasets exist as files, as state rows
 or as created datasets is read from the customer's orders and line items
-(day of month of a date = position in the fixed dataset list), so the work
+(day of month of a date, modulo the list's length = position in the fixed
+dataset list), so the work
 grows with the tables. Report definitions are built one per line item
 (row-local, so none grows with a hot key) from the line and its order.
 """
@@ -25,6 +26,11 @@ def _stem_at(stems, idx):
     return F.try_element_at(F.array(*[F.lit(s) for s in stems]), idx)
 
 
+def _position(date: str, stems):
+    """Day of month, modulo the list's length: every row has a place in it."""
+    return F.dayofmonth(date) % len(stems) + 1
+
+
 def _pairs(df: DataFrame, run, idx, stems) -> DataFrame:
     out = df.select(run.alias("assessment_id"), _stem_at(stems, idx).alias("stem"))
     out = out.filter(F.col("stem").isNotNull()).distinct()
@@ -40,9 +46,9 @@ WITH stems AS (SELECT * FROM (VALUES {_values_sql(EXPECTED_STEMS)}) AS v(idx, st
 runs AS (SELECT DISTINCT o_custkey AS assessment_id FROM orders),
 e AS (SELECT r.assessment_id, s.stem FROM runs r CROSS JOIN stems s),
 f AS (SELECT DISTINCT o.o_custkey AS assessment_id, s.stem FROM orders o
-      JOIN stems s ON dayofmonth(o.o_orderdate) = s.idx),
+      JOIN stems s ON dayofmonth(o.o_orderdate) % {len(EXPECTED_STEMS)} + 1 = s.idx),
 st AS (SELECT DISTINCT o.o_custkey AS assessment_id, s.stem FROM lineitem l
-       JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN stems s ON dayofmonth(l.l_shipdate) = s.idx),
+       JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN stems s ON dayofmonth(l.l_shipdate) % {len(EXPECTED_STEMS)} + 1 = s.idx),
 d AS (SELECT e.assessment_id, f.stem IS NOT NULL AS hf, st.stem IS NOT NULL AS hs FROM e
       LEFT JOIN f ON e.assessment_id = f.assessment_id AND e.stem = f.stem
       LEFT JOIN st ON e.assessment_id = st.assessment_id AND e.stem = st.stem)
@@ -56,10 +62,10 @@ def q_reconcile_datasets(spark, sf_dir):
     o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     runs = o.select(F.col("o_custkey").alias("assessment_id")).distinct()
     expected = P.expected_datasets(runs)
-    files = _pairs(o, F.col("o_custkey"), F.dayofmonth("o_orderdate"), EXPECTED_STEMS)
+    files = _pairs(o, F.col("o_custkey"), _position("o_orderdate", EXPECTED_STEMS), EXPECTED_STEMS)
     li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate")
     lo = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-    state = _pairs(lo, F.col("o_custkey"), F.dayofmonth("l_shipdate"), EXPECTED_STEMS)
+    state = _pairs(lo, F.col("o_custkey"), _position("l_shipdate", EXPECTED_STEMS), EXPECTED_STEMS)
     _, verdict = P.reconcile_datasets(expected, files, state)
     return verdict
 
@@ -69,13 +75,13 @@ WITH stems AS (SELECT * FROM (VALUES {_values_sql(MAPPED_STEMS)}) AS v(idx, stem
 m AS (SELECT * FROM (VALUES {", ".join(f"('{d}', '{s}', {P.SHEET_ORDER.index(s) + 1})"
                                        for d, s in P.DATASET_SHEETS)}) AS v(stem, sheet_name, sheet_order)),
 a AS (SELECT DISTINCT o.o_custkey AS assessment_id, s.stem FROM orders o
-      JOIN stems s ON dayofmonth(o.o_orderdate) = s.idx WHERE o.o_orderstatus = 'F')
+      JOIN stems s ON dayofmonth(o.o_orderdate) % {len(MAPPED_STEMS)} + 1 = s.idx WHERE o.o_orderstatus = 'F')
 SELECT DISTINCT a.assessment_id, CAST(m.sheet_order AS INTEGER) AS sheet_order, m.sheet_name
 FROM a JOIN m ON a.stem = m.stem
 """)
 def q_publishable_sheets(spark, sf_dir):
     o = t(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
-    available = _pairs(o, F.col("o_custkey"), F.dayofmonth("o_orderdate"), MAPPED_STEMS)
+    available = _pairs(o, F.col("o_custkey"), _position("o_orderdate", MAPPED_STEMS), MAPPED_STEMS)
     return P.publishable_sheets(available, P.sheet_mapping(spark))
 
 

@@ -48,9 +48,8 @@ def register(name: str, sql: str | None = None):
 
 
 def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A shared test table, spread over the cluster's cores when its file
-    layout would scan as a single task (see ``read_parquet_spread``)."""
-    return IO.read_parquet_spread(spark, f"{sf_dir}/{name}.parquet")
+    """A shared test table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def r4(df: DataFrame, cols) -> DataFrame:
@@ -821,10 +820,15 @@ def q_row_count_gate(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Set operations and splits
 # ---------------------------------------------------------------------------
-@register("set_difference", "SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem")
+@register("set_difference", """
+SELECT p_brand AS brand, p_size AS quantity FROM part
+EXCEPT SELECT p_brand, CAST(l_quantity AS INTEGER) FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R'
+""")
 def q_set_difference(spark, sf_dir):
-    return R.set_difference(t(spark, sf_dir, "part").select("p_partkey"),
-                            t(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey")))
+    part = t(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("brand"), F.col("p_size").cast("int").alias("quantity"))
+    back = t(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R").select("l_partkey", F.col("l_quantity").cast("int").alias("quantity"))
+    sold = back.join(part.select("p_partkey", "brand"), F.col("l_partkey") == F.col("p_partkey")).select("brand", "quantity")
+    return R.set_difference(part.select("brand", "quantity"), sold)
 
 
 @register("distinct_union", """
@@ -836,7 +840,11 @@ def q_distinct_union(spark, sf_dir):
         t(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nationkey")))
 
 
-@register("hash_split")
+@register("hash_split", """
+SELECT p_partkey, CASE WHEN CAST('0x' || substr(sha256(CAST(p_partkey AS VARCHAR) || ':42'), 1, 7) AS BIGINT) % 10000 / 10000.0 < 0.85
+            THEN 'train' ELSE 'test' END AS split
+FROM part
+""")
 def q_hash_split(spark, sf_dir):
     return R.split_keys(t(spark, sf_dir, "part").select("p_partkey"), "p_partkey",
                         {"train": 0.85, "test": 0.15})
@@ -867,44 +875,50 @@ EVENTS_CONTRACT = {"name": "events_text",
                    "projection": ["event_id", "user_id", "value", "event_type"]}
 
 
-@register("cast_contract", """
-WITH r AS (SELECT CAST(event_id AS VARCHAR) AS e, CAST(user_id AS VARCHAR) AS u,
+_WHOLE = "^[+-]?[0-9]+(\\.0*)?$"
+
+
+def _int_sql(c: str) -> str:
+    return f"CASE WHEN regexp_matches(trim({c}), '{_WHOLE}') THEN TRY_CAST(regexp_replace(trim({c}), '\\.0*$', '') AS BIGINT) END"
+
+
+@register("cast_contract", f"""
+WITH r AS (SELECT CASE event_id % 4 WHEN 0 THEN CAST(9007199254740993 + event_id AS VARCHAR)
+                  WHEN 1 THEN CAST(event_id AS VARCHAR) || '.0' WHEN 2 THEN CAST(event_id AS VARCHAR) || '.7'
+                  ELSE ' ' || CAST(event_id AS VARCHAR) END AS e, CAST(user_id AS VARCHAR) AS u,
                   CASE WHEN event_type = 'error' THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS v,
                   event_type FROM events)
-SELECT TRY_CAST(TRY_CAST(trim(e) AS DOUBLE) AS BIGINT) AS event_id,
-       TRY_CAST(TRY_CAST(trim(u) AS DOUBLE) AS BIGINT) AS user_id,
+SELECT {_int_sql('e')} AS event_id, {_int_sql('u')} AS user_id,
        TRY_CAST(trim(v) AS DOUBLE) AS value, event_type,
-       CAST((CASE WHEN trim(e) IS NOT NULL AND trim(e) <> ''
-                   AND TRY_CAST(TRY_CAST(trim(e) AS DOUBLE) AS BIGINT) IS NULL THEN 1 ELSE 0 END)
-          + (CASE WHEN trim(u) IS NOT NULL AND trim(u) <> ''
-                   AND TRY_CAST(TRY_CAST(trim(u) AS DOUBLE) AS BIGINT) IS NULL THEN 1 ELSE 0 END)
-          + (CASE WHEN trim(v) IS NOT NULL AND trim(v) <> '' AND TRY_CAST(trim(v) AS DOUBLE) IS NULL
-                  THEN 1 ELSE 0 END) AS INTEGER) AS _bad_cells
+       CAST((CASE WHEN trim(e) <> '' AND {_int_sql('e')} IS NULL THEN 1 ELSE 0 END)
+          + (CASE WHEN trim(u) <> '' AND {_int_sql('u')} IS NULL THEN 1 ELSE 0 END)
+          + (CASE WHEN trim(v) <> '' AND TRY_CAST(trim(v) AS DOUBLE) IS NULL THEN 1 ELSE 0 END) AS INTEGER) AS _bad_cells
 FROM r
 """)
 def q_cast_contract(spark, sf_dir):
-    ev = t(spark, sf_dir, "events")
-    raw = ev.select(F.col("event_id").cast("string").alias("event_id"),
-                    F.col("user_id").cast("string").alias("user_id"),
+    ev, e = t(spark, sf_dir, "events"), F.col("event_id").cast("string")
+    text = (F.when(F.col("event_id") % 4 == 0, (F.col("event_id") + F.lit(9007199254740993)).cast("string"))
+            .when(F.col("event_id") % 4 == 1, F.concat(e, F.lit(".0")))
+            .when(F.col("event_id") % 4 == 2, F.concat(e, F.lit(".7"))).otherwise(F.concat(F.lit(" "), e)))
+    raw = ev.select(text.alias("event_id"), F.col("user_id").cast("string").alias("user_id"),
                     F.when(F.col("event_type") == "error", F.lit("n/a"))
                     .otherwise(F.col("value").cast("string")).alias("value"), "event_type")
     return K.cast_row(raw, EVENTS_CONTRACT)
 
 
-_URL = r"^https?://([^/]+)/([^/]+)/([0-9]+)"
+_URL = r"^https?://([^/]+)/([^/]+)/(.+)$"
 
 
 @register("run_path_parse", f"""
-SELECT page_id, NULLIF(regexp_extract(url, '{_URL}', 1), '') AS host,
-       NULLIF(regexp_extract(url, '{_URL}', 2), '') AS section,
-       TRY_CAST(NULLIF(regexp_extract(url, '{_URL}', 3), '') AS BIGINT) AS item_id
+SELECT page_id, NULLIF(regexp_extract(url, '{_URL}', 1), '') AS bucket,
+       NULLIF(regexp_extract(url, '{_URL}', 2), '') AS run_id,
+       NULLIF(regexp_extract(url, '{_URL}', 3), '') AS file,
+       NULLIF(regexp_extract(url, '{_URL}', 1), '') IS NULL AS path_error
 FROM pages
 """)
 def q_run_path_parse(spark, sf_dir):
     p = t(spark, sf_dir, "pages").select("page_id", "url")
-    return p.select("page_id", extract_or_null("url", _URL, 1).alias("host"),
-                    extract_or_null("url", _URL, 2).alias("section"),
-                    extract_or_null("url", _URL, 3).try_cast("bigint").alias("item_id"))
+    return IO.parse_run_path(p, "url", _URL).drop("url")
 
 
 @register("file_ids", """

@@ -20,6 +20,8 @@ def test_class_i_long_form_and_costs(spark):
         "DOS1_Units_Pallet_Tot_CuFT double, `DOS1_Units_Pallet_Tot_Wt(lbs)` double, "
         "DOS1_Units_Pallet_Tot_TEUs double, DOS1_Units_Pallet_Tot_FEUs double, BEYOND double")
     for plan in ("restack", "pivot"):
+        with pytest.raises(Exception, match="repeated keys|duplicate entries"):
+            X.class_i(df.union(df), plan=plan).count()
         out = {(r.LOCATION_ID, r.POS): r for r in X.class_i(df, plan=plan).collect()}
         assert set(out) == {(7, "POS1"), (7, "BEYOND"), (8, "POS1"), (8, "BEYOND")}
         mre = out[(7, "POS1")]
@@ -143,8 +145,10 @@ def test_q5_q15_union_fills_absent_measures(spark, tmp_path):
                                        (" ix ", "0", "L", "POS2", 0.0, 1.0, 0.0, 1.0, 0.0)]
     good = tmp_path / "cosi_embark.csv"
     a.toPandas().to_csv(good, index=False)
-    ok, failed = X.read_class_outputs(spark, [str(good), str(tmp_path / "missing.csv")])
+    ok, failed = X.read_class_outputs(spark, [str(good), str(tmp_path / "missing.csv")], mode="reference")
     assert len(ok) == 1 and len(failed) == 1  # Q15: a failing file is reported, the union runs
+    with pytest.raises(Exception):
+        X.read_class_outputs(spark, [str(good), str(tmp_path / "missing.csv")])
 
 
 def test_class_i_extended_positional_names(spark):
