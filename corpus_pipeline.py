@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import read, text_key
+from quartermaster.llm.common import counted_side, cut, read, text_key
 from quartermaster.llm.decontamination import find_contamination
 from quartermaster.llm.near_dedup import near_duplicates
 from quartermaster.llm.packing import pack_documents
@@ -23,24 +23,34 @@ from quartermaster.llm.secret_scan import redact, scan_secrets
 from quartermaster.session import ensure_checkpoint_dir
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of `docs` that aren't in `gone` (id, row_key)."""
+    gone = counted_side(gone.distinct())
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["id"]) & (text_key("text") == gone["row_key"]), "left_anti")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    kept = quality_verdicts(docs).filter("kept").select(F.col("doc_id").alias("id"), "row_key").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["id"]) & (text_key("text") == kept["row_key"]), "left_semi")
+    return without(docs, quality_verdicts(docs).filter("NOT kept").select(F.col("doc_id").alias("id"), "row_key"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (five-word shingles, 0.8);
-    of rows that share an id the one with the smallest text stays."""
-    gone = near_duplicates(docs).filter("NOT kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each near-duplicate group (five-word shingles, 0.8): the
+    one with the smallest id; of rows that share an id the least row. Rows
+    without an id stay."""
+    found = cut(near_duplicates(docs).select("doc_id", "kept"))
+    gone = counted_side(found.filter("NOT kept").select("doc_id").distinct())
+    often = counted_side(found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    once = docs.join(gone, "doc_id", "left_anti").join(often, "doc_id", "left_anti").select(*docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    least = docs.join(often, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("row"))
+    return once.unionByName(least.select("doc_id", "row.*").select(*docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark window."""
-    hit = find_contamination(docs, read(spark, sf_dir, "benchmark")).filter("n_hit > 0").select(
-        F.col("doc_id").alias("id"), "row_key").distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["id"]) & (text_key("text") == hit["row_key"]), "left_anti")
+    hit = find_contamination(docs, read(spark, sf_dir, "benchmark")).filter("n_hit > 0")
+    return without(docs, hit.select(F.col("doc_id").alias("id"), "row_key"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,6 +36,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def counted_side(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A side of few narrow columns for a join: counted, and broadcast if it has
+    at most `rows` rows (some 50 MB); otherwise the join shuffles."""
+    df = cut(df)
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def text_key(text: str = "text") -> Column:
     """Tells rows of one id apart by their text."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import cut, text_key
+from quartermaster.llm.common import counted_side, cut, text_key
 from quartermaster.llm.quality import held
 
 #: Base kinds in their listed order, then the formats the method
@@ -113,6 +113,7 @@ def redact(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col:
     """`docs` with every live span, overlaps merged, replaced by `mark`; other rows and columns unchanged."""
     live = spans.select(F.col(id_col).alias("id_"), F.col("row_key").alias("key_"),
                         F.filter("spans", lambda x: x["live"]).alias("live_")).filter(F.size("live_") > 0).distinct()
+    live = counted_side(live)
     both = docs.join(live, docs[id_col].eqNullSafe(live["id_"]) & (text_key(text_col) == live["key_"]), "left")
     text = F.col(text_col)
 
