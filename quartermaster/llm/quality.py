@@ -81,7 +81,7 @@ def fences(rows: DataFrame, spread: float, least_docs: int, sketch_k: int) -> Da
 
     def bounds(df, suffix):
         def q(n, p):
-            return F.kll_sketch_get_quantile_double(F.col(n), F.lit(p))
+            return F.when(F.col("docs") > 0, F.kll_sketch_get_quantile_double(F.col(n), F.lit(p)))
         out = {}
         for n in names:
             reach = F.greatest(q(n, 0.75) - q(n, 0.25), F.lit(MEASURES[n][1])) * spread

@@ -111,10 +111,12 @@ def joined(spans: Column) -> Column:
 
 def redact(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """`docs` with every live span, overlaps merged, replaced by `mark`; other rows and columns unchanged."""
-    live = spans.select(F.col(id_col).alias("id_"), F.col("row_key").alias("key_"),
-                        F.filter("spans", lambda x: x["live"]).alias("live_")).filter(F.size("live_") > 0).distinct()
-    live = counted_side(live)
-    both = docs.join(live, docs[id_col].eqNullSafe(live["id_"]) & (text_key(text_col) == live["key_"]), "left")
+    found = "live"
+    while found in docs.columns:
+        found += "_"
+    live = counted_side(spans.select(F.col(id_col).alias("__id"), F.col("row_key").alias("__key"), F.filter(
+        "spans", lambda x: x["live"]).alias(found)).filter(F.size(found) > 0).distinct())
+    both = docs.join(live, docs[id_col].eqNullSafe(live["__id"]) & (text_key(text_col) == live["__key"]), "left")
     text = F.col(text_col)
 
     def step(acc, x):
@@ -123,5 +125,5 @@ def redact(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col:
         return F.struct(F.concat(acc["out"], piece).alias("out"), F.greatest(acc["at"], x["end"]).alias("at"))
 
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    clean = F.aggregate("live_", start, step, lambda acc: F.concat(acc["out"], text.substr(acc["at"] + 1, F.length(text))))
-    return both.withColumn(text_col, F.when(F.col("live_").isNull(), text).otherwise(clean)).select(*docs.columns)
+    clean = F.aggregate(found, start, step, lambda acc: F.concat(acc["out"], text.substr(acc["at"] + 1, F.length(text))))
+    return both.withColumn(text_col, F.when(F.col(found).isNull(), text).otherwise(clean)).select(*docs.columns)

@@ -1,0 +1,115 @@
+"""What the named methods add beyond the base contracts."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from quartermaster.llm.html_extraction import extract_pages, template_paths
+from quartermaster.llm.near_dedup import Scheme
+from quartermaster.llm.packing import best_fit
+from quartermaster.llm.pii import candidates, find_personal_data, fit
+from quartermaster.llm.quality import quality_verdicts
+from quartermaster.llm.secret_scan import redact, scan_secrets
+from quartermaster.llm.suffix_dedup import borders_below, sort_rotations
+
+
+def test_intervals_give_the_common_prefixes():
+    rng = np.random.default_rng(4)
+    for trial in range(60):
+        n = int(rng.integers(2, 120))
+        text = rng.integers(1, 4, n).astype(np.int16)
+        if trial % 3 == 0:
+            text = np.tile(text[: max(2, n // 5)], 5)
+        text = np.append(text, 0).astype(np.int16)
+        length = int(rng.integers(1, 12))
+        order = sort_rotations(text, length)
+        rot = [tuple(np.roll(text, -i)[:length]) for i in order]
+        assert rot == sorted(rot)
+        known = borders_below(text[order - 1], length)
+        assert [bool(k) for k in known[1:-1]] == [a != b for a, b in zip(rot, rot[1:])]
+
+
+def test_signature_estimates_similarity():
+    scheme = Scheme(0.8, 40, 5, 2)
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 63, 1000).astype(np.uint64)
+    for shared in (1000, 900, 700, 0):
+        other = np.concatenate([base[:shared], rng.integers(0, 1 << 63, 1000 - shared).astype(np.uint64)])
+        bits = scheme.packed(scheme.minima([np.unique(base), np.unique(other)]))
+        equal = (scheme.size - scheme.unequal(bits[0], bits[1])) / scheme.size
+        assert abs((equal - 0.25) / 0.75 - shared / (2000 - shared)) < 0.15
+
+
+def test_signature_counts_agree_in_sql(spark):
+    scheme = Scheme(0.8, 40, 5, 2)
+    bits = np.random.default_rng(2).integers(0, 1 << 63, (6, scheme.longs)).astype(np.uint64)
+    bits[:, -1] &= np.uint64((1 << 2 * (scheme.size - scheme.per_long * (scheme.longs - 1))) - 1)
+    rows = [(a.view(np.int64).tolist(), b.view(np.int64).tolist()) for a in bits for b in bits]
+    got = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>").select(scheme.equal_in_sql("a", "b")).collect()
+    assert [r[0] for r in got] == [scheme.size - int(scheme.unequal(a, b)) for a in bits for b in bits]
+
+
+def test_best_fit():
+    bins, fill = best_fit(np.array([6, 5, 5, 4, 3, 1]), 10)
+    assert sorted(fill.tolist()) == [4, 10, 10] or sorted(fill.tolist()) == [4, 10, 10][::-1]
+    assert all(fill[k] == sum(s for s, b in zip([6, 5, 5, 4, 3, 1], bins) if b == k) for k in range(len(fill)))
+
+
+def test_wrapper_leaves_out_constant_blocks(spark):
+    page = "<html><body><div class=intro>Welcome to our site</div><div class=story><p>{}</p><p>{}</p></div><div class=legal>All rights reserved</div></body></html>"
+    rows = [(i, f"http://h.org/{i}", page.format(f"Story number {i}", f"goes on {i * i}")) for i in range(12)]
+    rows += [(50 + i, "http://h.org/same", rows[0][2]) for i in range(30)]  # copies say nothing about the wrapper
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extract_pages(df, group=8).collect()}
+    assert got[3] == "Story number 3\ngoes on 9" and got[55] == "Story number 0\ngoes on 0"
+    paths = template_paths(df.select(F.lit("h.org").alias("host"), "html"), group=8).first().paths
+    assert {p.rsplit("/", 1)[1] for p in paths} == {"div.intro", "div.legal"}
+
+
+def test_ownership_tells_examples_from_live_secrets(spark):
+    live, example = "ghp_" + "a1B2c3D4e" * 4, "ghp_" + "Zz9Yy8Xx7" * 4
+    rows = [(i, f"key {example} here", f"owner{i}") for i in range(6)] + [
+        (10, f"mine {live} é", "owner1"), (11, f"again {live}", "owner1"), (12, None, None), (13, "password = hunter2hunter2x9Qk1", "o")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    spans = scan_secrets(df)
+    got = {r.doc_id: [(s.kind, s.start, s.end, s.owners, s.repositories, s.live) for s in r.spans] for r in spans.collect()}
+    assert got[0] == [] and got[12] == []
+    assert got[10] == [("github", 5, 45, 1, 2, True)]
+    assert got[13][0][0] == "assign" and got[13][0][5]
+    clean = {r.doc_id: r.text for r in redact(df, spans).collect()}
+    assert clean[10] == "mine [SECRET] é" and clean[0] == rows[0][1] and clean[12] is None and clean[13] == "[SECRET]"
+
+
+def test_quality_verdicts_follow_the_labels(spark, sf_dir):
+    sf_dir = sf_dir.replace("sf0.001", "sf0.01")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    got = quality_verdicts(spark.read.parquet(f"{sf_dir}/documents.parquet")).join(labels, "doc_id").collect()
+    good = [r for r in got if r.quality == 1 and not r.base_failed]
+    bad = [r for r in got if r.quality == 0]
+    assert sum(r.kept for r in good) >= 0.99 * len(good)
+    assert sum(not r.kept for r in bad) >= 0.95 * len(bad)
+
+
+def test_fences_are_the_groups_own(spark):
+    """A source full of symbols keeps its usual documents; elsewhere the same text is rejected."""
+    clean, marked = "plain words only here " * 20, "a|b c|d e|f g|h " * 20
+    text = lambda s, i: " ".join(f"{w}{(i * 31 + k) % 97}" for k, w in enumerate(s.split()))
+    rows = [(i, text(clean, i), "en", "web") for i in range(200)] + [(1000 + i, text(marked, i), "en", "tables") for i in range(200)]
+    rows += [(2000, text(marked, 7), "en", "web")]
+    got = {r.doc_id: r for r in quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert got[1005].kept and got[5].kept and not got[2000].kept and "symbol_share" in got[2000].outside
+
+
+def test_personal_data_model_on_held_out_rows(spark, sf_dir):
+    sf_dir = sf_dir.replace("sf0.001", "sf0.01")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = candidates(docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"), "text"))
+    found = rows.select("id", "key", "base", F.explode("more").alias("c"))
+    fitted = fit(found.filter("id % 2 = 0"), 20_000, 0.9, 8)
+    if fitted is not None:
+        from pyspark.ml.functions import array_to_vector, vector_to_array
+        model, _ = fitted
+        scored = model.transform(found.filter("id % 2 = 1").select(F.col("c.confirmed").alias("confirmed"), array_to_vector("c.features").alias("features")))
+        share = scored.agg(F.avg(((vector_to_array("probability")[1] >= 0.5) == F.col("confirmed")).cast("int"))).first()[0]
+        assert share >= 0.8
+    clean = docs.filter(~F.col("text").rlike("[0-9@]"))
+    assert find_personal_data(clean).filter("size(base) + size(added) > 0").count() == 0
