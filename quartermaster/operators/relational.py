@@ -208,15 +208,18 @@ def list_agg(df: DataFrame, keys, cols: Sequence[str], sep: str = ", ",
     cells = F.array(*[F.struct(F.lit(c).alias("__c"), q(c).cast("string").alias("__v")) for c in cols])
     long = df.select(*kc, F.inline(cells))
     counted = long.groupBy(*kc, "__c", "__v").agg(F.count(F.lit(1)).alias("__n"))
-    per = counted.groupBy(*kc, "__c").agg(F.array_sort(F.collect_list(F.struct("__v", "__n"))).alias("__vs"))
-    vals = F.filter("__vs", lambda s: s["__v"].isNotNull())
-    rep = F.flatten(F.transform(vals, lambda s: F.array_repeat(s["__v"], s["__n"].cast("int"))))
-    uniq = F.transform(vals, lambda s: s["__v"])
-    text = F.when(F.size(vals) > 0, F.array_join(F.when(F.col("__c").isin(list(dset) or [""]), uniq)
-                                                 .otherwise(rep), sep))
-    wide = (per.select(*kc, "__c", text.alias("__t"))
-            .groupBy(*kc).pivot("__c", cols).agg(F.first("__t")))
-    return wide.select(*kc, *[q(c).alias(c + suffix) for c in cols])
+    # one aggregate per key: each column's pairs in a list of its own
+    wide = counted.groupBy(*kc).agg(*[
+        F.array_sort(F.collect_list(F.when((F.col("__c") == c) & F.col("__v").isNotNull(), F.struct("__v", "__n")))).alias(f"__l{i}")
+        for i, c in enumerate(cols)])
+
+    def text(i, c):
+        vals = F.col(f"__l{i}")
+        words = (F.transform(vals, lambda s: s["__v"]) if c in dset
+                 else F.flatten(F.transform(vals, lambda s: F.array_repeat(s["__v"], s["__n"].cast("int")))))
+        return F.when(F.size(vals) > 0, F.array_join(words, sep)).alias(c + suffix)
+
+    return wide.select(*kc, *[text(i, c) for i, c in enumerate(cols)])
 
 
 # A10
@@ -229,7 +232,9 @@ def first_per_key(df: DataFrame, keys, order: Sequence[str] | str) -> DataFrame:
     """First row per key by ``order`` (ties broken by the remaining columns).
 
     ``min(struct(order..., rest...))`` is a partial aggregate: each task keeps
-    one candidate per key, so a hot key never lands whole in one task.
+    one candidate per key, so a hot key never lands whole in one task. With
+    text in the struct Spark plans a sort aggregate, which sorts each
+    partition by the key.
     """
     keys, order = _keys(keys), _keys(order)
     rest = [c for c in df.columns if c not in keys and c not in order]

@@ -5,12 +5,15 @@ FIXTURES.md) and returns one DataFrame. ``mode='reference'`` reproduces the
 published arithmetic including its known slips; ``mode='corrected'`` fixes
 them (each difference is named where it applies).
 
-Fixed values that must equal the source system's (unit costs, pallet
-divisors, pack factors) are collected in ``FIXED`` below.
+Fixed values that must equal the source system's: unit costs, pallet
+divisors and pack factors (``FIXED`` below), and next to their jobs the column
+lists, rename maps and name patterns in capitals (``FORCE_FLOW_*``,
+``WATER_*``, ``II_VII_COLUMNS``, ``IIIP_*``, ``IV_*``, ``VI_*``, ``IX_*``).
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -225,7 +228,6 @@ def class_i(df: DataFrame, plan: str = "restack", on_duplicate: str = "error") -
 
 
 def _match_period_metric(c: str):
-    import re
     m = re.match(r"^(BEYOND|POS[1-3])_(.*)$", c)
     return (m.group(1), m.group(2)) if m else None
 
@@ -333,7 +335,6 @@ def class_i_extended(df: DataFrame, row_id: str, mode: str = "reference") -> Dat
 
 
 def _is_ext_value(c: str) -> bool:
-    import re
     return re.match(r"^(POS[1-3]|BEYOND)_Units(_Pallet_(Qty|Tot_CuFT|Tot_Wt\(lbs\)|Tot_TEUs))?$", c) is not None
 
 
@@ -498,7 +499,6 @@ def class_vi(df: DataFrame, row_id: str | None = None, mode: str = "reference")
 
 
 def _vi_metric(c: str) -> str:
-    import re
     return re.sub(VI_METRIC_STRIP, "", c)
 
 
@@ -529,6 +529,12 @@ def class_ix_classify(df: DataFrame) -> DataFrame:
     return df.withColumn("Class_of_Supply", cls).drop("SECREP Flag", "Battery Flag")
 
 
+def _base_and_period(name: str) -> tuple[str | None, str | None]:
+    """'Required_POS1' -> ('Required', 'POS1')."""
+    m = re.search(r"(.+?)_(POS[0-9]+|BEYOND)", name)
+    return (m[1], m[2]) if m else (None, None)
+
+
 def class_ix(req: DataFrame, dims: DataFrame, mode: str = "reference",
              dims_row_id: str | None = None) -> DataFrame:
     """Repair parts x part dimensions -> 12 rows per part requirement
@@ -557,21 +563,21 @@ def class_ix(req: DataFrame, dims: DataFrame, mode: str = "reference",
     req = req.withColumnRenamed("UI", "UI_left")
     how = "inner" if mode == "reference" else "left"
     j = req.join(d, "NIIN", how)
-    pos_cols = [c for c in j.columns if "_POS" in c or "_BEYOND" in c]
-    ids = [c for c in j.columns if c not in pos_cols]
-    long = S.melt(j, ids, pos_cols, "variable", "Requirement")
-    long = S.split_name(long, "variable", r"(.+?)_(POS[0-9]+|BEYOND)", ["base", "POS"], drop=True)
+    # geometry and the per-end-item measures once for each part, before its 12 rows
     cube = F.when(q("DSS_CUBE") == 0.0, F.lit(FIXED["min_cube"])).otherwise(q("DSS_CUBE"))
-    long = long.withColumn("DSS_CUBE", cube)
+    j = j.withColumn("DSS_CUBE", cube)
     L, W, H = q("DIM LENGTH INCHES"), q("DIM WIDTH INCHES"), q("DIM HEIGHT INCHES")
-    long = long.withColumns({
-        "CUFT": cube_feet(L, W, H, q("DSS_CUBE"), FIXED["sentinels"]),
-        "SQFT": square_feet(L, W, FIXED["sentinels"]),
-        "Weight_lbs": q("DSS_WEIGHT") * q("Requirement")})
-    long = long.withColumns({
-        "FIE_CUFT": q("CUFT") * q("Required_FIE"),
-        "FIE_SQFT": q("SQFT") * q("Required_FIE"),
-        "FIE_Weight_lbs": q("DSS_WEIGHT") * q("Required_FIE")})
+    pos_cols = [c for c in j.columns if "_POS" in c or "_BEYOND" in c]
+    ids = [c for c in j.columns if c not in pos_cols]
+    j = j.withColumns({"CUFT": cube_feet(L, W, H, q("DSS_CUBE"), FIXED["sentinels"]),
+                       "SQFT": square_feet(L, W, FIXED["sentinels"])})
+    j = j.withColumns({"FIE_CUFT": q("CUFT") * q("Required_FIE"), "FIE_SQFT": q("SQFT") * q("Required_FIE"),
+                       "FIE_Weight_lbs": q("DSS_WEIGHT") * q("Required_FIE")})
+    cells = [F.struct(F.lit(base).alias("base"), F.lit(pos).alias("POS"), q(c).cast("double").alias("Requirement"))
+             for c in pos_cols for base, pos in [_base_and_period(c)]]
+    derived = ["CUFT", "SQFT", "FIE_CUFT", "FIE_SQFT", "FIE_Weight_lbs"]
+    long = j.select(*[q(c) for c in ids + [d for d in derived if d not in ids]], F.inline(F.array(*cells)))
+    long = long.withColumn("Weight_lbs", q("DSS_WEIGHT") * q("Requirement"))
     long = C.rename(long, IX_RENAME_OUT)
     return _upper_all(C.project(long, IX_COLUMNS))
 
@@ -625,7 +631,6 @@ def class_ix_long(req: DataFrame, dims: DataFrame, dims_row_id: str | None = Non
 
 
 def _ix_period_col(c: str) -> bool:
-    import re
     return re.search(r"_(POS[0-9]+|BEYOND)$", c) is not None
 
 

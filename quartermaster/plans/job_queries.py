@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from quartermaster.functions.scalar import cents, from_cents
 from quartermaster.operators import relational as R
 from quartermaster.plans import classes as X
+from quartermaster.session import ensure_checkpoint_dir
 from quartermaster.plans.table_queries import (
     ORACLE_SQL, PERIOD_SQL, QUERIES, RATION_SQL, _d, _qtr_pos, _QTR_POS, ration_requirements, register,
     status_runs, t,
@@ -34,6 +35,12 @@ def _niin_sql(c: str) -> str:
     return f"lpad(CAST({c} AS VARCHAR), 9, '0')"
 
 
+def written_periods(runs: DataFrame, params: DataFrame) -> DataFrame:
+    """The period table, written once (reliable checkpoint) for the joins that share it."""
+    ensure_checkpoint_dir(runs.sparkSession)
+    return X.period_table(runs, params).checkpoint()
+
+
 def _dos_period(c: str):
     qtr = F.quarter(c)
     return (F.when(qtr == 1, "DOS1").when(qtr == 2, "DOS2").when(qtr == 3, "DOS3")
@@ -115,7 +122,7 @@ FROM j LEFT JOIN w ON j.AssessmentNumber = w.AssessmentNumber AND j.Day = w.Day
 """)
 def q_force_flow(spark, sf_dir):
     runs, params = status_runs(spark, sf_dir)
-    periods = X.period_table(runs, params)
+    periods = written_periods(runs, params)
     return X.force_flow(pax_flow(spark, sf_dir), runs, periods)
 
 
@@ -667,7 +674,7 @@ FROM u LEFT JOIN p ON u.AssessmentNumber = p.AssessmentNumber AND u.DOS_Period =
 """)
 def q_ration_joins(spark, sf_dir):
     runs, params = status_runs(spark, sf_dir)
-    joined = X.ration_joins(ration_tables(spark, sf_dir), X.period_table(runs, params))
+    joined = X.ration_joins(ration_tables(spark, sf_dir), written_periods(runs, params))
     parts = [df.select(F.lit(name).alias("table_name"), "AssessmentNumber", "Location_ID", "DOS_Period",
                        F.col(_RJ_MEASURE[name]).alias("measure"), "POS", "DOS", "Period", "Sort_Index")
              for name, df in joined.items()]
