@@ -57,9 +57,9 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = remove_repeated_bytes(read(spark, sf_dir, "documents"), length=400)
+    r = remove_repeated_bytes(read(spark, sf_dir, "documents"), length=400, digest=True)
     return r.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"),
-                    F.sha2("kept", 256).alias("kept_sha256"))
+                    F.col("kept").alias("kept_sha256"))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,8 +78,8 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = remove_repeated_words(read(spark, sf_dir, "documents"), window=35)
-    return r.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    r = remove_repeated_words(read(spark, sf_dir, "documents"), window=35, digest=True)
+    return r.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,4 +90,41 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_decontamination, op3_html_extraction, op4_pii, op5_suffix_dedup, op6_packing, op7_secret_scan, op8_minhash_near_dedup,
     op9_substring_dedup, op10_quality_rules)}
-ORACLE_SQL: dict[str, str] = {}
+_CONTROL = r"[<\[]\\*(\||/?s>|/?INST\])"
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat_formatting": f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(role) + 5 + length(text) + len(regexp_extract_all(text, '{_CONTROL}')) + 8) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+""",
+    "op2_decontamination": f"""
+WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item, w[i:i + least(len(w), 10) - 1] AS win
+        FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+place AS (SELECT doc_id, i, n, w[i:i + n - 1] AS win
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT len(win) AS n FROM win))),
+hit AS (SELECT doc_id, i, n, item FROM place JOIN win USING (win)),
+cover AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN cover USING (doc_id) LEFT JOIN found USING (doc_id)
+""",
+    "op9_substring_dedup": r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM docs)),
+twice AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM win JOIN twice USING (h))),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS s FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM docs LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
+""",
+}

@@ -8,16 +8,17 @@ minimiser, and consecutive windows mostly share it, so a run of such windows
 travels as one piece.
 
 1. `runs_of` lists each document's runs (minimiser, first window, number of
-   windows). One aggregate counts the runs of each minimiser; a minimiser
+   windows); a run ends where its minimiser's place changes. One aggregate counts the runs of each minimiser; a minimiser
    with one run has no repeat and nothing of it travels.
 2. The repeated runs are gathered per document and joined with the text,
    which is cut into pieces; the pieces go to their minimiser's bucket.
 3. The operator decides inside the buckets (`decide`).
-4. A minimiser with more than `bucket_limit` runs is split further: its
-   windows are counted one by one by their own 128-bit hash, with partial
-   aggregation, so no group of one key meets in one task.
+4. A minimiser with more than `bucket_limit` runs is split further: its equal
+   pieces are counted as one, the windows of the distinct pieces are counted
+   by their own 128-bit hash, with partial aggregation, so no group of one
+   key meets in one task (`hot_stretches`).
 5. The repeated stretches are gathered per document and joined with the
-   text, and `cover` marks the covered units.
+   texts of step 2, which are already dealt by document.
 
 Rows are told apart by id and text hash; rows equal in both count as two
 documents, like any other two.
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import (BASE_A, BASE_B, as_long, cut, inverse, mix, powers, prefix, sliding_min,
+from quartermaster.llm.common import (BASE_A, BASE_B, as_long, cut, mix, prefix, sliding_min,
                                       split_words, sub_batches, text_key, texts_of, window_hash, word_hashes)
 
 CHUNK = 1 << 21  # bytes of text that a task hashes at a time
@@ -64,23 +65,25 @@ class Units:
 
 
 def minimiser_runs(u: Units, values: np.ndarray, first: np.ndarray):
-    """Runs of windows with one minimiser: (minimiser, first window within its
-    text, number of windows, text)."""
+    """Runs of windows with one minimiser, the leftmost least hash at one place:
+    (minimiser, first window within its text, number of windows, text)."""
     n, W, m = len(values), u.window, u.mer
     if n < W:
         none = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), none, none, none
     pre, at = prefix(values, BASE_A), np.arange(n - m + 1)
-    least = sliding_min(window_hash(pre, at, at + m, BASE_A), W - m + 1)
+    hashes = window_hash(pre, at, at + m, BASE_A)
+    least = sliding_min(hashes, W - m + 1)
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     start = np.arange(n - W + 1)
     start = start[doc[start] == doc[start + W - 1]]
-    least, doc = least[start], doc[start]
+    least, doc, leaves = least[start], doc[start], hashes[start] == least[start]
     if not len(start):
         none = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), none, none, none
     new = np.ones(len(start), bool)
-    new[1:] = (start[1:] != start[:-1] + 1) | (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
+    # a run also ends with the window that begins with its minimiser: the next has it elsewhere
+    new[1:] = (start[1:] != start[:-1] + 1) | (least[1:] != least[:-1]) | (doc[1:] != doc[:-1]) | leaves[:-1]
     at = np.flatnonzero(new)
     return least[at], start[at] - first[doc[at]], np.diff(np.append(at, len(start))), doc[at]
 
@@ -132,28 +135,55 @@ def distinct_runs(runs: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return s[at].astype(np.int64), w[at].astype(np.int64), m[at]
 
 
-def windows_of(found: DataFrame, u: Units) -> DataFrame:
-    """Each window of the runs in hot buckets: 128-bit hash, id, key, pos."""
-    kind = found.schema["id"].dataType.simpleString()
-
+def windows_of(pieces: DataFrame, u: Units) -> DataFrame:
+    """Each window of the distinct pieces (digest, n, piece): 128-bit hash, digest, n, pos."""
     def run(batches):
-        inv = {b: inverse(b) for b in (BASE_A, BASE_B)}
-        for b in sub_batches(batches, "text", CHUNK):
-            runs = [distinct_runs(x) for x in b.column("runs")]
+        for b in sub_batches(batches, "piece", CHUNK):
             both, first = [], None
-            for base in inv:
-                values, first = u.values(b.column("text"), base)
-                both.append((base, prefix(values, base), powers(len(values) + 1, inv[base])))
-            doc = np.concatenate([np.full(int(w.sum()), i) for i, (s, w, _) in enumerate(runs)])
-            pos = np.concatenate([np.repeat(s + w - np.cumsum(w), w) + np.arange(int(w.sum())) for s, w, _ in runs])
-            at = first[doc] + pos
-            h = [as_long(window_hash(pre, at, at + u.window, base, p)) for base, pre, p in both]
-            take = pa.array(doc)
+            for base in (BASE_A, BASE_B):
+                values, first = u.values(b.column("piece"), base)
+                both.append((base, prefix(values, base)))
+            wins = np.diff(first) - u.window + 1
+            piece = np.repeat(np.arange(len(wins)), wins)
+            pos = np.arange(len(piece)) - np.repeat(np.cumsum(wins) - wins, wins)
+            at = first[piece] + pos
+            h = [as_long(window_hash(pre, at, at + u.window, base)) for base, pre in both]
+            take = pa.array(piece)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h[0]), pa.array(h[1]), b.column("id").take(take), b.column("key").take(take),
-                 pa.array(pos.astype(np.int32))], ["h1", "h2", "id", "key", "pos"])
+                [pa.array(h[0]), pa.array(h[1]), b.column("digest").take(take), b.column("n").take(take),
+                 pa.array(pos.astype(np.int32))], ["h1", "h2", "digest", "n", "pos"])
+
+    return pieces.mapInArrow(run, "h1 bigint, h2 bigint, digest string, n bigint, pos int")
 
-    return found.mapInArrow(run, f"h1 bigint, h2 bigint, id {kind}, key bigint, pos int")
+
+def joined_places(places: DataFrame) -> DataFrame:
+    """digest, places -> digest, parts: the maximal runs (lo, hi) of the window places."""
+    part = pa.struct([("lo", pa.int32()), ("hi", pa.int32())])
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for x in b.column("places"):
+                p = np.unique(x.values.to_numpy(zero_copy_only=False))
+                cut_at = np.flatnonzero(np.diff(p) > 1) + 1
+                out.append([{"lo": int(q[0]), "hi": int(q[-1]) + 1} for q in np.split(p, cut_at)])
+            yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array(out, pa.list_(part))], ["digest", "parts"])
+
+    return places.mapInArrow(run, "digest string, parts array<struct<lo: int, hi: int>>")
+
+
+def hot_stretches(pieces: DataFrame, u: Units) -> DataFrame:
+    """Repeated stretches in hot buckets, spread over the cluster: equal pieces
+    are counted as one, the distinct pieces' windows are counted by their own
+    hash, and the result is joined back to the pieces' places."""
+    placed = pieces.withColumn("digest", F.md5("piece"))
+    distinct = placed.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.any_value("piece").alias("piece"))
+    windows = windows_of(distinct, u)
+    twice = windows.groupBy("h1", "h2").agg(F.sum("n").alias("c")).filter("c > 1").select("h1", "h2")
+    places = windows.join(twice, ["h1", "h2"]).groupBy("digest").agg(F.collect_list("pos").alias("places"))
+    back = placed.select("id", "key", "start", "digest").join(joined_places(places), "digest")
+    return back.select("id", "key", "start", F.inline("parts")).select(
+        "id", "key", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi") + (u.window - 1)).alias("hi"))
 
 
 def same_row(a: DataFrame, b: DataFrame):
@@ -161,30 +191,28 @@ def same_row(a: DataFrame, b: DataFrame):
 
 
 def repeated_stretches(docs: DataFrame, u: Units, decide: Callable, bucket_limit: int) -> DataFrame:
-    """docs: id, key, text. Returns id, key, spans: array of (lo, hi) in units,
-    each the extent of some windows that also start elsewhere."""
+    """docs: id, key, text. Returns the rows that have repeats, with spans: array
+    of (lo, hi) in units, each the extent of some windows that also start
+    elsewhere. After the runs one plan without a cut, so that the texts, dealt
+    by document once, serve the pieces and the result."""
     kind = docs.schema["id"].dataType.simpleString()
-    W, m = u.window, u.mer
     runs = runs_of(docs, u)
-    # a run longer than one minimiser occurrence can carry holds that minimiser twice
-    seen = F.when(F.col("wins") > W - m + 1, 2).otherwise(1)
-    counts = runs.groupBy("mini").agg(F.sum(seen).alias("seen")).filter("seen > 1")
+    counts = runs.groupBy("mini").agg(F.count(F.lit(1)).alias("seen")).filter("seen > 1")
     repeated = runs.join(counts, "mini").select(
         "id", "key", F.struct("start", "wins", "mini").alias("run"), (F.col("seen") > bucket_limit).alias("hot"))
-    by_doc = repeated.groupBy("id", "key").agg(
+    by_doc = cut(repeated.groupBy("id", "key").agg(
         F.collect_list(F.when(~F.col("hot"), F.col("run"))).alias("runs"),
-        F.collect_list(F.when(F.col("hot"), F.col("run"))).alias("hot"))
-    found = cut(docs.join(by_doc, same_row(docs, by_doc)).select(docs["id"], docs["key"], "text", "runs", "hot"))
+        F.collect_list(F.when(F.col("hot"), F.col("run"))).alias("hot")))
+    found = docs.join(by_doc, same_row(docs, by_doc)).select(docs["id"], docs["key"], "text", "runs", "hot")
 
     pieces = pieces_of(found.filter("size(runs) > 0").select("id", "key", "text", "runs"), u)
     spans = (pieces.repartition("mini").sortWithinPartitions("mini")
              .mapInArrow(decide, f"id {kind}, key bigint, lo int, hi int"))
 
-    windows = windows_of(found.filter("size(hot) > 0").select("id", "key", "text", F.col("hot").alias("runs")), u)
-    twice = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2")
-    spans = spans.unionByName(windows.join(twice, ["h1", "h2"]).select(
-        "id", "key", F.col("pos").alias("lo"), (F.col("pos") + W).alias("hi")))
-    return spans.groupBy("id", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    hot = pieces_of(found.filter("size(hot) > 0").select("id", "key", "text", F.col("hot").alias("runs")), u)
+    spans = spans.unionByName(hot_stretches(hot, u))
+    spans = spans.groupBy("id", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    return found.join(spans, same_row(found, spans)).select(found["id"], found["key"], "text", "spans")
 
 
 def covered(n: int, spans: pa.ListScalar) -> np.ndarray:
@@ -217,8 +245,17 @@ def stretches(piece: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return piece[at], pos[at], pos[np.append(at[1:], len(pos)) - 1] + 1
 
 
+def with_changes(rows: DataFrame, changed: DataFrame, kept: dict) -> DataFrame:
+    """Every row of `rows` (id, key, ...) with the columns of `changed` (id,
+    key, ...) where it has the row, else those of `kept` (name: expression)."""
+    names = [c for c in changed.columns if c not in ("id", "key")]
+    once = changed.groupBy("id", "key").agg(*[F.any_value(c).alias(f"new_{c}") for c in names], F.lit(True).alias("is_new"))
+    both = rows.join(once, same_row(rows, once), "left")
+    return both.select(rows["id"], *[F.when(F.col("is_new"), F.col(f"new_{c}")).otherwise(kept[c]).alias(c) for c in names])
+
+
 def rows_with_key(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("id"), text_key(text_col).alias("key"), F.col(text_col).alias("text"))
 
 
-__all__ = ["Units", "covered", "mix", "repeated_stretches", "rows_with_key", "same_row", "span_rows", "stretches"]
+__all__ = ["Units", "covered", "mix", "repeated_stretches", "rows_with_key", "same_row", "span_rows", "stretches", "with_changes"]

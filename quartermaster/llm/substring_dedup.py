@@ -11,10 +11,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quartermaster.llm.common import BASE_A, BASE_B, prefix, split_words, sub_batches, texts_of, whole_groups, window_hash, word_hashes
-from quartermaster.llm.repeats import (CHUNK, Units, covered, repeated_stretches, rows_with_key, same_row, span_rows,
-                                       stretches)
+from quartermaster.llm.quality import held, word_array
+from quartermaster.llm.repeats import (CHUNK, Units, covered, repeated_stretches, rows_with_key, span_rows, stretches,
+                                       with_changes)
 
 
 def sort_windows(W: int):
@@ -42,44 +44,52 @@ def sort_windows(W: int):
     return decide
 
 
-def remove_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35,
-                          mer: int = 6, bucket_limit: int = 1000) -> DataFrame:
+def changed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35,
+                      mer: int = 6, bucket_limit: int = 4000) -> DataFrame:
+    """The rows that lose words: id, key (hash of the text), n_words,
+    n_removed, kept (the kept words joined by one space)."""
+    rows = rows_with_key(docs, id_col, text_col)
+    found = repeated_stretches(rows, Units("words", window, min(mer, window)), sort_windows(window), bucket_limit)
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def keep(batches):
+        for b in sub_batches(batches, "text", CHUNK):
+            total, gone, kept = [], [], []
+            spans = b.column("spans")
+            for i, text in enumerate(b.column("text").cast(pa.large_binary()).to_pylist()):
+                words = (text or b"").split()
+                drop = covered(len(words), spans[i])
+                total.append(len(words)), gone.append(int(drop.sum()))
+                kept.append(b" ".join([w for w, d in zip(words, drop.tolist()) if not d]).decode())
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), b.column("key"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
+                ["id", "key", "n_words", "n_removed", "kept"])
+
+    return found.mapInArrow(keep, f"id {kind}, key bigint, n_words bigint, n_removed bigint, kept string")
+
+
+def remove_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: bool = False, **options) -> DataFrame:
     """Removes every word covered by a window of `window` consecutive words
     that also starts anywhere else, in the same row or another.
 
     Words are the maximal runs of characters other than the ASCII white
     space; windows are judged on the input. Returns one row for each input
     row: `id_col`, n_words, n_removed, kept (the kept words joined by one
-    space). `bucket_limit` is the number of runs of one minimiser beyond
-    which its windows are counted one by one over the cluster.
+    space; with `digest` its SHA-256 instead, so that unchanged texts needn't
+    move). Options as in `changed_documents`; `bucket_limit` is the number of
+    runs of one minimiser beyond which its windows are counted one by one
+    over the cluster.
 
     Null and empty texts have no words (0, 0, ''); a text of fewer words than
     the window keeps all of them; rows equal in id and text repeat each
     other; an empty table gives an empty result; other columns are not read,
     whatever their names, and a null id is kept.
     """
-    u = Units("words", window, min(mer, window))
-    rows = rows_with_key(docs, id_col, text_col)
-    spans = repeated_stretches(rows, u, sort_windows(window), bucket_limit)
-    joined = rows.join(spans, same_row(rows, spans), "left").select(rows["id"], "text", "spans")
-    kind = rows.schema["id"].dataType.simpleString()
-
-    def keep(batches):
-        for b in sub_batches(batches, "text", CHUNK):
-            total, gone, kept = [], [], []
-            spans = b.column("spans")
-            for i, text in enumerate(b.column("text").cast(pa.large_binary()).to_pylist()):
-                words = (text or b"").split()
-                total.append(len(words))
-                if spans[i].is_valid:
-                    drop = covered(len(words), spans[i])
-                    gone.append(int(drop.sum()))
-                    words = [w for w, d in zip(words, drop.tolist()) if not d]
-                else:
-                    gone.append(0)
-                kept.append(b" ".join(words).decode())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
-                [id_col, "n_words", "n_removed", "kept"])
-
-    return joined.mapInArrow(keep, f"`{id_col}` {kind}, n_words bigint, n_removed bigint, kept string")
+    changed = changed_documents(docs, id_col, text_col, **options)
+    words = word_array(F.coalesce("text", F.lit("")))
+    rows = held(rows_with_key(docs, id_col, text_col), words=words).select(
+        "id", "key", F.size("words").cast("bigint").alias("all"), F.array_join("words", " ").alias("whole"))
+    if digest:
+        rows, changed = (x.withColumn(c, F.sha2(c, 256)) for x, c in ((rows, "whole"), (changed, "kept")))
+    out = with_changes(rows, changed, {"n_words": F.col("all"), "n_removed": F.lit(0).cast("bigint"), "kept": F.col("whole")})
+    return out.withColumnRenamed("id", id_col)
