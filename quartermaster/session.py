@@ -52,7 +52,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only when unset."""
     sc = spark.sparkContext
-    path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir():  # setting it again would open a folder inside it each time
+        return sc.getCheckpointDir()
+    path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         # Only reached when the session names no shared folder: local runs and tests.
         if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
