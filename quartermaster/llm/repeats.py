@@ -88,51 +88,74 @@ def minimiser_runs(u: Units, values: np.ndarray, first: np.ndarray):
     return least[at], start[at] - first[doc[at]], np.diff(np.append(at, len(start))), doc[at]
 
 
+def grouped_ints(keys: list[np.ndarray], *values: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Rows grouped by `keys`: the first row of each group, and its values as
+    little-endian 32-bit numbers in a row (v1, v2, ... of every member)."""
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[order[1:]] != k[order[:-1]]
+    at = np.flatnonzero(new)
+    flat = np.stack([v[order] for v in values], axis=1).astype("<i4")
+    offs = (np.append(at, len(order)) * 4 * len(values)).astype(np.int32)
+    return order[at], pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offs), pa.py_buffer(np.ascontiguousarray(flat))])
+
+
 def runs_of(docs: DataFrame, u: Units) -> DataFrame:
-    """One row for each run: id, key, mini, start, wins."""
+    """One row for each text and minimiser: id, key, mini, runs (start, number
+    of windows of each, as 32-bit numbers)."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in sub_batches(batches, "text", CHUNK):
             values, first = u.values(b.column("text"))
             mini, start, wins, doc = minimiser_runs(u, values, first)
-            take = pa.array(doc)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id").take(take), b.column("key").take(take), pa.array(as_long(mini)),
-                 pa.array(start.astype(np.int32)), pa.array(wins.astype(np.int32))],
-                ["id", "key", "mini", "start", "wins"])
+            if len(doc):
+                first, runs = grouped_ints([doc, mini], start, wins)
+                take = pa.array(doc[first])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("id").take(take), b.column("key").take(take), pa.array(as_long(mini[first])), runs],
+                    ["id", "key", "mini", "runs"])
 
-    return docs.mapInArrow(run, f"id {kind}, key bigint, mini bigint, start int, wins int")
+    return docs.mapInArrow(run, f"id {kind}, key bigint, mini bigint, runs binary")
 
 
 def pieces_of(found: DataFrame, u: Units) -> DataFrame:
-    """The repeated runs of ordinary buckets as packed strings."""
+    """The repeated runs as packed strings, equal ones of a text as one row:
+    id, key, mini, starts (32-bit numbers), piece."""
     kind = found.schema["id"].dataType.simpleString()
 
     def run(batches):
         for b in sub_batches(batches, "text", CHUNK):
             texts, runs = b.column("text").cast(pa.large_binary()).to_pylist(), b.column("runs")
-            docs, minis, starts, wins, out = [], [], [], [], []
+            docs, minis, starts, out = [], [], [], []
             for i, text in enumerate(texts):
                 s, w, mini = distinct_runs(runs[i])
-                docs.append(np.full(len(s), i))
-                minis.append(mini), starts.append(s), wins.append(w)
-                out += u.cut_pieces(text or b"", s, w)
+                same: dict = {}
+                for start, m, piece in zip(s.tolist(), mini.tolist(), u.cut_pieces(text or b"", s, w)):
+                    same.setdefault((m, piece), []).append(start)
+                for (m, piece), at in same.items():
+                    docs.append(i), minis.append(m), out.append(piece)
+                    starts.append(np.array(at, "<i4").tobytes())
             if out:
-                take = pa.array(np.concatenate(docs))
+                take = pa.array(docs)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id").take(take), b.column("key").take(take), pa.array(np.concatenate(minis)),
-                     pa.array(np.concatenate(starts).astype(np.int32)), pa.array(np.concatenate(wins).astype(np.int32)),
-                     pa.array(out, pa.binary())], ["id", "key", "mini", "start", "wins", "piece"])
+                    [b.column("id").take(take), b.column("key").take(take), pa.array(minis, pa.int64()),
+                     pa.array(starts, pa.binary()), pa.array(out, pa.binary())], ["id", "key", "mini", "starts", "piece"])
 
-    return found.mapInArrow(run, f"id {kind}, key bigint, mini bigint, start int, wins int, piece binary")
+    return found.mapInArrow(run, f"id {kind}, key bigint, mini bigint, starts binary, piece binary")
 
 
 def distinct_runs(runs: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, numbers of windows and minimisers of a text's runs, each run
+    once (rows equal in id and text have gathered theirs together)."""
     v = runs.values
-    s, w, m = (v.field(k).to_numpy(zero_copy_only=False) for k in ("start", "wins", "mini"))
-    _, at = np.unique(s, return_index=True)
-    return s[at].astype(np.int64), w[at].astype(np.int64), m[at]
+    mini, packed = v.field("mini").to_numpy(zero_copy_only=False), v.field("runs").to_pylist()
+    both = np.frombuffer(b"".join(packed), "<i4").reshape(-1, 2)
+    mini = np.repeat(mini, [len(x) // 8 for x in packed])
+    s, at = np.unique(both[:, 0], return_index=True)
+    return s.astype(np.int64), both[at, 1].astype(np.int64), mini[at]
 
 
 def windows_of(pieces: DataFrame, u: Units) -> DataFrame:
@@ -177,13 +200,12 @@ def hot_stretches(pieces: DataFrame, u: Units) -> DataFrame:
     are counted as one, the distinct pieces' windows are counted by their own
     hash, and the result is joined back to the pieces' places."""
     placed = pieces.withColumn("digest", F.md5("piece"))
-    distinct = placed.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.any_value("piece").alias("piece"))
+    n = (F.octet_length("starts") / 4).cast("bigint")
+    distinct = placed.groupBy("digest").agg(F.sum(n).alias("n"), F.any_value("piece").alias("piece"))
     windows = windows_of(distinct, u)
     twice = windows.groupBy("h1", "h2").agg(F.sum("n").alias("c")).filter("c > 1").select("h1", "h2")
     places = windows.join(twice, ["h1", "h2"]).groupBy("digest").agg(F.collect_list("pos").alias("places"))
-    back = placed.select("id", "key", "start", "digest").join(joined_places(places), "digest")
-    return back.select("id", "key", "start", F.inline("parts")).select(
-        "id", "key", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi") + (u.window - 1)).alias("hi"))
+    return placed.select("id", "key", "starts", "digest").join(joined_places(places), "digest").select("id", "key", "starts", "parts")
 
 
 def same_row(a: DataFrame, b: DataFrame):
@@ -192,14 +214,14 @@ def same_row(a: DataFrame, b: DataFrame):
 
 def repeated_stretches(docs: DataFrame, u: Units, decide: Callable, bucket_limit: int) -> DataFrame:
     """docs: id, key, text. Returns the rows that have repeats, with spans: array
-    of (lo, hi) in units, each the extent of some windows that also start
-    elsewhere. After the runs one plan without a cut, so that the texts, dealt
+    of (starts, parts), where each (lo, hi) of the parts holds the windows
+    lo to hi - 1 after each start that also start elsewhere. After the runs one plan without a cut, so that the texts, dealt
     by document once, serve the pieces and the result."""
     kind = docs.schema["id"].dataType.simpleString()
     runs = runs_of(docs, u)
-    counts = runs.groupBy("mini").agg(F.count(F.lit(1)).alias("seen")).filter("seen > 1")
+    counts = runs.groupBy("mini").agg(F.sum(F.octet_length("runs") / 8).cast("bigint").alias("seen")).filter("seen > 1")
     repeated = runs.join(counts, "mini").select(
-        "id", "key", F.struct("start", "wins", "mini").alias("run"), (F.col("seen") > bucket_limit).alias("hot"))
+        "id", "key", F.struct("mini", "runs").alias("run"), (F.col("seen") > bucket_limit).alias("hot"))
     by_doc = cut(repeated.groupBy("id", "key").agg(
         F.collect_list(F.when(~F.col("hot"), F.col("run"))).alias("runs"),
         F.collect_list(F.when(F.col("hot"), F.col("run"))).alias("hot")))
@@ -207,32 +229,40 @@ def repeated_stretches(docs: DataFrame, u: Units, decide: Callable, bucket_limit
 
     pieces = pieces_of(found.filter("size(runs) > 0").select("id", "key", "text", "runs"), u)
     spans = (pieces.repartition("mini").sortWithinPartitions("mini")
-             .mapInArrow(decide, f"id {kind}, key bigint, lo int, hi int"))
+             .mapInArrow(decide, f"id {kind}, key bigint, starts binary, parts array<struct<lo: int, hi: int>>"))
 
     hot = pieces_of(found.filter("size(hot) > 0").select("id", "key", "text", F.col("hot").alias("runs")), u)
     spans = spans.unionByName(hot_stretches(hot, u))
-    spans = spans.groupBy("id", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    spans = spans.groupBy("id", "key").agg(F.collect_list(F.struct("starts", "parts")).alias("spans"))
     return found.join(spans, same_row(found, spans)).select(found["id"], found["key"], "text", "spans")
 
 
-def covered(n: int, spans: pa.ListScalar) -> np.ndarray:
-    """Which of n units lie in any span."""
+def covered(n: int, spans: pa.ListScalar, window: int) -> np.ndarray:
+    """Which of n units lie in any repeated window."""
+    step = np.zeros(n + 1, np.int64)
     v = spans.values
-    if v is None or not len(v):
-        return np.zeros(n, bool)
-    lo, hi = (v.field(k).to_numpy(zero_copy_only=False) for k in ("lo", "hi"))
-    step = np.bincount(lo, minlength=n + 1)[:n + 1] - np.bincount(hi, minlength=n + 1)[:n + 1]
+    parts, starts = v.field("parts"), v.field("starts").to_pylist()
+    size = np.diff(parts.offsets.to_numpy())
+    flat = parts.flatten()
+    lo, hi = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("lo", "hi"))
+    at = 0
+    for s, k in zip(starts, size.tolist()):
+        s = np.frombuffer(s, "<i4")[:, None]
+        np.add.at(step, (s + lo[at:at + k]).ravel(), 1)
+        np.add.at(step, (s + hi[at:at + k] + (window - 1)).ravel(), -1)
+        at += k
     return np.cumsum(step[:n]) > 0
 
 
-def span_rows(t: pa.Table, W: int, piece: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
-    """Output rows for window stretches [lo, hi) of the given pieces."""
-    take = pa.array(piece)
-    start = t.column("start").to_numpy()[piece]
-    out = pa.Table.from_arrays([t.column("id").take(take), t.column("key").take(take),
-                                pa.array((start + lo).astype(np.int32)), pa.array((start + hi + W - 1).astype(np.int32))],
-                               ["id", "key", "lo", "hi"]).combine_chunks()
-    return out.to_batches()[0] if out.num_rows else None
+def part_rows(t: pa.Table, piece: np.ndarray, lo: np.ndarray, hi: np.ndarray):
+    """Output rows for window stretches [lo, hi) of the given pieces (sorted)."""
+    if len(piece):
+        rows, count = np.unique(piece, return_counts=True)
+        offs = np.concatenate(([0], np.cumsum(count))).astype(np.int32)
+        parts = pa.ListArray.from_arrays(pa.array(offs), pa.StructArray.from_arrays(
+            [pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], names=["lo", "hi"]))
+        out = t.select(["id", "key", "starts"]).take(pa.array(rows)).append_column("parts", parts)
+        yield from out.combine_chunks().to_batches()
 
 
 def stretches(piece: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -258,4 +288,4 @@ def rows_with_key(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("id"), text_key(text_col).alias("key"), F.col(text_col).alias("text"))
 
 
-__all__ = ["Units", "covered", "mix", "repeated_stretches", "rows_with_key", "same_row", "span_rows", "stretches", "with_changes"]
+__all__ = ["Units", "covered", "mix", "part_rows", "repeated_stretches", "rows_with_key", "same_row", "stretches", "with_changes"]

@@ -13,9 +13,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import BASE_A, BASE_B, prefix, split_words, sub_batches, texts_of, whole_groups, window_hash, word_hashes
+from quartermaster.llm.common import BASE_A, BASE_B, binary_lengths, prefix, split_words, sub_batches, texts_of, whole_groups, window_hash, word_hashes
 from quartermaster.llm.quality import held, word_array
-from quartermaster.llm.repeats import (CHUNK, Units, covered, repeated_stretches, rows_with_key, span_rows, stretches,
+from quartermaster.llm.repeats import (CHUNK, Units, covered, part_rows, repeated_stretches, rows_with_key, stretches,
                                        with_changes)
 
 
@@ -26,7 +26,8 @@ def sort_windows(W: int):
             t = t.combine_chunks()
             data, offs = texts_of(t.column("piece").chunk(0))
             s, e, first = split_words(data, offs)
-            wins = t.column("wins").to_numpy().astype(np.int64)
+            wins = np.diff(first) - W + 1
+            often = binary_lengths(t.column("starts").chunk(0)) > 4  # the piece starts at several places of its text
             piece = np.repeat(np.arange(len(wins)), wins)
             pos = np.arange(len(piece)) - np.repeat(np.cumsum(wins) - wins, wins)
             at = first[piece] + pos
@@ -36,10 +37,8 @@ def sort_windows(W: int):
             twice = np.zeros(len(at), bool)
             twice[order[1:][same]] = True
             twice[order[:-1][same]] = True
-            hit = np.flatnonzero(twice)
-            out = span_rows(t, W, *stretches(piece[hit], pos[hit]))
-            if out is not None:
-                yield out
+            hit = np.flatnonzero(twice | often[piece])
+            yield from part_rows(t, *stretches(piece[hit], pos[hit]))
 
     return decide
 
@@ -58,7 +57,7 @@ def changed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             spans = b.column("spans")
             for i, text in enumerate(b.column("text").cast(pa.large_binary()).to_pylist()):
                 words = (text or b"").split()
-                drop = covered(len(words), spans[i])
+                drop = covered(len(words), spans[i], window)
                 total.append(len(words)), gone.append(int(drop.sum()))
                 kept.append(b" ".join([w for w, d in zip(words, drop.tolist()) if not d]).decode())
             yield pa.RecordBatch.from_arrays(

@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import sub_batches, texts_of, whole_groups
-from quartermaster.llm.repeats import (CHUNK, Units, covered, repeated_stretches, rows_with_key, span_rows, stretches,
+from quartermaster.llm.common import binary_lengths, sub_batches, texts_of, whole_groups
+from quartermaster.llm.repeats import (CHUNK, Units, covered, part_rows, repeated_stretches, rows_with_key, stretches,
                                        with_changes)
 
 
@@ -108,7 +108,7 @@ def expand_intervals(length: int):
             t = t.combine_chunks()
             enc = t.column("piece").chunk(0).dictionary_encode()
             index = enc.indices.to_numpy()
-            times = np.bincount(index, minlength=len(enc.dictionary))
+            times = np.bincount(index, weights=binary_lengths(t.column("starts").chunk(0)) // 4, minlength=len(enc.dictionary))
             first = np.unique(index, return_index=True)[1]
             # a piece alone in its bucket has nothing to be compared with
             _, bucket, pieces = np.unique(t.column("mini").to_numpy()[first], return_inverse=True, return_counts=True)
@@ -123,14 +123,11 @@ def expand_intervals(length: int):
             hit[~alone[own]] |= repeated_starts(enc.dictionary.filter(pa.array(~alone)), length)
             hit = np.flatnonzero(hit)
             p, lo, hi = stretches(own[hit], at[hit])
-            rows = np.argsort(index, kind="stable")
-            ends = np.cumsum(times)
-            n = times[p]
-            which = np.repeat(np.arange(len(p)), n)
-            row = rows[np.repeat(ends[p] - n, n) + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)]
-            out = span_rows(t, length, row, lo[which], hi[which])
-            if out is not None:
-                yield out
+            # from the distinct pieces to all rows, row after row
+            count = np.bincount(p, minlength=len(size))[index]
+            begin = np.searchsorted(p, index)
+            which = np.repeat(begin, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+            yield from part_rows(t, np.repeat(np.arange(len(index)), count), lo[which], hi[which])
 
     return decide
 
@@ -150,7 +147,7 @@ def changed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             spans = b.column("spans")
             for i, text in enumerate(b.column("text").cast(pa.large_binary()).to_pylist()):
                 text = text or b""
-                drop = covered(len(text), spans[i])
+                drop = covered(len(text), spans[i], length)
                 edge = np.flatnonzero(np.diff(np.concatenate(([0], drop.view(np.int8), [0])))).tolist()
                 removed.append([{"lo": a, "hi": z} for a, z in zip(edge[0::2], edge[1::2])])
                 total.append(len(text)), gone.append(int(drop.sum()))
