@@ -113,3 +113,22 @@ def test_personal_data_model_on_held_out_rows(spark, sf_dir):
         assert share >= 0.8
     clean = docs.filter(~F.col("text").rlike("[0-9@]"))
     assert find_personal_data(clean).filter("size(base) + size(added) > 0").count() == 0
+
+
+def test_personal_data_beyond_the_base_patterns_is_added(spark):
+    def account(i):
+        body = f"{37040044:08d}{(i * 7919 + 532013) % 10**10:010d}"
+        return f"DE{98 - int(body + '131400') % 97:02d}{body}"
+
+    rows = []
+    for i in range(400):
+        good, broken = account(i), account(i)[:-1] + str((int(account(i)[-1]) + 1) % 10)
+        four = lambda s: " ".join(s[k:k + 4] for k in range(0, len(s), 4))
+        rows.append((i, f"Pay to {four(good)} or not to {four(broken)}; write to name{i} [at] host{i % 9} [dot] org. Then call "
+                        f"030 {5550000 + 13 * i}. On 2024-05-{i % 28 + 1:02d} he took 12 {4000000 + 17 * i} parts."))
+    got = find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {r.doc_id: {rows[r.doc_id][1][s.start:s.end] for s in r.added} for r in got}
+    for i in range(400):
+        good = account(i)
+        want = {" ".join(good[k:k + 4] for k in range(0, 22, 4)), f"name{i} [at] host{i % 9} [dot] org", f"030 {5550000 + 13 * i}"}
+        assert found[i] == want, (i, found[i])
