@@ -11,6 +11,7 @@ BLOCK = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table caption tbody td tfoot th thead tr ul".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes svg math select object canvas audio video".split())
+RAW_END = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
 CLOSES_P = BLOCK - {"html", "body"}
 #: An opening tag closes an open one of these, up to the nearest of the fence.
 IMPLIED = {
@@ -80,7 +81,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
                 skip -= 1
             stack.pop()
 
-    at, low = 0, None
+    at = 0
     while at < len(page):
         m = TOKEN.match(page, at)
         at = m.end()
@@ -112,10 +113,8 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
             continue
         if tag in RAW:
             if not m[3].endswith("/"):
-                if low is None:
-                    low = page.lower()
-                end = low.find(f"</{tag}", at)
-                at = len(page) if end < 0 else (low.find(">", end) + 1 or len(page))
+                end = RAW_END[tag].search(page, at)  # in the page itself: lower() may change its length
+                at = (page.find(">", end.start()) + 1 or len(page)) if end else len(page)
             continue
         if tag in CLOSES_P:
             for depth in range(len(stack) - 1, 0, -1):

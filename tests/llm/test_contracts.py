@@ -158,3 +158,8 @@ def test_main_text_without_landmarks():
             "<form><input>Search</form><!-- c --><section class=comments><p>nice</p></section></body></html>")
     assert main_text(page, frozenset()) == "Title\nFirst bold\nSecond\none\ntwo\na\nb"
     assert hashlib.sha256(main_text("", frozenset()).encode()).hexdigest() == brute.sha("")
+
+
+def test_raw_elements_end_in_place_after_letters_that_grow_in_lower_case():
+    page = "<article><p>" + "İ" * 40 + "</p><script>var a = 1;</SCRIPT><p>One</p><style>p {}</style><p>Two</p></article><p>out</p>"
+    assert main_text(page, frozenset()) == "İ" * 40 + "\nOne\nTwo"
