@@ -1,13 +1,16 @@
 """Main text of web pages by wrapper induction.
 
-The pages of a host are dealt into groups of about `group` pages; in each,
+The pages of a host are dealt into groups of about `group` pages; of pages with
+the same main text (the marked article, or else the largest varying text)
+one is taken, as the others don't tell template from content. In each group
 neighbouring pages' trees of block elements are aligned by simple tree
 matching (the largest order-keeping matching of equally named nodes; runs of
 equal leaves count as one repeated slot). A matched node whose text is the
 same on both pages speaks for template, one whose text differs, or that has
 no partner, for content. The votes are summed for each host and path; a path
 that is nearly always constant is template unless it is the host's main slot
-(the path with the most varying text), whose blocks always stay.
+(the path with the most varying text), whose blocks always stay. Furniture has
+no votes, and the blocks of a marked article always stay.
 
 A page's text is its blocks that are not template, furniture by their
 element, role or class name, or, if the page marks its article, outside of
@@ -17,6 +20,7 @@ it; blocks made up of links count as menus where the article is not marked.
 from __future__ import annotations
 
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +45,11 @@ class Slot:
 
 
 def slots(node: Node) -> list:
-    """The tree as nested lists [label, hash, mass, children]; runs of equally
-    named leaves are one slot."""
+    """The tree without furniture as nested lists [label, hash, mass, children];
+    runs of equally named leaves are one slot."""
     children: list = []
     for c in node.children:
-        if c.furniture and c.label.split(".")[0] == "head":
+        if c.furniture:
             continue
         new = slots(c)
         if children and not new[3] and not children[-1][3] and children[-1][0] == new[0]:
@@ -135,32 +139,80 @@ def alone(s: Slot, votes: dict):
         alone(c, votes)
 
 
+def texts_by_path(s: Slot, out: dict) -> dict:
+    """path: (hash, mass) of all text at the path."""
+    if s.mass:
+        h, mass = out.get(s.path, (0, 0))
+        out[s.path] = (zlib.crc32(s.hash.to_bytes(4, "little"), h), mass + s.mass)
+    for c in s.children:
+        texts_by_path(c, out)
+    return out
+
+
+def unlike(trees: list[Slot], marked: list[int | None], least: float = 0.2) -> list[Slot]:
+    """One tree of each main text. Where no article is marked, the main text is
+    at the path with the most text of those that vary, or, if that has less
+    than `least` of the largest path's text (as an advert beside copies of one
+    article), at the largest path."""
+    texts = [texts_by_path(t, {}) if m is None else {} for t, m in zip(trees, marked)]
+    size, seen = Counter(), defaultdict(set)
+    for t in texts:
+        for path, (h, mass) in t.items():
+            size[path] += mass
+            seen[path].add(h)
+    main = max(size, key=lambda p: (size[p], p), default=None)
+    varying = max((p for p in size if len(seen[p]) > 1), key=lambda p: (size[p], p), default=main)
+    if main is not None and size[varying] >= least * size[main]:
+        main = varying
+    one: dict = {}
+    for tree, m, t in zip(trees, marked, texts):
+        one.setdefault(("marked", m) if m is not None else t.get(main) or frozenset(t.items()), tree)
+    return list(one.values())
+
+
+def article_hash(blocks: list) -> int | None:
+    """Hash of the marked article's text; None if none is marked."""
+    texts = [text for n, text, _ in blocks if n.landmark and not n.furniture]
+    return zlib.crc32("\n".join(texts).encode()) if texts else None
+
+
 def host_of(url):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def wrappers(pages: DataFrame, group: int) -> DataFrame:
-    """host, path, pairs, same, mass over all aligned pairs of pages."""
+TREE = ["tree", "article", "depth", "label", "hash", "mass"]
+TREE_TYPES = "tree bigint, article bigint, depth array<int>, label array<string>, hash array<bigint>, mass array<bigint>"
+
+
+def shapes(pages: DataFrame, group: int) -> DataFrame:
+    """host, part and the tree (`TREE`) of the pages."""
     def trees(batches):
         for b in sub_batches(batches, "html", CHUNK):
-            rows = [flatten(slots(parse(x or "")[0])) for x in b.column("html").to_pylist()]
+            read = [parse(x or "") for x in b.column("html").to_pylist()]
+            rows = [flatten(slots(root)) for root, _ in read]
             yield pa.RecordBatch.from_arrays(
                 [b.column("host"), b.column("part"), pa.array([zlib.crc32(repr(r).encode()) for r in rows], pa.int64()),
+                 pa.array([article_hash(blocks) for _, blocks in read], pa.int64()),
                  *[pa.array([[x[k] for x in r] for r in rows], pa.list_(t)) for k, t in enumerate((pa.int32(), pa.string(), pa.int64(), pa.int64()))]],
-                ["host", "part", "tree", "depth", "label", "hash", "mass"])
+                ["host", "part", *TREE])
 
     sizes = pages.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / group).alias("parts"))
     dealt = pages.select("host", "html").withColumn("part", F.abs(F.xxhash64("html")))
-    shape = dealt.mapInArrow(trees, "host string, part bigint, tree bigint, depth array<int>, label array<string>, hash array<bigint>, mass array<bigint>")
-    shape = shape.join(sizes, "host").withColumn("part", F.col("part") % F.col("parts")).drop("parts")
-    shape = shape.repartition("host", "part").sortWithinPartitions("host", "part", "tree")
+    shape = dealt.mapInArrow(trees, f"host string, part bigint, {TREE_TYPES}")
+    return shape.join(sizes, "host").withColumn("part", F.col("part") % F.col("parts")).drop("parts")
+
+
+def wrappers(pages: DataFrame, group: int) -> DataFrame:
+    """host, path, pairs, same, mass over all aligned pairs of pages."""
+    shape = shapes(pages, group).repartition("host", "part").sortWithinPartitions("host", "part", "tree")
 
     def align(batches):
         for g in groups(batches, ["host", "part"], 500):
             tree = g.column("tree").to_numpy()
             first = np.flatnonzero(np.concatenate(([True], tree[1:] != tree[:-1])))  # copies of a page say nothing
             cols = [g.column(k).to_pylist() for k in ("depth", "label", "hash", "mass")]
-            trees_ = [unflatten(*(c[i] for c in cols)) for i in first.tolist()]
+            article = g.column("article").to_pylist()
+            trees_ = unlike([unflatten(*(c[i] for c in cols)) for i in first.tolist()], [article[i] for i in first.tolist()])
             votes: dict = {}
             for a, b in zip(trees_, trees_[1:]):
                 vote(a, b, memo := {}, votes)  # noqa: F841
@@ -190,7 +242,7 @@ def main_text(page: str, template: frozenset) -> str:
     for node, text, linked in blocks:
         if node.furniture or marked and not node.landmark:
             continue
-        if node.path in template or not marked and 2 * linked > len(text):
+        if not marked and (node.path in template or 2 * linked > len(text)):
             continue
         out.append(text)
     return "\n".join(out)

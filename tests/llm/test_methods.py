@@ -132,3 +132,23 @@ def test_personal_data_beyond_the_base_patterns_is_added(spark):
         good = account(i)
         want = {" ".join(good[k:k + 4] for k in range(0, 22, 4)), f"name{i} [at] host{i % 9} [dot] org", f"030 {5550000 + 13 * i}"}
         assert found[i] == want, (i, found[i])
+
+
+def test_near_copies_of_a_page_keep_their_article(spark):
+    story = "A long story about rivers and the towns beside them, told once and printed again. " * 3
+    page = "<html><body><nav>Menu {0}</nav>{1}<footer>Seen {0} times</footer></body></html>"
+    marked = "<div class=offer>Offer of the day: {}</div><article><h1>{}</h1><p>{}</p><h2>Read more</h2><p>{}</p></article>"
+    plain = "<div class=offer>Offer of the day: {}</div><div class=story><h1>{}</h1><p>{}</p></div><div class=legal>All rights reserved</div>"
+    rows = [(i, f"http://m.org/{i}", page.format(i, marked.format(i * 37, "Rivers", story, "The end."))) for i in range(12)]
+    rows += [(100 + i, f"http://m.org/{i}", page.format(i, marked.format(i, f"Town {i}", f"{i} {story}", f"End {i}."))) for i in range(4)]
+    rows += [(200 + i, f"http://p.org/{i}", page.format(i, plain.format(i * 37, "Rivers", story))) for i in range(12)]
+    rows += [(300 + i, f"http://q.org/{i}", page.format(i, plain.format(i * 37, "Rivers", story))) for i in range(12)]
+    rows += [(400 + i, f"http://q.org/{i}", page.format(i, plain.format(i, f"Town {i}", f"{i} {story}"))) for i in range(8)]
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(12):
+        assert got[i] == f"Rivers\n{story.strip()}\nRead more\nThe end."
+        assert f"Rivers\n{story.strip()}" in got[200 + i] and f"Rivers\n{story.strip()}" in got[300 + i]
+    for i in range(4):
+        assert got[100 + i] == f"Town {i}\n{i} {story.strip()}\nRead more\nEnd {i}."
+    for i in range(8):
+        assert f"Town {i}\n{i} {story.strip()}" in got[400 + i] and "All rights" not in got[400 + i]
