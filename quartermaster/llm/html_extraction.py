@@ -32,6 +32,8 @@ from quartermaster.llm.near_dedup import groups
 from quartermaster.llm.page_tree import Node, parse
 
 CHUNK = 1 << 21
+#: So many pages at most that a task remembers to leave out their copies (some 200 bytes each).
+SEEN_PAGES = 100_000
 #: A broadcast of at most this many template paths (some 100 bytes each, 20 MB); more are joined by shuffle.
 BROADCAST_PATHS = 200_000
 
@@ -185,21 +187,32 @@ TREE_TYPES = "tree bigint, article bigint, depth array<int>, label array<string>
 
 
 def shapes(pages: DataFrame, group: int) -> DataFrame:
-    """host, part and the tree (`TREE`) of the pages."""
+    """host, part and the tree (`TREE`) of each different page of a host. A task
+    leaves out copies of a page it has read, the other copies are combined
+    before the shuffle; parts are counted over what is left."""
     def trees(batches):
+        seen: set = set()
         for b in sub_batches(batches, "html", CHUNK):
+            new = []
+            for i, page in enumerate(zip(b.column("host").to_pylist(), b.column("page").to_pylist())):
+                if page not in seen:
+                    new.append(i)
+                    if len(seen) < SEEN_PAGES:
+                        seen.add(page)
+            b = b.take(pa.array(new, pa.int64()))
             read = [parse(x or "") for x in b.column("html").to_pylist()]
             rows = [flatten(slots(root)) for root, _ in read]
             yield pa.RecordBatch.from_arrays(
-                [b.column("host"), b.column("part"), pa.array([zlib.crc32(repr(r).encode()) for r in rows], pa.int64()),
+                [b.column("host"), b.column("page"), pa.array([zlib.crc32(repr(r).encode()) for r in rows], pa.int64()),
                  pa.array([article_hash(blocks) for _, blocks in read], pa.int64()),
                  *[pa.array([[x[k] for x in r] for r in rows], pa.list_(t)) for k, t in enumerate((pa.int32(), pa.string(), pa.int64(), pa.int64()))]],
-                ["host", "part", *TREE])
+                ["host", "page", *TREE])
 
-    sizes = pages.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / group).alias("parts"))
-    dealt = pages.select("host", "html").withColumn("part", F.abs(F.xxhash64("html")))
-    shape = dealt.mapInArrow(trees, f"host string, part bigint, {TREE_TYPES}")
-    return shape.join(sizes, "host").withColumn("part", F.col("part") % F.col("parts")).drop("parts")
+    dealt = pages.select("host", "html").withColumn("page", F.xxhash64("html"))
+    shape = dealt.mapInArrow(trees, f"host string, page bigint, {TREE_TYPES}")
+    shape = cut(shape.groupBy("host", "page").agg(F.first(F.struct(*TREE)).alias("t")))
+    sizes = shape.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / group).alias("parts"))
+    return shape.join(sizes, "host").select("host", F.pmod("page", "parts").alias("part"), "t.*")
 
 
 def wrappers(pages: DataFrame, group: int) -> DataFrame:

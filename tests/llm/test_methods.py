@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from quartermaster.llm.html_extraction import extract_pages, template_paths
+from quartermaster.llm.html_extraction import extract_pages, shapes, template_paths
 from quartermaster.llm.near_dedup import Scheme
 from quartermaster.llm.packing import best_fit
 from quartermaster.llm.pii import candidates, find_personal_data, fit
@@ -152,3 +152,11 @@ def test_near_copies_of_a_page_keep_their_article(spark):
         assert got[100 + i] == f"Town {i}\n{i} {story.strip()}\nRead more\nEnd {i}."
     for i in range(8):
         assert f"Town {i}\n{i} {story.strip()}" in got[400 + i] and "All rights" not in got[400 + i]
+
+
+def test_copies_of_a_page_meet_in_no_group(spark):
+    rows = [("h.org", f"<p>Page {max(0, i - 390)}</p>") for i in range(400)] + [("g.org", "<p>Page 0</p>")] * 40
+    df = spark.createDataFrame(rows, "host string, html string").repartition(5)
+    got = {(r.host, r.part): r["count"] for r in shapes(df, 4).groupBy("host", "part").count().collect()}
+    assert sum(n for (host, _), n in got.items() if host == "h.org") == 10 and max(part for _, part in got) < 3
+    assert got[("g.org", 0)] == 1
