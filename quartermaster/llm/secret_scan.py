@@ -26,13 +26,15 @@ KINDS = [
     ("access", "AKIA", r"(AKIA[A-Z0-9]+)", 1, 20),
     ("hex", r"[0-9a-f]{24}", r"([0-9a-f]+)", 1, 24),
 ]
+KEY = "(?:[A-Z0-9]+ )*PRIVATE KEY"
+#: A private key is its body up to the footer, whatever lines it has; without a footer, the characters a key may have.
 ADDED = [
     ("github", r"gh[opsur]_", r"(gh[opsur]_[A-Za-z0-9]{36,})", 1, 40),
     ("stripe", r"[rs]k_live_", r"([rs]k_live_[A-Za-z0-9]{16,})", 1, 24),
     ("slack", r"xox[abeprs]-", r"(xox[abeprs]-[A-Za-z0-9-]{10,})", 1, 15),
     ("google", r"AIza", r"(AIza[A-Za-z0-9_-]{35})", 1, 39),
     ("jwt", r"eyJ", r"(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})", 1, 24),
-    ("pem", r"-----BEGIN", r"(-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----)", 1, 20),
+    ("pem", r"-----BEGIN", rf"-----BEGIN {KEY}-----((?>(?s:.*?)(?=-----))(?=-----END )|[A-Za-z0-9+/=\s\\\\\"',]*+)(?:-----END {KEY}-----)?", 1, 32),
 ]
 SPAN = "array<struct<kind:string,rank:int,start:int,end:int,value:string>>"
 
@@ -66,6 +68,15 @@ def random_looking(value: Column) -> Column:
     return (F.length(value) >= 16) & value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (chars >= 9)
 
 
+def bare(kind: Column, value: Column) -> Column:
+    """A private key without line ends and quotes, so that its copies are equal; other values as they are."""
+    return F.when(kind == "pem", F.regexp_replace(value, r"""\s|\\[nrt]|["',\\]""", "")).otherwise(value)
+
+
+def looks_live(kind: Column, value: Column) -> Column:
+    return F.when(kind == "pem", value.rlike("[A-Za-z0-9+/=]{32}")).otherwise(random_looking(value))
+
+
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", widely: int = 3) -> DataFrame:
     """One row for each input row: `id_col`, row_key (hash of the text), spans
     (array of kind, rank, start, end in code points, end exclusive, digest,
@@ -80,9 +91,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = held(docs.select(F.col(id_col).alias("id"), F.col(owner_col).alias("owner"), text_key(text_col).alias("row_key"), text.alias("text")),
                 **{kind: spans_of(F.col("text"), kind, i, *rest) for i, (kind, *rest) in enumerate(KINDS + ADDED)})
     found = F.concat(*[F.col(k[0]) for k in KINDS + ADDED])
+    found = F.transform(found, lambda x: x.withField("value", bare(x["kind"], x["value"])))
     rows = cut(rows.select("id", "owner", "row_key", F.transform(found, lambda x: F.struct(
         x["start"].alias("start"), x["rank"].alias("rank"), x["end"].alias("end"), x["kind"].alias("kind"),
-        F.sha2(x["value"], 256).alias("digest"), random_looking(x["value"]).alias("random"))).alias("found")))
+        F.sha2(x["value"], 256).alias("digest"), looks_live(x["kind"], x["value"]).alias("random"))).alias("found")))
 
     values = rows.filter(F.size("found") > 0).select(
         "id", "row_key", "owner", F.explode(F.array_distinct(F.transform("found", lambda x: x["digest"]))).alias("digest"))

@@ -1,5 +1,7 @@
 """What the named methods add beyond the base contracts."""
 
+import hashlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -160,3 +162,26 @@ def test_copies_of_a_page_meet_in_no_group(spark):
     got = {(r.host, r.part): r["count"] for r in shapes(df, 4).groupBy("host", "part").count().collect()}
     assert sum(n for (host, _), n in got.items() if host == "h.org") == 10 and max(part for _, part in got) < 3
     assert got[("g.org", 0)] == 1
+
+
+def pem(i, kind="RSA ", lines=3):
+    body = "\n".join(hashlib.sha256(f"{i} {k}".encode()).hexdigest().upper()[:60] + "/+Az" for k in range(lines))
+    return f"-----BEGIN {kind}PRIVATE KEY-----\n{body}\n-----END {kind}PRIVATE KEY-----"
+
+
+def test_private_keys_are_told_apart_by_their_bodies(spark):
+    rows = [(i, f"key of {i}:\n{pem(i, lines=3 + 400 * (i == 2))}\nand more", f"owner{i}") for i in range(6)]
+    rows += [(10 + i, f"example {pem('e')} end", f"owner{i}") for i in range(5)]
+    rows += [(20, pem(20, "EC ").split("\n-----END")[0], "a"), (21, f"{pem(21).split('-----END')[0]}{pem(22, '')} é", "b"),
+             (23, "a -----BEGIN RSA PRIVATE KEY----- line begins such a key", "c"),
+             (24, pem(24).replace("KEY-----\n", "KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n", 1), "d"),
+             (25, 'x = "' + pem(25).replace("\n", "\\n") + '"', "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    spans = scan_secrets(df)
+    clean = {r.doc_id: r.text for r in redact(df, spans).collect()}
+    for i in range(6):
+        assert clean[i] == f"key of {i}:\n[SECRET]\nand more"
+        assert clean.get(10 + i, "example -----BEGIN").startswith("example -----BEGIN")
+    assert clean[20] == "[SECRET]" and clean[21] == "[SECRET][SECRET] é" and clean[23] == rows[-3][1]
+    assert clean[24] == "[SECRET]" and clean[25] == 'x = "[SECRET]"'
+    assert {s.kind: s.owners for r in spans.filter("doc_id < 6").collect() for s in r.spans if s.kind == "pem"} == {"pem": 1}
