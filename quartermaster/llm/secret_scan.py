@@ -5,7 +5,8 @@ text. Every candidate value is hashed, and its hash is counted over the
 corpus by distinct repository (the row) and owner: first within (hash,
 owner), then by hash, so a value that is copied everywhere is combined before
 it moves. A value held by `widely` owners or more is a copied example; one
-that fewer hold and that looks random is an owner-specific live credential.
+that fewer hold is an owner-specific live credential, unless its kind needs
+more than the form (a body, different characters, no placeholder) and it lacks it.
 Base spans are always reported; spans of the further patterns only if they
 aren't copied examples.
 """
@@ -62,19 +63,28 @@ def spans_of(text: Column, kind: str, rank: int, test: str, pattern: str, group:
     return F.when(text.rlike(test), all_).otherwise(none).cast(SPAN)
 
 
-def random_looking(value: Column) -> Column:
-    """Letters and digits mixed, many different characters."""
-    chars = F.size(F.array_distinct(F.split(value, "")))
-    return (F.length(value) >= 16) & value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (chars >= 9)
-
-
 def bare(kind: Column, value: Column) -> Column:
     """A private key without line ends and quotes, so that its copies are equal; other values as they are."""
     return F.when(kind == "pem", F.regexp_replace(value, r"""\s|\\[nrt]|["',\\]""", "")).otherwise(value)
 
 
+#: Values that stand for a secret: such words only, with or without signs between them.
+PLACEHOLDER = ("(?i)(?:(?:your|my|the|some|insert|enter|replace|change|with|me|it|this|here|example|sample|dummy|test|fake|placeholder|redacted|hidden|todo|none|"
+               "null|nil|undefined|true|false|required|optional|user|new|old|password|passwd|passw|pass|secret|token|api|key|access|auth|client|string|value|"
+               "default|name|env|getenv|get|set|self|config|settings|os|process|environ|request|form|input|x++)[_.=/+-]*+)+")
+
+
 def looks_live(kind: Column, value: Column) -> Column:
-    return F.when(kind == "pem", value.rlike("[A-Za-z0-9+/=]{32}")).otherwise(random_looking(value))
+    """Whether a value that few owners hold is a credential. The known formats
+    are; a private key needs a body; an assigned value has different characters
+    enough for its length and is no placeholder; a hash has them too, letters
+    and digits mixed."""
+    chars = F.size(F.array_remove(F.array_distinct(F.split(value, "")), ""))
+    least = F.greatest(F.lit(3), F.least(F.lit(6), F.ceil(F.length(value) / 3)))
+    placeholder = (F.length(value) <= 80) & value.rlike(f"^{PLACEHOLDER}$")
+    return (F.when(kind == "pem", value.rlike("[A-Za-z0-9+/=]{32}"))
+            .when(kind == "assign", (chars >= least) & ~placeholder)
+            .when(kind == "hex", (chars >= least) & value.rlike("[0-9]") & value.rlike("[a-f]")).otherwise(F.lit(True)))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", widely: int = 3) -> DataFrame:
