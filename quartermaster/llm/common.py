@@ -36,11 +36,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def counted_side(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+def counted_side(df: DataFrame, rows: int = 1_000_000, weight: Column | None = None) -> DataFrame:
     """A side of few narrow columns for a join: counted, and broadcast if it has
-    at most `rows` rows (some 50 MB); otherwise the join shuffles."""
+    at most `rows` rows (some 50 MB); otherwise the join shuffles. `weight` is
+    what a row counts as if it holds an array."""
     df = cut(df)
-    return F.broadcast(df) if df.count() <= rows else df
+    n = df.count() if weight is None else df.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    return F.broadcast(df) if n <= rows else df
 
 
 def text_key(text: str = "text") -> Column:

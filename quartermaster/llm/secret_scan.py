@@ -136,8 +136,9 @@ def redact(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col:
     found = "live"
     while found in docs.columns:
         found += "_"
-    live = counted_side(spans.select(F.col(id_col).alias("__id"), F.col("row_key").alias("__key"), F.filter(
-        "spans", lambda x: x["live"]).alias(found)).filter(F.size(found) > 0).distinct())
+    live = counted_side(spans.select(F.col(id_col).alias("__id"), F.col("row_key").alias("__key"), F.transform(
+        F.filter("spans", lambda x: x["live"]), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias(found)
+    ).filter(F.size(found) > 0).distinct(), weight=F.size(found) + 1)
     both = docs.join(live, docs[id_col].eqNullSafe(live["__id"]) & (text_key(text_col) == live["__key"]), "left")
     text = F.col(text_col)
 

@@ -198,3 +198,16 @@ def test_short_and_plain_secrets_are_live(spark):
     assert [s for i, s in enumerate(live) if clean[i] != "é [SECRET] end"] == []
     assert [s for i, s in enumerate(plain) if "[SECRET]" in clean[len(live) + i]] == []
     assert clean[100] == rows[-4][1]
+
+
+def test_many_spans_are_not_broadcast(spark):
+    """Two rows of 600,000 spans each are joined by shuffle; overlapping spans are one."""
+    docs = spark.createDataFrame([(1, "abcdefgh"), (2, "xy")], "doc_id long, text string")
+    many = F.transform(F.sequence(F.lit(0), F.lit(599_999)), lambda i: F.struct(i.alias("start"), (i + 1).alias("end"), F.lit(True).alias("live")))
+    key = F.xxhash64("text").alias("row_key")
+    plan = lambda spans: redact(docs, spans)._jdf.queryExecution().optimizedPlan().toString()
+    few = docs.select("doc_id", key, F.expr("array(named_struct('start', 1, 'end', 4, 'live', true), named_struct('start', 2, 'end', 3, 'live', true),"
+                                            " named_struct('start', 3, 'end', 5, 'live', true), named_struct('start', 5, 'end', 6, 'live', true))").alias("spans"))
+    assert "broadcast" in plan(few)
+    assert {r.text for r in redact(docs.filter("doc_id = 1"), few).collect()} == {"a[SECRET][SECRET]gh"}
+    assert "broadcast" not in plan(docs.select("doc_id", key, many.alias("spans")))
