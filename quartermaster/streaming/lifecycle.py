@@ -147,10 +147,9 @@ def completeness_gate(events: DataFrame, expected: Sequence[str], key: str = "as
     """Streaming gate: emit one row (run, 'DATASETS_SYNCED!', n) the first
     time a run has seen every expected item; never again for that run.
 
-    Events outside the list are dropped and repeated (run, item) pairs removed
-    before the state step, so at most the expected items of a run reach it.
-    State per run is the set of items seen so far, and only the emitted flag
-    once the signal is out.
+    Events outside the list are dropped before the state step. State per run
+    is the set of expected items seen so far, and only the emitted flag once
+    the signal is out; ``sync.sync_gate`` also forgets finished runs.
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -176,7 +175,6 @@ def completeness_gate(events: DataFrame, expected: Sequence[str], key: str = "as
         state.update(([] if emitted else sorted(seen), emitted))
 
     src = events.filter(F.col(item).isin(want)).select(F.col(key).cast("string").alias(key), item)
-    src = src.dropDuplicates([key, item])
     return src.groupBy(key).applyInPandasWithState(gate, out_schema, state_schema, "append",
                                                    GroupStateTimeout.NoTimeout)
 
@@ -253,15 +251,21 @@ def skip_processed(events: DataFrame, state: DataFrame, keys: Sequence[str] = ("
 def run_lifecycle(spark: SparkSession, events_dir: str, base: str,
                   expected: Sequence[str], item_expr=None,
                   statuses: Sequence[str] = ("Dataset_Created",),
-                  max_files_per_trigger: int = 1, gate: bool = True, state_partitions: int | None = None) -> Mapping[str, str]:
+                  max_files_per_trigger: int | None = 1, gate: bool = True, state_partitions: int | None = None,
+                  source: DataFrame | None = None, sync: Mapping | None = None) -> Mapping[str, str]:
     """Replay the change events in ``events_dir`` through the lifecycle:
 
     1. events of kind INSERT / MODIFY (T4) are appended to the status log
        (T3) by ``foreachBatch``;
     2. events with one of ``statuses`` feed the completeness gate (T5),
-       whose signals are appended to the gate table.
-
-    ``gate=False`` runs only the first. ``state_partitions`` sets the
+       whose signals are appended to the gate table;
+    3. with a ``source`` (rows of all runs, by ``assessment_id``) the events
+       also feed the sync gate by the source system's rule (``sync_gate``,
+       whose options are ``sync``); each batch of its signals is refreshed and
+       audited (T6, T8) and its tables are committed together under
+       ``published`` (``refresh.publish``).
+
+    ``gate=False`` leaves the second out. ``state_partitions`` sets the
     number of state-store partitions of the gate (a stateful query fixes it
     at its first start; default: the session's shuffle partitions). Both
     queries use ``availableNow`` (process what is there, then stop)
@@ -294,6 +298,24 @@ def run_lifecycle(spark: SparkSession, events_dir: str, base: str,
                            .trigger(availableNow=True).start())
         finally:
             spark.conf.set(key, before)
+    if source is not None:
+        from quartermaster.streaming import refresh
+        from quartermaster.streaming.sync import STATE_STORE, sync_gate
+        tables = refresh.refresh_tables(spark, base, source)
+        paths["published"] = tables.base
+        item_expr = item_expr if item_expr is not None else F.regexp_extract("dataset_id", r"^(.*)-dataset-", 1)
+        seen = on_status(read_events(spark, events_dir, max_files_per_trigger)).withColumn("item", item_expr)
+        settings = STATE_STORE | ({"spark.sql.shuffle.partitions": str(state_partitions)} if state_partitions else {})
+        held = {k: spark.conf.get(k, None) for k in settings}
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        try:
+            started.append(sync_gate(seen, expected, SYNCED_SIGNAL, **(sync or {})).writeStream
+                           .foreachBatch(refresh.publish(tables, source)).option("checkpointLocation", os.path.join(base, "_chk_publish"))
+                           .trigger(availableNow=True).start())
+        finally:
+            for k, v in held.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     wait_until_done(started)
     return paths
 

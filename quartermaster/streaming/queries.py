@@ -75,3 +75,87 @@ def q_stream_status_state(spark, sf_dir) -> DataFrame:
                      F.unix_micros("Status_Timestamp").alias("Status_Timestamp_us"),
                      F.unix_micros("File_Received").alias("File_Received_us"),
                      F.unix_micros("Dataset_Created").alias("Dataset_Created_us"))
+
+
+# ---------------------------------------------------------------------------
+# T5 by the source's rule, T6 and T8 inside the lifecycle
+# ---------------------------------------------------------------------------
+SYNC_ITEMS = [f"{kind}-{i}" for kind in ("click", "error", "purchase", "signup", "view") for i in range(2)]
+DELAY_S, KEEP_S, LATE_S = 43_200, 10 * 365 * 86_400, 600
+_SYNC_EVENTS = """
+e AS MATERIALIZED (SELECT CAST(user_id AS VARCHAR) AS run, event_type || '-' || (event_id % 2) AS item,
+                          floor(value) % 2 = 1 AS made, epoch_us(ts) // 1000 AS ms FROM events WHERE value >= 5),
+first AS MATERIALIZED (SELECT run, item, min(ms) FILTER (NOT made) AS f, min(ms) FILTER (made) AS d FROM e GROUP BY run, item),
+ends AS (SELECT run, max(ms) AS last, (SELECT max(ms) FROM e) AS newest FROM e GROUP BY run)"""
+
+
+def _looks(times: str) -> str:
+    """SQL: what the items of a run are at each of its look times."""
+    return f"""SELECT t.run, t.tm, count(*) FILTER (f <= t.tm AND d <= t.tm) AS n_matched, count(*) FILTER (f <= t.tm OR d <= t.tm) AS n_there,
+       count(*) FILTER (coalesce(f <= t.tm, false) <> coalesce(d <= t.tm, false)) AS n_unmatched
+FROM ({times}) t JOIN first USING (run) GROUP BY t.run, t.tm"""
+
+
+_SIGNALS = f"""{_SYNC_EVENTS},
+looks AS MATERIALIZED ({_looks("SELECT DISTINCT run, ms AS tm FROM e WHERE made")}),
+second AS ({_looks(f"SELECT DISTINCT run, tm + {DELAY_S * 1000} AS tm FROM looks WHERE n_unmatched BETWEEN 1 AND 2")}),
+found AS (SELECT *, false AS second_look FROM looks WHERE n_unmatched = 0 UNION ALL
+          SELECT second.*, true FROM second JOIN ends USING (run) WHERE n_unmatched = 0 AND (tm < last OR tm <= newest - {LATE_S * 1000})),
+signals AS (SELECT run, arg_min(found, [tm, CAST(second_look AS BIGINT)]) AS s FROM found GROUP BY run)"""
+
+
+def write_sync_events(spark, sf_dir, path: str) -> str:
+    """Events with odd whole values create a dataset, the others deliver its file."""
+    ev = t(spark, sf_dir, "events")
+    status = F.when(F.floor("value") % 2 == 1, F.lit("Dataset_Created")).otherwise(F.lit("File_Received"))
+    kind = F.when(F.col("value") < 5, F.lit("REMOVE")).otherwise(F.lit("INSERT"))
+    stem = F.concat_ws("-", "event_type", (F.col("event_id") % 2).cast("string"))
+    rec = change_event(F.col("user_id"), F.concat_ws("-dataset-", stem, F.col("user_id").cast("string")), status, F.col("ts"), kind,
+                       F.col("event_id"), F.col("event_id"))
+    (ev.select("ts", F.to_json(rec).alias("value")).repartitionByRange("ts")
+     .select("value").write.mode("errorifexists").text(path))
+    return path
+
+
+def _published(spark, sf_dir):
+    from quartermaster.streaming.refresh import refresh_tables
+    base = L.state_base(spark, "qm-publish")
+    events_dir = write_sync_events(spark, sf_dir, os.path.join(base, "events"))
+    source = t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("assessment_id"), "o_orderkey", "o_totalprice")
+    # one micro-batch: the files of one write don't arrive in time order
+    L.run_lifecycle(spark, events_dir, base, SYNC_ITEMS, gate=False, max_files_per_trigger=None,
+                    state_partitions=spark.sparkContext.defaultParallelism, source=source,
+                    sync={"delay_s": DELAY_S, "keep_s": KEEP_S, "late": f"{LATE_S} seconds"})
+    return refresh_tables(spark, base, source)
+
+
+@register("stream_sync_gate", f"""
+WITH {_SIGNALS}
+SELECT run AS assessment_id, '{L.SYNCED_SIGNAL}' AS signal, s.tm AS signal_ms, s.second_look AS second_look,
+       CAST(s.n_matched AS INTEGER) AS n_matched, CAST({len(SYNC_ITEMS)} - s.n_there AS INTEGER) AS n_absent
+FROM signals
+""")
+def q_stream_sync_gate(spark, sf_dir) -> DataFrame:
+    """Signals of the sync gate, as the lifecycle committed them."""
+    s = _published(spark, sf_dir).read("signals")
+    return s.select("assessment_id", "signal", F.unix_millis("signal_at").alias("signal_ms"), "second_look", "n_matched", "n_absent")
+
+
+@register("lifecycle_audit", f"""
+WITH {_SIGNALS},
+n AS (SELECT CAST(o_custkey AS VARCHAR) AS run, count(*) AS source_rows, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents FROM orders GROUP BY 1)
+SELECT run AS assessment_id, 'aggregated-embark-dataset-' || run AS dataset_id,
+       CASE WHEN source_rows IS NULL THEN 'NO_DATASET' ELSE 'REFRESHED' END AS status, source_rows,
+       CASE WHEN source_rows IS NOT NULL THEN 'INGEST_COMPLETE' END AS run_status, coalesce(source_rows, 0) AS published_rows,
+       CAST(coalesce(cents, 0) AS BIGINT) AS published_cents
+FROM signals LEFT JOIN n USING (run)
+""")
+def q_lifecycle_audit(spark, sf_dir) -> DataFrame:
+    """The audit with what was published and the status row of each run."""
+    from quartermaster.streaming.refresh import current_target
+    tables = _published(spark, sf_dir)
+    published = current_target(tables).groupBy(F.col("assessment_id").cast("string").alias("assessment_id")).agg(
+        F.count(F.lit(1)).alias("published_rows"), F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("published_cents"))
+    status = tables.read("status").select("assessment_id", F.col("status").alias("run_status"))
+    return (tables.read("audit").select("assessment_id", "dataset_id", "status", "source_rows")
+            .join(status, "assessment_id", "left").join(published, "assessment_id", "left").fillna(0, ["published_rows", "published_cents"]))
