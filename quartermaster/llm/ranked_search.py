@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import counted_side, cut, lists, sub_batches, text_key
+from quartermaster.llm.common import counted_side, cut, lists, sub_batches, text_key, texts_of
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Term counts from which a signature has another entry: exact up to 3, then within a half.
@@ -46,7 +46,9 @@ ITEM_TERMS = 100_000  # terms of the items that are searched together
 def terms_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
     """Distinct terms of each text: text, term (number in the dictionary), and
     the dictionary; then the number of terms of each text, with repeats."""
-    low = pc.ascii_lower(pc.fill_null(col.cast(pa.large_string()), ""))
+    data, offs = texts_of(col)
+    data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+    low = pa.Array.from_buffers(pa.large_string(), len(col), [None, pa.py_buffer(offs), pa.py_buffer(data)])
     split = pc.split_pattern_regex(low, SEPARATORS)
     row = np.repeat(np.arange(len(col)), np.diff(split.offsets.to_numpy()))
     words = split.flatten()
