@@ -7,8 +7,9 @@ query has as 0; nearest then means largest inner product.
 
 1. `distinct_nodes`: equal vectors are one node with its smallest ids (as many
    as an answer can need), so copies neither crowd a graph nor a result.
-2. `vector_index` deals the nodes into shards of about `shard_rows` by hash and
-   builds each shard's graph in one task: nodes are inserted in batches, a
+2. `vector_index` deals the nodes of like norm (`BANDS`) into shards of about
+   `shard_rows` by hash, since the added coordinate sets vectors apart from
+   queries the more their norms differ, and builds each shard's graph in one task: nodes are inserted in batches, a
    greedy search through the graph so far proposes neighbours, and relaxed
    distance pruning keeps a candidate only if no kept one is nearer to it by
    the factor `alpha`; edges run both ways and are pruned the same way. The
@@ -28,12 +29,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import cut, lists, whole_groups
+from quartermaster.llm.common import counted_side, cut, lists, whole_groups
 from quartermaster.llm.vectors import finite, whole_rows
 
+BANDS = 8  # of norms to each doubling; the vectors of a band share shards
 DEGREE, MOST_DEGREE = 32, 48  # edges kept by pruning; edges at which a node is pruned again
 INSERTED, SEARCHED = 256, 128  # nodes inserted, queries searched together
 
@@ -180,13 +182,22 @@ def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.filter(F.col("id").isNotNull() & finite("vector") & F.exists("vector", lambda x: x != 0))
 
 
+def norm_band(vector: str) -> Column:
+    """The band of a vector's norm; norms around 1 share band 0."""
+    wide = F.transform(vector, lambda x: F.abs(x.cast("double")))
+    top = F.array_max(wide)  # scaled by it, squares neither overflow nor vanish
+    squares = F.aggregate(wide, F.lit(0.0), lambda s, x: s + (x / top) * (x / top))
+    return F.floor(BANDS * (F.log2(top) + F.log2(squares) / 2) + 0.5).cast("bigint")
+
+
 def vector_index(nodes: DataFrame, shard_rows: int = 8192, beam: int = 64, alpha: float = 1.2) -> DataFrame:
     """The index: dims, shard, place, start (the shard's first place to look),
     node, ids, vector, edges (places in the shard). Vectors of different length
-    are in different shards. `nodes` as `distinct_nodes` returns them."""
-    sizes = {r["dims"]: -(-r["count"] // shard_rows) for r in nodes.groupBy(F.size("vector").alias("dims")).count().collect()}
-    shards = F.coalesce(*[F.when(F.size("vector") == d, F.lit(n)) for d, n in sizes.items()], F.lit(1))
-    dealt = nodes.select(F.size("vector").alias("dims"), F.pmod(F.xxhash64("node"), shards).cast("int").alias("shard"), "node", "ids", "vector")
+    or norm band are in different shards. `nodes` as `distinct_nodes` returns them."""
+    banded = nodes.select(F.size("vector").alias("dims"), norm_band("vector").alias("band"), "node", "ids", "vector")
+    sizes = counted_side(banded.groupBy("dims", "band").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("shards")))
+    number = F.col("band") * (1 << 32) + F.pmod(F.xxhash64("node"), F.col("shards"))
+    dealt = banded.join(sizes, ["dims", "band"]).select("dims", number.alias("shard"), "node", "ids", "vector")
     kind = nodes.schema["ids"].dataType.simpleString()
     vector = nodes.schema["vector"].dataType.simpleString()
 
@@ -201,7 +212,7 @@ def vector_index(nodes: DataFrame, shard_rows: int = 8192, beam: int = 64, alpha
                 yield from out.to_batches()
 
     return cut(dealt.repartition("dims", "shard").sortWithinPartitions("dims", "shard", "node").mapInArrow(
-        run, f"dims int, shard int, node bigint, ids {kind}, vector {vector}, place int, start int, edges array<int>"))
+        run, f"dims int, shard bigint, node bigint, ids {kind}, vector {vector}, place int, start int, edges array<int>"))
 
 
 def groups(t: pa.Table, keys: tuple = ("dims", "shard")) -> Iterator[pa.Table]:

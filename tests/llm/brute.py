@@ -125,3 +125,59 @@ def op4_base(docs):
         n = Counter(x[3] for x in found)
         out.append((d, n["email"], n["ip"], n["card"], n["phone"], sha(",".join(f"{x[3]}:{x[1]}:{x[2]}" for x in sorted(found)))))
     return out
+
+
+def op11(rows, scale=4096, parts=8, entries=16, rounds=6, bound=1 << 28):
+    """`rows`: (id, vector, label), all of one length once the odd ones are out."""
+    import math
+    ok = [r for r in rows if r[1] and all(x is not None and math.isfinite(x) for x in r[1]) and len(r[1]) % parts == 0]
+    ok.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    ok = [r for r in ok if len(r[1]) == len(ok[0][1])]
+    x = [[max(-bound, min(bound, math.floor(scale * c))) for c in r[1]] for r in ok]
+    w = len(x[0]) // parts
+    cut = lambda v, p: v[p * w:(p + 1) * w]
+    books = [[cut(v, p) for v in x[:entries]] for p in range(parts)]
+
+    def nearest(v, book):
+        return min((sum((a - b) ** 2 for a, b in zip(v, y)), e) for e, y in enumerate(book))
+    for _ in range(rounds):
+        for p in range(parts):
+            own = [[] for _ in books[p]]
+            for v in x:
+                own[nearest(cut(v, p), books[p])[1]].append(cut(v, p))
+            books[p] = [[sum(c) // len(c) for c in zip(*o)] if o else y for o, y in zip(own, books[p])]
+    out = []
+    for r, v in zip(ok, x):
+        near = [nearest(cut(v, p), books[p]) for p in range(parts)]
+        out.append((r[0], "".join(f"{e:02x}" for _, e in near), sum(d for d, _ in near), r[2]))
+    total = Counter()
+    for *_, error, label in out:
+        total[label] += error
+    digest = sha(",".join(str(c) for book in books for y in book for c in y))
+    return [(d, code, error, total[label], digest) for d, code, error, label in out]
+
+
+def op12(rows, k=20, every=20):
+    """query id -> [(score, id)] of the nearest, all of them exact."""
+    import math
+    ok = {(r[0], tuple(x + 0.0 for x in r[1])) for r in rows if r[0] is not None and r[1] and all(x is not None and math.isfinite(x) for x in r[1]) and any(r[1])}
+    return {(q, v): sorted(((-sum(a * b for a, b in zip(v, u)), i) for i, u in ok if i != q and len(u) == len(v)))[:k]
+            for q, v in ok if q % every == 0}
+
+
+def op13(docs, items, k=10):
+    import math
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    tfs = [(d, Counter(split(t))) for d, t in docs]
+    df = Counter(w for _, tf in tfs for w in tf)
+    n_all, length = sum(1 for _, tf in tfs if tf), sum(sum(tf.values()) for _, tf in tfs)
+    out = []
+    for item, text in sorted(set(items), key=str):
+        scores = []
+        for d, tf in tfs:
+            m = 10 + 90 * sum(tf.values()) * n_all // max(length, 1)
+            s = sum(math.floor(1000 * math.log((2 * n_all + 2) / (2 * df[w] + 1))) * (10**9 * tf[w] // (1000 * tf[w] + 8 * m)) for w in set(split(text)) if tf[w])
+            if s > 0:
+                scores.append((-s, d is None, d or 0))
+        out += [(item, i + 1, None if null else d, -s) for i, (s, null, d) in enumerate(sorted(scores)[:k])]
+    return out

@@ -5,7 +5,8 @@ from pyspark.sql import types as T
 
 LONG, TEXT = T.LongType(), T.StringType()
 #: Further columns whose names the operators use inside.
-CLASHING = ["id", "key", "row_key", "words", "runs", "spans", "kept", "n", "h", "live_", "component", "base", "rep"]
+CLASHING = ["id", "key", "row_key", "words", "runs", "spans", "kept", "n", "h", "live_", "component", "base", "rep",
+            "vector", "code", "node", "score", "rank", "item", "term", "bound"]
 
 
 def write(spark, folder, table, names, kinds, rows, extra=True):
@@ -57,6 +58,18 @@ def benchmark(docs):
     return out + [(200, None), (201, ""), (202, "w1"), (203, "w2 w3"), (204, "?!"), (5, out[5][1])]
 
 
+def embeddings():
+    """(vec_id, embedding, label): copies under many ids, one id twice, and every odd vector."""
+    rng = random.Random(7)
+    vec = lambda: [round(rng.gauss(0, 0.3), 5) for _ in range(16)]
+    common, nan, inf = vec(), float("nan"), float("inf")
+    out = [(i, common if i % 3 == 0 else vec(), rng.choice([0, 1, 2, None])) for i in range(240)]
+    out += [(i, [0.5 * x for x in common], 1) for i in range(240, 270)]
+    out += [(300, None, 1), (320, [], 1), (340, [0.0] * 16, 1), (360, [-0.0] * 16, None), (380, [nan] + [0.1] * 15, 2), (381, [0.1] * 15 + [inf], 2),
+            (382, [None] + [0.1] * 15, 2), (400, [0.3] * 8, 1), (420, [0.1, 0.2], 0), (None, vec(), 1), (440, [1e30] + [0.0] * 15, 4)]
+    return out + [out[1], (2, vec(), 0)]
+
+
 @pytest.fixture(scope="session")
 def tables(spark, tmp_path_factory):
     """A folder of odd small tables, and the rows it was written from."""
@@ -74,7 +87,9 @@ def tables(spark, tmp_path_factory):
               "<footer>f</footer></body></html>"), (2, None, None), (3, "http://a.org/3", ""), (None, "x", "plain <b>text</b>"),
              (4, "http://a.org/1", "<p>a<script>var t='</p>'</script>b")]
     write(spark, folder, "pages", ["page_id", "url", "html"], [LONG, TEXT, TEXT], pages)
-    return {"folder": folder, "documents": docs, "benchmark": items, "conversations": turns, "pages": pages, "full": full}
+    vectors = embeddings()
+    write(spark, folder, "embeddings", ["vec_id", "embedding", "label"], [LONG, T.ArrayType(T.FloatType()), T.IntegerType()], vectors)
+    return {"folder": folder, "documents": docs, "embeddings": vectors, "benchmark": items, "conversations": turns, "pages": pages, "full": full}
 
 
 @pytest.fixture(scope="session")
@@ -84,4 +99,5 @@ def empty(spark, tmp_path_factory):
     write(spark, folder, "benchmark", ["item_id", "text"], [LONG, TEXT], [])
     write(spark, folder, "conversations", ["conv_id", "turn", "role", "text"], [LONG, LONG, TEXT, TEXT], [])
     write(spark, folder, "pages", ["page_id", "url", "html"], [LONG, TEXT, TEXT], [])
+    write(spark, folder, "embeddings", ["vec_id", "embedding", "label"], [LONG, T.ArrayType(T.FloatType()), T.IntegerType()], [])
     return folder
