@@ -48,9 +48,11 @@ class BatchTables:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(root).filter(F.col("batch_id") <= last)
 
-    def write(self, name: str, batch_id: int, rows: DataFrame) -> DataFrame:
-        """Write (or overwrite) a batch's rows of one table; returns them read back."""
-        rows.write.mode("overwrite").parquet(self.folder(name, batch_id))
+    def write(self, name: str, batch_id: int, rows: DataFrame, by: str | None = None) -> DataFrame:
+        """Write (or overwrite) a batch's rows of one table, in a folder for each
+        value of ``by``; returns them read back."""
+        writer = rows.write.mode("overwrite")
+        (writer.partitionBy(by) if by else writer).parquet(self.folder(name, batch_id))
         return self.spark.read.schema(self.schemas[name]).parquet(self.folder(name, batch_id))
 
     def commit(self, batch_id: int) -> None:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quartermaster.plans.table_queries import ORACLE_SQL, QUERIES, register, t
+from quartermaster.streaming import dispatch as D
 from quartermaster.streaming import lifecycle as L
 from quartermaster.streaming.sources import change_event
 
@@ -159,3 +160,64 @@ def q_lifecycle_audit(spark, sf_dir) -> DataFrame:
     status = tables.read("status").select("assessment_id", F.col("status").alias("run_status"))
     return (tables.read("audit").select("assessment_id", "dataset_id", "status", "source_rows")
             .join(status, "assessment_id", "left").join(published, "assessment_id", "left").fillna(0, ["published_rows", "published_cents"]))
+
+
+# ---------------------------------------------------------------------------
+# Arrival notices to the sinks of the jobs
+# ---------------------------------------------------------------------------
+NOTICE_FILES = [*D.ARRIVAL_SUFFIXES, "RD_IX_Requirement_Trimmed.csv", "RD_IW_PaxLocationAll_joined.csv", "cosx_embark.csv", "notes.txt"]
+
+
+def _file_sql() -> str:
+    """SQL rows (place, file name, sink, reason), written down from the routing rules."""
+    jobs = dict(L.ROUTES)
+    out = []
+    for i, name in enumerate(NOTICE_FILES):
+        announced = any(name.endswith(s) for s in D.ARRIVAL_SUFFIXES)
+        job = jobs.get(name) or ("aggregated_embark" if name.startswith("cos") and name.endswith(".csv") else None)
+        if not announced:
+            sink, reason = "quarantine", "'not_announced'"
+        elif name.endswith(".zip"):
+            sink, reason = "unpack", "NULL"
+        elif name in D.JOB_FILES:
+            sink, reason = (job, "NULL") if job else ("quarantine", "'no_route'")
+        else:
+            sink, reason = "received", "NULL"
+        out.append(f"({i}, '{name}', '{sink}', {reason})")
+    return ", ".join(out)
+
+
+def write_notices(spark, sf_dir, path: str) -> str:
+    """One notice for each order: two files of a customer's run, the second
+    sometimes without a run, and keys as storage encodes them."""
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    names = F.array(*[F.lit(n) for n in NOTICE_FILES])
+
+    def record(place, folder):
+        name = F.get(names, (place % len(NOTICE_FILES)).cast("int"))
+        return F.struct(F.lit("ObjectCreated:Put").alias("eventName"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("eventTime"), F.struct(
+            F.struct(F.lit("store").alias("name")).alias("bucket"),
+            F.struct(F.concat(folder, name).alias("key"), F.col("o_orderkey").alias("size")).alias("object")).alias("s3"))
+
+    run = F.concat(F.lit("assessments/"), F.col("o_custkey").cast("string"), F.lit("/in+put%2F"))
+    alone = F.when(F.col("o_orderkey") % 7 == 0, F.lit("")).otherwise(run)
+    records = F.array(record(F.col("o_orderkey"), run), record(F.col("o_orderkey") * 3 + 1, alone))
+    o.select(F.to_json(F.struct(records.alias("Records"))).alias("value")).write.mode("errorifexists").text(path)
+    return path
+
+
+@register("dispatch_arrivals", f"""
+WITH names AS (SELECT * FROM (VALUES {_file_sql()}) AS v(place, file_name, sink, reason)),
+files AS (SELECT o_orderkey, o_custkey, o_orderkey % {len(NOTICE_FILES)} AS place, true AS in_run FROM orders UNION ALL
+          SELECT o_orderkey, o_custkey, (o_orderkey * 3 + 1) % {len(NOTICE_FILES)}, o_orderkey % 7 <> 0 FROM orders)
+SELECT CASE WHEN in_run THEN sink ELSE 'quarantine' END AS sink,
+       CASE WHEN in_run OR reason = 'not_announced' THEN reason ELSE 'no_run' END AS reason,
+       CASE WHEN in_run THEN CAST(o_custkey AS VARCHAR) END AS assessment_id, file_name, o_orderkey AS size,
+       CASE WHEN in_run THEN 'assessments/' || CAST(o_custkey AS VARCHAR) || '/in put/' ELSE '' END || file_name AS object_key
+FROM files JOIN names USING (place)
+""")
+def q_dispatch_arrivals(spark, sf_dir) -> DataFrame:
+    """Every file of the notices, with the one sink it is in."""
+    base = L.state_base(spark, "qm-dispatch")
+    D.run_dispatch(spark, write_notices(spark, sf_dir, os.path.join(base, "notices")), base)
+    return D.dispatch_tables(spark, base).read("sinks").select("sink", "reason", "assessment_id", "file_name", "size", "object_key")
