@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quartermaster.plans import publish as P
+from quartermaster.plans.cascade import DATASET_FILTERS
 from quartermaster.plans.table_queries import ORACLE_SQL, QUERIES, register, t
 
 __all__ = ["QUERIES", "ORACLE_SQL"]
@@ -142,3 +143,67 @@ FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
 """)
 def q_field_usage(spark, sf_dir):
     return P.field_usage(line_definitions(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# The parts of a report that each run keeps
+# ---------------------------------------------------------------------------
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def report_definition(spark, sf_dir) -> dict[str, DataFrame]:
+    """A definition from the parts (calculated fields, every third built on
+    another, and column configurations) and suppliers (visuals of two fields)."""
+    from quartermaster.plans.cascade import mapping_tables
+    stem = lambda i: _stem_at(MAPPED_STEMS, (i % len(MAPPED_STEMS) + 1).cast("int"))
+    name = lambda c: F.concat(F.lit("f"), c.cast("string"))
+    part, key = t(spark, sf_dir, "part").select("p_partkey", "p_size"), F.col("p_partkey")
+    supplier = t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    sheet = F.get(F.array(*[F.lit(s) for s in P.SHEET_ORDER]), (F.col("s_nationkey") % len(P.SHEET_ORDER)).cast("int"))
+    visual = F.concat(F.lit("v"), F.col("s_suppkey").cast("string")).alias("visual")
+    identifiers = spark.createDataFrame([(s.replace("-", "_"), s) for s in MAPPED_STEMS], "identifier string, dataset string")
+    underscored = lambda c: F.regexp_replace(c, "-", "_").alias("identifier")
+    return mapping_tables(spark) | {
+        "identifiers": identifiers,
+        "fields": part.select(name(key).alias("field"), underscored(stem(F.col("p_size")))),
+        "field_uses": part.filter((key % 3 == 0) & (key > 0)).select(name(key).alias("field"), name(F.floor(key / 2)).alias("uses")),
+        "columns": part.select(F.concat(F.lit("c"), key.cast("string")).alias("column"), underscored(stem(key))),
+        "visuals": supplier.select(visual, sheet.alias("sheet")),
+        "visual_fields": supplier.select(visual, F.explode(F.array(name(F.col("s_suppkey")), name(F.col("s_suppkey") * 2))).alias("field"))}
+
+
+_STEM_ROWS = ", ".join(f"({i}, '{s}')" for i, s in enumerate(MAPPED_STEMS))
+
+
+@register("report_parts", f"""
+WITH RECURSIVE stems AS (SELECT * FROM (VALUES {_STEM_ROWS}) AS v(idx, stem)),
+segments AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{s}')" for i, s in enumerate(SEGMENTS))}) AS v(seg, name)),
+avail AS (SELECT DISTINCT c_nationkey * 10 + seg AS run, stem FROM customer JOIN segments ON c_mktsegment = name
+          JOIN stems ON c_custkey % {len(MAPPED_STEMS)} = idx WHERE c_acctbal > 9300),
+runs AS (SELECT DISTINCT run FROM avail),
+sheets AS (SELECT * FROM (VALUES {", ".join(f"('{d}', '{s}', {P.SHEET_ORDER.index(s)})" for d, s in P.DATASET_SHEETS)}) AS v(stem, sheet, place)),
+filters AS (SELECT * FROM (VALUES {", ".join(f"('{d}', '{f}')" for d, f in DATASET_FILTERS)}) AS v(stem, filter)),
+nodes AS (SELECT 'identifier' AS part, replace(stem, '-', '_') AS name FROM stems UNION SELECT 'sheet', sheet FROM sheets UNION SELECT 'filter', filter FROM filters
+          UNION SELECT 'field', 'f' || p_partkey FROM part UNION SELECT 'column', 'c' || p_partkey FROM part UNION SELECT 'visual', 'v' || s_suppkey FROM supplier),
+edges AS (SELECT 'field' AS part, 'f' || p_partkey AS name, 'identifier' AS of_part, replace(stem, '-', '_') AS of_name FROM part JOIN stems ON p_size % {len(MAPPED_STEMS)} = idx
+          UNION ALL SELECT 'field', 'f' || p_partkey, 'field', 'f' || (p_partkey // 2) FROM part WHERE p_partkey % 3 = 0 AND p_partkey > 0
+          UNION ALL SELECT 'column', 'c' || p_partkey, 'identifier', replace(stem, '-', '_') FROM part JOIN stems ON p_partkey % {len(MAPPED_STEMS)} = idx
+          UNION ALL SELECT 'visual', 'v' || s_suppkey, 'sheet', sheet FROM supplier JOIN (SELECT DISTINCT sheet, place FROM sheets) ON s_nationkey % {len(P.SHEET_ORDER)} = place
+          UNION ALL SELECT 'visual', 'v' || s_suppkey, 'field', 'f' || (s_suppkey * k) FROM supplier, (VALUES (1), (2)) AS m(k)),
+gone AS (SELECT run, 'identifier' AS part, replace(stem, '-', '_') AS name FROM runs, stems WHERE (run, stem) NOT IN (SELECT (run, stem) FROM avail)
+         UNION SELECT run, 'sheet', sheet FROM runs, (SELECT DISTINCT sheet FROM sheets) WHERE (run, sheet) NOT IN (SELECT (run, sheet) FROM avail JOIN sheets USING (stem))
+         UNION SELECT run, 'filter', filter FROM runs, (SELECT DISTINCT filter FROM filters) WHERE (run, filter) NOT IN (SELECT (run, filter) FROM avail JOIN filters USING (stem))
+         UNION SELECT gone.run, e.part, e.name FROM gone JOIN edges e ON e.of_part = gone.part AND e.of_name = gone.name)
+SELECT run AS assessment_id, 'dataset' AS part, stem AS name, CAST(NULL AS INTEGER) AS position FROM avail
+UNION ALL
+SELECT run, part, name, CASE WHEN part = 'sheet' THEN CAST((SELECT min(place) + 1 FROM sheets WHERE sheet = name) AS INTEGER) END
+FROM runs, nodes WHERE (run, part, name) NOT IN (SELECT (run, part, name) FROM gone)
+""")
+def q_report_parts(spark, sf_dir):
+    """All parts of the report that a run (nation and segment) keeps."""
+    from quartermaster.plans.cascade import report_parts
+    c = t(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 9300)
+    segment = F.array_position(F.array(*[F.lit(s) for s in SEGMENTS]), F.col("c_mktsegment")) - 1
+    available = c.select((F.col("c_nationkey") * 10 + segment).cast("int").alias("assessment_id"),
+                         _stem_at(MAPPED_STEMS, (F.col("c_custkey") % len(MAPPED_STEMS) + 1).cast("int")).alias("dataset"))
+    return report_parts(available, report_definition(spark, sf_dir)).drop("level")
