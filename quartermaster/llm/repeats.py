@@ -13,10 +13,12 @@ travels as one piece.
 2. The repeated runs are gathered per document and joined with the text,
    which is cut into pieces; the pieces go to their minimiser's bucket.
 3. The operator decides inside the buckets (`decide`).
-4. A minimiser with more than `bucket_limit` runs is split further: its equal
-   pieces are counted as one, the windows of the distinct pieces are counted
-   by their own 128-bit hash, with partial aggregation, so no group of one
-   key meets in one task (`hot_stretches`).
+4. A minimiser with more than `bucket_limit` runs is split further
+   (`hot_stretches`): its equal pieces are one, with a count, and the distinct
+   pieces are dealt out anew by minimisers over more units, which fewer
+   windows share. Only what is still in a bucket beyond the limit after
+   `finer` such rounds is counted window by window, by a 128-bit hash and with
+   partial aggregation, so no group of one key meets in one task.
 5. The repeated stretches are gathered per document and joined with the
    texts of step 2, which are already dealt by document.
 
@@ -27,7 +29,7 @@ documents, like any other two.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +40,22 @@ from quartermaster.llm.common import (BASE_A, BASE_B, as_long, cut, mix, prefix,
                                       split_words, sub_batches, text_key, texts_of, window_hash, word_hashes)
 
 CHUNK = 1 << 21  # bytes of text that a task hashes at a time
+PARTS = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
 
 
 @dataclass(frozen=True)
 class Units:
     """How texts fall into units: `kind` bytes or words, windows of `window`
-    units, minimisers over `mer` units."""
+    units, minimisers over `mer` units; buckets too large are dealt out anew
+    `finer` times."""
     kind: str
     window: int
     mer: int
+    finer: int = 2
+
+    def next(self) -> Units:
+        """The same windows, minimisers half way to a window's length."""
+        return replace(self, mer=(self.mer + self.window) // 2, finer=self.finer - 1)
 
     def values(self, col: pa.Array, base=BASE_A) -> tuple[np.ndarray, np.ndarray]:
         """A hash for each unit of the batch, and where each text begins."""
@@ -181,8 +190,6 @@ def windows_of(pieces: DataFrame, u: Units) -> DataFrame:
 
 def joined_places(places: DataFrame) -> DataFrame:
     """digest, places -> digest, parts: the maximal runs (lo, hi) of the window places."""
-    part = pa.struct([("lo", pa.int32()), ("hi", pa.int32())])
-
     def run(batches):
         for b in batches:
             out = []
@@ -190,22 +197,51 @@ def joined_places(places: DataFrame) -> DataFrame:
                 p = np.unique(x.values.to_numpy(zero_copy_only=False))
                 cut_at = np.flatnonzero(np.diff(p) > 1) + 1
                 out.append([{"lo": int(q[0]), "hi": int(q[-1]) + 1} for q in np.split(p, cut_at)])
-            yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array(out, pa.list_(part))], ["digest", "parts"])
+            yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array(out, PARTS)], ["digest", "parts"])
 
     return places.mapInArrow(run, "digest string, parts array<struct<lo: int, hi: int>>")
 
 
-def hot_stretches(pieces: DataFrame, u: Units) -> DataFrame:
-    """Repeated stretches in hot buckets, spread over the cluster: equal pieces
-    are counted as one, the distinct pieces' windows are counted by their own
-    hash, and the result is joined back to the pieces' places."""
-    placed = pieces.withColumn("digest", F.md5("piece"))
+def whole_pieces(pieces: DataFrame, u: Units) -> DataFrame:
+    """digest, parts of pieces (digest, piece) that are repeated as a whole."""
+    def run(batches):
+        for b in sub_batches(batches, "piece", CHUNK):
+            _, first = u.values(b.column("piece"))
+            parts = [[{"lo": 0, "hi": w}] for w in (np.diff(first) - u.window + 1).tolist()]
+            yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array(parts, PARTS)], ["digest", "parts"])
+
+    return pieces.mapInArrow(run, "digest string, parts array<struct<lo: int, hi: int>>")
+
+
+def parts_of_pieces(found: DataFrame) -> DataFrame:
+    """digest, parts from the repeated stretches of pieces (id: the digest)."""
+    def run(batches):
+        for b in batches:
+            parts = [[{"lo": at + p["lo"], "hi": at + p["hi"]} for span in spans
+                      for at in np.frombuffer(span["starts"], "<i4").tolist() for p in span["parts"]] for spans in b.column("spans").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(parts, PARTS)], ["digest", "parts"])
+
+    return found.select("id", "spans").mapInArrow(run, "digest string, parts array<struct<lo: int, hi: int>>")
+
+
+def hot_stretches(pieces: DataFrame, u: Units, decide: Callable, bucket_limit: int) -> DataFrame:
+    """Repeated stretches of the pieces (id, key, mini, starts, piece) of
+    buckets beyond the limit, spread over the cluster: equal pieces are one,
+    the distinct ones are texts of their own with finer minimisers, or at last
+    their windows are counted by hash; joined back to the pieces' places."""
+    placed = cut(pieces.withColumn("digest", F.md5("piece")))
     n = (F.octet_length("starts") / 4).cast("bigint")
     distinct = placed.groupBy("digest").agg(F.sum(n).alias("n"), F.any_value("piece").alias("piece"))
-    windows = windows_of(distinct, u)
-    twice = windows.groupBy("h1", "h2").agg(F.sum("n").alias("c")).filter("c > 1").select("h1", "h2")
-    places = windows.join(twice, ["h1", "h2"]).groupBy("digest").agg(F.collect_list("pos").alias("places"))
-    return placed.select("id", "key", "starts", "digest").join(joined_places(places), "digest").select("id", "key", "starts", "parts")
+    if u.finer and not placed.isEmpty():
+        distinct = cut(distinct)
+        texts = distinct.select(F.col("digest").alias("id"), F.lit(0).cast("bigint").alias("key"), F.col("piece").alias("text"))
+        parts = parts_of_pieces(repeated_stretches(texts, u.next(), decide, bucket_limit))
+        parts = parts.unionByName(whole_pieces(distinct.filter("n > 1").select("digest", "piece"), u))
+    else:
+        windows = windows_of(distinct, u)
+        twice = windows.groupBy("h1", "h2").agg(F.sum("n").alias("c")).filter("c > 1").select("h1", "h2")
+        parts = joined_places(windows.join(twice, ["h1", "h2"]).groupBy("digest").agg(F.collect_list("pos").alias("places")))
+    return placed.select("id", "key", "starts", "digest").join(parts, "digest").select("id", "key", "starts", "parts")
 
 
 def same_row(a: DataFrame, b: DataFrame):
@@ -232,7 +268,7 @@ def repeated_stretches(docs: DataFrame, u: Units, decide: Callable, bucket_limit
              .mapInArrow(decide, f"id {kind}, key bigint, starts binary, parts array<struct<lo: int, hi: int>>"))
 
     hot = pieces_of(found.filter("size(hot) > 0").select("id", "key", "text", F.col("hot").alias("runs")), u)
-    spans = spans.unionByName(hot_stretches(hot, u))
+    spans = spans.unionByName(hot_stretches(hot, u, decide, bucket_limit))
     spans = spans.groupBy("id", "key").agg(F.collect_list(F.struct("starts", "parts")).alias("spans"))
     return found.join(spans, same_row(found, spans)).select(found["id"], found["key"], "text", "spans")
 
