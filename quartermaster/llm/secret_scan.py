@@ -133,13 +133,16 @@ def joined(spans: Column) -> Column:
 
 def redact(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """`docs` with every live span, overlaps merged, replaced by `mark`; other rows and columns unchanged."""
-    found = "live"
-    while found in docs.columns:
-        found += "_"
-    live = counted_side(spans.select(F.col(id_col).alias("__id"), F.col("row_key").alias("__key"), F.transform(
+    def own(name: str) -> str:
+        while name in docs.columns:
+            name += "_"
+        return name
+
+    found, of_id, of_key = own("live"), own("live_id"), own("live_key")
+    live = counted_side(spans.select(F.col(id_col).alias(of_id), F.col("row_key").alias(of_key), F.transform(
         F.filter("spans", lambda x: x["live"]), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias(found)
     ).filter(F.size(found) > 0).distinct(), weight=F.size(found) + 1)
-    both = docs.join(live, docs[id_col].eqNullSafe(live["__id"]) & (text_key(text_col) == live["__key"]), "left")
+    both = docs.join(live, docs[id_col].eqNullSafe(live[of_id]) & (text_key(text_col) == live[of_key]), "left")
     text = F.col(text_col)
 
     def step(acc, x):
