@@ -24,11 +24,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import (BASE_A, as_long, changed_at, cut, mix, prefix, split_words, sub_batches, texts_of,
-                                      whole_groups, window_hash, word_hashes)
+from quartermaster.llm.common import (BASE_A, as_long, changed_at, counted_side, cut, mix, prefix, split_words, sub_batches,
+                                      text_key, texts_of, whole_groups, window_hash, word_hashes)
 from quartermaster.llm.components import components
 
 CHUNK = 1 << 21
@@ -317,3 +317,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of `docs` without near-duplicates: of each group the text with
+    the smallest id, as one row.
+
+    Texts are told apart by id and text hash, so different texts of one id are
+    grouped apart; of an id's texts the one with the smallest hash goes by the
+    id, the others come after all ids. Of rows equal in id and text the least
+    one stays. Rows without an id, with null or empty texts aside from such
+    repeats, all stay; texts of any length are whole; an empty table gives an
+    empty one; columns may have any name and type. Ids are whole numbers.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("key"), F.col(text_col).alias("text"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    named = rows.filter("id IS NOT NULL")
+    pairs = named.select("id", "key").distinct()
+    several = pairs.groupBy("id").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    last = named.agg(F.max("id")).scalar()
+    others = pairs.join(several, "id").filter("key <> first").select(F.col("id").alias("of_id"), F.col("key").alias("of_key"))
+    others = counted_side(cut(others.withColumn("at", F.monotonically_increasing_id())).withColumn("other", F.col("at") + last + 1).drop("at"))
+    named = named.join(others, (F.col("id") == F.col("of_id")) & (F.col("key") == F.col("of_key")), "left").select(
+        F.coalesce("other", "id").alias("node"), "text", "row")
+    found = cut(near_duplicates(named, "node", "text", **options).select("node", "kept"))
+    gone = counted_side(found.filter("NOT kept").select("node").distinct())
+    twice = counted_side(found.filter("kept").groupBy("node").count().filter("count > 1").select("node"))
+    left = named.join(gone, "node", "left_anti")
+    least = Window.partitionBy("node").orderBy(F.to_json("row"))
+    one = left.join(twice, "node", "left_semi").withColumn("rank", F.row_number().over(least)).filter("rank = 1")
+    out = left.join(twice, "node", "left_anti").select("row").unionByName(one.select("row")).unionByName(rows.filter("id IS NULL").select("row"))
+    return out.select("row.*")

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 LONG, TEXT = T.LongType(), T.StringType()
 #: Further columns whose names the operators use inside.
 CLASHING = ["id", "key", "row_key", "words", "runs", "spans", "kept", "n", "h", "live_", "component", "base", "rep",
-            "vector", "code", "node", "score", "rank", "item", "term", "bound"]
+            "__id", "__key", "live", "live_id", "vector", "code", "node", "score", "rank", "item", "term", "bound"]
 
 
 def write(spark, folder, table, names, kinds, rows, extra=True):

@@ -75,6 +75,24 @@ def test_repeats_in_hot_buckets(spark, tables):
     assert rows(found) == expected(brute.op5(tables["documents"]))
 
 
+def test_repeats_in_hot_buckets_of_near_copies(spark):
+    import random
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(900)}" for _ in range(160)]
+    docs = []
+    for i in range(60):
+        w = list(base)
+        for _ in range(rng.choice([0, 1, 2, 4])):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+        docs.append((i, " ".join(w)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    for limit in (2, 8, 4000):
+        words = remove_repeated_words(df, bucket_limit=limit).withColumn("kept", F.sha2("kept", 256))
+        assert rows(words) == expected(brute.op9(docs)), limit
+        found = remove_repeated_bytes(df, bucket_limit=limit).select("doc_id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256))
+        assert rows(found) == expected(brute.op5(docs)), limit
+
+
 def test_decontamination(spark, tables, sf_dir):
     assert rows(QUERIES["op2_decontamination"](spark, tables["folder"])) == expected(brute.op2(tables["documents"], tables["benchmark"]))
 
@@ -128,6 +146,17 @@ def test_packing(spark, tables, sf_dir):
     assert n <= 1.05 * least + 2
 
 
+def test_packing_with_more_partitions_than_items(spark):
+    docs = [(i, "word " * (3 * i)) for i in range(5)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        check_packing(pack_documents(df, tokenizer_path(), per_task=1, fan_in=2).collect(), docs, 2048)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def test_special_strings_are_tokenised_like_the_library(spark):
     texts = ["It's the İstanbul ΣΑΣ é ́x don'T ½ ² x<|endoftext|>y <|startoftext|> z 1<|ENDOFTEXT|> <|EndOfText|>É ÉCOLE Ö1Ö", "ﬁ Å̊ 東京都 a​b ÀÉÞẞß× ÷÷ª"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -163,3 +192,22 @@ def test_main_text_without_landmarks():
 def test_raw_elements_end_in_place_after_letters_that_grow_in_lower_case():
     page = "<article><p>" + "İ" * 40 + "</p><script>var a = 1;</SCRIPT><p>One</p><style>p {}</style><p>Two</p></article><p>out</p>"
     assert main_text(page, frozenset()) == "İ" * 40 + "\nOne\nTwo"
+
+
+def test_personal_data_base_spans_on_random_and_long_texts():
+    import random
+    import re
+    import time
+
+    from quartermaster.llm.pii import BASE, spans_in
+    rng = random.Random(8)
+    plain = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"}
+    for _ in range(3000):
+        t = "".join(rng.choices("ab@.-+1 2903[", k=rng.randrange(40)))
+        for kind, _, find, _ in BASE[:2]:
+            assert list(find(t)) == [m.span() for m in re.finditer(plain[kind], t)], t
+    for t in ("x" * 10**6 + "@ a@b.c", "1" * 10**6 + " 1.2 @", "a." * 300_000 + "@", "@a" * 300_000, "1." * 400_000, "+1" + "2 " * 300_000, "0" * 10**6 + ".0.0.1"):
+        at = time.time()
+        spans_in(t)
+        assert time.time() - at < 8
+    assert ("ip", 0, 10**6 + 6) in spans_in("0" * 10**6 + ".0.0.1")[0]
