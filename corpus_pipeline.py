@@ -13,9 +13,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import counted_side, cut, read, text_key
+from quartermaster.llm.common import counted_side, read, text_key
 from quartermaster.llm.decontamination import find_contamination
-from quartermaster.llm.near_dedup import near_duplicates
+from quartermaster.llm.near_dedup import one_of_each_group
 from quartermaster.llm.packing import pack_documents
 from quartermaster.llm.quality import quality_verdicts
 from quartermaster.llm.queries import tokenizer_path
@@ -30,37 +30,39 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
+    """Documents that pass the quality rules. Null and empty texts fail them;
+    texts of any length are whole; rows of one id are judged by their own text;
+    an empty table stays empty."""
     return without(docs, quality_verdicts(docs).filter("NOT kept").select(F.col("doc_id").alias("id"), "row_key"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (five-word shingles, 0.8): the
-    one with the smallest id; of rows that share an id the least row. Rows
-    without an id stay."""
-    found = cut(near_duplicates(docs).select("doc_id", "kept"))
-    gone = counted_side(found.filter("NOT kept").select("doc_id").distinct())
-    often = counted_side(found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
-    once = docs.join(gone, "doc_id", "left_anti").join(often, "doc_id", "left_anti").select(*docs.columns)
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    least = docs.join(often, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("row"))
-    return once.unionByName(least.select("doc_id", "row.*").select(*docs.columns))
+    """One document of each near-duplicate group (five-word shingles, 0.8), the
+    one with the smallest id; different texts of one id are documents of their
+    own. Rows without an id stay, so do empty and null texts; texts of any
+    length are whole; an empty table stays empty."""
+    return one_of_each_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any benchmark window."""
+    """Documents without any benchmark window. Null and empty texts have none and
+    stay; texts of any length are whole; rows of one id are judged by their own
+    text; an empty table stays empty, an empty benchmark removes nothing."""
     hit = find_contamination(docs, read(spark, sf_dir, "benchmark")).filter("n_hit > 0")
     return without(docs, hit.select(F.col("doc_id").alias("id"), "row_key"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Live-looking secrets replaced by a mark; every document stays."""
+    """Live-looking secrets replaced by a mark; every document stays, null and
+    empty texts as they are; texts of any length are whole."""
     clean = redact(docs, scan_secrets(docs))
     return clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents and their place in sequences of 2048 tokens."""
+    """Pieces of the documents and their place in sequences of 2048 tokens. Null
+    and empty texts are one token; only longer documents are cut; an empty table
+    gives no pieces."""
     return pack_documents(docs, tokenizer_path(), capacity=2048, end_id=0)
 
 
