@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from quartermaster.llm.common import cut, sub_batches, texts_of, word_hashes
 
 CHUNK = 1 << 22
-CACHE_PARTS, CACHE_IDS = 1_000_000, 16_000_000  # then the cache starts anew; about 250 MB a Python worker
+CACHE_PARTS, CACHE_IDS = 300_000, 3_000_000  # then the cache starts anew; about 70 MB a Python worker
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -166,6 +166,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) ->
 
     def run(batches):
         enc = encoder(tokenizer)
+        enc.clear()  # nothing is kept from an earlier partition
         for b in sub_batches(batches, "text", CHUNK):
             ids, n = enc.encode(*texts_of(b.column("text")))
             ends = np.cumsum(n)
@@ -182,6 +183,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) ->
             yield pa.RecordBatch.from_arrays(
                 [b.column("id").take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length),
                  pa.array(crc, pa.int64())], ["id", "piece", "start", "length", "crc"])
+        enc.clear()
 
     return docs.mapInArrow(run, f"id {kind}, piece int, start bigint, length bigint, crc bigint")
 
@@ -220,9 +222,10 @@ def packed_round(rows: DataFrame, number: int, parts: int, capacity: int, close_
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches):
-        t = pa.Table.from_batches(list(batches))
-        if not t.num_rows:
+        held = [b for b in batches if b.num_rows]
+        if not held:
             return
+        t = pa.Table.from_batches(held)
         # content order, so that a repeated task deals alike
         t = t.combine_chunks()
         seq, length = t.column("sequence_id").to_numpy(), t.column("length").to_numpy()
@@ -257,7 +260,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
 
     Null and empty texts are one token, `end_id`; rows that share an id, or
     are equal, are packed as separate documents; an empty table gives an
-    empty result; other columns are not read, whatever their names.
+    empty result; other columns are not read, whatever their names. Texts of
+    any length are whole; partitions may be empty.
     """
     pieces = cut(token_pieces(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), tokenizer, capacity, end_id))
     # every piece starts as an item of its own; equal numbers would only join rows of one item
