@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quartermaster.functions.nulls import null_safe_eq, sum0
 from quartermaster.operators.columns import q
+from quartermaster.session import cut
 
 
 def _keys(k) -> list[str]:
@@ -175,6 +176,40 @@ def contains_join(df: DataFrame, col: str, keys: Sequence[str], key_col: str = "
     return df.withColumn(key_col, F.explode(found))
 
 
+def contains_join_keys(df: DataFrame, col: str, keys: DataFrame, key_col: str = "key", gram: int = 4) -> DataFrame:
+    """Each row of ``df`` paired with every key of the table ``keys`` that ``col`` contains.
+
+    A key's candidates are the texts that hold its rarest ``gram``-character
+    piece (the whole key if it is shorter), found by an equi-join, and are then
+    checked. Pieces are counted over the distinct texts, with partial
+    aggregation, so a piece that most texts have is not used for a key that
+    holds a rarer one. Null texts and keys pair with nothing, the empty key
+    with every text; repeated keys count once, repeated rows stay rows.
+    """
+    k = keys.select(q(key_col).alias("__key")).filter("__key IS NOT NULL").distinct()
+    size = F.least(F.lit(gram), F.length("__key"))
+    sizes = sorted(r[0] for r in k.select(size).distinct().collect())  # at most gram + 1 numbers
+    texts = df.select(q(col).cast("string").alias("__text")).filter("__text IS NOT NULL").distinct()
+
+    def pieces(c: str, n) -> Column:
+        n = F.lit(n) if isinstance(n, int) else n
+        places = F.when(F.length(c) >= n, F.sequence(F.lit(1), F.length(c) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.substring(F.col(c), i, n))
+
+    def all_pieces() -> Column:
+        found = [F.array(F.lit("")) if n == 0 else pieces("__text", n) for n in sizes]
+        return F.array_distinct(F.concat(*found)) if found else F.array().cast("array<string>")
+
+    of_text = texts.select("__text", F.explode(all_pieces()).alias("__piece"))
+    seen = of_text.groupBy("__piece").agg(F.count(F.lit(1)).alias("__n"))
+    own = F.when(size == 0, F.array(F.lit(""))).otherwise(pieces("__key", size))
+    of_key = k.select("__key", F.explode(F.array_distinct(own)).alias("__piece")).join(seen, "__piece", "left")
+    rarest = of_key.groupBy("__key").agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), "__piece")).alias("__m"))
+    chosen = rarest.filter("__m.n > 0").select("__key", F.col("__m.__piece").alias("__piece"))
+    pairs = of_text.join(chosen, "__piece").filter(F.contains("__text", "__key")).select("__text", F.col("__key").alias(key_col))
+    return df.join(pairs, q(col).cast("string") == F.col("__text")).select(*[df[f"`{c}`"] for c in df.columns], key_col)
+
+
 # A1
 def group_sum(df: DataFrame, keys, measures: Sequence[str], drop_null_keys: bool = True) -> DataFrame:
     """pandas ``groupby().sum()``: NULL keys dropped, all-NULL group sums to 0."""
@@ -194,32 +229,42 @@ def list_agg(df: DataFrame, keys, cols: Sequence[str], sep: str = ", ",
     NULL. ``distinct`` is a bool for all columns or the set of columns to
     join without repeats.
 
-    Hot keys: rows are first reduced to (key, column, value, count) with a
-    map-side combined count, and only those pairs are gathered per (key,
-    column); repeats are expanded again inside the final text. A key that
-    holds a third of all rows therefore costs one task memory in proportion
-    to its distinct values, not its rows; only the output cell itself is
-    whole.
+    Built from ``list_chunks``; only the output cell itself is whole.
     """
-    keys = _keys(keys)
-    cols = list(cols)
+    keys, cols = _keys(keys), list(cols)
+    kc = [q(k) for k in keys]
+    chunks = list_chunks(df, keys, cols, sep, distinct)
+    wide = chunks.groupBy(*kc).agg(*[
+        F.array_sort(F.collect_list(F.when(F.col("column") == c, F.struct("place", "part", "text")))).alias(f"__l{i}") for i, c in enumerate(cols)])
+    joined = [F.when(F.size(f"__l{i}") > 0, F.array_join(F.transform(f"__l{i}", lambda s: s["text"]), sep)).alias(c + suffix)
+              for i, c in enumerate(cols)]
+    return wide.select(*kc, *joined)
+
+
+def list_chunks(df: DataFrame, keys, cols: Sequence[str], sep: str = ", ", distinct=False, rows: int = 10_000) -> DataFrame:
+    """The long form of ``list_agg``: (keys, column, place, part, text), each text
+    up to ``rows`` different values of a key's column, in order of (place, part);
+    a key whose column holds only NULLs has one row without text.
+
+    Rows are reduced to (key, column, value, count) with a map-side combined
+    count and dealt into ranges of (key, column, value), so the values of a hot
+    key are spread over tasks, and each is cut into chunks there.
+    """
+    keys, cols = _keys(keys), list(cols)
     dset = set(cols) if distinct is True else set(distinct or ())
     kc = [q(k) for k in keys]
-    cells = F.array(*[F.struct(F.lit(c).alias("__c"), q(c).cast("string").alias("__v")) for c in cols])
-    long = df.select(*kc, F.inline(cells))
-    counted = long.groupBy(*kc, "__c", "__v").agg(F.count(F.lit(1)).alias("__n"))
-    # one aggregate per key: each column's pairs in a list of its own
-    wide = counted.groupBy(*kc).agg(*[
-        F.array_sort(F.collect_list(F.when((F.col("__c") == c) & F.col("__v").isNotNull(), F.struct("__v", "__n")))).alias(f"__l{i}")
-        for i, c in enumerate(cols)])
-
-    def text(i, c):
-        vals = F.col(f"__l{i}")
-        words = (F.transform(vals, lambda s: s["__v"]) if c in dset
-                 else F.flatten(F.transform(vals, lambda s: F.array_repeat(s["__v"], s["__n"].cast("int")))))
-        return F.when(F.size(vals) > 0, F.array_join(words, sep)).alias(c + suffix)
-
-    return wide.select(*kc, *[text(i, c) for i, c in enumerate(cols)])
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), q(c).cast("string").alias("__v")) for c in cols])
+    counted = df.select(*kc, F.inline(cells)).groupBy(*kc, "column", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    ranged = counted.repartitionByRange(*kc, "column", "__v").withColumn("place", F.spark_partition_id())
+    within = Window.partitionBy("place", *kc, "column").orderBy("__v")
+    placed = ranged.withColumn("part", F.floor((F.row_number().over(within) - 1) / rows).cast("int"))
+    pairs = F.array_sort(F.collect_list(F.when(F.col("__v").isNotNull(), F.struct("__v", "__n"))))
+    held = placed.groupBy(*kc, "column", "place", "part").agg(pairs.alias("__l"))
+    once = F.transform("__l", lambda s: s["__v"])
+    every = F.flatten(F.transform("__l", lambda s: F.array_repeat(s["__v"], s["__n"].cast("int"))))
+    words = F.when(F.col("column").isin(sorted(dset)), once).otherwise(every) if dset else every
+    out = held.select(*kc, "column", "place", "part", F.when(F.size("__l") > 0, F.array_join(words, sep)).alias("text"))
+    return out
 
 
 # A10
@@ -339,16 +384,38 @@ def running_total(df: DataFrame, order: str, measure: str, out_daily: str, out_c
     """Per-``order`` totals and their cumulative sum, joined back to each row.
 
     The window runs on the pre-aggregated grain (one row per order value and
-    partition), never on detail rows.
+    partition), never on detail rows. Without a ``partition`` the grain is dealt
+    into ranges of the order, each is summed on its own, and the totals of the
+    ranges before are added (``prefix_sum``).
     """
     part = list(partition)
     grain = group_sum(df, part + [order], [measure]).withColumnRenamed(measure, out_daily)
+    if not part:
+        return df.join(prefix_sum(grain, order, out_daily, out_cum), [order], "left")
     w = Window.partitionBy(*[q(p) for p in part]).orderBy(q(order)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     grain = grain.withColumn(out_cum, F.sum(q(out_daily)).over(w))
     return df.join(grain, part + [order], "left")
 
 
+def prefix_sum(grain: DataFrame, order: str, measure: str, out: str) -> DataFrame:
+    """Cumulative sum over all rows by ``order`` (one row for each of its
+    values) in two levels: within ranges of the order, which are as many as
+    the shuffle has partitions, and over the ranges' totals, one number each.
+    No task holds more than a range.
+    """
+    ranged = cut(grain.repartitionByRange(q(order)).withColumn("__range", F.spark_partition_id()))
+    totals = ranged.groupBy("__range").agg(F.sum(q(measure)).alias("t"))
+    each = F.sort_array(F.collect_list(F.struct(F.col("__range").alias("r"), "t")))
+    kind = totals.schema["t"].dataType
+    before = F.transform("__all", lambda x: F.struct(x["r"].alias("__range"), F.aggregate(
+        F.filter("__all", lambda y: y["r"] < x["r"]), F.lit(0).cast(kind), lambda s, y: s + F.coalesce(y["t"], F.lit(0).cast(kind))).alias("__before")))
+    offsets = totals.agg(each.alias("__all")).select(F.inline(before))  # one row holds one number for each range
+    within = Window.partitionBy("__range").orderBy(q(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = ranged.withColumn(out, F.sum(q(measure)).over(within)).join(offsets, "__range")
+    return summed.withColumn(out, q(out) + F.col("__before")).drop("__range", "__before")
+
+
 # W2 / J4
 def partition_total(df: DataFrame, keys, measures: Mapping[str, str]) -> DataFrame:
     """pandas ``groupby(keys)[m].transform('sum')`` for several measures.

@@ -609,6 +609,21 @@ def q_contains_join(spark, sf_dir):
     return R.contains_join(d, "source", ["src1", "src2", "src3"], "key")
 
 
+@register("contains_join_keys", """
+WITH ids AS (SELECT o_orderkey, o_orderpriority || '-dataset-' || CAST(o_custkey AS VARCHAR) AS dataset_id FROM orders),
+keys AS (SELECT '-' || CAST(s_suppkey AS VARCHAR) AS key FROM supplier UNION SELECT DISTINCT o_orderpriority || '-dataset' FROM orders
+         UNION SELECT DISTINCT p_brand FROM part UNION SELECT CAST(n_nationkey AS VARCHAR) FROM nation)
+SELECT o_orderkey, dataset_id, key FROM ids JOIN keys ON contains(dataset_id, key)
+""")
+def q_contains_join_keys(spark, sf_dir):
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    ids = o.select("o_orderkey", F.concat("o_orderpriority", F.lit("-dataset-"), F.col("o_custkey").cast("string")).alias("dataset_id"))
+    keys = t(spark, sf_dir, "supplier").select(F.concat(F.lit("-"), F.col("s_suppkey").cast("string")).alias("key")).union(
+        o.select(F.concat("o_orderpriority", F.lit("-dataset")))).union(t(spark, sf_dir, "part").select("p_brand")).union(
+        t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string")))
+    return R.contains_join_keys(ids, "dataset_id", keys)
+
+
 @register("coalesce_chain", """
 WITH la AS (SELECT d.lang, avg(CAST(l.quality AS DOUBLE)) AS q
             FROM labels l JOIN documents d ON l.doc_id = d.doc_id GROUP BY d.lang),
@@ -822,12 +837,15 @@ def q_row_count_gate(spark, sf_dir):
 # ---------------------------------------------------------------------------
 @register("set_difference", """
 SELECT p_brand AS brand, p_size AS quantity FROM part
-EXCEPT SELECT p_brand, CAST(l_quantity AS INTEGER) FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R'
+EXCEPT SELECT p_brand, CAST(l_quantity AS INTEGER) FROM lineitem JOIN part ON l_partkey = p_partkey
+       WHERE l_returnflag = 'R' AND l_tax = 0 AND l_discount = 0
 """)
 def q_set_difference(spark, sf_dir):
+    """Brands and sizes of parts never returned in that quantity at the plain price."""
     part = t(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("brand"), F.col("p_size").cast("int").alias("quantity"))
-    back = t(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R").select("l_partkey", F.col("l_quantity").cast("int").alias("quantity"))
-    sold = back.join(part.select("p_partkey", "brand"), F.col("l_partkey") == F.col("p_partkey")).select("brand", "quantity")
+    back = t(spark, sf_dir, "lineitem").filter("l_returnflag = 'R' AND l_tax = 0 AND l_discount = 0")
+    sold = back.select("l_partkey", F.col("l_quantity").cast("int").alias("quantity")).join(
+        part.select("p_partkey", "brand"), F.col("l_partkey") == F.col("p_partkey")).select("brand", "quantity")
     return R.set_difference(part.select("brand", "quantity"), sold)
 
 
