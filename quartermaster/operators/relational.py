@@ -235,7 +235,7 @@ def list_agg(df: DataFrame, keys, cols: Sequence[str], sep: str = ", ",
     kc = [q(k) for k in keys]
     chunks = list_chunks(df, keys, cols, sep, distinct)
     wide = chunks.groupBy(*kc).agg(*[
-        F.array_sort(F.collect_list(F.when(F.col("column") == c, F.struct("place", "part", "text")))).alias(f"__l{i}") for i, c in enumerate(cols)])
+        F.array_sort(F.collect_list(F.when((F.col("column") == c) & F.col("text").isNotNull(), F.struct("place", "part", "text")))).alias(f"__l{i}") for i, c in enumerate(cols)])
     joined = [F.when(F.size(f"__l{i}") > 0, F.array_join(F.transform(f"__l{i}", lambda s: s["text"]), sep)).alias(c + suffix)
               for i, c in enumerate(cols)]
     return wide.select(*kc, *joined)
