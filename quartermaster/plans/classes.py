@@ -476,7 +476,7 @@ def class_vi(df: DataFrame, row_id: str | None = None, mode: str = "reference")
         df = df.withColumn("__row", F.monotonically_increasing_id())
         row_id = "__row"
     values = [c for c in df.columns if c.startswith("POS") or "NIIN_Qty" in c]
-    long = S.melt(df.select(*[q(c) for c in VI_IDS + [row_id] + values]),
+    long = S.melt(df.select(*[q(c) for c in VI_IDS + [row_id] + values]).hint("rebalance"),
                   VI_IDS + [row_id], values, "Metric", "Value")
     long = long.withColumn("POS", extract_or_null(q("Metric"), r"(POS\d|DOS\d)", 1))
     if mode == "corrected":
@@ -576,6 +576,8 @@ def class_ix(req: DataFrame, dims: DataFrame, mode: str = "reference",
     cells = [F.struct(F.lit(base).alias("base"), F.lit(pos).alias("POS"), q(c).cast("double").alias("Requirement"))
              for c in pos_cols for base, pos in [_base_and_period(c)]]
     derived = ["CUFT", "SQFT", "FIE_CUFT", "FIE_SQFT", "FIE_Weight_lbs"]
+    # rows are multiplied by the periods here: not in as few tasks as the scan or the join had
+    j = j.hint("rebalance")
     long = j.select(*[q(c) for c in ids + [d for d in derived if d not in ids]], F.inline(F.array(*cells)))
     long = long.withColumn("Weight_lbs", q("DSS_WEIGHT") * q("Requirement"))
     long = C.rename(long, IX_RENAME_OUT)

@@ -93,7 +93,7 @@ def line_definitions(spark, sf_dir) -> DataFrame:
     the line's two measures and the order's priority dimension."""
     o = t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
-    j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).hint("rebalance")  # each row becomes a document
     line_id = F.concat(F.col("l_orderkey").cast("string"), F.lit("_"), F.col("l_linenumber").cast("string"))
 
     def field(kind, fid, ds, col):
