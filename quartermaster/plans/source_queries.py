@@ -92,3 +92,73 @@ def q_class_outputs_from_files(spark, sf_dir) -> DataFrame:
         IO.materialize_missing({paths[-1]: frame.select("CLASS_OF_SUPPLY", *cols)}, fmt="csv")
     outputs, _ = X.read_class_outputs(spark, paths)
     return X.aggregated_classes(outputs).groupBy("CLASS_OF_SUPPLY").agg(F.count(F.lit(1)).alias("n"))
+
+
+def write_archives(spark, sf_dir, rows: int = 50_000) -> str:
+    """Orders as CSV members, one for each status, of ZIP archives of about ``rows`` orders."""
+    from quartermaster.sources.archives import create_file
+    base = state_base(spark, "qm-zip")
+    o = t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus")
+    number = F.pmod(F.xxhash64("o_orderkey"), F.lit(1 + o.count() // rows)).alias("archive")
+
+    def pack(key, pdf):
+        import io
+        import zipfile
+
+        import pandas as pd
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("readme.txt", "no table")
+            for status, part in pdf.groupby("o_orderstatus"):
+                z.writestr(f"run/{status}.csv", part.drop(columns="o_orderstatus").to_csv(index=False))
+        with create_file(f"{base}/in/orders-{key[0]}.zip") as f:
+            f.write(held.getvalue())
+        return pd.DataFrame({"archive": [key[0]]})
+
+    spark.createDataFrame([], "a int").write.mode("overwrite").parquet(f"{base}/in")  # makes the folder
+    o.groupBy(number).applyInPandas(pack, "archive bigint").count()
+    return base
+
+
+@register("zip_members", """
+SELECT o_orderkey, o_custkey, o_totalprice, 'run/' || o_orderstatus || '.csv' AS member, CAST(NULL AS VARCHAR) AS error FROM orders
+""")
+def q_zip_members(spark, sf_dir) -> DataFrame:
+    """Orders read back from the members of archives, several members to a task."""
+    rows = IO.read_zip_csv(spark, write_archives(spark, sf_dir) + "/in/*.zip", columns=["o_orderkey", "o_custkey", "o_totalprice"],
+                           bundle_bytes=1 << 20)
+    return rows.select(F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint"), F.col("o_totalprice").cast("double"), "member", "error")
+
+
+# ---------------------------------------------------------------------------
+# Contracts made from tables, their differences, the input gate
+# ---------------------------------------------------------------------------
+def orders_as_text(spark, sf_dir) -> DataFrame:
+    """Orders read from CSV files whose types are inferred; the date is text."""
+    base = state_base(spark, "qm-infer")
+    IO.write_table(t(spark, sf_dir, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "'on' yyyy-MM-dd")), base + "/orders.csv")
+    return IO.read_table(spark, base + "/orders.csv")
+
+
+@register("inferred_contract", """
+SELECT * FROM (VALUES (0, 'o_orderkey', 'INTEGER'), (1, 'o_custkey', 'INTEGER'), (2, 'o_orderstatus', 'STRING'), (3, 'o_totalprice', 'DECIMAL'),
+                      (4, 'o_orderdate', 'STRING'), (5, 'o_orderpriority', 'STRING')) AS v(place, name, contract_type)
+WHERE (SELECT count(*) FROM orders) >= 0
+""")
+def q_inferred_contract(spark, sf_dir) -> DataFrame:
+    """The contract of a CSV file whose types are inferred."""
+    made = K.infer_contract(orders_as_text(spark, sf_dir), "orders")
+    rows = [(i, c["name"], c["type"]) for i, c in enumerate(made["columns"])]
+    return spark.createDataFrame(rows, "place int, name string, contract_type string")
+
+
+@register("contract_differences", """
+SELECT * FROM (VALUES ('o_orderdate', CAST(NULL AS VARCHAR), 'STRING', 'extra'), ('o_orderpriority', NULL, 'STRING', 'extra'),
+                      ('o_totalprice', 'INTEGER', 'DECIMAL', 'type_mismatch'), ('o_clerk', 'STRING', NULL, 'missing')) AS v(name, contract_type, actual_type, issue)
+WHERE (SELECT count(*) FROM orders) >= 0
+""")
+def q_contract_differences(spark, sf_dir) -> DataFrame:
+    """How a CSV file's inferred columns differ from a contract."""
+    want = {"name": "w", "columns": [{"name": "o_orderkey", "type": "INTEGER"}, {"name": "o_custkey", "type": "INTEGER"}, {"name": "o_orderstatus", "type": "STRING"},
+                                     {"name": "o_totalprice", "type": "INTEGER"}, {"name": "o_clerk", "type": "STRING"}]}
+    return K.contract_diff(orders_as_text(spark, sf_dir), want)

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from quartermaster.functions.nulls import clean_nan, extract_or_null, to_bigint
 from quartermaster.operators.columns import q
+from quartermaster.sources.archives import read_zip_csv  # noqa: F401 - S8
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false"}
 
@@ -112,70 +113,6 @@ def read_many(spark: SparkSession, directory: str, glob: str, by_name: bool = Tr
     return out
 
 
-# S8
-def read_zip_csv(spark: SparkSession, path: str, member_pattern: str = r".*\.csv$",
-                 columns: Sequence[str] | None = None, chunk_rows: int = 100_000) -> DataFrame:
-    """CSV members of ZIP archives as rows of text cells.
-
-    One archive is one unit of work (its member directory sits at its end);
-    members are streamed in chunks of ``chunk_rows`` rows as (archive,
-    member, row_number, cells, error). With ``columns`` the cells are these
-    columns (a member without one: NULL), else one map of name to text. An
-    archive or member that can't be read gives a row with ``error`` set and
-    doesn't stop the others; an archive beyond what Spark's binary source can
-    hold (2 GB) fails the job instead of being left out.
-    """
-    import re as _re
-
-    rx = _re.compile(member_pattern)
-    cols = list(columns) if columns is not None else None
-    cells = ([T.StructField(c, T.StringType()) for c in cols] if cols is not None
-             else [T.StructField("cells", T.MapType(T.StringType(), T.StringType()))])
-    schema = T.StructType([T.StructField("archive", T.StringType()), T.StructField("member", T.StringType()),
-                           T.StructField("row_number", T.LongType()), *cells,
-                           T.StructField("error", T.StringType())])
-    names = schema.fieldNames()
-
-    def chunk(pdf, archive, member, start):
-        import pandas as pd
-        out = pd.DataFrame({"archive": archive, "member": member, "row_number": range(start, start + len(pdf))})
-        if cols is None:
-            pdf = pdf.astype(object).where(pdf.notna(), None)
-            out["cells"] = pdf.to_dict("records")
-        else:
-            for c in cols:
-                out[c] = pdf[c].values if c in pdf.columns else None
-        out["error"] = None
-        return out[names].astype({"row_number": "int64"})
-
-    def failed(archive, member, e):
-        import pandas as pd
-        row = dict.fromkeys(names) | {"archive": archive, "member": member, "error": repr(e)}
-        return pd.DataFrame([row])[names].astype({"row_number": "Int64"})
-
-    def explode_members(batches):
-        import pandas as pd
-        for b in batches:
-            for archive, content in zip(b["path"], b["content"]):
-                try:
-                    zf = zipfile.ZipFile(io.BytesIO(content))
-                except Exception as e:  # reported, not hidden
-                    yield failed(archive, None, e)
-                    continue
-                for member in filter(rx.search, zf.namelist()):
-                    start = 0
-                    try:
-                        for pdf in pd.read_csv(zf.open(member), dtype=str, keep_default_na=False,
-                                               na_values=[""], chunksize=chunk_rows):
-                            yield chunk(pdf, archive, member, start)
-                            start += len(pdf)
-                    except Exception as e:  # the rows read so far stay, the error is a row
-                        yield failed(archive, member, e)
-
-    return (spark.read.format("binaryFile").load(path).select("path", "content")
-            .mapInPandas(explode_members, schema))
-
-
 # S9
 def write_manifest(spark: SparkSession, entries: DataFrame, dst: str) -> None:
     """Manifest rows (url, mandatory) as JSON lines."""

@@ -92,6 +92,20 @@ def test_zip_members_and_header_profile(spark, tmp_path):
     assert prof == {"RD_I.csv": ["NIIN", "Qty"], "plain.csv": ["A", "B"]}
 
 
+def test_members_of_an_archive_in_several_tasks(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "many.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for i in range(12):
+            z.writestr(f"m{i}.csv", "A,B\n" + "".join(f"{i},{j}\n" for j in range(500)))
+        z.writestr("bad.csv", b"A,B\n1,\xff\xfe\n")
+        z.writestr("empty.csv", "")
+    df = IO.read_zip_csv(spark, str(tmp_path / "*.zip"), columns=["A", "B"], chunk_rows=100, bundle_bytes=8000)
+    good = df.filter("error IS NULL AND member <> 'bad.csv'")
+    assert sorted((int(r.A), int(r.B), r.row_number) for r in good.collect()) == [(i, j, j) for i in range(12) for j in range(500)]
+    assert {r.member for r in df.filter("error IS NOT NULL").collect()} == {"bad.csv", "empty.csv"}
+    assert df.select(F.spark_partition_id().alias("p")).distinct().count() >= 4
+    assert IO.read_zip_csv(spark, str(tmp_path / "none*.zip")).count() == 0
+
+
 def test_manifest_and_presence(spark, csv_dir, tmp_path):
     pos = str(csv_dir / "run/10908/POS.csv")
     entries = spark.createDataFrame([(pos, True), (str(tmp_path / "absent.csv"), False)],
