@@ -578,6 +578,26 @@ def q_compare_runs(spark, sf_dir):
     return X.compare_runs(c, "ASSESSMENTNUMBER", BASE_RUN, measure="tc")
 
 
+#: Factors of the days of supply, by scenario and period.
+SCENARIOS = [("base", None, None), ("short", "POS1", 0.5), ("short", "POS2", 0.25), ("long", "POS3", 2.0), ("long", "BEYOND", 4.0)]
+
+
+@register("what_if_class_i", "WITH c AS (" + RATION_SQL + f"),\nscenarios AS (SELECT * FROM (VALUES {', '.join(f"('{s}', '{p or 'none'}', {f or 1.0})" for s, p, f in SCENARIOS)}) AS v(scenario, period, factor)),\n"
+          """x AS (SELECT c.*, n.scenario, coalesce(f.factor, 1) AS factor FROM c CROSS JOIN (SELECT DISTINCT scenario FROM scenarios) n
+      LEFT JOIN scenarios f ON f.scenario = n.scenario AND f.period = c.POS),
+s AS (SELECT CLASS_OF_SUPPLY, REGION, POS, CAST(ASSESSMENTNUMBER AS VARCHAR) AS ASSESSMENTNUMBER, scenario,
+             CAST(sum(CAST(round(TOTAL_COST * factor * 100) AS BIGINT)) AS BIGINT) AS tc FROM x GROUP BY ALL)
+SELECT s.*, b.tc AS base_tc, coalesce(s.tc, 0) - coalesce(b.tc, 0) AS diff_tc
+FROM s LEFT JOIN s b ON b.scenario = 'base' AND s.CLASS_OF_SUPPLY IS NOT DISTINCT FROM b.CLASS_OF_SUPPLY AND s.REGION IS NOT DISTINCT FROM b.REGION
+     AND s.POS IS NOT DISTINCT FROM b.POS AND s.ASSESSMENTNUMBER IS NOT DISTINCT FROM b.ASSESSMENTNUMBER""")
+def q_what_if_class_i(spark, sf_dir):
+    """Class I under three scenarios of the days of supply, against the base."""
+    from quartermaster.plans import whatif as W
+    scenarios = spark.createDataFrame(SCENARIOS, "scenario string, parameter string, factor double")
+    out = W.what_if(ration_requirements(spark, sf_dir), scenarios, X.class_i).withColumn("tc", cents("TOTAL_COST"))
+    return W.compare_scenarios(out, "base", ["CLASS_OF_SUPPLY", "REGION", "POS", "ASSESSMENTNUMBER"], "tc")
+
+
 # ---------------------------------------------------------------------------
 # X5b class I, notebook form, over the ration table (first value by run year)
 # ---------------------------------------------------------------------------
