@@ -4,7 +4,7 @@ sorted groups inside a task."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -174,6 +174,27 @@ def changed_at(t: pa.Table, keys: list[str]) -> np.ndarray:
     return out
 
 
+def map_arrow(df: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """`mapInArrow` whose worker hands freed memory back at the end of a
+    partition: workers are used again for other tasks, beside the executor."""
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim_memory()
+
+    return df.mapInArrow(run, schema)
+
+
+def trim_memory() -> None:
+    import ctypes
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def as_long(u: np.ndarray) -> np.ndarray:
     return u.view(np.int64)
 

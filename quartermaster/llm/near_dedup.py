@@ -27,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import (BASE_A, as_long, changed_at, counted_side, cut, mix, prefix, split_words, sub_batches,
+from quartermaster.llm.common import (BASE_A, as_long, changed_at, counted_side, cut, map_arrow, mix, prefix, split_words, sub_batches,
                                       text_key, texts_of, whole_groups, window_hash, word_hashes)
 from quartermaster.llm.components import components
 
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 
 def shingle_sets(col: pa.Array, words: int) -> list[np.ndarray]:
@@ -127,7 +127,7 @@ def signatures(docs: DataFrame, words: int, scheme: Scheme) -> DataFrame:
                  pa.array(bands, pa.list_(pa.int64())), pa.array(packed, pa.list_(pa.int64()))],
                 ["id", "n", "s1", "s2", "bands", "packed"])
 
-    return docs.mapInArrow(run, f"id {kind}, n bigint, s1 bigint, s2 bigint, bands array<bigint>, packed array<bigint>")
+    return map_arrow(docs, run, f"id {kind}, n bigint, s1 bigint, s2 bigint, bands array<bigint>, packed array<bigint>")
 
 
 def sets_for(docs: DataFrame, roles: DataFrame, words: int) -> DataFrame:
@@ -147,8 +147,7 @@ def sets_for(docs: DataFrame, roles: DataFrame, words: int) -> DataFrame:
                 [v.field(k) for k in names] + [b.column("id").take(pa.array(row)), pa.array([sets[i] for i in row], pa.binary())],
                 names + ["id", "set"]).combine_chunks().to_batches()
 
-    return docs.join(roles, "id").select("id", "text", "roles").mapInArrow(
-        run, f"g1 bigint, g2 bigint, g3 bigint, role int, comp {kind}, id {kind}, set binary")
+    return map_arrow(docs.join(roles, "id").select("id", "text", "roles"), run, f"g1 bigint, g2 bigint, g3 bigint, role int, comp {kind}, id {kind}, set binary")
 
 
 def alike(inter, x, y, threshold: float):
@@ -212,7 +211,7 @@ def confirm_stars(docs: DataFrame, pairs: DataFrame, words: int, threshold: floa
                 take = pa.array(hit)
                 yield from g.select(["comp", "id"]).take(take).rename_columns(["a", "b"]).combine_chunks().to_batches()
 
-    return rows.mapInArrow(run, f"a {kind}, b {kind}")
+    return map_arrow(rows, run, f"a {kind}, b {kind}")
 
 
 def rest_of_buckets(docs: DataFrame, heads: DataFrame, buckets: DataFrame, known: DataFrame, words: int, scheme: Scheme, block: int) -> DataFrame:
@@ -256,8 +255,7 @@ def rest_of_buckets(docs: DataFrame, heads: DataFrame, buckets: DataFrame, known
             if hit.any():
                 yield from g.select(keys + ["role", "comp", "id"]).take(pa.array(np.flatnonzero(hit))).combine_chunks().to_batches()
 
-    flagged = member.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
-        candidates, f"g1 bigint, g2 bigint, g3 bigint, role int, comp {kind}, id {kind}")
+    flagged = map_arrow(member.repartition(*keys).sortWithinPartitions(*keys), candidates, f"g1 bigint, g2 bigint, g3 bigint, role int, comp {kind}, id {kind}")
     roles = flagged.groupBy("id").agg(F.collect_list(F.struct("g1", "g2", "g3", "role", "comp")).alias("roles"))
     rows = sets_for(docs, roles, words).repartition(*keys).sortWithinPartitions(*keys)
 
@@ -276,7 +274,7 @@ def rest_of_buckets(docs: DataFrame, heads: DataFrame, buckets: DataFrame, known
             if a:
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(a)).combine_chunks(), ids.take(pa.array(b)).combine_chunks()], ["a", "b"])
 
-    return rows.mapInArrow(links, f"a {kind}, b {kind}")
+    return map_arrow(rows, links, f"a {kind}, b {kind}")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, threshold: float = 0.8,

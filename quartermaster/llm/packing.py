@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import cut, sub_batches, texts_of, word_hashes
+from quartermaster.llm.common import cut, map_arrow, sub_batches, texts_of, word_hashes
 
 CHUNK = 1 << 22
 CACHE_PARTS, CACHE_IDS = 300_000, 3_000_000  # then the cache starts anew; about 70 MB a Python worker
@@ -185,7 +185,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) ->
                  pa.array(crc, pa.int64())], ["id", "piece", "start", "length", "crc"])
         enc.clear()
 
-    return docs.mapInArrow(run, f"id {kind}, piece int, start bigint, length bigint, crc bigint")
+    return map_arrow(docs, run, f"id {kind}, piece int, start bigint, length bigint, crc bigint")
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -242,10 +242,9 @@ def packed_round(rows: DataFrame, number: int, parts: int, capacity: int, close_
                                                   pa.array(fill[bin_of] < close_at)], COLUMNS + ["open"])
         yield from out.combine_chunks().to_batches()
 
-    return (rows.repartition(parts, F.xxhash64("sequence_id", F.lit(number)))
-            .sortWithinPartitions("sequence_id", "offset")
-            .mapInArrow(run, f"id {kind}, piece int, start bigint, length bigint, crc bigint, "
-                             "sequence_id bigint, offset bigint, open boolean"))
+    return map_arrow(rows.repartition(parts, F.xxhash64("sequence_id", F.lit(number)))
+                     .sortWithinPartitions("sequence_id", "offset"), run, f"id {kind}, piece int, start bigint, length bigint, crc bigint, "
+                     "sequence_id bigint, offset bigint, open boolean")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048,

@@ -36,10 +36,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import (BASE_A, BASE_B, as_long, cut, mix, prefix, sliding_min,
+from quartermaster.llm.common import (BASE_A, BASE_B, as_long, cut, map_arrow, mix, prefix, sliding_min,
                                       split_words, sub_batches, text_key, texts_of, window_hash, word_hashes)
 
-CHUNK = 1 << 21  # bytes of text that a task hashes at a time
+CHUNK = 1 << 19  # bytes of text that a task hashes at a time, some 100 bytes of arrays for each
 PARTS = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
 
 
@@ -127,7 +127,7 @@ def runs_of(docs: DataFrame, u: Units) -> DataFrame:
                     [b.column("id").take(take), b.column("key").take(take), pa.array(as_long(mini[first])), runs],
                     ["id", "key", "mini", "runs"])
 
-    return docs.mapInArrow(run, f"id {kind}, key bigint, mini bigint, runs binary")
+    return map_arrow(docs, run, f"id {kind}, key bigint, mini bigint, runs binary")
 
 
 def pieces_of(found: DataFrame, u: Units) -> DataFrame:
@@ -153,7 +153,7 @@ def pieces_of(found: DataFrame, u: Units) -> DataFrame:
                     [b.column("id").take(take), b.column("key").take(take), pa.array(minis, pa.int64()),
                      pa.array(starts, pa.binary()), pa.array(out, pa.binary())], ["id", "key", "mini", "starts", "piece"])
 
-    return found.mapInArrow(run, f"id {kind}, key bigint, mini bigint, starts binary, piece binary")
+    return map_arrow(found, run, f"id {kind}, key bigint, mini bigint, starts binary, piece binary")
 
 
 def distinct_runs(runs: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -185,7 +185,7 @@ def windows_of(pieces: DataFrame, u: Units) -> DataFrame:
                 [pa.array(h[0]), pa.array(h[1]), b.column("digest").take(take), b.column("n").take(take),
                  pa.array(pos.astype(np.int32))], ["h1", "h2", "digest", "n", "pos"])
 
-    return pieces.mapInArrow(run, "h1 bigint, h2 bigint, digest string, n bigint, pos int")
+    return map_arrow(pieces, run, "h1 bigint, h2 bigint, digest string, n bigint, pos int")
 
 
 def joined_places(places: DataFrame) -> DataFrame:
@@ -199,7 +199,7 @@ def joined_places(places: DataFrame) -> DataFrame:
                 out.append([{"lo": int(q[0]), "hi": int(q[-1]) + 1} for q in np.split(p, cut_at)])
             yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array(out, PARTS)], ["digest", "parts"])
 
-    return places.mapInArrow(run, "digest string, parts array<struct<lo: int, hi: int>>")
+    return map_arrow(places, run, "digest string, parts array<struct<lo: int, hi: int>>")
 
 
 def whole_pieces(pieces: DataFrame, u: Units) -> DataFrame:
@@ -210,7 +210,7 @@ def whole_pieces(pieces: DataFrame, u: Units) -> DataFrame:
             parts = [[{"lo": 0, "hi": w}] for w in (np.diff(first) - u.window + 1).tolist()]
             yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array(parts, PARTS)], ["digest", "parts"])
 
-    return pieces.mapInArrow(run, "digest string, parts array<struct<lo: int, hi: int>>")
+    return map_arrow(pieces, run, "digest string, parts array<struct<lo: int, hi: int>>")
 
 
 def parts_of_pieces(found: DataFrame) -> DataFrame:
@@ -221,7 +221,7 @@ def parts_of_pieces(found: DataFrame) -> DataFrame:
                       for at in np.frombuffer(span["starts"], "<i4").tolist() for p in span["parts"]] for spans in b.column("spans").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(parts, PARTS)], ["digest", "parts"])
 
-    return found.select("id", "spans").mapInArrow(run, "digest string, parts array<struct<lo: int, hi: int>>")
+    return map_arrow(found.select("id", "spans"), run, "digest string, parts array<struct<lo: int, hi: int>>")
 
 
 def hot_stretches(pieces: DataFrame, u: Units, decide: Callable, bucket_limit: int) -> DataFrame:
@@ -264,8 +264,8 @@ def repeated_stretches(docs: DataFrame, u: Units, decide: Callable, bucket_limit
     found = docs.join(by_doc, same_row(docs, by_doc)).select(docs["id"], docs["key"], "text", "runs", "hot")
 
     pieces = pieces_of(found.filter("size(runs) > 0").select("id", "key", "text", "runs"), u)
-    spans = (pieces.repartition("mini").sortWithinPartitions("mini")
-             .mapInArrow(decide, f"id {kind}, key bigint, starts binary, parts array<struct<lo: int, hi: int>>"))
+    spans = map_arrow(pieces.repartition("mini").sortWithinPartitions("mini"), decide,
+                      f"id {kind}, key bigint, starts binary, parts array<struct<lo: int, hi: int>>")
 
     hot = pieces_of(found.filter("size(hot) > 0").select("id", "key", "text", F.col("hot").alias("runs")), u)
     spans = spans.unionByName(hot_stretches(hot, u, decide, bucket_limit))

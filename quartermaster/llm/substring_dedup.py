@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import BASE_A, BASE_B, binary_lengths, prefix, split_words, sub_batches, texts_of, whole_groups, window_hash, word_hashes
+from quartermaster.llm.common import BASE_A, BASE_B, binary_lengths, map_arrow, prefix, split_words, sub_batches, texts_of, whole_groups, window_hash, word_hashes
 from quartermaster.llm.quality import held, word_array
 from quartermaster.llm.repeats import (CHUNK, Units, covered, part_rows, repeated_stretches, rows_with_key, stretches,
                                        with_changes)
@@ -22,7 +22,7 @@ from quartermaster.llm.repeats import (CHUNK, Units, covered, part_rows, repeate
 def sort_windows(W: int):
     """Decides within buckets: rows sorted by minimiser, with `piece`."""
     def decide(batches):
-        for t in whole_groups(batches, ["mini"]):
+        for t in whole_groups(batches, ["mini"], 4_000):
             t = t.combine_chunks()
             data, offs = texts_of(t.column("piece").chunk(0))
             s, e, first = split_words(data, offs)
@@ -64,7 +64,7 @@ def changed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 [b.column("id"), b.column("key"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
                 ["id", "key", "n_words", "n_removed", "kept"])
 
-    return found.mapInArrow(keep, f"id {kind}, key bigint, n_words bigint, n_removed bigint, kept string")
+    return map_arrow(found, keep, f"id {kind}, key bigint, n_words bigint, n_removed bigint, kept string")
 
 
 def remove_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: bool = False, **options) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermaster.llm.common import binary_lengths, sub_batches, texts_of, whole_groups
+from quartermaster.llm.common import binary_lengths, map_arrow, sub_batches, texts_of, whole_groups
 from quartermaster.llm.repeats import (CHUNK, Units, covered, part_rows, repeated_stretches, rows_with_key, stretches,
                                        with_changes)
 
@@ -157,7 +157,7 @@ def changed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                  pa.array(removed, pa.list_(span)), pa.array(kept, pa.binary())],
                 ["id", "key", "n_bytes", "n_removed", "spans", "kept"])
 
-    return found.mapInArrow(keep, f"id {kind}, key bigint, n_bytes bigint, n_removed bigint, "
+    return map_arrow(found, keep, f"id {kind}, key bigint, n_bytes bigint, n_removed bigint, "
                                   "spans array<struct<lo: int, hi: int>>, kept binary")
 
 
