@@ -476,6 +476,26 @@ def split_keys(df: DataFrame, key: str, weights: Mapping[str, float], out: str =
     return df.withColumn(out, e.otherwise(last) if e is not None else last)
 
 
+def split_positions(df: DataFrame, key: str, parts: Mapping[str, float], out: str = "split") -> DataFrame:
+    """Split by position: the first share of the different keys, in key order,
+    is the first part, the next the second, and so on (shares of the number of
+    keys, rounded; the last part has the rest; null keys have no part).
+
+    Positions are a prefix sum in two levels, so no task sorts all keys.
+    """
+    keys = df.select(q(key)).filter(q(key).isNotNull()).distinct().withColumn("__one", F.lit(1).cast("bigint"))
+    placed = prefix_sum(keys, key, "__one", "__at")
+    total, acc, e = float(sum(parts.values())), 0.0, None
+    size = keys.agg(F.count(F.lit(1))).scalar()
+    *firsts, last = parts.items()
+    for name, share in firsts:
+        acc += share / total
+        here = F.col("__at") <= F.round(size * acc)
+        e = F.when(here, F.lit(name)) if e is None else e.when(here, F.lit(name))
+    e = F.lit(last[0]) if e is None else e.otherwise(F.lit(last[0]))
+    return df.join(placed.select(q(key), e.alias(out)), key, "left")
+
+
 # U1
 def union_conform(dfs: Sequence[DataFrame], cols: Sequence[str], fill=0) -> DataFrame:
     """Union by name onto ``cols``; a column absent from one input is filled

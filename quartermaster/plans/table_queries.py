@@ -868,6 +868,15 @@ def q_hash_split(spark, sf_dir):
                         {"train": 0.85, "test": 0.15})
 
 
+@register("position_split", """
+WITH k AS (SELECT p_name, row_number() OVER (ORDER BY p_name) AS place, count(*) OVER () AS n FROM (SELECT DISTINCT p_name FROM part))
+SELECT p_partkey, p_name, CASE WHEN place <= round(n * 0.75) THEN 'train' WHEN place <= round(n * 0.9) THEN 'test' ELSE 'rest' END AS split
+FROM part JOIN k USING (p_name)
+""")
+def q_position_split(spark, sf_dir):
+    return R.split_positions(t(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", {"train": 75, "test": 15, "rest": 10})
+
+
 # ---------------------------------------------------------------------------
 # Scalar functions, contracts, paths
 # ---------------------------------------------------------------------------

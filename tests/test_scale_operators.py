@@ -56,3 +56,13 @@ def test_lists_of_a_hot_key_in_chunks(spark):
     got = {r.k: (r.v, r.w) for r in R.list_agg(df, "k", ["v", "w"], distinct={"w"}).collect()}
     assert got["hot"] == (", ".join(f"{i:06d}" for i in range(60_000) if i % 3), "w")
     assert got["k3"][0] == ", ".join(f"{i:06d}" for i in range(0, 60_000, 3) if i % 50 == 3) and got["k3"][1] is None
+
+
+def test_split_by_position(spark):
+    keys = [f"k{i:03d}" for i in range(200)]
+    rows = [(k, j) for k in keys for j in range(3)] + [(None, 0)]
+    df = spark.createDataFrame(rows, "k string, j int").repartition(4)
+    got = {(r.k, r.split) for r in R.split_positions(df, "k", {"a": 85, "b": 15}).collect()}
+    assert got == {(k, "a" if i < 170 else "b") for i, k in enumerate(keys)} | {(None, None)}
+    assert {r.split for r in R.split_positions(df.filter("k IS NOT NULL"), "k", {"all": 1}).collect()} == {"all"}
+    assert R.split_positions(df.limit(0), "k", {"a": 1, "b": 1}).count() == 0
