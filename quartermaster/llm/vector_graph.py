@@ -29,10 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quartermaster.llm.common import counted_side, cut, lists, whole_groups
+from quartermaster.llm.quality import held
 from quartermaster.llm.vectors import finite, whole_rows
 
 BANDS = 8  # of norms to each doubling; the vectors of a band share shards
@@ -182,19 +183,20 @@ def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.filter(F.col("id").isNotNull() & finite("vector") & F.exists("vector", lambda x: x != 0))
 
 
-def norm_band(vector: str) -> Column:
-    """The band of a vector's norm; norms around 1 share band 0."""
-    wide = F.transform(vector, lambda x: F.abs(x.cast("double")))
-    top = F.array_max(wide)  # scaled by it, squares neither overflow nor vanish
-    squares = F.aggregate(wide, F.lit(0.0), lambda s, x: s + (x / top) * (x / top))
-    return F.floor(BANDS * (F.log2(top) + F.log2(squares) / 2) + 0.5).cast("bigint")
+def with_band(nodes: DataFrame) -> DataFrame:
+    """`nodes` with dims (length) and band (of the norm; norms around 1 share band 0)."""
+    # scaled by the largest component, squares neither overflow nor vanish
+    rows = held(nodes, top=F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double")))))
+    squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + F.pow(x.cast("double") / F.col("top"), 2.0))
+    band = F.floor(BANDS * (F.log2("top") + F.log2(squares) / 2) + 0.5).cast("bigint")
+    return rows.select(F.size("vector").alias("dims"), band.alias("band"), "node", "ids", "vector")
 
 
 def vector_index(nodes: DataFrame, shard_rows: int = 8192, beam: int = 64, alpha: float = 1.2) -> DataFrame:
     """The index: dims, shard, place, start (the shard's first place to look),
     node, ids, vector, edges (places in the shard). Vectors of different length
     or norm band are in different shards. `nodes` as `distinct_nodes` returns them."""
-    banded = nodes.select(F.size("vector").alias("dims"), norm_band("vector").alias("band"), "node", "ids", "vector")
+    banded = with_band(nodes)
     sizes = counted_side(banded.groupBy("dims", "band").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("shards")))
     number = F.col("band") * (1 << 32) + F.pmod(F.xxhash64("node"), F.col("shards"))
     dealt = banded.join(sizes, ["dims", "band"]).select("dims", number.alias("shard"), "node", "ids", "vector")
