@@ -4,8 +4,8 @@ Base patterns with their checks give certain spans. High-recall generators
 propose further, overlapping candidates (loosely written addresses and
 numbers). Each candidate has format features (length, digits, separators,
 groups, check digits) and context features (telling words before it, the
-characters around it). Boosted trees are fitted on a bounded sample of
-candidates. The labels don't come from the base patterns: an account number
+characters around it). Boosted trees are fitted on all candidates, equal ones
+as one with a weight. The labels don't come from the base patterns: an account number
 is labelled by its check digits (mod 97), an address by its plain form, a
 number as a card by its check digit and issuer or as a telephone number by
 its size and a telling word, a span that a base check confirms as such. These
@@ -184,28 +184,35 @@ def apart() -> Column:
     return ~F.exists("base", lambda s: (s["start"] < F.col("c.end")) & (s["end"] > F.col("c.start")))
 
 
-def fit(found: DataFrame, sample_rows: int, precision: float, trees: int):
-    """(model, thresholds by kind) from at most `sample_rows` candidates, as
-    many of each kind that overlap a base span and that don't, by their hash; a
-    fifth of them held out. None if one class is missing or no score of any
-    kind reaches the precision."""
-    order = F.xxhash64("id", "key", "c.start", "c.kind")
-    rows = found.select(F.col("c.confirmed").cast("double").alias("label"), F.col("c.features").alias("features"), F.col("c.kind").alias("kind"),
-                        apart().alias("apart"), F.pmod(order, F.lit(5)).alias("fold"), order.alias("place"))
-    sizes = rows.groupBy("kind", "apart").count().collect()  # two for each kind at most
-    share = F.lit(0)
-    for kind, own, n in sizes:
-        part = min(1_000_000, sample_rows * 1_000_000 // (len(sizes) * n))
-        share = F.when((F.col("kind") == kind) & (F.col("apart") == own), part).otherwise(share)
-    few = rows.filter(F.pmod(F.shiftright("place", 16), F.lit(1_000_000)) < share).withColumn("features", array_to_vector("features"))
-    sample = cut(few.orderBy("place").limit(sample_rows).repartition(4, "place"))
-    classes = {tuple(r) for r in sample.select((F.col("fold") == 0).alias("held"), "label").distinct().collect()}
-    if len(classes) < 4:
+def fit(found: DataFrame, task_rows: int, precision: float, trees: int):
+    """(model, thresholds by kind) from all candidates. Equal ones (features,
+    label, kind, overlap, fold) are one row with their number as its weight, which
+    is what the trees would make of the single rows. Each kind counts as much as
+    any other, those that overlap a base span and those that don't apart. A fifth,
+    by their hash, is held out of the trees, and all of it decides the thresholds.
+    None if one class is missing or no score of any kind reaches the precision.
+    A task has some `task_rows` of the rows."""
+    fold = F.pmod(F.xxhash64("id", "key", "c.start", "c.kind"), F.lit(5)) == 0
+    rows = found.select(F.col("c.confirmed").cast("double").alias("label"), F.col("c.features").alias("features"),
+                        F.col("c.kind").alias("kind"), apart().alias("apart"), fold.alias("held"))
+    alike = cut(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n")))
+    sizes = alike.groupBy("kind", "apart", "held", "label").agg(F.sum("n").alias("n")).collect()  # eight for each kind at most
+    if len({(held, label) for _, _, held, label, _ in sizes}) < 4:
         return None
-    model = GBTClassifier(maxIter=trees, maxDepth=4, stepSize=0.2, seed=17).fit(sample.filter("fold <> 0"))
-    held = model.transform(sample.filter("fold = 0 AND apart")).select(
-        "kind", "label", F.floor(vector_to_array("probability")[1] * 100).cast("int").alias("score"))
-    counts = {(k, s): (n, good) for k, s, n, good in held.groupBy("kind", "score").agg(F.count(F.lit(1)), F.sum("label")).collect()}  # 101 rows a kind
+    groups = {}
+    for kind, own, _, _, n in sizes:
+        groups[kind, own] = groups.get((kind, own), 0) + n
+    share = F.lit(0.0)
+    for (kind, own), n in groups.items():
+        share = F.when((F.col("kind") == kind) & (F.col("apart") == own), sum(groups.values()) / (len(groups) * n)).otherwise(share)
+    tasks = max(4, alike.count() // task_rows + 1)
+    alike = alike.repartition(tasks, *rows.columns).sortWithinPartitions(*rows.columns)  # the same trees in every run
+    alike = alike.withColumn("weight", F.col("n") * share).withColumn("features", array_to_vector("features"))
+    model = GBTClassifier(maxIter=trees, maxDepth=4, stepSize=0.2, seed=17, weightCol="weight").fit(alike.filter("NOT held"))
+    held = model.transform(alike.filter("held AND apart")).select(
+        "kind", "label", "n", F.floor(vector_to_array("probability")[1] * 100).cast("int").alias("score"))
+    counts = {(k, s): (n, good) for k, s, n, good in held.groupBy("kind", "score").agg(  # 101 rows a kind
+        F.sum("n"), F.sum(F.col("n") * F.col("label"))).collect()}
     thresholds = {}
     for kind in {k for k, _ in counts}:
         n = good = 0
@@ -217,7 +224,7 @@ def fit(found: DataFrame, sample_rows: int, precision: float, trees: int):
     return (model, thresholds) if thresholds else None
 
 
-def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 20_000,
+def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", task_rows: int = 20_000,
                        precision: float = 0.995, trees: int = 12) -> DataFrame:
     """One row for each input row: `id_col`, row_key (hash of the text), base
     (array of kind, start, end in code points, by kind as listed and start),
@@ -231,7 +238,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = cut(candidates(docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("key"), F.col(text_col).alias("text"))))
     found = rows.select("id", "key", "base", F.explode("more").alias("c"))
-    fitted = fit(found, sample_rows, precision, trees)
+    fitted = fit(found, task_rows, precision, trees)
     none = F.array().cast(f"array<{SPAN}>")
     if fitted is None:
         return rows.select(F.col("id").alias(id_col), F.col("key").alias("row_key"), "base", none.alias("added"))

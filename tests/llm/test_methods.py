@@ -136,6 +136,16 @@ def test_personal_data_beyond_the_base_patterns_is_added(spark):
         assert found[i] == want, (i, found[i])
 
 
+def test_personal_data_thresholds_come_from_all_candidates(spark):
+    """Small tasks don't mean fewer examples: the few addresses count beside many numbers, whatever `task_rows` is."""
+    rows = [(i, f"He took 12 {4000000 + 17 * i} parts and 13 {5000000 + 19 * i}."
+                + (f" Write to name{i} [at] host{i % 9} [dot] org, or to x{i} [at] host." if i % 10 == 0 else "")) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = candidates(docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"), "text"))
+    model, thresholds = fit(found.select("id", "key", "base", F.explode("more").alias("c")), 10, 0.995, 4)
+    assert set(thresholds) == {"address"}
+
+
 def test_near_copies_of_a_page_keep_their_article(spark):
     story = "A long story about rivers and the towns beside them, told once and printed again. " * 3
     page = "<html><body><nav>Menu {0}</nav>{1}<footer>Seen {0} times</footer></body></html>"
