@@ -25,6 +25,22 @@ def test_contains_join_keys(spark):
     assert R.contains_join_keys(df.limit(0), "t", spark.createDataFrame([("a",)], "key string")).count() == 0
 
 
+def test_contains_join_keys_shuffles_no_pieces_of_texts(spark):
+    df = spark.createDataFrame([(i, f"set-{i % 7}-of-{i}") for i in range(500)] + [(500, None)], "i long, t string")
+    names = [f"-{i}" for i in range(40)] + ["set-3-of-", "set-3-of-12", "nowhere to be found", ""]
+    keys = spark.createDataFrame([(k,) for k in names], "key string")
+    want = sorted((i, k) for i in range(500) for k in names if k in f"set-{i % 7}-of-{i}")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = R.contains_join_keys(df, "t", keys)
+        assert "SortMergeJoin" not in plan(out).split("BroadcastExchange")[0]  # above the keys' side
+        assert sorted((r.i, r.key) for r in out.collect()) == want
+        assert sorted((r.i, r.key) for r in R.contains_join_keys(df, "t", keys, gram=3, broadcast_pieces=5).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_running_total_without_a_partition(spark):
     rng = random.Random(9)
     rows = [(rng.choice([7, rng.randrange(400)]), rng.choice([None, rng.randrange(-50, 90)])) for _ in range(3000)]  # day 7 is hot
