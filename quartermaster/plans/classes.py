@@ -562,7 +562,8 @@ def class_ix(req: DataFrame, dims: DataFrame, mode: str = "reference",
                   else q(c).alias(c + "_right") for c in d.columns])
     req = req.withColumnRenamed("UI", "UI_left")
     how = "inner" if mode == "reference" else "left"
-    j = req.join(d, "NIIN", how)
+    # one row a part: hashed in the task, so the requirements are not sorted
+    j = req.join(d.hint("shuffle_hash"), "NIIN", how)
     # geometry and the per-end-item measures once for each part, before its 12 rows
     cube = F.when(q("DSS_CUBE") == 0.0, F.lit(FIXED["min_cube"])).otherwise(q("DSS_CUBE"))
     j = j.withColumn("DSS_CUBE", cube)
@@ -576,8 +577,6 @@ def class_ix(req: DataFrame, dims: DataFrame, mode: str = "reference",
     cells = [F.struct(F.lit(base).alias("base"), F.lit(pos).alias("POS"), q(c).cast("double").alias("Requirement"))
              for c in pos_cols for base, pos in [_base_and_period(c)]]
     derived = ["CUFT", "SQFT", "FIE_CUFT", "FIE_SQFT", "FIE_Weight_lbs"]
-    # rows are multiplied by the periods here: not in as few tasks as the scan or the join had
-    j = j.hint("rebalance")
     long = j.select(*[q(c) for c in ids + [d for d in derived if d not in ids]], F.inline(F.array(*cells)))
     long = long.withColumn("Weight_lbs", q("DSS_WEIGHT") * q("Requirement"))
     long = C.rename(long, IX_RENAME_OUT)

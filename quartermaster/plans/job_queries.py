@@ -355,12 +355,14 @@ def q_class_vi(spark, sf_dir):
 IX_BASES = ["TAMCN_NIIN_QTY", "Required", "Value"]
 
 
-def repair_requirements(spark, sf_dir) -> DataFrame:
+def repair_requirements(spark, sf_dir, by=("NIIN",)) -> DataFrame:
     """Class IX requirement rows (trimmed input layout) from lineitem: one
     row per line, the part as NIIN, quantities by period from the line
     quantity, money from the extended price, inch dimensions with 0 / 9999
-    sentinels from quantity and line number."""
-    li = t(spark, sf_dir, "lineitem")
+    sentinels from quantity and line number. Lines are dealt out by the columns
+    of their part that the job joins by, before the wide rows are made from them."""
+    key = {"NIIN": _niin("l_partkey"), "Nomenclature": F.concat(F.lit("PART_"), F.col("l_partkey").cast("string"))}
+    li = t(spark, sf_dir, "lineitem").repartition(*[key[c] for c in by])
     qty = F.col("l_quantity").cast("bigint")
     price = F.col("l_extendedprice") / F.col("l_quantity")
     ln = F.col("l_linenumber").cast("double")

@@ -2,9 +2,11 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from quartermaster.operators import relational as R
+from quartermaster.plans.registry import QUERIES
 
 
 def plan(df) -> str:
@@ -82,3 +84,18 @@ def test_split_by_position(spark):
     assert got == {(k, "a" if i < 170 else "b") for i, k in enumerate(keys)} | {(None, None)}
     assert {r.split for r in R.split_positions(df.filter("k IS NOT NULL"), "k", {"all": 1}).collect()} == {"all"}
     assert R.split_positions(df.limit(0), "k", {"a": 1, "b": 1}).count() == 0
+
+
+@pytest.mark.parametrize("name", ["class_ix"])
+def test_requirement_lines_are_shuffled_once_and_narrow(spark, sf_dir, name):
+    """Only the scanned columns of a line go through a shuffle, once, and lines are not sorted."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = plan(QUERIES[name](spark, sf_dir)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    scan = next(i for i, x in enumerate(lines) if "lineitem.parquet" in x)
+    moved = [i for i, x in enumerate(lines[:scan]) if "Exchange" in x]
+    assert len(moved) == 1 and not any("SortMergeJoin" in x for x in lines)
+    assert not any("Project" in x for x in lines[moved[0]:scan])
