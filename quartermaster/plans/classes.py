@@ -614,7 +614,7 @@ def class_ix_long(req: DataFrame, dims: DataFrame, dims_row_id: str | None = Non
     d = C.rename(dims, {"UNIT_PRICE": "Unit_Price", "NOMENCLATURE": "Nomenclature"})
     d = R.first_per_key(d, ["NIIN", "Nomenclature"], dims_row_id).drop(dims_row_id)
     d = d.select("NIIN", "Nomenclature", "DSS_WEIGHT", "DSS_CUBE")
-    j = req.join(d, ["NIIN", "Nomenclature"], "left")
+    j = req.join(d.hint("shuffle_hash"), ["NIIN", "Nomenclature"], "left")
     cls = (F.when(q("Battery Flag") == "TRUE", F.lit("IX B"))
            .when(q("SECREP Flag") == "TRUE", F.lit("IX S")).otherwise(F.lit("IX C")))
     j = j.withColumn("Class_of_Supply", cls)

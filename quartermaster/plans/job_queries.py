@@ -509,7 +509,7 @@ SELECT cls AS Class_of_Supply, Region, Location_Name, MEF, UI, Unit_Price, TAMCN
 FROM m
 """)
 def q_class_ix_long(spark, sf_dir):
-    return X.class_ix_long(repair_requirements(spark, sf_dir), catalog_dimensions(spark, sf_dir),
+    return X.class_ix_long(repair_requirements(spark, sf_dir, ("NIIN", "Nomenclature")), catalog_dimensions(spark, sf_dir),
                            dims_row_id="row_id")
 
 

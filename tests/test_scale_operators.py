@@ -86,7 +86,7 @@ def test_split_by_position(spark):
     assert R.split_positions(df.limit(0), "k", {"a": 1, "b": 1}).count() == 0
 
 
-@pytest.mark.parametrize("name", ["class_ix"])
+@pytest.mark.parametrize("name", ["class_ix", "class_ix_long"])
 def test_requirement_lines_are_shuffled_once_and_narrow(spark, sf_dir, name):
     """Only the scanned columns of a line go through a shuffle, once, and lines are not sorted."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
