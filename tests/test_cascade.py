@@ -2,7 +2,7 @@
 
 import pytest
 
-from quartermaster.plans.cascade import DATASET_FILTERS, closure, mapping_tables, report_parts
+from quartermaster.plans.cascade import DATASET_FILTERS, closure, closure_sets, mapping_tables, report_parts
 from quartermaster.plans.publish import DATASET_SHEETS, SHEET_ORDER
 
 
@@ -28,6 +28,21 @@ def test_long_chain(spark):
     assert {(n, lv) for _, n, lv in got} == {(f"n{i}", i) for i in range(13)}
 
 
+def test_runs_of_a_block_are_one_row(spark):
+    """Runs that keep the same nodes in the same rounds are worked out together; those that don't stay apart."""
+    edges = [("b", "a", "all"), ("c", "b", "all"), ("c", "z", "all"), ("d", "c", "any"), ("d", "a", "any"), ("e", "d", "all"), ("e", "c", "all")]
+    seeds = [(r, "a") for r in range(150)] + [(r, "z") for r in range(0, 150, 3)] + [(r, "b") for r in (5, 70)]
+    want = set()
+    for r in range(150):
+        levels = {"a": 0, "b": 0 if r in (5, 70) else 1, "d": 1}
+        if r % 3 == 0:
+            levels |= {"z": 0, "c": levels["b"] + 1, "e": levels["b"] + 2}
+        want |= {(r, n, lv) for n, lv in levels.items()}
+    assert kept(spark, seeds, edges) == want
+    sets, _ = closure_sets(spark.createDataFrame(seeds, "run long, node string"), spark.createDataFrame(edges, "child string, parent string, need string"))
+    assert sets.count() <= 3 * 8 and sets.groupBy("block", "node", "level").count().filter("count > 1").count() == 0
+
+
 SCENARIOS = {  # available datasets of a run: class I; IX; IIIP and IV
     1: ["AssessmentParameterDataMapTable", "AssessmentTable", "ForceFlow-joined", "Locations", "POS", "RD-I-POS-Location-joined",
         "RD-I-POS-Pallet-Requirement", "RD-I-Ration-Costs-joined", "aggregated-embark", "cosi-embark", "unknown"],
