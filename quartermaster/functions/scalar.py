@@ -62,7 +62,17 @@ def square_feet(length, width, sentinels=(0, 9999)) -> Column:
 
 def cents(c) -> Column:
     """Money as whole cents (bigint) so sums are exact on every engine."""
-    return F.round(_c(c) * 100).cast("bigint")
+    return half_up(_c(c) * 100)
+
+
+def half_up(x: Column) -> Column:
+    """``round(x)`` of a double as bigint, halves away from zero. Whole part and
+    rest of a size are exact, so the usual range needs no decimal text, as
+    ``round`` does for each value."""
+    size = F.abs(x)
+    whole = F.floor(size)
+    near = F.when(size - whole >= 0.5, whole + 1).otherwise(whole)
+    return F.when(size < 9e15, F.when(x < 0, -near).otherwise(near)).otherwise(F.round(x).cast("bigint"))
 
 
 def from_cents(c) -> Column:

@@ -86,6 +86,18 @@ def test_split_by_position(spark):
     assert R.split_positions(df.limit(0), "k", {"a": 1, "b": 1}).count() == 0
 
 
+def test_cents_round_like_decimals_without_their_text(spark):
+    from quartermaster.functions.scalar import cents, half_up
+    rng = random.Random(6)
+    values = [None, 0.0, -0.0, 0.5, -0.5, 2.5, -2.5, 0.49999999999999994, -0.49999999999999994, 4503599627370495.5, -4503599627370495.5, 1e17, -1e17]
+    values += [rng.randrange(-10**7, 10**7) / 2 for _ in range(500)] + [round(rng.uniform(-1e4, 1e4), 2) * 100 for _ in range(500)]
+    values += [rng.uniform(-1e5, 1e5) * 10.0 ** rng.randrange(-9, 11) for _ in range(500)]
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    assert df.filter(~half_up(F.col("x")).eqNullSafe(F.round("x").cast("bigint"))).count() == 0
+    steps = df.select(cents("x").alias("c"))._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "floor(" in steps and steps.index("floor(") < steps.index("round(")  # decimals beyond 9e15 only
+
+
 @pytest.mark.parametrize("name", ["class_ix", "class_ix_long"])
 def test_requirement_lines_are_shuffled_once_and_narrow(spark, sf_dir, name):
     """Only the scanned columns of a line go through a shuffle, once, and lines are not sorted."""
