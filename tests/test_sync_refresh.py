@@ -133,3 +133,34 @@ def test_other_stems_are_not_refreshed(spark, tmp_path):
     tables = R.refresh_tables(spark, str(tmp_path), source)
     R.publish(tables, source, stem="RD-IX")(batch_of(spark, "1"), 0)
     assert tables.read("audit").count() == 0 and tables.read("signals").count() == 1
+
+
+def test_a_run_makes_few_state_calls_whatever_its_events():
+    """Items are read and written by one call each, and not counted anew at each event."""
+    from quartermaster.streaming.sync import SyncGate
+    calls = []
+
+    class State:
+        def __init__(self):
+            self.rows = []
+
+        def __getattr__(self, name):
+            def call(*args):
+                calls.append(name)
+                if name == "exists":
+                    return False
+                return iter(self.rows) if name in ("get", "iterator") else None
+            return call
+
+    class Handle:
+        def __getattr__(self, name):
+            return lambda *args: State() if name.startswith("get") else calls.append(name) or iter(())
+
+    gate = SyncGate(ITEMS, "S", DELAY * 1000, KEEP * 1000)
+    gate.init(Handle())
+    looks, look = [], gate.look
+    gate.look = lambda seen: looks.append(1) or look(seen)
+    # a file of every item and a dataset of one, over and over: three stay unmatched, no look is due
+    events = [{"at_ms": 10 * i, "kind": "dataset" if i % 5 == 4 else "file", "item": ITEMS[i % 5 % 4]} for i in range(400)]
+    assert list(gate.handleInputRows(("r",), iter(events), None)) == []
+    assert len(calls) <= 6 and len(looks) <= 1, (calls, len(looks))
