@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from quartermaster.llm.common import cut, map_arrow, sub_batches, texts_of, word_hashes
 
-CHUNK = 1 << 22
+CHUNK = 1 << 19  # a batch takes some 40 times its bytes in arrays
 CACHE_PARTS, CACHE_IDS = 300_000, 3_000_000  # then the cache starts anew; about 70 MB a Python worker
 _ENCODERS: dict[str, WordEncoder] = {}
 

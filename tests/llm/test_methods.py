@@ -1,15 +1,20 @@
 """What the named methods add beyond the base contracts."""
 
 import hashlib
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from quartermaster.llm import packing
+from quartermaster.llm.common import sub_batches, texts_of
 from quartermaster.llm.html_extraction import extract_pages, shapes, template_paths
 from quartermaster.llm.near_dedup import Scheme
 from quartermaster.llm.packing import best_fit
 from quartermaster.llm.pii import candidates, find_personal_data, fit
 from quartermaster.llm.quality import quality_verdicts
+from quartermaster.llm.queries import tokenizer_path
 from quartermaster.llm.secret_scan import redact, scan_secrets
 from quartermaster.llm.suffix_dedup import borders_below, sort_rotations
 
@@ -221,3 +226,19 @@ def test_many_spans_are_not_broadcast(spark):
     assert "broadcast" in plan(few)
     assert {r.text for r in redact(docs.filter("doc_id = 1"), few).collect()} == {"a[SECRET][SECRET]gh"}
     assert "broadcast" not in plan(docs.select("doc_id", key, many.alias("spans")))
+
+
+def test_tokenising_holds_little_memory():
+    texts = [" ".join(f"word{(i * j) % 997}" for j in range(400)) for i in range(2500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    enc = packing.encoder(tokenizer_path())
+    enc.clear()
+    tracemalloc.start()
+    try:
+        got = [enc.encode(*texts_of(b.column("text"))) for b in sub_batches([batch], "text", packing.CHUNK)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    ids, counts = np.concatenate([x[0] for x in got]), np.concatenate([x[1] for x in got])
+    assert len(counts) == len(texts) and ids[-counts[-1]:].tolist() == enc.ids(texts[-1])
+    assert peak < 80e6 + ids.nbytes + counts.nbytes
