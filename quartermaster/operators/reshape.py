@@ -84,6 +84,26 @@ def melt_multi(df: DataFrame, ids: Sequence[str], pattern: str,
     return df.select(*[q(c) for c in ids], F.inline(F.array(*structs)))
 
 
+def melt_cells(df: DataFrame, ids: Sequence[str], cells: Sequence[tuple[str, str | None, str]],
+               period_col: str) -> DataFrame:
+    """``melt`` with the names parsed beforehand: ``cells`` are (column, period,
+    measure). One row per period with its measures side by side, all of the type
+    that ``melt`` gives; further columns of one cell go to further rows."""
+    kind = melt(df, [], [c for c, _, _ in cells], "variable", "value").schema["value"].dataType
+    measures = list(dict.fromkeys(m for _, _, m in cells))
+    rows: dict[str | None, list[dict[str, str]]] = {}
+    for c, period, measure in cells:
+        of_period = rows.setdefault(period, [])
+        row = next((r for r in of_period if measure not in r), None)
+        if row is None:
+            of_period.append(row := {})
+        row[measure] = c
+    structs = [F.struct(F.lit(period).cast("string").alias(period_col),
+                        *[(q(r[m]) if m in r else F.lit(None)).cast(kind).alias(m) for m in measures])
+               for period, of_period in rows.items() for r in of_period]
+    return df.select(*[q(c) for c in ids], F.inline(F.array(*structs)))
+
+
 # A9
 def split_name(df: DataFrame, col: str, pattern: str, names: Sequence[str],
                drop: bool = False) -> DataFrame:
@@ -120,17 +140,24 @@ def pivot_strict(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Seq
 
 
 # A5
-def pivot_first(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequence[str],
-                value_col: str, order_col: str, drop_null_keys: bool = True) -> DataFrame:
+def pivot_first(df: DataFrame, keys: Sequence[str], pivot_col: str | None, values: Sequence[str],
+                value_col: str | None, order_col: str, drop_null_keys: bool = True) -> DataFrame:
     """Long -> wide keeping the first non-null value by ``order_col``
     (pandas ``pivot_table(aggfunc='first')``): rows whose values are all NULL
-    disappear, and NULL index keys are dropped like pandas groupby does."""
-    src = df.filter(q(value_col).isNotNull() & q(pivot_col).isin(list(values)))
+    disappear, and NULL index keys are dropped like pandas groupby does.
+    Without ``pivot_col`` and ``value_col`` the values are columns already,
+    as ``melt_cells`` lays them side by side."""
+    if pivot_col is None:
+        src = df.filter(F.coalesce(*[q(v) for v in values]).isNotNull())
+    else:
+        src = df.filter(q(value_col).isNotNull() & q(pivot_col).isin(list(values)))
     if drop_null_keys:
         for k in keys:
             src = src.filter(q(k).isNotNull())
-    agg = [F.min_by(F.when(q(pivot_col) == F.lit(v), q(value_col)),
-                    F.when(q(pivot_col) == F.lit(v), q(order_col))).alias(v) for v in values]
+    agg = []
+    for v in values:
+        cell, value = (q(v).isNotNull(), q(v)) if pivot_col is None else (q(pivot_col) == F.lit(v), q(value_col))
+        agg.append(F.min_by(F.when(cell, value), F.when(cell, q(order_col))).alias(v))
     return src.groupBy(*[q(k) for k in keys]).agg(*agg)
 
 

@@ -476,14 +476,10 @@ def class_vi(df: DataFrame, row_id: str | None = None, mode: str = "reference")
         df = df.withColumn("__row", F.monotonically_increasing_id())
         row_id = "__row"
     values = [c for c in df.columns if c.startswith("POS") or "NIIN_Qty" in c]
-    long = S.melt(df.select(*[q(c) for c in VI_IDS + [row_id] + values]).hint("rebalance"),
-                  VI_IDS + [row_id], values, "Metric", "Value")
-    long = long.withColumn("POS", extract_or_null(q("Metric"), r"(POS\d|DOS\d)", 1))
-    if mode == "corrected":
-        long = long.withColumn("POS", F.regexp_replace("POS", "^DOS", "POS"))
-    long = long.withColumn("Metric_Type", F.regexp_replace(q("Metric"), VI_METRIC_STRIP, ""))
-    metrics = sorted({_vi_metric(c) for c in values})
-    wide = S.pivot_first(long, VI_INDEX, "Metric_Type", metrics, "Value", row_id)
+    # the names are parsed here, not in every row: a row per period, not per cell
+    cells = [(c, _vi_period(c, mode), _vi_metric(c)) for c in values]
+    long = S.melt_cells(df, VI_IDS + [row_id], cells, "POS")
+    wide = S.pivot_first(long, VI_INDEX, None, sorted({m for _, _, m in cells}), None, row_id)
     wide = C.rename(wide, VI_RENAME)
     for c in ["Qty", "Pallets", "CUFT", "TEUS", "Weight_lbs"]:
         if c not in wide.columns:
@@ -498,6 +494,11 @@ def class_vi(df: DataFrame, row_id: str | None = None, mode: str = "reference")
     return _upper_all(out)
 
 
+def _vi_period(c: str, mode: str) -> str | None:
+    m = re.search(r"(POS\d|DOS\d)", c)
+    return m and (re.sub("^DOS", "POS", m[1]) if mode == "corrected" else m[1])
+
+
 def _vi_metric(c: str) -> str:
     return re.sub(VI_METRIC_STRIP, "", c)
 

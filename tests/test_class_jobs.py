@@ -82,6 +82,17 @@ def test_q2_class_vi_keeps_dos_labels_and_first_value(spark):
     assert fixed[0].POS == "POS1"
 
 
+def test_class_vi_makes_a_row_per_period_not_per_cell(spark):
+    """The names of the cells are known beforehand: no row carries or parses one."""
+    df = _vi_input(spark).selectExpr("*", "cast(7 AS int) AS POS1_Units_NIIN_Qty", "20.0D AS NIIN_Qty")
+    out = X.class_vi(df, row_id="rid", mode="corrected")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan and "Expand" not in plan
+    # two columns of one cell meet in it (row 1 has no DOS1 quantity); a column without a period makes no row
+    r = out.collect()
+    assert [(x.POS, x.QTY, x.WEIGHT_LBS) for x in r] == [("POS1", 7.0, 3.0)]
+
+
 def _ix_frames(spark):
     req = spark.createDataFrame(
         [("1", "IX", "R", "M", "F", "L", "true", "FALSE", "TN", "TE", "NE", "CN", 1, 2, 0, 0, 0,
