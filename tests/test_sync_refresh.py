@@ -164,3 +164,56 @@ def test_a_run_makes_few_state_calls_whatever_its_events():
     events = [{"at_ms": 10 * i, "kind": "dataset" if i % 5 == 4 else "file", "item": ITEMS[i % 5 % 4]} for i in range(400)]
     assert list(gate.handleInputRows(("r",), iter(events), None)) == []
     assert len(calls) <= 6 and len(looks) <= 1, (calls, len(looks))
+
+
+def test_groups_give_the_signals_of_a_simulation():
+    """The rule with state that comes with the events: any batches, time-outs, runs that start anew, times of any year."""
+    from quartermaster.streaming.sync import SyncRounds
+
+    class State:
+        get, exists, timeout, updates = None, False, None, 0
+
+        def __init__(self):
+            self.watermark, self.hasTimedOut = 0, False
+
+        def getCurrentWatermarkMs(self):
+            return self.watermark
+
+        def update(self, value):
+            self.get, self.exists, self.updates = value, True, self.updates + 1
+
+        def remove(self):
+            self.get, self.exists = None, False
+
+        def setTimeoutTimestamp(self, at):
+            assert at >= self.watermark
+            self.timeout = at
+
+    import pandas as pd
+    names = sorted(ITEMS)
+    far = 7_000_000_000 * 1000  # beyond the years of pandas' times
+    for seed in range(30):
+        rng = random.Random(seed)
+        start = far if seed % 2 else 1_000_000
+        events = sorted((at, rng.random() < 0.5, rng.choice(ITEMS)) for at in rng.sample(range(4000), 80))
+        gate, state, got = SyncRounds(ITEMS, "S", DELAY * 1000, KEEP * 1000), State(), []
+        cuts = [0, *sorted(rng.sample(range(1, 80), rng.randrange(6))), 80, 80]
+        for a, b in zip(cuts, cuts[1:]):
+            state.hasTimedOut = a == b
+            if a == b and (state.timeout is None or state.timeout >= state.watermark):
+                continue
+            frame = pd.DataFrame([(start + at * 1000, names.index(item) + len(names) * made) for at, made, item in events[a:b]], columns=["at_ms", "place"])
+            state.timeout, state.updates = None, 0
+            for out in gate(("r",), iter([] if a == b else [frame]), state):
+                got += [((x - start) // 1000, s) for x, s in zip(out["at_ms"], out["second_look"])]
+            assert state.updates <= 1
+            state.watermark = start + (events[b - 1][0] - LATE) * 1000
+        assert got == simulate(events, events[-1][0]), seed
+
+
+def test_change_events_are_made_after_they_are_dealt_out(spark):
+    from quartermaster.streaming.queries import json_in_order
+    ev = spark.createDataFrame([(START, 1, 2, "view", 7.0, "{}")], "ts timestamp, event_id long, user_id long, event_type string, value double, props string")
+    rec = change_event(F.col("user_id"), F.col("event_type"), F.lit("File_Received"), F.col("ts"), F.lit("INSERT"), F.col("event_id"), F.col("event_id"))
+    above, below = json_in_order(ev, rec)._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")
+    assert "StructsToJson" in above and "StructsToJson" not in below and "props" not in below.split("\n")[1]
