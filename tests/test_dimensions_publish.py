@@ -10,6 +10,7 @@ from quartermaster.operators import relational as R
 from quartermaster.operators import reshape as S
 from quartermaster.plans import dimensions as D
 from quartermaster.plans import publish as P
+from quartermaster.plans import publish_queries as Q
 
 
 def test_decimal_repair_first_match_in_order(spark):
@@ -136,6 +137,31 @@ def test_field_usage_walks_field_wells(spark):
     assert [r.field_id for r in P.subset_fields(fields, ids).collect()] == ["f1"]
 
 
+def test_line_definitions_are_dealt_out_and_made_before_they_are_parsed(spark, tmp_path):
+    odd = ["1-URGENT", 'a "b" \\ c', "\u00e4\n", None]
+    spark.createDataFrame([(i, "F" if i % 3 else None, odd[i % 4]) for i in range(40)],
+                          "o_orderkey long, o_orderstatus string, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(i % 40, i // 40, ["A", "</x>", None][i % 3]) for i in range(160)],
+                          "l_orderkey long, l_linenumber int, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    df = Q.q_field_usage(spark, str(tmp_path))
+    rows = df.collect()
+    assert len(rows) == 3 * 160
+    got = {(r.document, r.column_name): (r.sheet_id, r.visual_type, r.field_id, r.dataset_identifier) for r in rows}
+    for i in range(160):
+        key, flag = i % 40, ["A", "</x>", None][i % 3]
+        line, sheet = f"{key}_{i // 40}", "S_F" if key % 3 else None
+        kind = "TableVisual" if key % 4 else "BarChartVisual"
+        ds = flag and f"ds_{flag}"
+        assert got[f"L{line}", "l_quantity"] == (sheet, kind, f"Q{line}", ds)
+        assert got[f"L{line}", "l_extendedprice"] == (sheet, kind, f"P{line}", ds)
+        assert got[f"L{line}", "o_orderpriority"] == (sheet, kind, f"G{key}", odd[key % 4] and f"orders_{odd[key % 4]}")
+    # a small table's partitions aren't joined to one before its lines become documents
+    assert df.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the text is a column of its own: from_json holds no expression that makes it
+    parse = [x for x in df._jdf.queryExecution().executedPlan().toString().split("\n") if "from_json" in x]
+    assert parse and not any("StructsToJson" in x for x in parse)
+
+
 # --- property checks of the test plan -------------------------------------
 def test_unpivot_then_pivot_is_identity_on_unique_keys(spark):
     df = spark.createDataFrame([(1, 1.0, None), (2, 3.0, 4.0)], "k int, a double, b double")
