@@ -202,15 +202,15 @@ def class_i(df: DataFrame, plan: str = "restack", on_duplicate: str = "error") -
     """Wide pallet requirement -> one row per (location, ration type, period).
 
     ``plan='restack'`` turns each wide row into its 4 period rows with one
-    ``inline``; a repeated key is an error found by one aggregate of the keys
-    alone (``on_duplicate='keep'`` leaves it out).
+    ``inline``; a repeated key is an error found by one aggregate that hands on
+    the measures (``on_duplicate='keep'`` leaves it out).
     ``plan='pivot'`` is the literal melt -> parse -> strict pivot, which
     shuffles once on the keys and fails on a duplicate key like the source.
     """
     df = class_i_prepare(df)
     if plan == "restack":
         if on_duplicate == "error":
-            df = _keys_once(df, CLASS_I_KEYS)
+            df = _single_rows(df, CLASS_I_KEYS, [c for c in df.columns if _match_period_metric(c)])
         long = _class_i_restack(df)
     else:
         value_cols = [c for c in df.columns if _match_period_metric(c)]
@@ -240,6 +240,14 @@ def _keys_once(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(F.when(repeated > 0, F.raise_error(F.lit(f"repeated keys {', '.join(keys)}"))).otherwise(True))
 
 
+def _single_rows(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """The rows' keys and values, failing if a key occurs twice. Unlike ``_keys_once``
+    the rows go through the check, so what they are made from is worked out once."""
+    rows = df.groupBy(*[q(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"), *[F.max(q(v)).alias(v) for v in values])
+    again = F.raise_error(F.lit(f"repeated keys {', '.join(keys)}"))
+    return rows.filter(F.when(q("__n") > 1, again).otherwise(True)).drop("__n")
+
+
 def _class_i_restack(df: DataFrame) -> DataFrame:
     cells = {}
     for c in df.columns:

@@ -19,7 +19,7 @@ from quartermaster.operators import relational as R
 from quartermaster.plans import classes as X
 from quartermaster.session import ensure_checkpoint_dir
 from quartermaster.plans.table_queries import (
-    ORACLE_SQL, PERIOD_SQL, QUERIES, RATION_SQL, _d, _qtr_pos, _QTR_POS, ration_requirements, register,
+    ORACLE_SQL, PERIOD_SQL, QUERIES, RATION_SQL, _d, _qtr_pos, _QTR_POS, part_lines, ration_requirements, register,
     status_runs, t,
 )
 
@@ -169,12 +169,8 @@ def q_water_location_joined(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # X8 class IIIP (packaged fuel) from lineitem x part
 # ---------------------------------------------------------------------------
-def pol_requirements(spark, sf_dir) -> DataFrame:
-    li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
-                                              "l_returnflag", "l_linestatus", "l_shipdate")
-    p = t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size",
-                                        "p_retailprice")
-    j = li.join(p, F.col("l_partkey") == F.col("p_partkey"))
+def pol_requirements(spark, sf_dir, lines=None) -> DataFrame:
+    j = part_lines(spark, sf_dir) if lines is None else lines
     size = F.col("p_size").cast("double")
     return j.select(
         F.col("l_orderkey").alias("AssessmentNumber"), F.lit("IIIP").alias("Class_of_Supply"),
@@ -210,18 +206,15 @@ SELECT AssessmentNumber AS ASSESSMENTNUMBER, Class_of_Supply AS CLASS_OF_SUPPLY,
        Unit_Price * Qty AS TOTAL_COST
 FROM e WHERE Qty * ston_ > 0
 """)
-def q_class_iiip(spark, sf_dir):
-    return X.class_iiip(pol_requirements(spark, sf_dir))
+def q_class_iiip(spark, sf_dir, lines=None):
+    return X.class_iiip(pol_requirements(spark, sf_dir, lines))
 
 
 # ---------------------------------------------------------------------------
 # X9 class IV (construction material) from lineitem x part
 # ---------------------------------------------------------------------------
-def construction_requirements(spark, sf_dir) -> DataFrame:
-    li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
-                                              "l_returnflag", "l_linestatus", "l_shipdate")
-    p = t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
-    j = li.join(p, F.col("l_partkey") == F.col("p_partkey"))
+def construction_requirements(spark, sf_dir, lines=None) -> DataFrame:
+    j = part_lines(spark, sf_dir) if lines is None else lines
     qty = F.col("l_quantity").cast("bigint")
     return j.select(
         F.col("l_orderkey").alias("AssessmentNumber"), F.lit("IV").alias("Class_of_Supply"),
@@ -256,8 +249,8 @@ SELECT AssessmentNumber AS ASSESSMENTNUMBER, Class_of_Supply AS CLASS_OF_SUPPLY,
        Weight_lbs / 2000 AS STONS, Total_Cost AS TOTAL_COST
 FROM e WHERE Weight_lbs / 2000 > 0
 """)
-def q_class_iv(spark, sf_dir):
-    return X.class_iv(construction_requirements(spark, sf_dir))
+def q_class_iv(spark, sf_dir, lines=None):
+    return X.class_iv(construction_requirements(spark, sf_dir, lines))
 
 
 # ---------------------------------------------------------------------------
@@ -355,14 +348,15 @@ def q_class_vi(spark, sf_dir):
 IX_BASES = ["TAMCN_NIIN_QTY", "Required", "Value"]
 
 
-def repair_requirements(spark, sf_dir, by=("NIIN",)) -> DataFrame:
+def repair_requirements(spark, sf_dir, by=("NIIN",), lines=None) -> DataFrame:
     """Class IX requirement rows (trimmed input layout) from lineitem: one
     row per line, the part as NIIN, quantities by period from the line
     quantity, money from the extended price, inch dimensions with 0 / 9999
     sentinels from quantity and line number. Lines are dealt out by the columns
-    of their part that the job joins by, before the wide rows are made from them."""
+    of their part that the job joins by, before the wide rows are made from them
+    (``lines``: dealt out already)."""
     key = {"NIIN": _niin("l_partkey"), "Nomenclature": F.concat(F.lit("PART_"), F.col("l_partkey").cast("string"))}
-    li = t(spark, sf_dir, "lineitem").repartition(*[key[c] for c in by])
+    li = t(spark, sf_dir, "lineitem").repartition(*[key[c] for c in by]) if lines is None else lines
     qty = F.col("l_quantity").cast("bigint")
     price = F.col("l_extendedprice") / F.col("l_quantity")
     ln = F.col("l_linenumber").cast("double")
@@ -485,8 +479,8 @@ SELECT AssessmentNumber AS ASSESSMENTNUMBER, cls AS CLASS_OF_SUPPLY, Region AS R
        Total_Value_Selected_Confidence AS TOTAL_COST
 FROM c
 """)
-def q_class_ix(spark, sf_dir):
-    return X.class_ix(repair_requirements(spark, sf_dir), catalog_dimensions(spark, sf_dir),
+def q_class_ix(spark, sf_dir, lines=None):
+    return X.class_ix(repair_requirements(spark, sf_dir, lines=lines), catalog_dimensions(spark, sf_dir),
                       dims_row_id="row_id")
 
 
@@ -520,8 +514,32 @@ UNION_PARTS = ["class_i", "pallet_calc", "unit_extension", "class_iiip", "class_
                "class_ix"]
 
 
+# what the union needs of a line; the order it belongs to has no column there
+UNION_LINE = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+              "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+def _carrying(df: DataFrame, full: DataFrame) -> DataFrame:
+    """``df`` with the columns of ``full`` that it does not carry as NULLs (for class columns that the union drops)."""
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in full.schema if f.name not in df.columns})
+
+
+def union_lines(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The lines, dealt out by part key once for all classes, and the same with the columns of their part."""
+    li, part = t(spark, sf_dir, "lineitem"), t(spark, sf_dir, "part")
+    niin, p_niin = _niin("l_partkey"), _niin("p_partkey")
+    lines = li.filter(F.col("l_partkey").isNotNull() & niin.isNotNull()).select(UNION_LINE).repartition(niin)
+    lines = _carrying(R.shared_shuffle(lines, ["l_partkey"]), li)
+    # by NIIN as class IX, so that parts go where the lines are; the key is compared, as Spark would deal the lines out
+    # anew by a second join key. One row a part: hashed in the task
+    same = F.col("l_partkey").between(F.col("p_partkey"), F.col("p_partkey"))
+    return lines, lines.join(part.hint("shuffle_hash"), (niin == p_niin) & same)
+
+
 def class_outputs(spark, sf_dir) -> list[DataFrame]:
-    return [QUERIES[n](spark, sf_dir) for n in UNION_PARTS]
+    lines, of_part = union_lines(spark, sf_dir)
+    given = {n: of_part for n in ("class_i", "unit_extension", "class_iiip", "class_iv")} | {"class_ix": lines}
+    return [QUERIES[n](spark, sf_dir, *([given[n]] if n in given else [])) for n in UNION_PARTS]
 
 
 def _union_sql(lead: bool = False) -> str:
