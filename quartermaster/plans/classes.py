@@ -544,20 +544,11 @@ def _base_and_period(name: str) -> tuple[str | None, str | None]:
     return (m[1], m[2]) if m else (None, None)
 
 
-def class_ix(req: DataFrame, dims: DataFrame, mode: str = "reference",
-             dims_row_id: str | None = None) -> DataFrame:
-    """Repair parts x part dimensions -> 12 rows per part requirement
-    (3 bases x 4 periods), with volume, floor area and weight.
-
-    reference: inner join (parts without dimensions disappear) and every
-    base is unpivoted, so ``Feature`` tells quantities from money.
-    corrected: left join.
-    ``dims_row_id`` decides which duplicate dimension row is kept.
-    Without a row id the order is ``monotonically_increasing_id`` taken on
-    the input, which stays the same when a lost task is recomputed only if
-    the input is a direct file scan; pass a key column otherwise.
-    """
-    req = class_ix_classify(C.rename(req, IX_RENAME))
+def class_ix_catalog(req: DataFrame, dims: DataFrame, mode: str = "reference",
+                     dims_row_id: str | None = None) -> DataFrame:
+    """Rows with the catalog row of their part (``NIIN``): inner join in
+    reference mode (parts without dimensions disappear), left join in corrected
+    mode. See ``class_ix`` for ``dims_row_id``."""
     if dims_row_id is None:
         dims = dims.withColumn("__drow", F.monotonically_increasing_id())
         dims_row_id = "__drow"
@@ -569,10 +560,29 @@ def class_ix(req: DataFrame, dims: DataFrame, mode: str = "reference",
     lower_req = {c.lower() for c in req.columns}
     d = d.select([q(c).alias(c) if c == "NIIN" or c.lower() not in lower_req
                   else q(c).alias(c + "_right") for c in d.columns])
-    req = req.withColumnRenamed("UI", "UI_left")
     how = "inner" if mode == "reference" else "left"
     # one row a part: hashed in the task, so the requirements are not sorted
-    j = req.join(d.hint("shuffle_hash"), "NIIN", how)
+    return req.join(d.hint("shuffle_hash"), "NIIN", how)
+
+
+def class_ix(req: DataFrame, dims: DataFrame | None, mode: str = "reference",
+             dims_row_id: str | None = None) -> DataFrame:
+    """Repair parts x part dimensions -> 12 rows per part requirement
+    (3 bases x 4 periods), with volume, floor area and weight.
+
+    reference: inner join (parts without dimensions disappear) and every
+    base is unpivoted, so ``Feature`` tells quantities from money.
+    corrected: left join.
+    ``dims`` is None for rows that hold the columns of their catalog row
+    already (``class_ix_catalog``).
+    ``dims_row_id`` decides which duplicate dimension row is kept.
+    Without a row id the order is ``monotonically_increasing_id`` taken on
+    the input, which stays the same when a lost task is recomputed only if
+    the input is a direct file scan; pass a key column otherwise.
+    """
+    req = class_ix_classify(C.rename(req, IX_RENAME))
+    j = req if dims is None else class_ix_catalog(req, dims, mode, dims_row_id)
+    j = j.withColumnRenamed("UI", "UI_left")
     # geometry and the per-end-item measures once for each part, before its 12 rows
     cube = F.when(q("DSS_CUBE") == 0.0, F.lit(FIXED["min_cube"])).otherwise(q("DSS_CUBE"))
     j = j.withColumn("DSS_CUBE", cube)
@@ -695,12 +705,14 @@ def read_class_outputs(spark, paths: Sequence[str], mode: str = "corrected") ->
     return ok, failed
 
 
-def class_rollup(union: DataFrame, dims: Sequence[str] = ("REGION", "LOCATION_NAME", "REGION_MEF_LEAD", "POS"),
+def class_rollup(union: DataFrame | Sequence[DataFrame],
+                 dims: Sequence[str] = ("REGION", "LOCATION_NAME", "REGION_MEF_LEAD", "POS"),
                  measures: Sequence[str] = UNION_MEASURES) -> DataFrame:
     """Region -> location -> lead -> period roll-up of the class union's
     measures (summed in whole cents at the finest grain first, then rolled
-    up). The union has to carry the lead (``keep=['REGION_MEF_LEAD']``)."""
-    u = union.withColumns({f"__c_{m}": cents(m) for m in measures})
+    up). The union, or its parts, have to carry the lead (``keep=['REGION_MEF_LEAD']``)."""
+    parts = [union] if isinstance(union, DataFrame) else union
+    u = [p.withColumns({f"__c_{m}": cents(m) for m in measures}) for p in parts]
     out = R.rollup_sums(u, list(dims), {m: f"__c_{m}" for m in measures}, count_col="N_ROWS")
     return out.withColumns({m: from_cents(m) for m in measures})
 

@@ -346,6 +346,7 @@ def q_class_vi(spark, sf_dir):
 # X11 / X23 class IX (repair parts) from lineitem, catalog dimensions from part
 # ---------------------------------------------------------------------------
 IX_BASES = ["TAMCN_NIIN_QTY", "Required", "Value"]
+CATALOG_MEASURES = ["DSS_WEIGHT", "DSS_CUBE"]
 
 
 def repair_requirements(spark, sf_dir, by=("NIIN",), lines=None) -> DataFrame:
@@ -354,7 +355,7 @@ def repair_requirements(spark, sf_dir, by=("NIIN",), lines=None) -> DataFrame:
     quantity, money from the extended price, inch dimensions with 0 / 9999
     sentinels from quantity and line number. Lines are dealt out by the columns
     of their part that the job joins by, before the wide rows are made from them
-    (``lines``: dealt out already)."""
+    (``lines``: dealt out already, and kept with the catalog columns that they have)."""
     key = {"NIIN": _niin("l_partkey"), "Nomenclature": F.concat(F.lit("PART_"), F.col("l_partkey").cast("string"))}
     li = t(spark, sf_dir, "lineitem").repartition(*[key[c] for c in by]) if lines is None else lines
     qty = F.col("l_quantity").cast("bigint")
@@ -388,7 +389,7 @@ def repair_requirements(spark, sf_dir, by=("NIIN",), lines=None) -> DataFrame:
              F.when(ln > 6, F.lit(0.0)).otherwise(F.col("l_quantity")).alias("DIM LENGTH INCHES"),
              F.when(ln == 1, F.lit(9999.0)).otherwise(ln * 3).alias("DIM WIDTH INCHES"),
              (F.col("l_quantity") + 2).alias("DIM HEIGHT INCHES")]
-    return li.select(cols)
+    return li.select(*cols, *[c for c in CATALOG_MEASURES if c in li.columns])
 
 
 def catalog_dimensions(spark, sf_dir) -> DataFrame:
@@ -480,8 +481,9 @@ SELECT AssessmentNumber AS ASSESSMENTNUMBER, cls AS CLASS_OF_SUPPLY, Region AS R
 FROM c
 """)
 def q_class_ix(spark, sf_dir, lines=None):
-    return X.class_ix(repair_requirements(spark, sf_dir, lines=lines), catalog_dimensions(spark, sf_dir),
-                      dims_row_id="row_id")
+    req = repair_requirements(spark, sf_dir, lines=lines)
+    joined = set(CATALOG_MEASURES) <= set(req.columns)
+    return X.class_ix(req, None if joined else catalog_dimensions(spark, sf_dir), dims_row_id="row_id")
 
 
 @register("class_ix_long", f"""
@@ -512,11 +514,15 @@ def q_class_ix_long(spark, sf_dir):
 # ---------------------------------------------------------------------------
 UNION_PARTS = ["class_i", "pallet_calc", "unit_extension", "class_iiip", "class_iv", "class_vi",
                "class_ix"]
+# those made from lines and the columns of their part
+PART_CLASSES = ["class_i", "unit_extension", "class_iiip", "class_iv"]
 
 
-# what the union needs of a line; the order it belongs to has no column there
-UNION_LINE = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-              "l_returnflag", "l_linestatus", "l_shipdate"]
+# what the union needs of a line (no order, a date without its time), and the roll-up: no class label, which class IX reads
+# from discount and tax. Whole numbers come after decimals and text comes first: varying bytes that meet compress better
+UNION_LINE = ["l_returnflag", "l_linestatus", "l_shipdate", "l_partkey", "l_extendedprice", "l_suppkey", "l_discount",
+              "l_linenumber", "l_tax", "l_quantity"]
+ROLLUP_LINE = [c for c in UNION_LINE if c not in ("l_discount", "l_tax")]
 
 
 def _carrying(df: DataFrame, full: DataFrame) -> DataFrame:
@@ -524,11 +530,17 @@ def _carrying(df: DataFrame, full: DataFrame) -> DataFrame:
     return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in full.schema if f.name not in df.columns})
 
 
-def union_lines(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+def _alike_first(df: DataFrame, *cols: str) -> DataFrame:
+    """Each task's rows with equal values of ``cols`` together: they compress better in the shuffle that follows."""
+    return df.sortWithinPartitions(F.xxhash64(*cols))
+
+
+def union_lines(spark, sf_dir, columns=UNION_LINE) -> tuple[DataFrame, DataFrame]:
     """The lines, dealt out by part key once for all classes, and the same with the columns of their part."""
-    li, part = t(spark, sf_dir, "lineitem"), t(spark, sf_dir, "part")
+    li, part = t(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate")), t(spark, sf_dir, "part")
     niin, p_niin = _niin("l_partkey"), _niin("p_partkey")
-    lines = li.filter(F.col("l_partkey").isNotNull() & niin.isNotNull()).select(UNION_LINE).repartition(niin)
+    lines = li.filter(F.col("l_partkey").isNotNull() & niin.isNotNull()).select(columns)
+    lines = _alike_first(lines, "l_returnflag", "l_linestatus", "l_linenumber").repartition(niin)
     lines = _carrying(R.shared_shuffle(lines, ["l_partkey"]), li)
     # by NIIN as class IX, so that parts go where the lines are; the key is compared, as Spark would deal the lines out
     # anew by a second join key. One row a part: hashed in the task
@@ -536,10 +548,33 @@ def union_lines(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return lines, lines.join(part.hint("shuffle_hash"), (niin == p_niin) & same)
 
 
-def class_outputs(spark, sf_dir) -> list[DataFrame]:
-    lines, of_part = union_lines(spark, sf_dir)
-    given = {n: of_part for n in ("class_i", "unit_extension", "class_iiip", "class_iv")} | {"class_ix": lines}
-    return [QUERIES[n](spark, sf_dir, *([given[n]] if n in given else [])) for n in UNION_PARTS]
+# what the roll-up needs of a line with its part, and with its catalog row
+ROLLUP_PART_LINE = ["l_returnflag", "l_linestatus", "p_type", "l_shipdate", "p_retailprice", "l_suppkey", "p_size", "l_quantity"]
+ROLLUP_CATALOG_LINE = ["l_returnflag", "l_extendedprice", "l_suppkey", "DSS_CUBE", "l_linenumber", "DSS_WEIGHT", "l_quantity"]
+
+
+def located_lines(spark, sf_dir) -> dict[str, DataFrame]:
+    """The lines of each class for the roll-up, those of a location (a supplier) in one task, so that they are summed
+    there. They travel once more for that, with what their part gives them; class IX makes its 12 rows of each there."""
+    lines, of_part = union_lines(spark, sf_dir, ROLLUP_LINE)
+    # the location's name as the union has it: Spark sees that its groups are in one task
+    location = F.coalesce(F.concat(F.lit("LOC_"), F.col("l_suppkey").cast("string")), F.lit("0"))
+    there = _alike_first(of_part.select(ROLLUP_PART_LINE), "l_returnflag", "l_linestatus", "p_type").repartition(location)
+    there = _carrying(R.shared_shuffle(there, ["l_suppkey"]), of_part)
+    of_catalog = X.class_ix_catalog(lines.withColumn("NIIN", _niin("l_partkey")), catalog_dimensions(spark, sf_dir),
+                                    dims_row_id="row_id")
+    nine = _alike_first(of_catalog.select(ROLLUP_CATALOG_LINE), "l_returnflag", "l_linenumber").repartition(location)
+    # class I has lines of known suppliers only; kept apart, as its filter would make a shuffle of its own
+    return {n: there for n in PART_CLASSES} | {"class_i": R.shared_shuffle(there), "class_ix": _carrying(nine, lines)}
+
+
+def class_outputs(spark, sf_dir, located: bool = False) -> list[DataFrame]:
+    if located:
+        given = located_lines(spark, sf_dir)
+    else:
+        lines, of_part = union_lines(spark, sf_dir)
+        given = {n: of_part for n in PART_CLASSES} | {"class_ix": lines}
+    return [QUERIES[n](spark, sf_dir, given[n]) if n in given else QUERIES[n](spark, sf_dir) for n in UNION_PARTS]
 
 
 def _union_sql(lead: bool = False) -> str:
@@ -581,7 +616,8 @@ _ROLLUP_DIMS = ["REGION", "LOCATION_NAME", "REGION_MEF_LEAD", "POS"]
     + f", CAST(count(*) AS BIGINT) AS N_ROWS, CAST(GROUPING({', '.join(_ROLLUP_DIMS)}) AS BIGINT) AS grouping_level"
     + f"\nFROM u GROUP BY ROLLUP ({', '.join(_ROLLUP_DIMS)})")
 def q_embark_rollup(spark, sf_dir):
-    return X.class_rollup(X.aggregated_classes(class_outputs(spark, sf_dir), keep=["REGION_MEF_LEAD"]), _ROLLUP_DIMS)
+    outputs = class_outputs(spark, sf_dir, located=True)
+    return X.class_rollup([X.aggregated_classes([o], keep=["REGION_MEF_LEAD"]) for o in outputs], _ROLLUP_DIMS)
 
 
 BASE_RUN = 1995

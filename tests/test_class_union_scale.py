@@ -56,3 +56,35 @@ def test_union_shuffles_its_lines_once(spark, sf_dir, shuffled):
 def test_odd_keys_match_the_sql(spark, shuffled, odd_dir, name):
     ok, msg = compare(spark, QUERIES[name], ORACLE_SQL[name], odd_dir, duck(odd_dir))
     assert ok, msg
+
+
+def above(lines: list[str], at: int, stop: str) -> list[str]:
+    """The steps that a step's rows go through next, up to ``stop``, from a plan's indentation."""
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    out, d = [], depth(lines[at])
+    for x in reversed(lines[:at]):
+        if depth(x) < d:
+            d = depth(x)
+            if stop in x:
+                return out
+            out.append(x)
+    raise AssertionError(f"no {stop} above {lines[at]}")
+
+
+def test_rollup_sums_lines_where_their_location_is(spark, sf_dir, shuffled):
+    """Rows made of lines (class IX makes 12 of each) are summed to a row per group without a shuffle of their own."""
+    steps = final_plan(QUERIES["embark_rollup"](spark, sf_dir))
+    assert steps.count("lineitem.parquet") == 2
+    lines = steps.splitlines()
+    nine = [i for i, x in enumerate(lines) if "Generate inline(array(struct(base, TAMCN_NIIN_QTY" in x]
+    assert len(nine) == 1
+    path = above(lines, nine[0], "Union")
+    assert sum("HashAggregate" in x for x in path) == 2 and not any("Exchange" in x for x in path)
+
+
+def test_rollup_of_parts_equals_that_of_their_union(spark):
+    from quartermaster.operators import relational as R
+    a = spark.createDataFrame([("x", "p", 1), ("x", None, 2), (None, "q", 3)], "k string, m string, v bigint")
+    b = spark.createDataFrame([("x", "p", 10), ("y", "q", None)], "k string, m string, v bigint")
+    got = [sorted(map(str, R.rollup_sums(d, ["k", "m"], {"v": "v"}, count_col="n").collect())) for d in ([a, b], a.unionByName(b))]
+    assert got[0] == got[1] and len(got[0]) == 8
