@@ -11,7 +11,7 @@ doubles); sums are taken over whole cents so no summation order matters.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quartermaster.functions.scalar import cents, from_cents
@@ -542,30 +542,41 @@ def union_lines(spark, sf_dir, columns=UNION_LINE) -> tuple[DataFrame, DataFrame
     lines = li.filter(F.col("l_partkey").isNotNull() & niin.isNotNull()).select(columns)
     lines = _alike_first(lines, "l_returnflag", "l_linestatus", "l_linenumber").repartition(niin)
     lines = _carrying(R.shared_shuffle(lines, ["l_partkey"]), li)
-    # by NIIN as class IX, so that parts go where the lines are; the key is compared, as Spark would deal the lines out
-    # anew by a second join key. One row a part: hashed in the task
+    return lines, _with_part(lines, part, niin, p_niin)
+
+
+def _with_part(lines: DataFrame, part: DataFrame, niin, p_niin, how: str = "inner") -> DataFrame:
+    """Lines with their part's columns. Joined by NIIN as class IX, so that parts go where the lines are; the key itself is
+    compared, as Spark would deal the lines out anew by a second join key. One row a part: hashed in the task."""
     same = F.col("l_partkey").between(F.col("p_partkey"), F.col("p_partkey"))
-    return lines, lines.join(part.hint("shuffle_hash"), (niin == p_niin) & same)
+    return lines.join(part.hint("shuffle_hash"), (niin == p_niin) & same, how)
 
 
-# what the roll-up needs of a line with its part, and with its catalog row
-ROLLUP_PART_LINE = ["l_returnflag", "l_linestatus", "p_type", "l_shipdate", "p_retailprice", "l_suppkey", "p_size", "l_quantity"]
-ROLLUP_CATALOG_LINE = ["l_returnflag", "l_extendedprice", "l_suppkey", "DSS_CUBE", "l_linenumber", "DSS_WEIGHT", "l_quantity"]
+# what the roll-up needs of a line with its part and its catalog row
+LOCATED_LINE = ["l_returnflag", "l_linestatus", "p_type", "PART_NR", "CATALOG_NR", "p_retailprice", "l_suppkey", "l_extendedprice",
+                "l_linenumber", "DSS_CUBE", "l_shipdate", "DSS_WEIGHT", "p_size", "l_quantity"]
 
 
 def located_lines(spark, sf_dir) -> dict[str, DataFrame]:
     """The lines of each class for the roll-up, those of a location (a supplier) in one task, so that they are summed
-    there. They travel once more for that, with what their part gives them; class IX makes its 12 rows of each there."""
-    lines, of_part = union_lines(spark, sf_dir, ROLLUP_LINE)
+    there. They travel once more for that, with what their part and their catalog row give them; class IX makes its 12
+    rows of each there. Rows of a part key, and catalog rows of a NIIN, are numbered: should there be several, a class
+    has a line once for each of its own side's."""
+    lines = union_lines(spark, sf_dir, ROLLUP_LINE)[0].withColumn("NIIN", _niin("l_partkey"))
+    part = t(spark, sf_dir, "part").withColumn("P_NIIN", _niin("p_partkey")).repartition("P_NIIN")
+    part = part.withColumn("PART_NR", F.row_number().over(Window.partitionBy("P_NIIN", "p_partkey").orderBy("p_partkey")))
+    dims = catalog_dimensions(spark, sf_dir)
+    dims = dims.withColumn("CATALOG_NR", F.dense_rank().over(Window.partitionBy("NIIN").orderBy("NOMENCLATURE")))
+    j = X.class_ix_catalog(_with_part(lines, part, F.col("NIIN"), F.col("P_NIIN"), "left"), dims, mode="corrected", dims_row_id="row_id")
+    j = j.filter(F.col("PART_NR").isNotNull() | F.col("CATALOG_NR").isNotNull())
     # the location's name as the union has it: Spark sees that its groups are in one task
     location = F.coalesce(F.concat(F.lit("LOC_"), F.col("l_suppkey").cast("string")), F.lit("0"))
-    there = _alike_first(of_part.select(ROLLUP_PART_LINE), "l_returnflag", "l_linestatus", "p_type").repartition(location)
-    there = _carrying(R.shared_shuffle(there, ["l_suppkey"]), of_part)
-    of_catalog = X.class_ix_catalog(lines.withColumn("NIIN", _niin("l_partkey")), catalog_dimensions(spark, sf_dir),
-                                    dims_row_id="row_id")
-    nine = _alike_first(of_catalog.select(ROLLUP_CATALOG_LINE), "l_returnflag", "l_linenumber").repartition(location)
+    there = _alike_first(j.select(LOCATED_LINE), "l_returnflag", "l_linestatus", "p_type", "CATALOG_NR").repartition(location)
+    there = _carrying(R.shared_shuffle(there, ["l_suppkey"]), j)
+    of_part = there.filter(F.col("PART_NR").isNotNull() & (F.coalesce("CATALOG_NR", F.lit(1)) == 1))
+    of_catalog = there.filter(F.col("CATALOG_NR").isNotNull() & (F.coalesce("PART_NR", F.lit(1)) == 1))
     # class I has lines of known suppliers only; kept apart, as its filter would make a shuffle of its own
-    return {n: there for n in PART_CLASSES} | {"class_i": R.shared_shuffle(there), "class_ix": _carrying(nine, lines)}
+    return {n: of_part for n in PART_CLASSES} | {"class_i": R.shared_shuffle(of_part), "class_ix": of_catalog}
 
 
 def class_outputs(spark, sf_dir, located: bool = False) -> list[DataFrame]:

@@ -22,15 +22,19 @@ def shuffled(spark):
 
 @pytest.fixture(scope="module")
 def odd_dir(tmp_path_factory):
-    """Part keys that share a NIIN (over nine digits), keys and values that are missing or unmatched, a hot supplier."""
+    """Part keys that share a NIIN (over nine digits), keys and values that are missing or unmatched, repeated parts and
+    suppliers, a hot supplier."""
     out = tmp_path_factory.mktemp("odd")
     con = duckdb.connect()
     src = "/root/testdata/sf0.001"
-    for name in ["region", "nation", "customer", "orders", "supplier"]:
+    for name in ["region", "nation", "customer", "orders"]:
         con.execute(f"COPY (SELECT * FROM '{src}/{name}.parquet') TO '{out}/{name}.parquet' (FORMAT parquet)")
+    con.execute(f"COPY (SELECT * FROM '{src}/supplier.parquet' UNION ALL SELECT * FROM '{src}/supplier.parquet' WHERE s_suppkey % 4 = 1) "
+                f"TO '{out}/supplier.parquet' (FORMAT parquet)")
     big = "CASE WHEN {0} % 5 = 1 THEN 1234567800 + {0} % 100 ELSE {0} END"
-    con.execute(f"COPY (SELECT * REPLACE ({big.format('p_partkey')} AS p_partkey) FROM '{src}/part.parquet' "
-                f"WHERE p_partkey % 11 <> 0 AND (p_partkey % 5 <> 1 OR p_partkey < 100)) TO '{out}/part.parquet' (FORMAT parquet)")
+    con.execute(f"COPY (SELECT * EXCLUDE (i) REPLACE ({big.format('p_partkey')} AS p_partkey) FROM '{src}/part.parquet' "
+                f"CROSS JOIN range(2) c(i) WHERE p_partkey % 11 <> 0 AND (p_partkey % 5 <> 1 OR p_partkey < 100) AND (i = 0 OR p_partkey % 7 = 1)) "
+                f"TO '{out}/part.parquet' (FORMAT parquet)")
     con.execute(f"""COPY (SELECT * REPLACE (
         CASE WHEN l_orderkey % 13 = 0 THEN NULL ELSE {big.format('l_partkey')} END AS l_partkey,
         CASE WHEN l_orderkey % 3 = 0 THEN 1 WHEN l_orderkey % 17 = 0 THEN NULL WHEN l_orderkey % 19 = 0 THEN 999999 ELSE l_suppkey END AS l_suppkey)
